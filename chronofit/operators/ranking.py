@@ -33,6 +33,8 @@ HOT_GROUP_ROWS_KEY = "chronofit.hot_group_rows"
 DEFAULT_HOT_GROUP_ROWS = 5_000_000
 BROADCAST_ROWS_KEY = "chronofit.broadcast_rows"
 DEFAULT_BROADCAST_ROWS = 2_000_000
+HOT_SAMPLE_KEY = "chronofit.hot_sample_fraction"
+DEFAULT_HOT_SAMPLE = 0.01
 
 
 def hot_group_rows(df: DataFrame, override: int | None = None) -> int:
@@ -63,10 +65,23 @@ def semi_join(df: DataFrame, keys: DataFrame, cols: Sequence[str], how: str) ->
     return df.join(F.broadcast(k), cond, how)
 
 
-def _hot_keys(df: DataFrame, group_cols: Sequence[str], limit: int) -> tuple[DataFrame, int]:
-    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.where(F.col("__n") > limit)
-    # At most total_rows / limit groups can exceed the limit: a proven bound.
+def _hot_keys(df: DataFrame, group_cols: Sequence[str], limit: int,
+              exact: bool) -> tuple[DataFrame, int]:
+    """Keys of groups that may exceed ``limit`` rows, and how many there are.
+
+    The sampled check costs a fraction of a scan; a group missed by it is at most about
+    ``limit`` rows, which the ordinary path handles, and a false alarm only routes a
+    group through the (equally exact) sorted path.  At most total/limit groups can be
+    hot, which bounds the broadcast of their keys.
+    """
+    frac = float(df.sparkSession.conf.get(HOT_SAMPLE_KEY, str(DEFAULT_HOT_SAMPLE)))
+    if exact or frac >= 1.0:
+        sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__m"))
+        hot = sizes.where(F.col("__m") > limit)
+    else:
+        sizes = df.sample(False, frac, 17).groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__m"))
+        hot = sizes.where(F.col("__m") >= max(1.0, limit * frac / 2.0))
+    hot = hot.select(*group_cols)
     return hot, hot.count()
 
 
@@ -80,7 +95,7 @@ def rank_within_groups(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     limit = hot_group_rows(df, hot_limit)
-    hot, n_hot = _hot_keys(df, group_cols, limit)
+    hot, n_hot = _hot_keys(df, group_cols, limit, exact=hot_limit is not None)
     window = Window.partitionBy(*group_cols).orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
     if n_hot == 0:
         return df.withColumn(rank_col, F.row_number().over(window))
@@ -181,14 +196,16 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                      F.col(value_col).cast("double").alias("__v"))
     base = base.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
     limit = hot_group_rows(df, hot_limit)
-    hot, n_hot = _hot_keys(base, keyed, limit)
+    hot, n_hot = _hot_keys(base, keyed, limit, exact=hot_limit is not None)
     aggs = [F.percentile("__v", float(p)).alias(n) for p, n in zip(probs, names)]
     if n_hot == 0:
         result = base.groupBy(*keyed).agg(*aggs)
     else:
         cold = semi_join(base, hot, keyed, "left_anti").groupBy(*keyed).agg(*aggs)
-        ranked = _ranks_by_sort(semi_join(base, hot, keyed, "left_semi"), keyed, ["__v"], "__r", 7)
-        sizes = hot.select(*[F.col(c).alias(f"__s_{c}") for c in keyed], "__n")
+        hot_base = semi_join(base, hot, keyed, "left_semi")
+        ranked = _ranks_by_sort(hot_base, keyed, ["__v"], "__r", 7)
+        exact_sizes = hot_base.groupBy(*keyed).agg(F.count(F.lit(1)).alias("__n"))
+        sizes = exact_sizes.select(*[F.col(c).alias(f"__s_{c}") for c in keyed], "__n")
         joined = ranked.join(F.broadcast(sizes), _null_safe_cond(ranked, sizes, keyed), "inner")
         picks, exprs = [], []
         for p, n in zip(probs, names):
