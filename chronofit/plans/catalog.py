@@ -15,11 +15,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def bigint_counts(sql: str) -> str:
+    """DuckDB's count_if returns HUGEINT; cast every call to BIGINT like Spark's."""
+    out, i, token = [], 0, "count_if("
+    while True:
+        j = sql.find(token, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(token)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j])
+        inner = bigint_counts(sql[j + len(token):k - 1])
+        out.append(f"CAST(count_if({inner}) AS BIGINT)")
+        i = k
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if oracle is not None:
-            ORACLES[name] = oracle
+            ORACLES[name] = bigint_counts(oracle)
         return fn
     return deco
 

@@ -85,3 +85,212 @@ def q_holdout_predictions(spark, sf):
 def q_loads_fixture(spark, sf):
     """The typed load table built from the driver's tables (copies numbered skew-safely)."""
     return round_doubles(fixture.loads(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Data audit
+# ---------------------------------------------------------------------------
+from ..operators import audit as A  # noqa: E402
+
+_DEV_COLS = K.LOAD_COLUMNS + [K.TARGET]
+_TABLE_COLS = {"development": _DEV_COLS, "validation": K.LOAD_COLUMNS, "scenario": K.SCENARIO_COLUMNS}
+_DOUBLE_COLS = set(K.RAW_NUMERIC + [K.TARGET])
+
+
+def _tables(spark, sf):
+    c = context(spark, sf)
+    return {"development": c.development, "validation": c.validation, "scenario": fixture.scenario(spark, sf)}
+
+
+def _missing_sql():
+    parts = []
+    for t, cols in _TABLE_COLS.items():
+        for col in cols:
+            miss = f"{col} IS NULL OR isnan({col})" if col in _DOUBLE_COLS else f"{col} IS NULL"
+            parts.append(f"SELECT '{t}' AS dataset, '{col}' AS \"column\", CAST(count_if({miss}) AS BIGINT) "
+                         f"AS missing_count, 100E0 * count_if({miss}) / count(*) AS missing_percent FROM {t}")
+    return " UNION ALL ".join(parts)
+
+
+@register("missing_values", S.with_fixture(S.SCENARIO_SQL) + "\n" + S.rounded(
+    _missing_sql(), ["missing_percent"], ["dataset", '"column"', "missing_count"]))
+def q_missing_values(spark, sf):
+    """A1: missing count and percent per column of the three input tables."""
+    return round_doubles(A.missing_values(_tables(spark, sf)))
+
+
+def _numsum_sql():
+    parts = []
+    for t in ["development", "validation"]:
+        for col in A.AUDIT_NUMERICS:
+            v = f"abs({col})" if col == "weight" else col
+            parts.append(
+                f"SELECT '{t}' AS dataset, '{col}' AS \"column\", count({v}) AS count, avg({v}) AS mean,"
+                f" stddev_samp({v}) AS std, min({v}) AS min, quantile_cont({v}, 0.5) AS median,"
+                f" quantile_cont({v}, 0.95) AS p95, max({v}) AS max, count_if({col} IS NULL) AS missing,"
+                f" count_if({col} <= 0) AS non_positive FROM {t}")
+    return " UNION ALL ".join(parts)
+
+
+@register("numeric_summary", S.with_fixture() + "\n" + S.rounded(
+    _numsum_sql(), ["mean", "std", "min", "median", "p95", "max"],
+    ["dataset", '"column"', "count", "missing", "non_positive"]))
+def q_numeric_summary(spark, sf):
+    """A2/P25: per table and numeric column: count, mean, std, min, median, p95, max, missing, non-positive."""
+    t = _tables(spark, sf)
+    return round_doubles(A.numeric_summary({"development": t["development"], "validation": t["validation"]}))
+
+
+def _catshift_sql():
+    parts = []
+    for col in A.AUDIT_CATEGORIES:
+        parts.append(f"""SELECT '{col}' AS "column",
+          (SELECT count(DISTINCT {col}) FROM development) AS development_unique,
+          (SELECT count(DISTINCT {col}) FROM validation) AS validation_unique,
+          (SELECT count(DISTINCT {col}) FROM validation WHERE {col} NOT IN (SELECT {col} FROM development
+                                                                            WHERE {col} IS NOT NULL)) AS unseen_categories,
+          coalesce((SELECT string_agg(v, ' | ' ORDER BY v) FROM (SELECT DISTINCT {col} AS v FROM validation
+               WHERE {col} IS NOT NULL AND {col} NOT IN (SELECT {col} FROM development WHERE {col} IS NOT NULL))), '')
+               AS unseen_values,
+          (SELECT count(*) FROM validation WHERE {col} IS NOT NULL AND {col} NOT IN
+               (SELECT {col} FROM development WHERE {col} IS NOT NULL)) AS validation_rows_with_unseen""")
+    return " UNION ALL ".join(parts)
+
+
+@register("category_shift", S.with_fixture() + "\n" + _catshift_sql())
+def q_category_shift(spark, sf):
+    """Category uniques, unseen validation categories and the rows carrying them."""
+    c = context(spark, sf)
+    return A.category_shift(c.development, c.validation)
+
+
+def _shift_sql():
+    parts = []
+    for col in A.AUDIT_NUMERICS:
+        v = f"abs({col})" if col == "weight" else col
+        parts.append(f"""SELECT '{col}' AS feature, d.m AS development_mean, w.m AS validation_mean,
+          CASE WHEN sqrt((d.v + w.v) / 2) > 0 THEN (w.m - d.m) / sqrt((d.v + w.v) / 2) ELSE 0E0 END
+            AS standardized_mean_difference,
+          abs(CASE WHEN sqrt((d.v + w.v) / 2) > 0 THEN (w.m - d.m) / sqrt((d.v + w.v) / 2) ELSE 0E0 END)
+            >= {K.SHIFT_FLAG_SMD} AS shift_flagged
+          FROM (SELECT avg({v}) AS m, var_samp({v}) AS v FROM development) d,
+               (SELECT avg({v}) AS m, var_samp({v}) AS v FROM validation) w""")
+    return " UNION ALL ".join(parts)
+
+
+@register("distribution_shift", S.with_fixture() + "\n" + S.rounded(
+    _shift_sql(), ["development_mean", "validation_mean", "standardized_mean_difference"],
+    ["feature", "shift_flagged"]))
+def q_distribution_shift(spark, sf):
+    """Development vs validation means and standardised mean difference, |SMD| >= 0.5 flag."""
+    c = context(spark, sf)
+    return round_doubles(A.distribution_shift(c.development, c.validation))
+
+
+_TD_SQL = """SELECT count(posted_rate) AS count, avg(posted_rate) AS mean, stddev_samp(posted_rate) AS std,
+  min(posted_rate) AS min, quantile_cont(posted_rate, 0.05) AS p05, quantile_cont(posted_rate, 0.5) AS median,
+  quantile_cont(posted_rate, 0.95) AS p95, quantile_cont(posted_rate, 0.99) AS p99, max(posted_rate) AS max,
+  skewness(posted_rate) AS skew FROM development"""
+
+
+@register("target_distribution", S.with_fixture() + "\n" + S.rounded(
+    _TD_SQL, ["mean", "std", "min", "p05", "median", "p95", "p99", "max", "skew"], ["count"]))
+def q_target_distribution(spark, sf):
+    """Target count, mean, std, quantiles and bias-corrected skew."""
+    return round_doubles(A.target_distribution(context(spark, sf).development))
+
+
+@register("monthly_target", S.with_fixture() + "\n" + S.rounded(
+    "SELECT strftime(date, '%Y-%m') AS month, avg(posted_rate) AS mean, quantile_cont(posted_rate, 0.5) AS median"
+    " FROM development GROUP BY 1", ["mean", "median"], ["month"]))
+def q_monthly_target(spark, sf):
+    """Monthly target mean and median."""
+    return round_doubles(A.monthly_target(context(spark, sf).development))
+
+
+_HIST_SQL = f"""cap AS (SELECT quantile_cont(posted_rate, {K.HISTOGRAM_CAP_QUANTILE}) AS c FROM development),
+capped AS (SELECT least(posted_rate, (SELECT c FROM cap)) AS x FROM development),
+rng AS (SELECT min(x) AS lo, (max(x) - min(x)) / {K.HISTOGRAM_BINS} AS w FROM capped),
+binned AS (SELECT CAST(CASE WHEN (SELECT w FROM rng) > 0
+                   THEN least(floor((x - (SELECT lo FROM rng)) / (SELECT w FROM rng)), {K.HISTOGRAM_BINS - 1})
+                   ELSE 0 END AS INTEGER) AS bin FROM capped)"""
+
+
+@register("target_histogram", S.with_fixture(_HIST_SQL) + "\n" + S.rounded(
+    "SELECT bin, (SELECT lo FROM rng) + bin * (SELECT w FROM rng) AS bin_start,"
+    " (SELECT lo FROM rng) + (bin + 1) * (SELECT w FROM rng) AS bin_end, count(*) AS rows FROM binned GROUP BY bin",
+    ["bin_start", "bin_end"], ["bin", "rows"]))
+def q_target_histogram(spark, sf):
+    """45-bin histogram of the target capped at its 99.5th percentile."""
+    return round_doubles(A.target_histogram(context(spark, sf).development))
+
+
+_ROUTE_SQL = f"""dr AS (SELECT pickup || ' > ' || delivery AS route, count(*) AS n FROM development GROUP BY 1),
+vr AS (SELECT pickup || ' > ' || delivery AS route, count(*) AS vn FROM validation GROUP BY 1)"""
+
+
+@register("route_stats", S.with_fixture(_ROUTE_SQL) + "\n" + f"""SELECT
+  (SELECT count(*) FROM dr) AS development_unique, (SELECT count_if(n < 5) FROM dr) AS frequency_below_5,
+  (SELECT CAST(coalesce(sum(vn), 0) AS BIGINT) FROM vr LEFT JOIN dr USING (route) WHERE dr.n IS NULL)
+     AS validation_unseen_rows,
+  (SELECT CAST(coalesce(sum(vn), 0) AS BIGINT) FROM vr JOIN dr USING (route) WHERE dr.n BETWEEN 1 AND {K.RARE_THRESHOLD - 1})
+     AS validation_rare_seen_rows""")
+def q_route_stats(spark, sf):
+    """Labeled route counts and validation rows on unseen / rare routes."""
+    c = context(spark, sf)
+    return A.route_stats(c.development, c.validation)
+
+
+_HAV_SQL = """geo AS (SELECT distance,
+  3958.7613 * 2 * atan2(sqrt(least(greatest(pow(sin((radians(delivery_lat) - radians(pickup_lat)) / 2), 2)
+     + cos(radians(pickup_lat)) * cos(radians(delivery_lat)) * pow(sin(radians(delivery_lon - pickup_lon) / 2), 2), 0), 1)),
+     sqrt(1 - least(greatest(pow(sin((radians(delivery_lat) - radians(pickup_lat)) / 2), 2)
+     + cos(radians(pickup_lat)) * cos(radians(delivery_lat)) * pow(sin(radians(delivery_lon - pickup_lon) / 2), 2), 0), 1)))
+     AS hav,
+  NOT (coalesce(pickup_lat BETWEEN -90 AND 90, false) AND coalesce(delivery_lat BETWEEN -90 AND 90, false)) AS bl,
+  NOT (coalesce(pickup_lon BETWEEN -180 AND 180, false) AND coalesce(delivery_lon BETWEEN -180 AND 180, false)) AS bo
+  FROM development)"""
+
+_AUDIT_SQL = f"""SELECT
+  (SELECT count(*) FROM development) AS development_rows, {len(_DEV_COLS)} AS development_columns,
+  (SELECT count(*) FROM validation) AS validation_rows, {len(K.LOAD_COLUMNS)} AS validation_columns,
+  (SELECT count(*) FROM scenario) AS scenario_rows, {len(K.SCENARIO_COLUMNS)} AS scenario_columns,
+  '{K.TARGET}' AS target,
+  (SELECT min(date) FROM development) AS development_date_start, (SELECT max(date) FROM development) AS development_date_end,
+  (SELECT min(date) FROM validation) AS validation_date_start, (SELECT max(date) FROM validation) AS validation_date_end,
+  (SELECT min(date) FROM validation) > (SELECT max(date) FROM development) AS validation_strictly_later,
+  (SELECT count(DISTINCT pickup) FROM development) AS unique_pickup_cities,
+  (SELECT count(DISTINCT delivery) FROM development) AS unique_delivery_cities,
+  (SELECT count(*) FROM development) - (SELECT count(*) FROM (SELECT DISTINCT * FROM development)) AS duplicate_rows_development,
+  (SELECT count(*) FROM validation) - (SELECT count(*) FROM (SELECT DISTINCT * FROM validation)) AS duplicate_rows_validation,
+  (SELECT count(*) - count(DISTINCT load_id) - max(CASE WHEN load_id IS NULL THEN 1 ELSE 0 END) FROM development) AS duplicate_ids_development,
+  (SELECT count(*) - count(DISTINCT load_id) - max(CASE WHEN load_id IS NULL THEN 1 ELSE 0 END) FROM validation) AS duplicate_ids_validation,
+  (SELECT count_if(date IS NULL) FROM development) AS invalid_dates_development,
+  (SELECT count_if(date IS NULL) FROM validation) AS invalid_dates_validation,
+  (SELECT count_if(weight < 0) FROM development) AS negative_weight_rows_development,
+  (SELECT count_if(weight < 0) FROM validation) AS negative_weight_rows_validation,
+  (SELECT count_if(bl) FROM geo) AS invalid_latitude_rows, (SELECT count_if(bo) FROM geo) AS invalid_longitude_rows,
+  round((SELECT corr(distance, hav) FROM geo), 6) AS distance_haversine_correlation,
+  round((SELECT quantile_cont(distance / CASE WHEN hav IS NULL THEN NULL ELSE greatest(hav, 1E0) END, 0.5) FROM geo), 6)
+     AS median_distance_haversine_ratio"""
+
+
+@register("data_audit", S.with_fixture(S.SCENARIO_SQL, _HAV_SQL) + "\n" + _AUDIT_SQL)
+def q_data_audit(spark, sf):
+    """Shapes, date ranges, uniques, duplicates, invalid values, distance vs haversine."""
+    t = _tables(spark, sf)
+    return round_doubles(A.data_audit(t["development"], t["validation"], t["scenario"]))
+
+
+@register("equipment_counts", S.with_fixture() + "\nSELECT 'equipment' AS \"column\", equipment AS value,"
+          " count(*) AS rows FROM development GROUP BY equipment")
+def q_equipment_counts(spark, sf):
+    """Value counts of the raw equipment column."""
+    return A.value_counts(context(spark, sf).development, "equipment")
+
+
+@register("scenario_grid", S.with_fixture(S.SCENARIO_SQL) + "\n" + S.rounded(
+    "SELECT * FROM scenario", ["distance", "weight"], ["pickup", "delivery", "equipment", "date"]))
+def q_scenario_grid(spark, sf):
+    """The reduced-schema scenario grid derived from the labeled table."""
+    return round_doubles(fixture.scenario(spark, sf))

@@ -95,3 +95,19 @@ def rounded(select_sql: str, cols_double: list[str], cols_other: list[str], digi
     """Wrap a query so its DOUBLE columns are rounded like the Spark side."""
     cols = cols_other + [f"round({c}, {digits}) AS {c}" for c in cols_double]
     return f"SELECT {', '.join(cols)} FROM ({select_sql}) q"
+
+
+SCENARIO_SQL = f"""sdev AS (SELECT {norm('pickup')} AS pickup, {norm('delivery')} AS delivery,
+                    {norm('equipment')} AS equipment, distance, weight FROM development),
+top_route AS (SELECT pickup, delivery FROM sdev GROUP BY pickup, delivery
+              ORDER BY count(*) DESC, pickup, delivery LIMIT 1),
+on_route AS (SELECT s.* FROM sdev s JOIN top_route USING (pickup, delivery)),
+top_eq AS (SELECT equipment FROM on_route GROUP BY equipment ORDER BY count(*) DESC, equipment LIMIT 1),
+smonth AS (SELECT CAST(date_trunc('month', max(date)) AS DATE) AS m FROM validation),
+scenario AS (
+  SELECT (SELECT pickup FROM top_route) AS pickup, (SELECT delivery FROM top_route) AS delivery,
+         (SELECT quantile_cont(distance, 0.5) FROM on_route) AS distance, (SELECT equipment FROM top_eq) AS equipment,
+         (SELECT quantile_cont(CASE WHEN weight > 0 THEN weight END, 0.5) FROM on_route) AS weight,
+         CAST(t.d AS DATE) AS date
+  FROM generate_series(CAST((SELECT m FROM smonth) AS TIMESTAMP),
+                       CAST(last_day((SELECT m FROM smonth)) AS TIMESTAMP), INTERVAL 1 DAY) AS t(d))"""

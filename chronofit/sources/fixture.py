@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..operators.ranking import rank_within_groups
+from ..operators.ranking import exact_quantiles, rank_within_groups
 from .tables import read_table
 
 # Fixture parameters (FIXTURES.md §3).
@@ -130,9 +130,11 @@ def scenario(spark: SparkSession, sf_dir: str) -> DataFrame:
     on_route = dev.join(F.broadcast(top.select("r.*")), ["pickup", "delivery"])
     eq = (on_route.groupBy("equipment").agg(F.count(F.lit(1)).alias("n"))
           .agg(F.min_by("equipment", F.struct((-F.col("n")).alias("k"), "equipment")).alias("equipment")))
-    stats = on_route.agg(F.first("pickup").alias("pickup"), F.first("delivery").alias("delivery"),
-                         F.median("distance").alias("distance"),
-                         F.median(F.when(F.col("weight") > 0, F.col("weight"))).alias("weight"))
+    dist = exact_quantiles(on_route, [], "distance", [0.5], ["m"]).scalar()
+    weight = exact_quantiles(on_route.select(F.when(F.col("weight") > 0, F.col("weight")).alias("w")),
+                             [], "w", [0.5], ["m"]).scalar()
+    stats = top.select(F.col("r.pickup").alias("pickup"), F.col("r.delivery").alias("delivery"),
+                       dist.alias("distance"), weight.alias("weight"))
     month = validation(spark, sf_dir).agg(F.trunc(F.max("date"), "month")).scalar()
     # One-row aggregates enter as scalar subqueries: no join, no cross product.
     return stats.select("pickup", "delivery", "distance", eq.scalar().alias("equipment"), "weight",
