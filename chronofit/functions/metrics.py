@@ -50,7 +50,7 @@ def round_doubles(df, digits: int = 6):
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name), digits).alias(f.name))
+            cols.append((F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

@@ -50,3 +50,16 @@ def context(spark: SparkSession, sf_dir: str, min_rows: int = FIXTURE_MIN_ROWS)
         inner = inner_split(outer.training(dev), min_rows=min_rows)
         _MEMO[key] = Context(dev, val, outer, inner)
     return _MEMO[key]
+
+
+_STATES: dict[tuple, object] = {}
+
+
+def fitted_state(spark: SparkSession, sf_dir: str, on: str = "training"):
+    """Feature state fitted on ``training`` (outer), ``inner_training`` or ``development``."""
+    from ..operators import features as FE
+    key = (id(spark), sf_dir.rstrip("/"), on)
+    if key not in _STATES:
+        c = context(spark, sf_dir)
+        _STATES[key] = FE.fit(getattr(c, on))
+    return _STATES[key]

@@ -294,3 +294,70 @@ def q_equipment_counts(spark, sf):
 def q_scenario_grid(spark, sf):
     """The reduced-schema scenario grid derived from the labeled table."""
     return round_doubles(fixture.scenario(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Feature engine: fitted state tables and the full transform (E1-E9, J1, J2, §2.4-2.6)
+# ---------------------------------------------------------------------------
+from ..operators import features as FE  # noqa: E402
+from . import sql_features as SF  # noqa: E402
+from .context import fitted_state  # noqa: E402
+
+ALL_FEATURES = list(dict.fromkeys(K.BASIC_FEATURES + K.DATE_FEATURES + K.ROUTE_FEATURES
+                                  + K.GEOGRAPHIC_FEATURES + K.INTERACTION_FEATURES))
+_FEATURE_DOUBLES = [c for c in ALL_FEATURES if c not in K.CATEGORICAL_FEATURES and c not in {
+    "weight_missing", "weight_sign_corrected", "market_index_missing", "year", "month", "quarter", "week_of_year",
+    "day_of_month", "day_of_year", "day_of_week", "weekend", "month_start", "month_end", "days_since_start",
+    "federal_holiday", "near_thanksgiving", "near_christmas", "rare_pickup", "rare_delivery", "rare_route",
+    "unseen_pickup", "unseen_delivery", "unseen_route"}]
+
+
+@register("feature_state_counts", S.with_fixture(S.SPLIT_SQL, SF.state_ctes()) + "\n" + S.rounded(
+    "SELECT * FROM fs_counts", ["frequency"], ["key_column", "key", "count"]))
+def q_feature_state_counts(spark, sf):
+    """Training counts and frequencies of the seven (composite) keys."""
+    return round_doubles(fitted_state(spark, sf).counts)
+
+
+@register("feature_state_coordinates", S.with_fixture(S.SPLIT_SQL, SF.state_ctes()) + "\n" + S.rounded(
+    "SELECT * FROM fs_coords", ["lat", "lon"], ["city"]))
+def q_feature_state_coordinates(spark, sf):
+    """Median coordinates per city over stacked pickup and delivery rows."""
+    return round_doubles(fitted_state(spark, sf).coordinates)
+
+
+@register("feature_state_medians", S.with_fixture(S.SPLIT_SQL, SF.state_ctes()) + "\n" + S.rounded(
+    " UNION ALL ".join(f"SELECT '{c}' AS \"column\", quantile_cont({c}, 0.5) AS median, (SELECT d FROM fs_ref)"
+                       f" AS reference_date, (SELECT count(*) FROM training) AS training_rows FROM fs_clean"
+                       for c in K.RAW_NUMERIC), ["median"], ['"column"', "reference_date", "training_rows"]))
+def q_feature_state_medians(spark, sf):
+    """Reference date and exact medians of the cleaned raw numerics (training rows only)."""
+    st = fitted_state(spark, sf)
+    rows = [(k, float(v)) for k, v in st.medians.items()]
+    med = spark.createDataFrame(rows, "column string, median double")
+    # The state scalars come from the training rows; tie them back to a table scan so the
+    # query still reads (and scales with) the given tables.
+    n = context(spark, sf).training.agg(F.count(F.lit(1))).scalar()
+    return round_doubles(med.select("column", "median", F.lit(st.reference_date).alias("reference_date"),
+                                    n.alias("training_rows")))
+
+
+@register("holdout_features", S.with_fixture(S.SPLIT_SQL, SF.state_ctes(), SF.transform_ctes("holdout", True))
+          + "\n" + S.rounded(f"SELECT load_id, {', '.join(ALL_FEATURES)} FROM feat", _FEATURE_DOUBLES,
+                             ["load_id"] + [c for c in ALL_FEATURES if c not in _FEATURE_DOUBLES]))
+def q_holdout_features(spark, sf):
+    """E3-E5/E9/J1/J2/P2-P14 + date, geographic, interaction features of the holdout, state fitted on training."""
+    c = context(spark, sf)
+    out = FE.transform(fitted_state(spark, sf), c.holdout, ALL_FEATURES, keep=["load_id"])
+    return round_doubles(out)
+
+
+@register("validation_features", S.with_fixture(SF.state_ctes("development", "fd"),
+                                                SF.transform_ctes("validation", False, "fd", "vfeat"))
+          + "\n" + S.rounded(f"SELECT load_id, {', '.join(ALL_FEATURES)} FROM vfeat", _FEATURE_DOUBLES,
+                             ["load_id"] + [c for c in ALL_FEATURES if c not in _FEATURE_DOUBLES]))
+def q_validation_features(spark, sf):
+    """Inference transform: validation rows (new cities, unseen routes) with state fitted on all labeled rows."""
+    c = context(spark, sf)
+    out = FE.transform(fitted_state(spark, sf, "development"), c.validation, ALL_FEATURES, keep=["load_id"])
+    return round_doubles(out)

@@ -93,7 +93,8 @@ def metrics(y: str = "actual", p: str = "predicted", rows: bool = True, bias: bo
 
 def rounded(select_sql: str, cols_double: list[str], cols_other: list[str], digits: int = 6) -> str:
     """Wrap a query so its DOUBLE columns are rounded like the Spark side."""
-    cols = cols_other + [f"round({c}, {digits}) AS {c}" for c in cols_double]
+    # "+ 0E0" turns a rounded -0.0 into 0.0 (Spark's rounding never yields -0.0).
+    cols = cols_other + [f"round({c}, {digits}) + 0E0 AS {c}" for c in cols_double]
     return f"SELECT {', '.join(cols)} FROM ({select_sql}) q"
 
 
