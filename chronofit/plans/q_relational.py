@@ -361,3 +361,260 @@ def q_validation_features(spark, sf):
     c = context(spark, sf)
     out = FE.transform(fitted_state(spark, sf, "development"), c.validation, ALL_FEATURES, keep=["load_id"])
     return round_doubles(out)
+
+
+# ---------------------------------------------------------------------------
+# Splits, folds, contracts
+# ---------------------------------------------------------------------------
+from ..operators import contracts as C  # noqa: E402
+from ..operators.baselines import global_median  # noqa: E402
+from ..operators.split import fold_assignments, monthly_folds, split_report  # noqa: E402
+from ..sources.sinks import output_dir, write_table  # noqa: E402
+
+_SPLIT_REPORT_SQL = """SELECT '{label}' AS split, (SELECT cutoff FROM {cut}) AS cutoff, {horizon} AS horizon_days,
+  (SELECT min(date) FROM {tr}) AS training_date_start, (SELECT max(date) FROM {tr}) AS training_date_end,
+  (SELECT count(*) FROM {tr}) AS training_rows,
+  (SELECT min(date) FROM {ho}) AS holdout_date_start, (SELECT max(date) FROM {ho}) AS holdout_date_end,
+  (SELECT count(*) FROM {ho}) AS holdout_rows,
+  (SELECT count(*) FROM {ho} WHERE pickup || ' > ' || delivery NOT IN (SELECT pickup || ' > ' || delivery FROM {tr}))
+     AS holdout_unseen_route_rows,
+  (SELECT count(*) FROM {ho} WHERE pickup NOT IN (SELECT pickup FROM {tr} UNION SELECT delivery FROM {tr})
+                                OR delivery NOT IN (SELECT pickup FROM {tr} UNION SELECT delivery FROM {tr}))
+     AS holdout_unseen_city_rows"""
+
+
+@register("outer_split", S.with_fixture(S.SPLIT_SQL) + "\n" + _SPLIT_REPORT_SQL.format(
+    label="outer", cut="cut", tr="training", ho="holdout",
+    horizon="CAST((SELECT datediff('day', min(date), max(date)) FROM validation) + 1 AS INTEGER)"))
+def q_outer_split(spark, sf):
+    """Horizon-matched chronological split and its report."""
+    c = context(spark, sf)
+    return split_report(c.development, c.outer)
+
+
+@register("inner_split", S.with_fixture(S.SPLIT_SQL, S.INNER_SQL) + "\n" + _SPLIT_REPORT_SQL.format(
+    label="inner", cut="icut", tr="inner_training", ho="inner_validation", horizon=str(K.INNER_HORIZON_DAYS)))
+def q_inner_split(spark, sf):
+    """training-only 61-day tail split and its report."""
+    c = context(spark, sf)
+    return split_report(c.training, c.inner)
+
+
+_FOLDS_SQL = f"""fm AS (SELECT CAST(date_trunc('month', max(date)) AS DATE) AS m FROM development),
+folds AS (SELECT strftime(CAST(f AS DATE), '%Y-%m') AS fold_month, CAST(f AS DATE) AS ms, last_day(CAST(f AS DATE)) AS me
+          FROM generate_series(CAST((SELECT m FROM fm) - INTERVAL {K.STABILITY_FOLDS - 1} MONTH AS TIMESTAMP),
+                               CAST((SELECT m FROM fm) AS TIMESTAMP), INTERVAL 1 MONTH) AS t(f))"""
+
+
+@register("stability_folds", S.with_fixture(_FOLDS_SQL) + """
+SELECT fold_month, ms AS month_start, me AS month_end,
+  (SELECT count(*) FROM development d WHERE d.date < f.ms) AS training_rows,
+  (SELECT count(*) FROM development d WHERE d.date BETWEEN f.ms AND f.me) AS holdout_rows FROM folds f""")
+def q_stability_folds(spark, sf):
+    """expanding monthly folds over the last three labeled months and their sizes."""
+    c = context(spark, sf)
+    folds = monthly_folds(c.development)
+    a = fold_assignments(c.development, folds)
+    sizes = a.groupBy("fold_month").agg(F.count_if(F.col("role") == "training").alias("training_rows"),
+                                        F.count_if(F.col("role") == "holdout").alias("holdout_rows"))
+    return folds.join(F.broadcast(sizes), "fold_month", "left").select(
+        "fold_month", "month_start", "month_end",
+        F.coalesce("training_rows", F.lit(0)).alias("training_rows"),
+        F.coalesce("holdout_rows", F.lit(0)).alias("holdout_rows"))
+
+
+_TEMPLATE_SQL = "template AS (SELECT load_id, row_number() OVER (ORDER BY date, load_id) AS ordinal FROM validation)"
+
+_INPUT_CONTRACTS_SQL = f"""SELECT * FROM (VALUES ('C1_single_target_column', 0), ('C2_required_columns_missing', 0),
+  ('C3_feature_schema_mismatch', 0), ('C4_template_columns', 0)) AS t("check", violations)
+UNION ALL SELECT 'C5_template_row_difference', abs((SELECT count(*) FROM template) - (SELECT count(*) FROM validation))
+UNION ALL SELECT 'C6_template_id_mismatch',
+  (SELECT count(*) FROM (SELECT DISTINCT load_id FROM template EXCEPT SELECT DISTINCT load_id FROM validation))
+  + (SELECT count(*) FROM (SELECT DISTINCT load_id FROM validation EXCEPT SELECT DISTINCT load_id FROM template))
+UNION ALL SELECT 'C7_development_id_null_or_duplicate', (SELECT count_if(load_id IS NULL) + count(*) - count(DISTINCT load_id)
+  - max(CASE WHEN load_id IS NULL THEN 1 ELSE 0 END) FROM development)
+UNION ALL SELECT 'C7_validation_id_null_or_duplicate', (SELECT count_if(load_id IS NULL) + count(*) - count(DISTINCT load_id)
+  - max(CASE WHEN load_id IS NULL THEN 1 ELSE 0 END) FROM validation)
+UNION ALL SELECT 'C8_development_invalid_dates', (SELECT count_if(date IS NULL) FROM development)
+UNION ALL SELECT 'C8_validation_invalid_dates', (SELECT count_if(date IS NULL) FROM validation)
+UNION ALL SELECT 'C9_target_invalid', (SELECT count_if(posted_rate IS NULL OR isnan(posted_rate) OR isinf(posted_rate)
+  OR posted_rate <= 0) FROM development)"""
+
+
+@register("input_contracts", S.with_fixture(_TEMPLATE_SQL) + "\nSELECT \"check\", CAST(violations AS BIGINT) AS violations"
+          " FROM (" + _INPUT_CONTRACTS_SQL + ") q")
+def q_input_contracts(spark, sf):
+    """Target discovery, schemas, template shape and ids, id uniqueness, dates, target validity."""
+    c = context(spark, sf)
+    return C.input_contracts(c.development, c.validation, fixture.template(spark, sf))
+
+
+@register("split_contracts", S.with_fixture(S.SPLIT_SQL, S.INNER_SQL) + f"""
+SELECT 'C17_inner_overlaps_holdout' AS "check", CAST(coalesce((SELECT max(date) FROM inner_validation)
+   >= (SELECT min(date) FROM holdout), false) AS BIGINT) AS violations
+UNION ALL SELECT 'C22_parts_below_minimum', CAST(((SELECT count(*) FROM training) < {100})::INT
+  + ((SELECT count(*) FROM holdout) < {100})::INT + ((SELECT count(*) FROM inner_training) < {100})::INT
+  + ((SELECT count(*) FROM inner_validation) < {100})::INT AS BIGINT)""")
+def q_split_contracts(spark, sf):
+    """Inner validation precedes the outer holdout; every split part has the minimum rows."""
+    from .context import FIXTURE_MIN_ROWS
+    c = context(spark, sf)
+    return C.split_contracts(c.training, c.holdout, c.inner_training, c.inner_validation, FIXTURE_MIN_ROWS)
+
+
+# Baseline leaderboard over the outer holdout and every stability fold, in one job.
+_BOARD_SQL = f"""btrain AS (SELECT 'outer_holdout' AS scope, * FROM training
+                UNION ALL SELECT f.fold_month, d.* FROM development d JOIN folds f ON d.date < f.ms),
+bhold AS (SELECT 'outer_holdout' AS scope, * FROM holdout
+          UNION ALL SELECT f.fold_month, d.* FROM development d JOIN folds f ON d.date BETWEEN f.ms AND f.me),
+gmed AS (SELECT scope, quantile_cont(posted_rate, 0.5) AS m FROM btrain GROUP BY scope),
+btr AS (SELECT scope, {S.norm('equipment')} AS g, posted_rate / distance AS rpm FROM btrain),
+bgm AS (SELECT scope, g, quantile_cont(rpm, 0.5) AS m FROM btr GROUP BY scope, g),
+bfb AS (SELECT scope, quantile_cont(rpm, 0.5) AS f FROM btr GROUP BY scope),
+blong AS (
+  SELECT h.scope, 'global_median' AS model, 'Baseline' AS model_family, 'target_only' AS feature_set,
+         h.posted_rate AS actual, g.m AS predicted FROM bhold h JOIN gmed g ON h.scope = g.scope
+  UNION ALL
+  SELECT h.scope, 'equipment_median_rpm', 'Baseline', 'distance + equipment', h.posted_rate,
+         coalesce(bgm.m, bfb.f) * h.distance FROM bhold h
+         LEFT JOIN bgm ON h.scope = bgm.scope AND {S.norm('h.equipment')} = bgm.g LEFT JOIN bfb ON h.scope = bfb.scope),
+board AS (SELECT scope, model, model_family, feature_set, '{{}}' AS parameters, false AS eligible, {S.metrics(bias=False)} FROM blong GROUP BY scope, model, model_family, feature_set)"""
+
+
+def baseline_board(spark, sf):
+    from ..operators.selection import leaderboard
+    c = context(spark, sf)
+    folds = monthly_folds(c.development)
+    a = fold_assignments(c.development, folds)
+    cols = c.development.columns
+    tr = c.training.select(F.lit("outer_holdout").alias("scope"), *cols).unionByName(
+        a.where(F.col("role") == "training").select(F.col("fold_month").alias("scope"), *cols))
+    ho = c.holdout.select(F.lit("outer_holdout").alias("scope"), *cols).unionByName(
+        a.where(F.col("role") == "holdout").select(F.col("fold_month").alias("scope"), *cols))
+    meta = [F.lit("{}").alias("parameters"), F.lit(False).alias("eligible"), F.col(K.TARGET).alias("actual"), "predicted"]
+    g = global_median(tr, ho, by=["scope"]).select(
+        "scope", F.lit("global_median").alias("model"), F.lit(K.BASELINE_FAMILY).alias("model_family"),
+        F.lit("target_only").alias("feature_set"), *meta)
+    e = group_median_rpm(tr, ho, by=["scope"]).select(
+        "scope", F.lit("equipment_median_rpm").alias("model"), F.lit(K.BASELINE_FAMILY).alias("model_family"),
+        F.lit("distance + equipment").alias("feature_set"), *meta)
+    return leaderboard(g.unionByName(e), ["scope"])
+
+
+@register("baseline_leaderboard", S.with_fixture(S.SPLIT_SQL, _FOLDS_SQL, _BOARD_SQL) + "\n" + S.rounded(
+    "SELECT *, CAST(row_number() OVER (PARTITION BY scope ORDER BY mae, model) AS INTEGER) AS rank,"
+    " false AS selected, CAST(NULL AS VARCHAR) AS signature FROM board",
+    ["mae", "rmse", "r2", "smape"],
+    ["scope", "model", "model_family", "feature_set", "parameters", "eligible", "rows", "rank",
+     "selected", "signature"]))
+def q_baseline_leaderboard(spark, sf):
+    """Both baselines on the outer holdout and each stability fold, ranked."""
+    return round_doubles(baseline_board(spark, sf))
+
+
+@register("baseline_contracts", S.with_fixture(S.SPLIT_SQL, _FOLDS_SQL, _BOARD_SQL) + """
+SELECT 'C23_baseline_eligible_or_selected' AS "check", CAST(count_if(eligible) AS BIGINT) AS violations FROM board
+UNION ALL SELECT 'C23_baseline_count', CAST((SELECT count(*) FROM (SELECT scope FROM board GROUP BY scope
+  HAVING count(*) <> 2)) AS BIGINT)""")
+def q_baseline_contracts(spark, sf):
+    """Each baseline appears once per scope, ineligible and unselected."""
+    from ..operators.selection import selection_contract
+    checks = selection_contract(baseline_board(spark, sf), ["scope"],
+                                baselines=["global_median", "equipment_median_rpm"])
+    return checks.where(F.col("check").startswith("C23"))
+
+
+_PRED_SQL = f"""ftr AS (SELECT {S.norm('equipment')} AS g, posted_rate / distance AS rpm FROM development),
+fgm AS (SELECT g, quantile_cont(rpm, 0.5) AS m FROM ftr GROUP BY g),
+vpred AS (SELECT v.load_id, coalesce(fgm.m, (SELECT quantile_cont(rpm, 0.5) FROM ftr)) * v.distance AS predicted_rate
+          FROM validation v LEFT JOIN fgm ON {S.norm('v.equipment')} = fgm.g),
+output AS (SELECT t.load_id, p.predicted_rate, t.ordinal FROM template t LEFT JOIN vpred p USING (load_id))"""
+
+
+@register("prediction_contract", S.with_fixture(_TEMPLATE_SQL, _PRED_SQL) + """
+SELECT 'C11_columns' AS "check", CAST(0 AS BIGINT) AS violations
+UNION ALL SELECT 'C11_row_difference', abs((SELECT count(*) FROM output) - (SELECT count(*) FROM template))
+UNION ALL SELECT 'C11_id_null_or_duplicate', (SELECT count_if(load_id IS NULL) + count(*) - count(DISTINCT load_id)
+  - max(CASE WHEN load_id IS NULL THEN 1 ELSE 0 END) FROM output)
+UNION ALL SELECT 'C11_template_order_changed', (SELECT count(*) FROM output o FULL JOIN template t USING (ordinal)
+  WHERE o.load_id IS DISTINCT FROM t.load_id OR o.load_id IS NULL)
+UNION ALL SELECT 'C13_id_set_mismatch',
+  (SELECT count(*) FROM (SELECT DISTINCT load_id FROM output EXCEPT SELECT DISTINCT load_id FROM validation))
+  + (SELECT count(*) FROM (SELECT DISTINCT load_id FROM validation EXCEPT SELECT DISTINCT load_id FROM output))
+UNION ALL SELECT 'C12_prediction_not_finite_positive', (SELECT count_if(predicted_rate IS NULL OR isnan(predicted_rate)
+  OR isinf(predicted_rate) OR predicted_rate <= 0) FROM output)""")
+def q_prediction_contract(spark, sf):
+    """Score validation (group-median baseline), keep template order, write, re-read, check."""
+    c = context(spark, sf)
+    tmpl = fixture.template(spark, sf)
+    pred = group_median_rpm(c.development, c.validation).select("load_id", F.col("predicted").alias(K.PREDICTION))
+    out = tmpl.select("load_id", "ordinal").join(pred, "load_id", "left").select("load_id", K.PREDICTION, "ordinal")
+    back = write_table(out, output_dir(spark, "validation_predictions"))
+    return C.prediction_contract(back, tmpl, c.validation)
+
+
+_SCEN_PRED_SQL = f"""ftr AS (SELECT {S.norm('equipment')} AS g, posted_rate / distance AS rpm FROM development),
+fgm AS (SELECT g, quantile_cont(rpm, 0.5) AS m FROM ftr GROUP BY g),
+spred AS (SELECT s.*, coalesce(fgm.m, (SELECT quantile_cont(rpm, 0.5) FROM ftr)) * s.distance AS predicted_rate
+          FROM scenario s LEFT JOIN fgm ON s.equipment = fgm.g)"""
+
+
+@register("scenario_contract", S.with_fixture(S.SCENARIO_SQL, _SCEN_PRED_SQL) + """
+SELECT 'C10_columns' AS "check", CAST(0 AS BIGINT) AS violations
+UNION ALL SELECT 'C10_fixed_inputs_changed', 0
+UNION ALL SELECT 'C14_missing_days', (SELECT count(*) FROM generate_series(CAST((SELECT m FROM smonth) AS TIMESTAMP),
+   CAST(last_day((SELECT m FROM smonth)) AS TIMESTAMP), INTERVAL 1 DAY) t(d) WHERE CAST(d AS DATE) NOT IN (SELECT date FROM spred))
+UNION ALL SELECT 'C14_extra_or_duplicate_days', (SELECT count(*) - count(DISTINCT date) FROM spred)
+   + (SELECT count(*) FROM spred WHERE date < (SELECT m FROM smonth) OR date > last_day((SELECT m FROM smonth)))
+UNION ALL SELECT 'C10_prediction_not_finite_positive', (SELECT count_if(predicted_rate IS NULL OR isnan(predicted_rate)
+   OR isinf(predicted_rate) OR predicted_rate <= 0) FROM spred)
+UNION ALL SELECT 'C10_dates_out_of_order', 0""")
+def q_scenario_contract(spark, sf):
+    """C10/C14/M13(baseline): score the scenario grid, check fixed inputs, day grid, order and predictions."""
+    c = context(spark, sf)
+    grid = fixture.scenario(spark, sf)
+    spec = grid.orderBy("date").first()        # the grid's fixed values: one bounded row
+    expected = {k: spec[k] for k in ["pickup", "delivery", "equipment", "distance", "weight"]}
+    expected["month"] = str(spec["date"].replace(day=1))
+    scored = group_median_rpm(c.development, grid).withColumnRenamed("predicted", K.PREDICTION)
+    scored = scored.withColumn("ordinal", F.datediff("date", F.lit(expected["month"]).cast("date")) + 1)
+    return C.scenario_contract(scored.select(*K.SCENARIO_COLUMNS, K.PREDICTION, "ordinal"), expected, ordered=True)
+
+
+def _fp_text(df, cols, types):
+    parts = []
+    for c in cols:
+        if types[c] in ("double", "float"):
+            parts.append(F.coalesce(F.expr(f"try_cast(round({c} * 1000000D) AS BIGINT)").cast("string"), F.lit("~N")))
+        else:
+            parts.append(F.coalesce(F.col(c).cast("string"), F.lit("~N")))
+    return F.concat_ws("|", *parts)
+
+
+def fingerprint(df, name: str):
+    """Order-insensitive table fingerprint: rows, sum of 32-bit row hashes mod 1000003, xor of hashes."""
+    types = dict(df.dtypes)
+    h = F.conv(F.substring(F.md5(_fp_text(df, df.columns, types)), 1, 8), 16, 10).cast("long")
+    return df.select(h.alias("h")).agg(
+        F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows"),
+        F.sum(F.col("h") % 1000003).alias("hash_sum"), F.bit_xor("h").alias("hash_xor"))
+
+
+def _fp_sql(table: str, cols: list[str]) -> str:
+    parts = []
+    for c in cols:
+        if c in _DOUBLE_COLS:
+            parts.append(f"coalesce(CAST(TRY_CAST(round({c} * 1000000E0) AS BIGINT) AS VARCHAR), '~N')")
+        else:
+            parts.append(f"coalesce(CAST({c} AS VARCHAR), '~N')")
+    h = f"CAST(('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8)) AS BIGINT)"
+    return (f"SELECT '{table}' AS \"table\", count(*) AS rows, CAST(sum({h} % 1000003) AS BIGINT) AS hash_sum,"
+            f" bit_xor({h}) AS hash_xor FROM {table}")
+
+
+@register("table_fingerprint", S.with_fixture() + "\n" + " UNION ALL ".join(
+    [_fp_sql("development", _DEV_COLS), _fp_sql("validation", K.LOAD_COLUMNS)]))
+def q_table_fingerprint(spark, sf):
+    """Content fingerprint of each input table (replaces file hashes; order-insensitive)."""
+    c = context(spark, sf)
+    return fingerprint(c.development, "development").unionByName(fingerprint(c.validation, "validation"))

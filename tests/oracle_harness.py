@@ -29,7 +29,7 @@ def _norm_frame(df: pd.DataFrame) -> list[tuple]:
     for rec in df[cols].itertuples(index=False):
         out = []
         for v in rec:
-            if v is None or (isinstance(v, float) and math.isnan(v)):
+            if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
                 out.append("<null>")
             elif isinstance(v, float):
                 out.append(f"{round(v, 5):.5f}")
