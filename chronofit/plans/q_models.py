@@ -1,3 +1,67 @@
-"""Model queries (spark.ml): not SQL-expressible, checked by row counts and invariants."""
+"""Model queries (spark.ml): not SQL-expressible, checked by row counts and invariants.
+
+All run the ``check`` profile (same structure as ``full``, fewer trees) so the
+catalog's check run stays short; ``chronofit.plans.workflow`` takes ``profile="full"``.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.metrics import round_doubles
+from .catalog import register
+from .workflow import workflow
+
+
+@register("feature_screening")
+def q_feature_screening(spark, sf):
+    """7 feature sets x 2 families on the training-only inner split; set selection."""
+    return round_doubles(workflow(spark, sf).screening)
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf):
+    """Outer candidates + baselines on one holdout, ranked and selected."""
+    return round_doubles(workflow(spark, sf).main_board)
+
+
+@register("selection_contracts")
+def q_selection_contracts(spark, sf):
+    """Candidate pool, truthful selection, baselines ineligible."""
+    return workflow(spark, sf).main_contract()
+
+
+@register("permutation_importance")
+def q_permutation_importance(spark, sf):
+    """Holdout MAE increase per shuffled feature of the selected model."""
+    return round_doubles(workflow(spark, sf).importance())
+
+
+@register("model_error_analysis")
+def q_model_error_analysis(spark, sf):
+    """A18 for the selected model: errors by six segment dimensions."""
+    return round_doubles(workflow(spark, sf).error_analysis())
+
+
+@register("temporal_stability")
+def q_temporal_stability(spark, sf):
+    """M9: rolling-origin refits of the selected candidate, one per stability month."""
+    return round_doubles(workflow(spark, sf).stability())
+
+
+@register("scenario_model_comparison")
+def q_scenario_model_comparison(spark, sf):
+    """Reduced-schema feature sets x 2 families for the scenario series."""
+    return round_doubles(workflow(spark, sf).scenario_board)
+
+
+@register("validation_predictions")
+def q_validation_predictions(spark, sf):
+    """Refit the selected model on all labeled rows and score the future table in template order."""
+    return round_doubles(workflow(spark, sf).validation_predictions())
+
+
+@register("scenario_predictions")
+def q_scenario_predictions(spark, sf):
+    """Score the reduced-schema scenario grid with the selected scenario model."""
+    return round_doubles(workflow(spark, sf).scenario_predictions().orderBy("date"))
