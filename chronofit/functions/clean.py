@@ -9,8 +9,11 @@ from pyspark.sql import types as T
 from .. import constants as K
 
 # Title case the way Python's str.title() does it: a new word starts after any
-# non-letter (O'Hare, Fort-Wayne, St.Louis, 3M), unlike initcap (spaces only).
-_WORD_SPLIT = r"([\p{L}]+|[^\p{L}]+)"
+# non-letter (O'Hare, Fort-Wayne, St.Louis, 3M), whereas initcap starts one only after
+# a space.  So: mark every non-letter with MARK + space, initcap, drop the marks.  All
+# built-in expressions (no lambda), so the projection stays in whole-stage codegen.
+_MARK = "\u0001"
+_NON_LETTER = r"([^\p{L} ])"
 # Numeric text accepted by the coercion: decimal / scientific / inf; anything else is NULL.
 _NUMERIC_TEXT = r"^(?i)[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)$"
 
@@ -23,9 +26,8 @@ def normalise_category(col: Column | str) -> Column:
 
 
 def title_case(x: Column) -> Column:
-    parts = F.regexp_extract_all(F.lower(x), F.lit(_WORD_SPLIT), 1)
-    return F.array_join(F.transform(parts, lambda t: F.concat(F.upper(F.substring(t, 1, 1)),
-                                                              F.substring(t, 2, 1 << 30))), "")
+    marked = F.regexp_replace(F.lower(x), _NON_LETTER, "$1" + _MARK + " ")
+    return F.replace(F.initcap(marked), F.lit(_MARK + " "), F.lit(""))
 
 
 def to_double(col: Column | str, dtype: T.DataType | None = None) -> Column:
