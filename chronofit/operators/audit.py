@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from .. import constants as K
 from ..functions.clean import to_date, to_double
 from ..functions.features import at_least, haversine
+from .contracts import one_row
 from .ranking import exact_quantiles
 
 AUDIT_NUMERICS = ["distance", "weight", "market_index", "quote_signal"]
@@ -116,9 +117,9 @@ def target_distribution(development: DataFrame, target: str = K.TARGET) -> DataF
     skew = F.skewness(y) * F.sqrt(n * (n - 1)) / (n - 2)
     base = development.agg(n.alias("count"), F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"),
                            F.min(y).alias("min"), F.max(y).alias("max"), skew.alias("skew"))
-    q = exact_quantiles(development, [], target, [0.05, 0.5, 0.95, 0.99], ["p05", "median", "p95", "p99"])
+    q = one_row(exact_quantiles(development, [], target, [0.05, 0.5, 0.95, 0.99], ["p05", "median", "p95", "p99"]))
     return base.select("count", "mean", "std", "min",
-                       *[q.select(c).scalar().alias(c) for c in ["p05", "median", "p95", "p99"]],
+                       *[q.getField(c).alias(c) for c in ["p05", "median", "p95", "p99"]],
                        "max", "skew")
 
 
@@ -136,8 +137,8 @@ def target_histogram(development: DataFrame, target: str = K.TARGET, bins: int =
     """Equal-width histogram of the target capped at its 99.5th percentile."""
     cap = exact_quantiles(development, [], target, [cap_q], ["cap"]).select("cap").scalar()
     capped = development.select(F.least(F.col(target), cap).alias("x"))
-    rng = capped.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    lo, hi = rng.select("lo").scalar(), rng.select("hi").scalar()
+    rng = one_row(capped.agg(F.min("x").alias("lo"), F.max("x").alias("hi")))
+    lo, hi = rng.getField("lo"), rng.getField("hi")
     width = (hi - lo) / bins
     b = F.when(width > 0, F.least(F.floor((F.col("x") - lo) / width), F.lit(bins - 1))).otherwise(F.lit(0))
     return (capped.select(b.cast("int").alias("bin"), lo.alias("lo"), width.alias("w"))
@@ -155,13 +156,13 @@ def route_stats(development: DataFrame, validation: DataFrame, rare_threshold: i
     val = validation.select(route(validation).alias("route")).groupBy("route").agg(F.count(F.lit(1)).alias("vn"))
     joined = val.join(dev, "route", "left")
     n = F.coalesce(F.col("n"), F.lit(0))
-    v = joined.agg(F.coalesce(F.sum(F.when(n == 0, F.col("vn"))), F.lit(0)).cast("long").alias("u"),
+    v = one_row(joined.agg(F.coalesce(F.sum(F.when(n == 0, F.col("vn"))), F.lit(0)).cast("long").alias("u"),
                    F.coalesce(F.sum(F.when(n.between(1, rare_threshold - 1), F.col("vn"))), F.lit(0))
-                   .cast("long").alias("r"))
+                   .cast("long").alias("r")))
     return dev.agg(F.count(F.lit(1)).alias("development_unique"),
                    F.count_if(F.col("n") < 5).alias("frequency_below_5")).select(
-        "development_unique", "frequency_below_5", v.select("u").scalar().alias("validation_unseen_rows"),
-        v.select("r").scalar().alias("validation_rare_seen_rows"))
+        "development_unique", "frequency_below_5", v.getField("u").alias("validation_unseen_rows"),
+        v.getField("r").alias("validation_rare_seen_rows"))
 
 
 def data_audit(development: DataFrame, validation: DataFrame, scenario: DataFrame,
@@ -185,7 +186,7 @@ def data_audit(development: DataFrame, validation: DataFrame, scenario: DataFram
     def dup_rows(df):
         return df.agg(F.count(F.lit(1))).scalar() - df.distinct().agg(F.count(F.lit(1))).scalar()
 
-    d, v = side(development), side(validation)
+    d, v = one_row(side(development)), one_row(side(validation))
     plat, dlat = F.col("pickup_lat"), F.col("delivery_lat")
     plon, dlon = F.col("pickup_lon"), F.col("delivery_lon")
     bad_lat = ~(F.coalesce(plat.between(-90, 90), F.lit(False)) & F.coalesce(dlat.between(-90, 90), F.lit(False)))
@@ -194,34 +195,34 @@ def data_audit(development: DataFrame, validation: DataFrame, scenario: DataFram
                              haversine(plat, plon, dlat, dlon).alias("hav"), bad_lat.alias("bl"), bad_lon.alias("bo"))
     ratio = geo.select((F.col("distance") / at_least(F.col("hav"), 1.0)).alias("r"))
     med_ratio = exact_quantiles(ratio, [], "r", [0.5], ["m"]).select("m").scalar()
-    g = geo.agg(F.count_if("bl").alias("bl"), F.count_if("bo").alias("bo"), F.corr("distance", "hav").alias("c"))
-    cities = development.agg(F.count_distinct("pickup").alias("p"), F.count_distinct("delivery").alias("q"))
+    g = one_row(geo.agg(F.count_if("bl").alias("bl"), F.count_if("bo").alias("bo"), F.corr("distance", "hav").alias("c")))
+    cities = one_row(development.agg(F.count_distinct("pickup").alias("p"), F.count_distinct("delivery").alias("q")))
     return development.sparkSession.range(1).select(
-        d.select("rows").scalar().alias("development_rows"),
+        d.getField("rows").alias("development_rows"),
         F.lit(len(development.columns)).alias("development_columns"),
-        v.select("rows").scalar().alias("validation_rows"),
+        v.getField("rows").alias("validation_rows"),
         F.lit(len(validation.columns)).alias("validation_columns"),
         scenario.agg(F.count(F.lit(1))).scalar().alias("scenario_rows"),
         F.lit(len(scenario.columns)).alias("scenario_columns"),
         F.lit(target).alias("target"),
-        d.select("d0").scalar().alias("development_date_start"),
-        d.select("d1").scalar().alias("development_date_end"),
-        v.select("d0").scalar().alias("validation_date_start"),
-        v.select("d1").scalar().alias("validation_date_end"),
-        (v.select("d0").scalar() > d.select("d1").scalar()).alias("validation_strictly_later"),
-        cities.select("p").scalar().alias("unique_pickup_cities"),
-        cities.select("q").scalar().alias("unique_delivery_cities"),
+        d.getField("d0").alias("development_date_start"),
+        d.getField("d1").alias("development_date_end"),
+        v.getField("d0").alias("validation_date_start"),
+        v.getField("d1").alias("validation_date_end"),
+        (v.getField("d0") > d.getField("d1")).alias("validation_strictly_later"),
+        cities.getField("p").alias("unique_pickup_cities"),
+        cities.getField("q").alias("unique_delivery_cities"),
         dup_rows(development).alias("duplicate_rows_development"),
         dup_rows(validation).alias("duplicate_rows_validation"),
-        d.select("dup_ids").scalar().alias("duplicate_ids_development"),
-        v.select("dup_ids").scalar().alias("duplicate_ids_validation"),
-        d.select("bad_dates").scalar().alias("invalid_dates_development"),
-        v.select("bad_dates").scalar().alias("invalid_dates_validation"),
-        d.select("neg_w").scalar().alias("negative_weight_rows_development"),
-        v.select("neg_w").scalar().alias("negative_weight_rows_validation"),
-        g.select("bl").scalar().alias("invalid_latitude_rows"),
-        g.select("bo").scalar().alias("invalid_longitude_rows"),
-        g.select("c").scalar().alias("distance_haversine_correlation"),
+        d.getField("dup_ids").alias("duplicate_ids_development"),
+        v.getField("dup_ids").alias("duplicate_ids_validation"),
+        d.getField("bad_dates").alias("invalid_dates_development"),
+        v.getField("bad_dates").alias("invalid_dates_validation"),
+        d.getField("neg_w").alias("negative_weight_rows_development"),
+        v.getField("neg_w").alias("negative_weight_rows_validation"),
+        g.getField("bl").alias("invalid_latitude_rows"),
+        g.getField("bo").alias("invalid_longitude_rows"),
+        g.getField("c").alias("distance_haversine_correlation"),
         med_ratio.alias("median_distance_haversine_ratio"),
     )
 

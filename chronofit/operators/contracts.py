@@ -1,8 +1,10 @@
 """Contracts (C1-C25, U5): predicates over tables returned as (check, violations) rows.
 
-Each check is a conditional count computed by Spark (one-row aggregates, anti joins
-for set differences), so a strict caller can ``enforce`` the table and a report can
-keep it.  Metadata checks (column lists and order) are evaluated on the schema.
+Every table involved is aggregated ONCE (one pass computing all its conditional
+counts, exposed as a struct-valued scalar subquery that Spark evaluates once and
+reuses); the checks form one wide row that ``unpivot`` turns into (check, violations).
+Set differences are one full outer join of distinct keys.  Metadata checks (column
+lists and order) are evaluated on the schema.  ``enforce`` is the strict mode.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions.clean import to_date, to_double
@@ -18,9 +21,16 @@ from ..functions.clean import to_date, to_double
 REQUIRED_COLUMNS = K.LOAD_COLUMNS
 
 
-def _row(spark: SparkSession, name: str, violations: Column | int) -> DataFrame:
-    v = violations if isinstance(violations, Column) else F.lit(int(violations))
-    return spark.range(1).select(F.lit(name).alias("check"), v.cast("long").alias("violations"))
+def one_row(df: DataFrame) -> Column:
+    """A one-row aggregate as a struct scalar subquery (computed once, fields reused)."""
+    return df.select(F.struct(*df.columns).alias("s")).scalar()
+
+
+def checks_table(spark: SparkSession, checks: dict[str, Column | int]) -> DataFrame:
+    """One wide row of violation counts -> (check, violations) rows, in the given order."""
+    cols = [(v if isinstance(v, Column) else F.lit(int(v))).cast("long").alias(k) for k, v in checks.items()]
+    wide = spark.range(1).select(*cols)
+    return wide.unpivot([], list(checks), "check", "violations")
 
 
 def union_checks(rows: Sequence[DataFrame]) -> DataFrame:
@@ -38,76 +48,72 @@ def enforce(checks: DataFrame) -> DataFrame:
     return checks
 
 
-def id_violations(df: DataFrame, id_col: str = K.ID) -> Column:
-    """NULL ids plus ids beyond the first occurrence."""
-    has_null = F.max(F.col(id_col).isNull().cast("int"))
-    return df.agg((F.count_if(F.col(id_col).isNull()) + F.count(F.lit(1)) - F.count_distinct(id_col)
-                   - has_null).alias("v")).scalar()
+def _text_type(df: DataFrame, col: str):
+    return T.StringType() if dict(df.dtypes)[col] == "string" else None
+
+
+def bad_positive(x: Column) -> Column:
+    """Missing, non-numeric, NaN, infinite or <= 0."""
+    return x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))) | (x <= 0)
+
+
+def table_stats(df: DataFrame, id_col: str | None = K.ID, date_col: str | None = "date",
+                positive_col: str | None = None) -> Column:
+    """One pass: rows, NULL/duplicate ids, unparsable dates, non-positive values."""
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    if id_col:
+        has_null = F.max(F.col(id_col).isNull().cast("int"))
+        aggs.append((F.count_if(F.col(id_col).isNull()) + F.count(F.lit(1)) - F.count_distinct(id_col)
+                     - has_null).alias("bad_ids"))
+    if date_col:
+        aggs.append(F.count_if(to_date(date_col, _text_type(df, date_col)).isNull()).alias("bad_dates"))
+    if positive_col:
+        aggs.append(F.count_if(bad_positive(to_double(positive_col, _text_type(df, positive_col))))
+                    .alias("bad_values"))
+    return one_row(df.agg(*aggs))
 
 
 def set_difference_count(left: DataFrame, right: DataFrame, key: str = K.ID) -> Column:
-    """|left - right| + |right - left| on distinct keys (two anti joins)."""
-    a = left.select(key).distinct()
-    b = right.select(key).distinct()
-    return (a.join(b, key, "left_anti").agg(F.count(F.lit(1))).scalar()
-            + b.join(a, key, "left_anti").agg(F.count(F.lit(1))).scalar())
+    """|left - right| + |right - left| over distinct keys, one full outer join."""
+    a = left.select(key).distinct().withColumn("__l", F.lit(1))
+    b = right.select(key).distinct().withColumn("__r", F.lit(1))
+    return a.join(b, key, "full_outer").agg(
+        F.count_if(F.col("__l").isNull() | F.col("__r").isNull())).scalar()
 
 
 def input_contracts(development: DataFrame, validation: DataFrame, template: DataFrame,
                     target: str | None = None) -> DataFrame:
     """C1-C9 over the labeled table, the future table and the output template."""
-    spark = development.sparkSession
     extra = [c for c in development.columns if c not in validation.columns]
     tgt = target or (extra[0] if len(extra) == 1 else K.TARGET)
-    dtypes = dict(development.dtypes)
-    rows = [
-        _row(spark, "C1_single_target_column", 0 if len(extra) == 1 else 1),
-        _row(spark, "C2_required_columns_missing",
-             len([c for c in REQUIRED_COLUMNS if c not in development.columns])
-             + len([c for c in REQUIRED_COLUMNS if c not in validation.columns])),
-        _row(spark, "C3_feature_schema_mismatch",
-             0 if set(development.columns) - {tgt} == set(validation.columns) else 1),
-        _row(spark, "C4_template_columns", 0 if [c for c in template.columns if c != "ordinal"]
-             == [K.ID, K.PREDICTION] else 1),
-        _row(spark, "C5_template_row_difference",
-             F.abs(template.agg(F.count(F.lit(1))).scalar() - validation.agg(F.count(F.lit(1))).scalar())),
-        _row(spark, "C6_template_id_mismatch", set_difference_count(template, validation)),
-        _row(spark, "C7_development_id_null_or_duplicate", id_violations(development)),
-        _row(spark, "C7_validation_id_null_or_duplicate", id_violations(validation)),
-        _row(spark, "C8_development_invalid_dates",
-             development.agg(F.count_if(to_date("date", _t(dtypes["date"])).isNull())).scalar()),
-        _row(spark, "C8_validation_invalid_dates",
-             validation.agg(F.count_if(to_date("date", _t(dict(validation.dtypes)["date"])).isNull())).scalar()),
-        _row(spark, "C9_target_invalid", development.agg(F.count_if(_bad_positive(
-            to_double(tgt, _t(dtypes[tgt])), F.col(tgt)))).scalar()),
-    ]
-    return union_checks(rows)
-
-
-def _t(name: str):
-    from pyspark.sql import types as T
-    return T.StringType() if name == "string" else None
-
-
-def _bad_positive(x: Column, raw: Column | None = None) -> Column:
-    """Missing, non-numeric, NaN, infinite or <= 0."""
-    inf = F.lit(float("inf"))
-    return x.isNull() | F.isnan(x) | (F.abs(x) == inf) | (x <= 0)
+    d = table_stats(development, positive_col=tgt)
+    v = table_stats(validation)
+    t = table_stats(template, date_col=None)
+    return checks_table(development.sparkSession, {
+        "C1_single_target_column": 0 if len(extra) == 1 else 1,
+        "C2_required_columns_missing": len([c for c in REQUIRED_COLUMNS if c not in development.columns])
+        + len([c for c in REQUIRED_COLUMNS if c not in validation.columns]),
+        "C3_feature_schema_mismatch": 0 if set(development.columns) - {tgt} == set(validation.columns) else 1,
+        "C4_template_columns": 0 if [c for c in template.columns if c != "ordinal"] == [K.ID, K.PREDICTION] else 1,
+        "C5_template_row_difference": F.abs(t.getField("rows") - v.getField("rows")),
+        "C6_template_id_mismatch": set_difference_count(template, validation),
+        "C7_development_id_null_or_duplicate": d.getField("bad_ids"),
+        "C7_validation_id_null_or_duplicate": v.getField("bad_ids"),
+        "C8_development_invalid_dates": d.getField("bad_dates"),
+        "C8_validation_invalid_dates": v.getField("bad_dates"),
+        "C9_target_invalid": d.getField("bad_values"),
+    })
 
 
 def split_contracts(outer_training: DataFrame, holdout: DataFrame, inner_training: DataFrame,
                     inner_validation: DataFrame, min_rows: int = K.MIN_SPLIT_ROWS) -> DataFrame:
     """C17 (inner validation ends before the holdout starts) and C22 (minimum part sizes)."""
-    spark = outer_training.sparkSession
-    small = F.lit(0)
-    for part in [outer_training, holdout, inner_training, inner_validation]:
-        small = small + (part.agg(F.count(F.lit(1))).scalar() < min_rows).cast("int")
-    return union_checks([
-        _row(spark, "C17_inner_overlaps_holdout",
-             F.coalesce((inner_validation.agg(F.max("date")).scalar() >= holdout.agg(F.min("date")).scalar())
-                        .cast("int"), F.lit(0))),
-        _row(spark, "C22_parts_below_minimum", small),
-    ])
+    parts = [one_row(p.agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("d0"), F.max("date").alias("d1")))
+             for p in [outer_training, holdout, inner_training, inner_validation]]
+    small = sum(((p.getField("n") < min_rows).cast("int") for p in parts), F.lit(0))
+    overlap = F.coalesce((parts[3].getField("d1") >= parts[1].getField("d0")).cast("int"), F.lit(0))
+    return checks_table(outer_training.sparkSession, {
+        "C17_inner_overlaps_holdout": overlap, "C22_parts_below_minimum": small})
 
 
 def prediction_contract(output: DataFrame, template: DataFrame, validation: DataFrame) -> DataFrame:
@@ -116,22 +122,20 @@ def prediction_contract(output: DataFrame, template: DataFrame, validation: Data
     ``output`` carries ``ordinal`` (row order is not a table property); order is kept when
     the id at each ordinal equals the template's id at that ordinal.
     """
-    spark = output.sparkSession
     cols = [c for c in output.columns if c != "ordinal"]
-    o = output.select(F.col(K.ID).alias("oid"), "ordinal")
-    t = template.select(F.col(K.ID).alias("tid"), "ordinal")
-    moved = o.join(t, "ordinal", "full_outer").agg(
-        F.count_if(~F.coalesce(F.col("oid") == F.col("tid"), F.lit(False)))).scalar()
-    return union_checks([
-        _row(spark, "C11_columns", 0 if cols == [K.ID, K.PREDICTION] else 1),
-        _row(spark, "C11_row_difference",
-             F.abs(output.agg(F.count(F.lit(1))).scalar() - template.agg(F.count(F.lit(1))).scalar())),
-        _row(spark, "C11_id_null_or_duplicate", id_violations(output)),
-        _row(spark, "C11_template_order_changed", moved),
-        _row(spark, "C13_id_set_mismatch", set_difference_count(output, validation)),
-        _row(spark, "C12_prediction_not_finite_positive",
-             output.agg(F.count_if(_bad_positive(F.col(K.PREDICTION)))).scalar()),
-    ])
+    o = table_stats(output, date_col=None, positive_col=K.PREDICTION)
+    t = table_stats(template, date_col=None)
+    moved = (output.select(F.col(K.ID).alias("oid"), "ordinal")
+             .join(template.select(F.col(K.ID).alias("tid"), "ordinal"), "ordinal", "full_outer")
+             .agg(F.count_if(~F.coalesce(F.col("oid") == F.col("tid"), F.lit(False)))).scalar())
+    return checks_table(output.sparkSession, {
+        "C11_columns": 0 if cols == [K.ID, K.PREDICTION] else 1,
+        "C11_row_difference": F.abs(o.getField("rows") - t.getField("rows")),
+        "C11_id_null_or_duplicate": o.getField("bad_ids"),
+        "C11_template_order_changed": moved,
+        "C13_id_set_mismatch": set_difference_count(output, validation),
+        "C12_prediction_not_finite_positive": o.getField("bad_values"),
+    })
 
 
 def scenario_contract(scenario: DataFrame, expected: dict, ordered: bool = False,
@@ -145,29 +149,31 @@ def scenario_contract(scenario: DataFrame, expected: dict, ordered: bool = False
     spark = scenario.sparkSession
     month = F.lit(expected["month"]).cast("date")
     days = spark.range(1).select(F.explode(F.sequence(month, F.last_day(month), F.expr("INTERVAL 1 DAY")))
-                                 .alias("date"))
-    d = scenario.select(F.col("date").cast("date").alias("date"))
+                                 .alias("date")).withColumn("__g", F.lit(1))
+    d = scenario.select(F.col("date").cast("date").alias("date")).withColumn("__s", F.lit(1))
 
     def close(c: str) -> Column:
         b = F.lit(float(expected[c]))
-        return F.abs(to_double(c) - b) <= atol + rtol * F.abs(b)
-
-    fixed = scenario.agg(
-        F.count_if(F.col("pickup") != expected["pickup"]) + F.count_if(F.col("delivery") != expected["delivery"])
-        + F.count_if(F.col("equipment") != expected["equipment"]) + F.count_if(~F.coalesce(close("distance"), F.lit(False)))
-        + F.count_if(~F.coalesce(close("weight"), F.lit(False)))).scalar()
-    rows = [
-        _row(spark, "C10_columns", 0 if [c for c in scenario.columns if c != "ordinal"] == list(columns) else 1),
-        _row(spark, "C10_fixed_inputs_changed", fixed),
-        _row(spark, "C14_missing_days", days.join(d, "date", "left_anti").agg(F.count(F.lit(1))).scalar()),
-        _row(spark, "C14_extra_or_duplicate_days",
-             d.agg(F.count(F.lit(1)) - F.count_distinct("date")).scalar()
-             + d.join(days, "date", "left_anti").agg(F.count(F.lit(1))).scalar()),
-        _row(spark, "C10_prediction_not_finite_positive",
-             scenario.agg(F.count_if(_bad_positive(to_double(K.PREDICTION)))).scalar()),
-    ]
+        return F.coalesce(F.abs(to_double(c) - b) <= atol + rtol * F.abs(b), F.lit(False))
+
+    aggs = [F.count(F.lit(1)).alias("rows"), F.count_distinct("date").alias("days"),
+            (F.count_if(F.col("pickup") != expected["pickup"]) + F.count_if(F.col("delivery") != expected["delivery"])
+             + F.count_if(F.col("equipment") != expected["equipment"]) + F.count_if(~close("distance"))
+             + F.count_if(~close("weight"))).alias("fixed"),
+            F.count_if(bad_positive(to_double(K.PREDICTION))).alias("bad_pred")]
+    if ordered:
+        aggs.append(F.count_if(F.col("ordinal") != F.datediff(F.col("date").cast("date"), month) + 1)
+                    .alias("moved"))
+    s = one_row(scenario.agg(*aggs))
+    grid = one_row(days.join(d.groupBy("date").agg(F.sum("__s").alias("__s")), "date", "full_outer").agg(
+        F.count_if(F.col("__s").isNull()).alias("missing"), F.count_if(F.col("__g").isNull()).alias("extra")))
+    checks = {
+        "C10_columns": 0 if [c for c in scenario.columns if c != "ordinal"] == list(columns) else 1,
+        "C10_fixed_inputs_changed": s.getField("fixed"),
+        "C14_missing_days": grid.getField("missing"),
+        "C14_extra_or_duplicate_days": s.getField("rows") - s.getField("days") + grid.getField("extra"),
+        "C10_prediction_not_finite_positive": s.getField("bad_pred"),
+    }
     if ordered:
-        pos = scenario.select(F.col("ordinal"), F.datediff(F.col("date").cast("date"), month).alias("k"))
-        rows.append(_row(spark, "C10_dates_out_of_order",
-                         pos.agg(F.count_if(F.col("ordinal") != F.col("k") + 1)).scalar()))
-    return union_checks(rows)
+        checks["C10_dates_out_of_order"] = s.getField("moved")
+    return checks_table(spark, checks)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.clean import parse_boolean
 from ..functions.metrics import regression_aggs
-from .contracts import _row, union_checks
+from .contracts import checks_table, one_row
 
 
 def leaderboard(long: DataFrame, scope: Sequence[str] = (), meta: Sequence[str] = (
@@ -69,28 +69,28 @@ def selection_contract(board: DataFrame, scope: Sequence[str] = (), expected: di
         F.min(F.when(F.col("el"), F.col("mae"))).alias("min_el"),
         F.max(F.when(F.col("se"), F.col("mae"))).alias("sel_mae"))
     gap = F.abs(F.col("sel_mae") - F.col("min_el")) > tol + tol * F.abs(F.col("min_el"))
-    totals = per.agg(
-        F.sum("bad_bool").alias("bad_bool"), F.count_if(F.col("n_el") == 0).alias("no_el"),
-        F.sum("el_not_finite").alias("el_not_finite"), F.sum("dup_names").alias("dup_names"),
-        F.count_if(F.col("n_sel") != 1).alias("not_one_sel"), F.sum("sel_not_el").alias("sel_not_el"),
-        F.count_if(F.coalesce(gap, F.lit(True))).alias("not_min"))
-    rows = [_row(spark, f"C19_{name}", F.coalesce(totals.select(name).scalar(), F.lit(0)))
-            for name in ["bad_bool", "no_el", "el_not_finite", "dup_names", "not_one_sel", "sel_not_el", "not_min"]]
+    names = ["bad_bool", "no_el", "el_not_finite", "dup_names", "not_one_sel", "sel_not_el", "not_min"]
+    totals = one_row(per.agg(
+        F.coalesce(F.sum("bad_bool"), F.lit(0)).alias("bad_bool"), F.count_if(F.col("n_el") == 0).alias("no_el"),
+        F.coalesce(F.sum("el_not_finite"), F.lit(0)).alias("el_not_finite"),
+        F.coalesce(F.sum("dup_names"), F.lit(0)).alias("dup_names"),
+        F.count_if(F.col("n_sel") != 1).alias("not_one_sel"),
+        F.coalesce(F.sum("sel_not_el"), F.lit(0)).alias("sel_not_el"),
+        F.count_if(F.coalesce(gap, F.lit(True))).alias("not_min")))
+    checks = {f"C19_{n}": totals.getField(n) for n in names}
     if baselines:
         bl = b.where(F.col("model").isin(*baselines))
-        rows.append(_row(spark, "C23_baseline_eligible_or_selected",
-                         bl.agg(F.count_if(F.coalesce(F.col("el"), F.lit(True)) | F.coalesce(F.col("se"), F.lit(True))))
-                         .scalar()))
-        rows.append(_row(spark, "C23_baseline_count",
-                         bl.groupBy(*scope).agg(F.count(F.lit(1)).alias("n"))
-                         .agg(F.count_if(F.col("n") != len(baselines))).scalar()))
+        checks["C23_baseline_eligible_or_selected"] = bl.agg(F.count_if(
+            F.coalesce(F.col("el"), F.lit(True)) | F.coalesce(F.col("se"), F.lit(True)))).scalar()
+        checks["C23_baseline_count"] = (bl.groupBy(*scope).agg(F.count(F.lit(1)).alias("n"))
+                                        .agg(F.count_if(F.col("n") != len(baselines))).scalar())
     if expected is not None:
-        exp = spark.createDataFrame(sorted(expected.items()), "model string, model_family string")
-        got = b.where(F.col("el")).select("model", "model_family").distinct()
-        rows.append(_row(spark, "C18_pool_mismatch",
-                         exp.join(got, ["model", "model_family"], "left_anti").agg(F.count(F.lit(1))).scalar()
-                         + got.join(exp, ["model", "model_family"], "left_anti").agg(F.count(F.lit(1))).scalar()))
-    return union_checks(rows)
+        exp = spark.createDataFrame(sorted(expected.items()), "model string, model_family string") \
+            .withColumn("__e", F.lit(1))
+        got = b.where(F.col("el")).select("model", "model_family").distinct().withColumn("__g", F.lit(1))
+        checks["C18_pool_mismatch"] = exp.join(got, ["model", "model_family"], "full_outer").agg(
+            F.count_if(F.col("__e").isNull() | F.col("__g").isNull())).scalar()
+    return checks_table(spark, checks)
 
 
 def screening_table(board: DataFrame, basic: str = "basic_supplied", tol: float = K.SELECTION_TOLERANCE) -> DataFrame:

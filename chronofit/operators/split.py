@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.clean import to_date
+from .contracts import one_row
 
 
 @dataclass(frozen=True)
@@ -118,14 +119,15 @@ def split_report(development: DataFrame, plan: SplitPlan, date_col: str = "date"
     h2 = (h.join(cities.withColumnRenamed("city", "p").withColumn("__p", F.lit(1)), "p", "left")
           .join(cities.withColumnRenamed("city", "q").withColumn("__q", F.lit(1)), "q", "left"))
     unseen_city = h2.agg(F.count_if(F.col("__p").isNull() | F.col("__q").isNull())).scalar()
-    t = train.agg(F.min(d).alias("s"), F.max(d).alias("e"), F.count(F.lit(1)).alias("n"))
+    # (the holdout aggregate below and these subqueries each scan the holdout once)
+    t = one_row(train.agg(F.min(d).alias("s"), F.max(d).alias("e"), F.count(F.lit(1)).alias("n")))
     return hold.agg(
         F.min(d).alias("holdout_date_start"), F.max(d).alias("holdout_date_end"),
         F.count(F.lit(1)).alias("holdout_rows")).select(
         F.lit(plan.label).alias("split"), F.lit(str(plan.cutoff)).cast("date").alias("cutoff"),
         F.lit(plan.horizon_days).alias("horizon_days"),
-        t.select("s").scalar().alias("training_date_start"),
-        t.select("e").scalar().alias("training_date_end"),
-        t.select("n").scalar().alias("training_rows"),
+        t.getField("s").alias("training_date_start"),
+        t.getField("e").alias("training_date_end"),
+        t.getField("n").alias("training_rows"),
         "holdout_date_start", "holdout_date_end", "holdout_rows",
         unseen_route.alias("holdout_unseen_route_rows"), unseen_city.alias("holdout_unseen_city_rows"))
