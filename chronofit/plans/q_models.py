@@ -65,3 +65,25 @@ def q_validation_predictions(spark, sf):
 def q_scenario_predictions(spark, sf):
     """Score the reduced-schema scenario grid with the selected scenario model."""
     return round_doubles(workflow(spark, sf).scenario_predictions().orderBy("date"))
+
+
+@register("streaming_scoring")
+def q_streaming_scoring(spark, sf):
+    """M12 on Structured Streaming: future rows arrive as files and are scored by the same fitted
+    transform + model with trigger(availableNow); each row carries its batch prediction for parity."""
+    from .. import constants as K
+    from ..operators import features as FE
+    from ..operators import models as M
+    from ..sources.sinks import output_dir
+    from ..streaming.scoring import run_available_now, score_stream
+    from .context import context, fitted_state
+    c = context(spark, sf)
+    state = fitted_state(spark, sf, "development")
+    cols = K.COMMON_FEATURE_SETS["basic_plus_route"]
+    train = FE.transform(state, c.development, cols, keep=["load_id", K.TARGET])
+    model = M.fit(train, cols, M.PROFILES["check"]["gbt_compact"], "stream_model", feature_set="basic_plus_route")
+    src = output_dir(spark, "stream_source")
+    c.validation.repartition(4).write.parquet(src)
+    streamed = run_available_now(spark, src, c.validation.schema, state, model)
+    batch = score_stream(c.validation, state, model).withColumnRenamed(K.PREDICTION, "batch_predicted_rate")
+    return round_doubles(streamed.join(batch, "load_id", "full_outer"))
