@@ -61,12 +61,17 @@ def numeric_summary(tables: dict[str, DataFrame], cols: Sequence[str] = AUDIT_NU
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
+    return numeric_summary_long(long)
+
+
+def numeric_summary_long(long: DataFrame) -> DataFrame:
+    """A2 over a long table (dataset, column, v = summarised value, raw = value as given)."""
     base = long.groupBy("dataset", "column").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.min("v").alias("min"), F.max("v").alias("max"),
         F.count_if(F.col("raw").isNull()).alias("missing"), F.count_if(F.col("raw") <= 0).alias("non_positive"))
     q = exact_quantiles(long, ["dataset", "column"], "v", [0.5, 0.95], ["median", "p95"])
-    return base.join(F.broadcast(q), ["dataset", "column"], "left").select(
+    return base.join(q, ["dataset", "column"], "left").select(
         "dataset", "column", "count", "mean", "std", "min", "median", "p95", "max", "missing", "non_positive")
 
 
@@ -123,9 +128,9 @@ def target_distribution(development: DataFrame, target: str = K.TARGET) -> DataF
                        "max", "skew")
 
 
-def monthly_target(development: DataFrame, target: str = K.TARGET) -> DataFrame:
+def monthly_target(development: DataFrame, target: str = K.TARGET, date_col: str = "date") -> DataFrame:
     """Mean and median of the target per month (YYYY-MM)."""
-    m = development.select(F.date_format(to_date("date", development.schema["date"].dataType), "yyyy-MM")
+    m = development.select(F.date_format(to_date(date_col, development.schema[date_col].dataType), "yyyy-MM")
                            .alias("month"), F.col(target).alias("y"))
     mean = m.groupBy("month").agg(F.avg("y").alias("mean"))
     med = exact_quantiles(m, ["month"], "y", [0.5], ["median"])

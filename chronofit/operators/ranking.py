@@ -87,15 +87,18 @@ def _hot_keys(df: DataFrame, group_cols: Sequence[str], limit: int,
 
 def rank_within_groups(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                        rank_col: str = "rank", hot_limit: int | None = None,
-                       seed: int = 42) -> DataFrame:
+                       seed: int = 42, detect_on: DataFrame | None = None) -> DataFrame:
     """Add ``rank_col`` = row_number() within each group in ``order_cols`` order (1-based).
 
     Rows that tie on every order column get distinct, arbitrary numbers, exactly like
     ``row_number``; callers that need a unique answer order by all columns.
+    ``detect_on`` (same group keys, same group sizes) lets the hot-group check scan a
+    cheaper table than ``df``, e.g. the base table of a 1:1 join.
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     limit = hot_group_rows(df, hot_limit)
-    hot, n_hot = _hot_keys(df, group_cols, limit, exact=hot_limit is not None)
+    probe = (detect_on if detect_on is not None else df).select(*group_cols)
+    hot, n_hot = _hot_keys(probe, group_cols, limit, exact=hot_limit is not None)
     window = Window.partitionBy(*group_cols).orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
     if n_hot == 0:
         return df.withColumn(rank_col, F.row_number().over(window))

@@ -105,3 +105,62 @@ def screening_table(board: DataFrame, basic: str = "basic_supplied", tol: float
     return (wide.withColumn("improvement_over_basic_selection_score", base - F.col("selection_score_mean_mae"))
             .withColumn("rank", F.row_number().over(w))
             .withColumn("selected_for_outer_comparison", F.col("rank") == 1))
+
+
+def screening_contract(table: DataFrame, sets: Sequence[str], families: Sequence[str],
+                       tol: float = K.SELECTION_TOLERANCE) -> DataFrame:
+    """One row per feature set, finite family MAEs, score = mean of families, one selected."""
+    spark = table.sparkSession
+    fam = [F.col(f"`{f}`") for f in families]
+    mean = sum(fam) / F.lit(float(len(families)))
+    finite = F.lit(True)
+    for c in fam:
+        finite = finite & c.isNotNull() & ~F.isnan(c)
+    s = one_row(table.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("feature_set").alias("sets"),
+        F.count_if(~finite).alias("not_finite"),
+        F.count_if(~F.coalesce(F.abs(F.col("selection_score_mean_mae") - mean) <= tol, F.lit(False))).alias("bad_score"),
+        F.count_if("selected_for_outer_comparison").alias("n_sel")))
+    exp = spark.createDataFrame([(x,) for x in sets], "feature_set string").withColumn("__e", F.lit(1))
+    got = table.select("feature_set").distinct().withColumn("__g", F.lit(1))
+    mismatch = exp.join(got, "feature_set", "full_outer").agg(
+        F.count_if(F.col("__e").isNull() | F.col("__g").isNull())).scalar()
+    return checks_table(spark, {
+        "C21_duplicate_sets": s.getField("rows") - s.getField("sets"),
+        "C21_set_mismatch": mismatch,
+        "C21_metrics_not_finite": s.getField("not_finite"),
+        "C21_score_not_family_mean": s.getField("bad_score"),
+        "C21_not_one_selected": F.abs(s.getField("n_sel") - 1),
+    })
+
+
+def reconcile_summary(board: DataFrame, summary: DataFrame, expected: dict[str, str],
+                      baselines: Sequence[str], tol: float = K.SELECTION_TOLERANCE) -> DataFrame:
+    """C20: a stored leaderboard agrees with a stored run summary (both re-read from disk).
+
+    ``summary`` has one row with a ``selection`` struct (model, family, feature_set, mae).
+    """
+    spark = board.sparkSession
+    sel = one_row(summary.select("selection.*"))
+    b = board.select("model", "model_family", "feature_set", "mae", parse_boolean("eligible").alias("el"),
+                     parse_boolean("selected").alias("se"))
+    row = one_row(b.agg(
+        F.count_if(F.col("se") & (F.col("model") != sel.getField("model"))).alias("other_selected"),
+        F.count_if((F.col("model") == sel.getField("model")) & ((F.col("model_family") != sel.getField("family"))
+                   | (F.col("feature_set") != sel.getField("feature_set")))).alias("identity"),
+        F.count_if((F.col("model") == sel.getField("model"))
+                   & (F.abs(F.col("mae") - sel.getField("mae")) > tol)).alias("mae_text"),
+        F.min(F.when(F.col("el"), F.col("mae"))).alias("min_el"),
+        F.count_if(F.col("model").isin(*baselines) & (F.col("el") | F.col("se"))).alias("baseline_flags")))
+    exp = spark.createDataFrame(sorted(expected.items()), "model string, model_family string").withColumn("__e", F.lit(1))
+    got = b.where("el").select("model", "model_family").withColumn("__g", F.lit(1))
+    pool = exp.join(got, ["model", "model_family"], "full_outer").agg(
+        F.count_if(F.col("__e").isNull() | F.col("__g").isNull())).scalar()
+    return checks_table(spark, {
+        "C20_other_model_selected": row.getField("other_selected"),
+        "C20_selection_identity_mismatch": row.getField("identity"),
+        "C20_selected_mae_mismatch": row.getField("mae_text"),
+        "C20_selected_not_minimum": (F.abs(sel.getField("mae") - row.getField("min_el")) > tol).cast("int"),
+        "C20_baseline_eligible_or_selected": row.getField("baseline_flags"),
+        "C20_pool_changed": pool,
+    })

@@ -87,3 +87,15 @@ def q_streaming_scoring(spark, sf):
     streamed = run_available_now(spark, src, c.validation.schema, state, model)
     batch = score_stream(c.validation, state, model).withColumnRenamed(K.PREDICTION, "batch_predicted_rate")
     return round_doubles(streamed.join(batch, "load_id", "full_outer"))
+
+
+@register("run_summary")
+def q_run_summary(spark, sf):
+    """The nested run-summary row (split, selections, baselines, prediction summary)."""
+    return workflow(spark, sf).run_summary()
+
+
+@register("summary_reconciliation")
+def q_summary_reconciliation(spark, sf):
+    """Stored leaderboard and stored JSON run summary agree (after re-reading both)."""
+    return workflow(spark, sf).reconcile()

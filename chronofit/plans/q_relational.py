@@ -618,3 +618,67 @@ def q_table_fingerprint(spark, sf):
     """Content fingerprint of each input table (replaces file hashes; order-insensitive)."""
     c = context(spark, sf)
     return fingerprint(c.development, "development").unionByName(fingerprint(c.validation, "validation"))
+
+
+# ---------------------------------------------------------------------------
+# CSV sources and prediction summary (S1, S3, P2-P10 on text input, A23)
+# ---------------------------------------------------------------------------
+from ..functions.clean import base_clean  # noqa: E402
+from ..sources.csv_io import read_text_csv, typed_loads  # noqa: E402
+
+_CLEAN_DOUBLES = ["distance", "weight", "market_index", "quote_signal", "pickup_lat", "delivery_lat",
+                  "pickup_lon", "delivery_lon"]
+
+
+@register("csv_roundtrip_clean", S.with_fixture() + "\n" + S.rounded(
+    SF.clean_select("validation", with_target=False), _CLEAN_DOUBLES,
+    ["load_id", "date", "pickup", "delivery", "equipment", "weight_missing", "weight_sign_corrected",
+     "market_index_missing"]))
+def q_csv_roundtrip_clean(spark, sf):
+    """Write the future table as CSV, read it back as text, type and clean it."""
+    c = context(spark, sf)
+    path = output_dir(spark, "validation_csv")
+    c.validation.write.option("header", True).csv(path)
+    typed = typed_loads(read_text_csv(spark, path, c.validation.columns))
+    return round_doubles(base_clean(typed))
+
+
+@register("prediction_summary", S.with_fixture(_TEMPLATE_SQL, _PRED_SQL) + "\n" + S.rounded(
+    "SELECT count(*) AS rows, min(predicted_rate) AS min, avg(predicted_rate) AS mean, max(predicted_rate) AS max"
+    " FROM output", ["min", "mean", "max"], ["rows"]))
+def q_prediction_summary(spark, sf):
+    """Rows / min / mean / max of the future-table predictions (group-median baseline)."""
+    c = context(spark, sf)
+    pred = group_median_rpm(c.development, c.validation).select("load_id", F.col("predicted").alias(K.PREDICTION))
+    out = fixture.template(spark, sf).select("load_id").join(pred, "load_id", "left")
+    return round_doubles(out.agg(F.count(F.lit(1)).alias("rows"), F.min(K.PREDICTION).alias("min"),
+                                 F.avg(K.PREDICTION).alias("mean"), F.max(K.PREDICTION).alias("max")))
+
+
+# ---------------------------------------------------------------------------
+# The same audit operators on an independent schema: the events table
+# ---------------------------------------------------------------------------
+from ..sources.tables import read_table  # noqa: E402
+
+
+@register("events_monthly_value", S.rounded(
+    "SELECT strftime(CAST(ts AS DATE), '%Y-%m') AS month, avg(value) AS mean, quantile_cont(value, 0.5) AS median"
+    " FROM events GROUP BY 1", ["mean", "median"], ["month"]))
+def q_events_monthly_value(spark, sf):
+    """A17 on events: monthly mean and exact median of ``value`` (timestamps cast to dates)."""
+    ev = read_table(spark, sf, "events").select("ts", "value")
+    return round_doubles(A.monthly_target(ev, "value", "ts"))
+
+
+@register("events_numeric_summary", S.rounded(
+    "SELECT event_type AS dataset, 'value' AS \"column\", count(value) AS count, avg(value) AS mean,"
+    " stddev_samp(value) AS std, min(value) AS min, quantile_cont(value, 0.5) AS median,"
+    " quantile_cont(value, 0.95) AS p95, max(value) AS max, count_if(value IS NULL) AS missing,"
+    " count_if(value <= 0) AS non_positive FROM events GROUP BY event_type",
+    ["mean", "std", "min", "median", "p95", "max"], ["dataset", '"column"', "count", "missing", "non_positive"]))
+def q_events_numeric_summary(spark, sf):
+    """A2 on events: per event type, count / mean / std / quantiles / missing / non-positive of ``value``."""
+    ev = read_table(spark, sf, "events")
+    long = ev.select(F.col("event_type").alias("dataset"), F.lit("value").alias("column"),
+                     F.col("value").alias("v"), F.col("value").alias("raw"))
+    return round_doubles(A.numeric_summary_long(long))

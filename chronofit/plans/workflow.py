@@ -28,7 +28,10 @@ from ..operators import models as M
 from ..operators.baselines import global_median, group_median_rpm
 from ..operators.errors import holdout_errors, segment_errors
 from ..operators.importance import permutation_importance
-from ..operators.selection import leaderboard, screening_table, selection_contract
+from ..operators.contracts import union_checks
+from ..operators.selection import (leaderboard, reconcile_summary, screening_contract, screening_table,
+                                   selection_contract)
+from ..sources.sinks import output_dir, write_document, write_table
 from ..operators.split import monthly_folds
 from ..session import ensure_checkpoint_dir
 from ..sources import fixture
@@ -161,8 +164,43 @@ class Workflow:
         return self.candidates[name]
 
     def main_contract(self) -> DataFrame:
+        """C18/C19/C23 on the main leaderboard and C21 on the screening table."""
         expected = {n: m.family for n, m in self.candidates.items()}
-        return selection_contract(self.main_board, expected=expected, baselines=BASELINES)
+        return union_checks([
+            selection_contract(self.main_board, expected=expected, baselines=BASELINES),
+            screening_contract(self.screening, sorted(K.COMMON_FEATURE_SETS), sorted(SCREEN_FAMILIES.values())),
+        ])
+
+    # -- S8 run summary, C20 reconciliation ------------------------------------
+    def run_summary(self) -> DataFrame:
+        """One nested row - split, selections, baseline metrics, prediction summary."""
+        def pick(board):
+            return board.where("selected").select(F.struct(
+                "model", F.col("model_family").alias("family"), "feature_set", "mae",
+                F.col("mae").cast("string").alias("mae_text"), "signature").alias("s")).scalar()
+        b = self.main_board
+        base = b.where(F.col("model").isin(*BASELINES)).agg(F.map_from_entries(F.collect_list(F.struct(
+            "model", F.struct("mae", "rmse", "r2", "smape")))).alias("m")).scalar()
+        pred = self.validation_predictions().agg(
+            F.struct(F.count(F.lit(1)).alias("rows"), F.min(K.PREDICTION).alias("min"),
+                     F.avg(K.PREDICTION).alias("mean"), F.max(K.PREDICTION).alias("max")).alias("p")).scalar()
+        o = self.ctx.outer
+        return self.spark.range(1).select(
+            F.struct(F.lit(str(o.cutoff)).cast("date").alias("cutoff"), F.lit(o.horizon_days).alias("horizon_days"),
+                     F.lit(self.ctx.inner.horizon_days).alias("inner_horizon_days")).alias("split"),
+            F.lit(self.selected_set).alias("selected_feature_set"),
+            pick(self.main_board).alias("selection"), pick(self.scenario_board).alias("scenario_selection"),
+            base.alias("baseline_metrics"), pred.alias("validation_prediction_summary"),
+            F.lit(self.profile).alias("profile"))
+
+    def reconcile(self) -> DataFrame:
+        """C20: write the leaderboard and the run summary, re-read both, reconcile them."""
+        folder = output_dir(self.spark, "run")
+        board = write_table(self.main_board, f"{folder}/model_comparison")
+        write_document(self.run_summary(), f"{folder}/run_summary")
+        summary = self.spark.read.json(f"{folder}/run_summary")
+        expected = {n: m.family for n, m in self.candidates.items()}
+        return reconcile_summary(board, summary, expected, BASELINES)
 
     # -- diagnostics --------------------------------------------------------
     def importance(self) -> DataFrame:
