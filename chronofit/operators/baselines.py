@@ -28,7 +28,7 @@ def global_median(training: DataFrame, holdout: DataFrame, target: str = K.TARGE
     """Predict the training target median for every holdout row (per ``by`` group)."""
     med = exact_quantiles(training, list(by), target, [0.5], ["predicted"])
     if by:
-        return holdout.join(F.broadcast(med), list(by), "left")
+        return holdout.join(med, list(by), "left")      # one row per group; AQE sizes the join
     return holdout.select("*", med.select("predicted").scalar().alias("predicted"))
 
 
@@ -46,10 +46,12 @@ def group_median_rpm(training: DataFrame, holdout: DataFrame, group: str = "equi
     per_group = exact_quantiles(tr, by + ["__g"], "__rpm", [0.5], ["__m"])
     fallback = exact_quantiles(tr, by, "__rpm", [0.5], ["__f"])
     hold = holdout.withColumn("__g", normalise_category(group))
-    bound = max_groups if max_groups is not None else 10_000
-    hold = hold.join(_small(hold, per_group, bound), by + ["__g"], "left")
+    # Broadcast only with a caller-proven bound on the groups; otherwise AQE picks the
+    # join at run time from the measured size of the (aggregated) medians table.
+    lookup = _small(hold, per_group, max_groups) if max_groups is not None else per_group
+    hold = hold.join(lookup, by + ["__g"], "left")
     if by:
-        hold = hold.join(F.broadcast(fallback), by, "left")
+        hold = hold.join(fallback, by, "left")
     else:
         hold = hold.select("*", fallback.select("__f").scalar().alias("__f"))
     return (hold.withColumn("predicted", F.coalesce(F.col("__m"), F.col("__f")) * to_double(distance))

@@ -77,6 +77,10 @@ def fit(df: DataFrame, rare_threshold: int = K.RARE_THRESHOLD, impute_numeric: b
         checkpoint: bool = True) -> FeatureState:
     """Fit the feature state on training rows only (E9: ``transform(fit(train), rows)``)."""
     base = base_clean(df)
+    if checkpoint:
+        # Every statistic below reads the cleaned rows: clean (regex title case) once.
+        ensure_checkpoint_dir(df.sparkSession)
+        base = base.checkpoint(eager=True)
     head = base.agg(F.min("date").alias("d"), F.count(F.lit(1)).alias("n"),
                     F.count_if(F.col("date").isNull()).alias("bad")).first()
     if head["bad"]:

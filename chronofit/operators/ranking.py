@@ -65,6 +65,9 @@ def semi_join(df: DataFrame, keys: DataFrame, cols: Sequence[str], how: str) ->
     return df.join(F.broadcast(k), cond, how)
 
 
+_HOT_MEMO: dict[tuple, list] = {}
+
+
 def _hot_keys(df: DataFrame, group_cols: Sequence[str], limit: int,
               exact: bool) -> tuple[DataFrame, int]:
     """Keys of groups that may exceed ``limit`` rows, and how many there are.
@@ -72,17 +75,23 @@ def _hot_keys(df: DataFrame, group_cols: Sequence[str], limit: int,
     The sampled check costs a fraction of a scan; a group missed by it is at most about
     ``limit`` rows, which the ordinary path handles, and a false alarm only routes a
     group through the (equally exact) sorted path.  At most total/limit groups can be
-    hot, which bounds the broadcast of their keys.
+    hot, which bounds the broadcast of their keys.  The answer depends only on the
+    input plan, so it is memoised per session by the plan's semantic hash.
     """
-    frac = float(df.sparkSession.conf.get(HOT_SAMPLE_KEY, str(DEFAULT_HOT_SAMPLE)))
-    if exact or frac >= 1.0:
-        sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__m"))
-        hot = sizes.where(F.col("__m") > limit)
-    else:
-        sizes = df.sample(False, frac, 17).groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__m"))
-        hot = sizes.where(F.col("__m") >= max(1.0, limit * frac / 2.0))
-    hot = hot.select(*group_cols)
-    return hot, hot.count()
+    spark = df.sparkSession
+    frac = float(spark.conf.get(HOT_SAMPLE_KEY, str(DEFAULT_HOT_SAMPLE)))
+    key = (id(spark), df.semanticHash(), tuple(group_cols), limit, exact, frac)
+    schema = df.select(*group_cols).schema
+    if key not in _HOT_MEMO:
+        if exact or frac >= 1.0:
+            sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__m"))
+            hot = sizes.where(F.col("__m") > limit)
+        else:
+            sizes = df.sample(False, frac, 17).groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__m"))
+            hot = sizes.where(F.col("__m") >= max(1.0, limit * frac / 2.0))
+        _HOT_MEMO[key] = [tuple(r) for r in hot.select(*group_cols).collect()]   # bounded: <= total/limit
+    rows = _HOT_MEMO[key]
+    return spark.createDataFrame(rows, schema), len(rows)
 
 
 def rank_within_groups(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],

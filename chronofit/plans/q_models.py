@@ -80,7 +80,7 @@ def q_streaming_scoring(spark, sf):
     c = context(spark, sf)
     state = fitted_state(spark, sf, "development")
     cols = K.COMMON_FEATURE_SETS["basic_plus_route"]
-    train = FE.transform(state, c.development, cols, keep=["load_id", K.TARGET])
+    train = FE.transform(state, c.development, cols, keep=["load_id", K.TARGET]).checkpoint(eager=True)
     model = M.fit(train, cols, M.PROFILES["check"]["gbt_compact"], "stream_model", feature_set="basic_plus_route")
     src = output_dir(spark, "stream_source")
     c.validation.repartition(4).write.parquet(src)
@@ -99,3 +99,18 @@ def q_run_summary(spark, sf):
 def q_summary_reconciliation(spark, sf):
     """Stored leaderboard and stored JSON run summary agree (after re-reading both)."""
     return workflow(spark, sf).reconcile()
+
+
+@register("importance_top15")
+def q_importance_top15(spark, sf):
+    """The top-15 permutation importances (importance desc, feature asc) - a top-k report."""
+    from ..operators.importance import top_importance
+    return round_doubles(top_importance(workflow(spark, sf).importance(), 15))
+
+
+@register("model_holdout_predictions")
+def q_model_holdout_predictions(spark, sf):
+    """Per-row holdout predictions of the selected model with residuals and segment keys."""
+    return round_doubles(workflow(spark, sf).holdout_predictions().select(
+        "load_id", "date", "actual", "predicted", "residual", "absolute_error", "distance_band", "route_status",
+        "city_status"))

@@ -206,10 +206,14 @@ class Workflow:
     def importance(self) -> DataFrame:
         return permutation_importance(self.selected, self.outer_holdout)
 
-    def error_analysis(self) -> DataFrame:
+    def holdout_predictions(self) -> DataFrame:
+        """The selected model's holdout rows with residuals and segment keys."""
         pred = M.predict(self.selected, self.outer_holdout).select("load_id", "predicted")
-        raw = self.ctx.holdout.join(pred, "load_id")
-        return segment_errors(holdout_errors(raw, self.ctx.training))
+        return holdout_errors(self.ctx.holdout.join(pred, "load_id"), self.ctx.training)
+
+    def error_analysis(self) -> DataFrame:
+        """A18 for the selected model: six segment dimensions in one grouping-sets pass."""
+        return segment_errors(self.holdout_predictions())
 
     def stability(self) -> DataFrame:
         """M9: per fold, refit the feature state and the selected candidate on earlier months."""
@@ -220,12 +224,13 @@ class Workflow:
             tr = dev.where(F.col("date") < F.lit(f["month_start"]))
             ho = dev.where(F.col("date").between(F.lit(f["month_start"]), F.lit(f["month_end"])))
             st = FE.fit(tr)
-            trf = FE.transform(st, tr, sel.features, keep=KEEP)
+            # Fitting scans its input several times (indexer, imputer, trees): cut the lineage once.
+            trf = FE.transform(st, tr, sel.features, keep=KEEP).checkpoint(eager=True)
             hof = FE.transform(st, ho, sel.features, keep=KEEP)
             m = M.fit(trf, sel.features, params, sel.name, feature_set=sel.feature_set)
             p = M.predict(m, hof)
             return p.select(F.lit(f["fold_month"]).alias("holdout_month"), F.col(K.TARGET).alias("actual"),
-                            "predicted").withColumn("training_rows", tr.agg(F.count(F.lit(1))).scalar())
+                            "predicted").withColumn("training_rows", trf.agg(F.count(F.lit(1))).scalar())
         folds = monthly_folds(self.ctx.development).collect()     # n_folds rows (3)
         allp = _union(_parallel(one, folds))
         return allp.groupBy("holdout_month", "training_rows").agg(
@@ -258,7 +263,7 @@ class Workflow:
     # -- M6 refits + M12 / M13 scoring ------------------------------------------
     def _refit(self, sel: M.RateModel) -> tuple[M.RateModel, object]:
         st = fitted_state(self.spark, self.sf, "development")
-        trf = FE.transform(st, self.ctx.development, sel.features, keep=KEEP)
+        trf = FE.transform(st, self.ctx.development, sel.features, keep=KEEP).checkpoint(eager=True)
         return M.fit(trf, sel.features, dict(sel.params), sel.name, feature_set=sel.feature_set), st
 
     @cached_property
