@@ -114,3 +114,9 @@ def q_model_holdout_predictions(spark, sf):
     return round_doubles(workflow(spark, sf).holdout_predictions().select(
         "load_id", "date", "actual", "predicted", "residual", "absolute_error", "distance_band", "route_status",
         "city_status"))
+
+
+@register("inference_bundle")
+def q_inference_bundle(spark, sf):
+    """Save the final model and fitted state to the shared folder, reload, score; parity column."""
+    return round_doubles(workflow(spark, sf).bundle_roundtrip())

@@ -277,6 +277,22 @@ class Workflow:
         tmpl = fixture.template(self.spark, self.sf).select("load_id", "ordinal")
         return tmpl.join(pred, "load_id", "left").select("load_id", K.PREDICTION, "ordinal")
 
+    def bundle_roundtrip(self) -> DataFrame:
+        """Save the refitted model + feature state, load both back, score the future table.
+
+        Rows carry the reloaded bundle's prediction and the in-memory one (parity check)."""
+        model, st = self.final_model
+        folder = output_dir(self.spark, "inference_bundle")
+        model.save(f"{folder}/model", self.spark)
+        st.save(f"{folder}/state")
+        model2 = M.RateModel.load(self.spark, f"{folder}/model")
+        st2 = FE.FeatureState.load(self.spark, f"{folder}/state")
+        val = self.ctx.validation
+        again = M.predict(model2, FE.transform(st2, val, model2.features, keep=["load_id"]), K.PREDICTION)
+        live = M.predict(model, FE.transform(st, val, model.features, keep=["load_id"]), "in_memory_predicted_rate")
+        return again.select("load_id", K.PREDICTION).join(live.select("load_id", "in_memory_predicted_rate"),
+                                                          "load_id", "full_outer")
+
     def scenario_predictions(self) -> DataFrame:
         name = self.scenario_board.where("selected").select("model").first()[0]
         model, st = self._refit(self.scenario_candidates[name])

@@ -74,3 +74,10 @@ def test_same_seed_same_model(spark, wf):
     j = a.select("load_id", F.col("predicted").alias("x")).join(b.select("load_id", F.col("predicted").alias("y")),
                                                                   "load_id")
     assert j.where(F.col("x") != F.col("y")).count() == 0
+
+
+def test_saved_bundle_scores_like_the_live_model(wf):
+    df = wf.bundle_roundtrip()
+    r = df.agg(F.count("*").alias("n"),
+               F.count_if(~F.col(K.PREDICTION).eqNullSafe(F.col("in_memory_predicted_rate"))).alias("diff")).first()
+    assert r.n == wf.ctx.validation.count() and r.diff == 0
