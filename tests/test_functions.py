@@ -96,3 +96,18 @@ def test_quantiles_std_skew(spark):
 def test_boolean_parsing(spark):
     df = spark.createDataFrame([("True",), (" y ",), ("0",), ("No",), ("maybe",)], "b string")
     assert [r.v for r in df.select(parse_boolean("b").alias("v")).collect()] == [True, True, False, False, None]
+
+
+def test_csv_text_reader_keeps_ids_and_reads_na(spark, tmp_path):
+    from chronofit.sources.csv_io import read_text_csv, typed_loads
+    path = tmp_path / "loads.csv"
+    path.write_text("load_id,distance,date,pickup\n"
+                    "007,12.5,2025-01-02,a\n"
+                    "008,N/A,2025-13-01,NA\n"
+                    "009,1e3,2025-01-03,\n")
+    typed = typed_loads(read_text_csv(spark, str(path), ["load_id", "distance", "date", "pickup"]))
+    rows = {r.load_id: r for r in typed.collect()}
+    assert set(rows) == {"007", "008", "009"}                  # leading zeros kept
+    assert rows["007"].distance == 12.5 and rows["009"].distance == 1000.0
+    assert rows["008"].distance is None and rows["008"].date is None and rows["008"].pickup is None
+    assert rows["009"].pickup is None
