@@ -47,14 +47,6 @@ def broadcast_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(BROADCAST_ROWS_KEY, str(DEFAULT_BROADCAST_ROWS)))
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = None
-    for c in cols:
-        term = left[c].eqNullSafe(right[c])
-        cond = term if cond is None else cond & term
-    return cond
-
-
 def semi_join(df: DataFrame, keys: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
     """Null-safe semi/anti join against a small, size-checked key table (broadcast)."""
     k = keys.select(*[F.col(c).alias(f"__k_{c}") for c in cols])

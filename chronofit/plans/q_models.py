@@ -6,7 +6,6 @@ catalog's check run stays short; ``chronofit.plans.workflow`` takes ``profile="f
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..functions.metrics import round_doubles
 from .catalog import register
