@@ -28,7 +28,7 @@ from ..operators import models as M
 from ..operators.baselines import global_median, group_median_rpm
 from ..operators.errors import holdout_errors, segment_errors
 from ..operators.importance import permutation_importance
-from ..operators.contracts import union_checks
+from ..operators.contracts import checks_table, union_checks
 from ..operators.selection import (leaderboard, reconcile_summary, screening_contract, screening_table,
                                    selection_contract)
 from ..sources.sinks import output_dir, write_document, write_table
@@ -166,7 +166,12 @@ class Workflow:
     def main_contract(self) -> DataFrame:
         """C18/C19/C23 on the main leaderboard and C21 on the screening table."""
         expected = {n: m.family for n, m in self.candidates.items()}
+        n_hold = self.ctx.holdout.agg(F.count(F.lit(1))).scalar()
+        per_model = self.main_long.groupBy("model").agg(F.count(F.lit(1)).alias("n"),
+                                                        F.count_if(F.col("predicted").isNull()).alias("miss"))
+        unpredicted = per_model.agg(F.coalesce(F.sum(F.abs(F.col("n") - n_hold) + F.col("miss")), F.lit(0))).scalar()
         return union_checks([
+            checks_table(self.spark, {"C16_holdout_rows_not_predicted": unpredicted}),
             selection_contract(self.main_board, expected=expected, baselines=BASELINES),
             screening_contract(self.screening, sorted(K.COMMON_FEATURE_SETS), sorted(SCREEN_FAMILIES.values())),
         ])
