@@ -172,7 +172,7 @@ def learn_iterations(train_feats: DataFrame, valid_feats: DataFrame, features: S
     """M4: best GBT iteration count on the inner window (distance-weighted rpm error, patience)."""
     if params["family"] != K.MODEL_FAMILY_A:
         raise ValueError("iteration learning needs the boosted family")
-    if train_feats.schema != valid_feats.schema:                       # C25
+    if train_feats.dtypes != valid_feats.dtypes:                       # C25: names, order and types
         raise ValueError("iteration-learning train and validation schemas differ")
     m = fit(train_feats, features, params, "iterations", target, seed=seed)
     gbt = m.pipeline.stages[-1]
