@@ -32,3 +32,34 @@ def test_entry_smoke(spark):
     df = mod.entry(spark)
     assert df.count() > 0
     assert set(mod.oracle_sql()) <= set(mod.queries())
+
+
+@pytest.mark.parametrize("name", ["loads_fixture", "baseline_segment_errors"])
+def test_oracle_with_every_group_forced_hot(spark, con, name):
+    """The skew path (range-partitioned sort + offsets) end to end: limit 1 row per group,
+    exact detection, so every copy group and every median group takes the sorted path."""
+    from chronofit.functions.metrics import round_doubles
+    from chronofit.operators.baselines import group_median_rpm
+    from chronofit.operators.errors import holdout_errors, segment_errors
+    from chronofit.operators.split import inner_split, outer_split
+    from chronofit.sources import fixture
+
+    def forced(spark, sf):
+        loads = fixture.build_loads(spark, sf)
+        if name == "loads_fixture":
+            return round_doubles(loads)
+        dev = loads.where("date < DATE'2000-07-01' AND pickup_key < 88 AND delivery_key < 88").drop(
+            "pickup_key", "delivery_key")
+        val = loads.where("date >= DATE'2000-07-01'").drop("pickup_key", "delivery_key", "posted_rate")
+        plan = outer_split(dev, val, min_rows=100)
+        tr, ho = plan.training(dev), plan.holdout(dev)
+        return round_doubles(segment_errors(holdout_errors(group_median_rpm(tr, ho), tr)))
+
+    spark.conf.set("chronofit.hot_group_rows", "1")
+    spark.conf.set("chronofit.hot_sample_fraction", "1.0")
+    try:
+        r = compare(spark, name, SF_SMALL, forced, ORACLES[name], con)
+    finally:
+        spark.conf.unset("chronofit.hot_group_rows")
+        spark.conf.unset("chronofit.hot_sample_fraction")
+    assert r["columns_match"] and r["spark_rows"] == r["oracle_rows"] and r["values_match"], r
