@@ -45,13 +45,18 @@ SCREEN_FAMILIES = {"gbt_compact": K.MODEL_FAMILY_A, "forest": K.MODEL_FAMILY_B}
 
 # Independent fits run concurrently from the driver (like CrossValidator's parallelism):
 # each fit is a sequence of small distributed jobs, so several keep the cluster busy.
-PARALLELISM = 4
+# ``chronofit.fit_parallelism`` overrides; default = the context's parallelism, capped at 8.
+PARALLELISM_KEY = "chronofit.fit_parallelism"
+MAX_DEFAULT_PARALLELISM = 8
 
 _RUNS: dict[tuple, "Workflow"] = {}
 
 
 def _parallel(fn, items):
-    with ThreadPoolExecutor(max_workers=PARALLELISM) as pool:
+    spark = SparkSession.getActiveSession()
+    default = min(MAX_DEFAULT_PARALLELISM, max(1, spark.sparkContext.defaultParallelism)) if spark else 4
+    workers = int(spark.conf.get(PARALLELISM_KEY, str(default))) if spark else default
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
         return list(pool.map(fn, items))
 
 
