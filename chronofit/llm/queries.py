@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, mixing, quality_rules, url_filter
+from . import language_id, license_scan, lz_fingerprint, mixing, near_dedup, packing, quality_rules, url_filter
 from .common import read
 
 
@@ -19,11 +19,39 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of ``documents`` by profiles learned from those that are not held out."""
+    return language_id.predict_languages(read(spark, sf_dir, "documents", "doc_id", "text", "lang")).select(
+        F.col("id").alias("doc_id"), "held_out", "lang_pred", "score")
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical digests of ``documents`` looked up among the known licences and notices."""
     return license_scan.scan_licenses(read(spark, sf_dir, "documents", "doc_id", "text")).withColumnRenamed("id", "doc_id")
 
 
+def op4_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lempel-Ziv fingerprints of ``documents``, of their edited texts, and their likeness."""
+    return lz_fingerprint.fingerprint_documents(read(spark, sf_dir, "documents", "doc_id", "text")).withColumnRenamed("id", "doc_id")
+
+
+def tokenizer_path() -> str:
+    """The vocabulary of the packing query; executors have the same file at the same place."""
+    import public_tokenizers
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` packed into sequences of 2048 tokens."""
+    return packing.pack_documents(read(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path()).withColumnRenamed("id", "doc_id")
+
+
+def op7_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of ``documents``: 3-word shingles, similarity 0.85 or more."""
+    return near_dedup.group_near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), k=3, percent=85
+                                            ).withColumnRenamed("id", "doc_id")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules and propagated host reputation over ``pages``."""
     return url_filter.judge_urls(read(spark, sf_dir, "pages", "page_id", "url", "html")).withColumnRenamed("id", "page_id")
@@ -37,7 +65,11 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_language_id": op2_language_id,
     "op3_license_scan": op3_license_scan,
+    "op4_lz_fingerprint": op4_lz_fingerprint,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_superminhash_dedup": op7_superminhash_dedup,
     "op8_url_filter": op8_url_filter,
     "op10_source_mix": op10_source_mix,
 }
