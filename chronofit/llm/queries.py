@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, license_scan, lz_fingerprint, mixing, near_dedup, packing, quality_rules, url_filter
+from . import language_id, license_scan, lz_fingerprint, mixing, near_dedup, packing, quality_rules, suffix_dedup, url_filter
 from .common import read
 
 
@@ -57,6 +57,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read(spark, sf_dir, "pages", "page_id", "url", "html")).withColumnRenamed("id", "page_id")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 100-byte strings removed from ``documents``."""
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text")).withColumnRenamed("id", "doc_id")
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of ``documents`` by source."""
     return mixing.mix(read(spark, sf_dir, "documents", "doc_id", "text", "source")).select(
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_superminhash_dedup": op7_superminhash_dedup,
     "op8_url_filter": op8_url_filter,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_source_mix": op10_source_mix,
 }
 
