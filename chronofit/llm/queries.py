@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, license_scan, lz_fingerprint, mixing, near_dedup, packing, quality_rules, suffix_dedup, url_filter
+from . import language_id, license_scan, lm_scores, lz_fingerprint, mixing, near_dedup, packing, quality_rules, suffix_dedup, url_filter
 from .common import read
 
 
@@ -35,6 +35,12 @@ def op4_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_fingerprint.fingerprint_documents(read(spark, sf_dir, "documents", "doc_id", "text")).withColumnRenamed("id", "doc_id")
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score per word of ``documents`` under the counts of all of them."""
+    return lm_scores.score_documents(read(spark, sf_dir, "documents", "doc_id", "text")).select(
+        F.col("id").alias("doc_id"), "n_words", "n_backoffs", F.round(F.col("log_score") / F.nullif("n_words", F.lit(0)), 6).alias("score"))
+
+
 def tokenizer_path() -> str:
     """The vocabulary of the packing query; executors have the same file at the same place."""
     import public_tokenizers
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_license_scan": op3_license_scan,
     "op4_lz_fingerprint": op4_lz_fingerprint,
+    "op5_lm_scores": op5_lm_scores,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_superminhash_dedup": op7_superminhash_dedup,
     "op8_url_filter": op8_url_filter,
@@ -82,5 +89,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op3_license_scan": license_scan.oracle_sql(),
+    "op5_lm_scores": lm_scores.oracle_sql(),
     "op8_url_filter": url_filter.oracle_sql(),
 }
