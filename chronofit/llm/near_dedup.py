@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, materialise
+from .common import WORD, broadcast_if_small, materialise
 from .graph import components
 from .textarrays import chunks, mix64, shingle_sets
 
@@ -149,6 +149,30 @@ def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Links: 100 * common shingles >= percent * union.  kept: the row's id is its component's.
     """
+    return _grouped(df, id_col, text_col, k, percent, lower).select("id", "n_shingles", "component_id", "kept")
+
+
+def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
+                     lower: bool = True) -> DataFrame:
+    """The rows of ``df`` without all but one of each group (of rows without words, all stay).
+
+    The row with the group's id stays; of several, the one with the least text hash.
+    """
+    grouped = _grouped(df, id_col, text_col, k, percent, lower)
+    keepers = materialise(grouped.filter("n_shingles > 0 AND kept").groupBy("root").agg(
+        F.min(F.struct("text_key", "id")).alias("m"), F.count("*").alias("rows")).select(
+            F.col("m.text_key").alias("__key"), F.col("m.id").alias("__id"), "rows"), "near-keepers")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    wordy, rest = df.filter(text.rlike(WORD)), df.filter(~text.rlike(WORD))
+    some = wordy.withColumn("__text_key", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    some = some.join(broadcast_if_small(keepers.select("__key", "__id")),
+                     (F.col("__text_key") == F.col("__key")) & F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+    if not keepers.filter("rows > 1").isEmpty():  # rows equal in id and text are one document twice
+        some = some.dropDuplicates([id_col, "__text_key"])
+    return some.select(*df.columns).unionByName(rest)
+
+
+def _grouped(df: DataFrame, id_col: str, text_col: str, k: int, percent: int, lower: bool) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), text.alias("t"))
     id_type = rows.schema["id"].dataType.simpleString()
@@ -207,8 +231,8 @@ def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     tops = (of_set.join(all_roots.withColumnRenamed("node", "set_id"), "set_id", "left")
             .withColumn("root", F.coalesce("root", "set_id")))
     least = tops.groupBy("root").agg(F.min("id").alias("component_id"))
-    labels = tops.select("set_id", "root").join(least, "root").select("set_id", "component_id")
-    out = signed.select("id", F.col("n").alias("n_shingles"), "set_id").join(labels, "set_id", "left")
+    labels = tops.select("set_id", "root").join(least, "root")
+    out = signed.select("id", "text_key", F.col("n").alias("n_shingles"), "set_id").join(labels, "set_id", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("component_id"))
-    return out.select("id", "n_shingles", component.alias("component_id")).withColumn(
+    return out.select("id", "text_key", "n_shingles", "root", component.alias("component_id")).withColumn(
         "kept", F.col("id").eqNullSafe(F.col("component_id")))
