@@ -139,7 +139,7 @@ def _score(buckets: int, words: int, backoff: float, min_count: int):
         seen = ~starts & (joint >= min_count)
         logs = np.where(seen, np.log(np.where(seen, joint, 1.0) / before), np.log(np.where(starts, 1.0, backoff) * own / max(words, 1)))
         size = np.bincount(row, minlength=n)
-        sums = np.bincount(row, logs, minlength=n)
+        sums = np.bincount(row, logs, minlength=n).astype(np.float64)
         back = np.bincount(row, ~seen & ~starts, minlength=n).astype(np.int64)
         return pa.table({"id": texts.column("id"), "n_words": pa.array(size), "n_backoffs": pa.array(back),
                          "log_score": pa.array(sums, mask=size == 0)})
