@@ -227,7 +227,6 @@ INNER_HORIZON_DAYS = 61
 MIN_SPLIT_ROWS = 1_000
 STABILITY_FOLDS = 3
 RANDOM_SEED = 42
-IMPORTANCE_SAMPLE = 4_000
 SHIFT_FLAG_SMD = 0.5
 HISTOGRAM_BINS = 45
 HISTOGRAM_CAP_QUANTILE = 0.995

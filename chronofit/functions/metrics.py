@@ -12,7 +12,7 @@ def error_terms(actual: str = "actual", predicted: str = "predicted") -> dict[st
     return {
         "residual": p - y,
         "absolute_error": F.abs(p - y),
-        "smape_term": F.when(denom > 0, 2.0 * F.abs(p - y) / denom).otherwise(F.lit(0.0)),
+        "smape_term": F.when(denom > 0, 2.0 * F.abs(p - y) / denom).when(denom == 0, F.lit(0.0)),
     }
 
 
@@ -21,11 +21,13 @@ def regression_aggs(actual: str = "actual", predicted: str = "predicted",
     """rows, mae, rmse, r2, smape (percent), mean_error.
 
     r2 = 1 - SSE / SST with SST = n * var_pop(actual); a constant actual gives 1.0 when
-    the fit is perfect and 0.0 otherwise.
+    the fit is perfect and 0.0 otherwise.  A missing (NULL or NaN) actual or prediction
+    makes every metric of its group NULL: a candidate is never judged on the rest.
     """
     y, p = F.col(actual), F.col(predicted)
     t = error_terms(actual, predicted)
     n = F.count(F.lit(1))
+    complete = F.count_if(y.isNull() | p.isNull() | F.isnan(y.cast("double")) | F.isnan(p.cast("double"))) == 0
     sse = F.sum(F.pow(p - y, 2))
     sst = F.var_pop(y) * n
     r2 = (F.when(sst > 0, 1 - sse / sst)
@@ -34,13 +36,13 @@ def regression_aggs(actual: str = "actual", predicted: str = "predicted",
     if with_rows:
         out.append(n.alias("rows"))
     out += [
-        F.avg(t["absolute_error"]).alias("mae"),
-        F.sqrt(F.avg(F.pow(p - y, 2))).alias("rmse"),
-        r2.alias("r2"),
-        (F.avg(t["smape_term"]) * 100.0).alias("smape"),
+        F.when(complete, F.avg(t["absolute_error"])).alias("mae"),
+        F.when(complete, F.sqrt(F.avg(F.pow(p - y, 2)))).alias("rmse"),
+        F.when(complete, r2).alias("r2"),
+        F.when(complete, F.avg(t["smape_term"]) * 100.0).alias("smape"),
     ]
     if with_bias:
-        out.append(F.avg(p - y).alias("mean_error"))
+        out.append(F.when(complete, F.avg(p - y)).alias("mean_error"))
     return out
 
 

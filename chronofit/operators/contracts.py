@@ -157,12 +157,12 @@ def scenario_contract(scenario: DataFrame, expected: dict, ordered: bool = False
         return F.coalesce(F.abs(to_double(c) - b) <= atol + rtol * F.abs(b), F.lit(False))
 
     aggs = [F.count(F.lit(1)).alias("rows"), F.count_distinct("date").alias("days"),
-            (F.count_if(F.col("pickup") != expected["pickup"]) + F.count_if(F.col("delivery") != expected["delivery"])
-             + F.count_if(F.col("equipment") != expected["equipment"]) + F.count_if(~close("distance"))
+            (sum((F.count_if(~F.col(c).eqNullSafe(F.lit(expected[c]))) for c in ("pickup", "delivery", "equipment")), F.lit(0))
+             + F.count_if(~close("distance"))
              + F.count_if(~close("weight"))).alias("fixed"),
             F.count_if(bad_positive(to_double(K.PREDICTION))).alias("bad_pred")]
     if ordered:
-        aggs.append(F.count_if(F.col("ordinal") != F.datediff(F.col("date").cast("date"), month) + 1)
+        aggs.append(F.count_if(~F.col("ordinal").eqNullSafe(F.datediff(F.col("date").cast("date"), month) + 1))
                     .alias("moved"))
     s = one_row(scenario.agg(*aggs))
     grid = one_row(days.join(d.groupBy("date").agg(F.sum("__s").alias("__s")), "date", "full_outer").agg(

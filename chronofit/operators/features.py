@@ -53,6 +53,7 @@ class FeatureState:
                    ("rare_threshold", str(self.rare_threshold)),
                    ("impute_numeric", str(self.impute_numeric))]
         scalars += [(f"median:{k}", repr(v)) for k, v in self.medians.items()]
+        scalars += [(f"holiday:{i}", str(h)) for i, h in enumerate(self.holidays)]
         spark.createDataFrame(scalars, "name string, value string").coalesce(1) \
             .write.mode("overwrite").parquet(f"{path}/scalars")
 
@@ -65,7 +66,9 @@ class FeatureState:
                    medians={k.split(":", 1)[1]: float(v) for k, v in scal.items() if k.startswith("median:")},
                    counts=counts, coordinates=coords, counts_rows=counts.count(),
                    coordinates_rows=coords.count(), rare_threshold=int(scal["rare_threshold"]),
-                   impute_numeric=scal["impute_numeric"] == "True")
+                   impute_numeric=scal["impute_numeric"] == "True",
+                   holidays=[v for _, v in sorted((int(k.split(":", 1)[1]), v) for k, v in scal.items()
+                                                  if k.startswith("holiday:"))])
 
 
 def _lookup(df: DataFrame, table: DataFrame, size: int) -> DataFrame:

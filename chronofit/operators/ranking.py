@@ -1,242 +1,103 @@
-"""Skew-aware ranking within groups and exact group quantiles.
-
-A plain ``row_number() OVER (PARTITION BY g ORDER BY o)`` sorts every group inside
-one task, and the exact ``percentile`` aggregate merges every distinct value of a
-group inside one task.  Both are right for ordinary groups but a single hot group
-(a third of all rows) would land on one executor.  The operators here:
-
-1. count rows per group (partial aggregation, so hot groups are cheap to count);
-2. treat groups above ``hot_group_rows`` as hot.  There are at most
-   ``total_rows / hot_group_rows`` of them, which bounds the broadcast of their keys;
-3. rank ordinary groups with the built-in window / ``percentile`` aggregate;
-4. rank hot groups with a range-partitioned global sort (a random tie-break column
-   lets the range partitioner split even a group of identical copies), a per-partition
-   run rank, and per-partition offsets computed from a summary of at most one row per
-   partition.  The sorted partitions are checkpointed to the shared checkpoint folder
-   so the offsets and the rows always agree, also after an executor loss.
+"""Skew-aware ranking within groups and exact group quantiles: one path for all sizes.
+
+A plain ``row_number() OVER (PARTITION BY g ORDER BY o)`` sorts every group inside one
+task, and the exact ``percentile`` aggregate merges every distinct value of a group
+inside one task.  A single hot group (a third of all rows) would land on one executor.
+Here all rows are range-partitioned and sorted by (group, order, salt); the random salt
+lets the range partitioner split even a group of identical copies.  The sorted rows are
+written once to the shared checkpoint folder with ``monotonically_increasing_id``, which
+follows that order.  A row's position is that number with the gaps between partitions
+closed (one number per partition), and its rank is its position less its group's first.
+All of it is JVM-side and counts in 64 bits.
 """
 
 from __future__ import annotations
 
-from typing import Iterator, Sequence
+from typing import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..sources.sinks import output_dir, write_table
 
-HOT_GROUP_ROWS_KEY = "chronofit.hot_group_rows"
-DEFAULT_HOT_GROUP_ROWS = 5_000_000
 BROADCAST_ROWS_KEY = "chronofit.broadcast_rows"
 DEFAULT_BROADCAST_ROWS = 2_000_000
-HOT_SAMPLE_KEY = "chronofit.hot_sample_fraction"
-DEFAULT_HOT_SAMPLE = 0.01
-
-
-def hot_group_rows(df: DataFrame, override: int | None = None) -> int:
-    if override is not None:
-        return int(override)
-    return int(df.sparkSession.conf.get(HOT_GROUP_ROWS_KEY, str(DEFAULT_HOT_GROUP_ROWS)))
 
 
 def broadcast_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(BROADCAST_ROWS_KEY, str(DEFAULT_BROADCAST_ROWS)))
 
 
-def semi_join(df: DataFrame, keys: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
-    """Null-safe semi/anti join against a small, size-checked key table (broadcast)."""
-    k = keys.select(*[F.col(c).alias(f"__k_{c}") for c in cols])
-    cond = None
-    for c in cols:
-        term = df[c].eqNullSafe(k[f"__k_{c}"])
-        cond = term if cond is None else cond & term
-    return df.join(F.broadcast(k), cond, how)
-
-
-_HOT_MEMO: dict[tuple, list] = {}
-
-
-def _hot_keys(df: DataFrame, group_cols: Sequence[str], limit: int,
-              exact: bool) -> tuple[DataFrame, int]:
-    """Keys of groups that may exceed ``limit`` rows, and how many there are.
-
-    The sampled check costs a fraction of a scan; a group missed by it is at most about
-    ``limit`` rows, which the ordinary path handles, and a false alarm only routes a
-    group through the (equally exact) sorted path.  At most total/limit groups can be
-    hot, which bounds the broadcast of their keys.  The answer depends only on the
-    input plan, so it is memoised per session by the plan's semantic hash.
-    """
+def _positions(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], seed: int) -> DataFrame:
+    """``df`` with ``__pos``: the 0-based place of each row in (group, order) order over the whole table."""
     spark = df.sparkSession
-    frac = float(spark.conf.get(HOT_SAMPLE_KEY, str(DEFAULT_HOT_SAMPLE)))
-    key = (id(spark), df.semanticHash(), tuple(group_cols), limit, exact, frac)
-    schema = df.select(*group_cols).schema
-    if key not in _HOT_MEMO:
-        if exact or frac >= 1.0:
-            sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__m"))
-            hot = sizes.where(F.col("__m") > limit)
-        else:
-            sizes = df.sample(False, frac, 17).groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__m"))
-            hot = sizes.where(F.col("__m") >= max(1.0, limit * frac / 2.0))
-        _HOT_MEMO[key] = [tuple(r) for r in hot.select(*group_cols).collect()]   # bounded: <= total/limit
-    rows = _HOT_MEMO[key]
-    return spark.createDataFrame(rows, schema), len(rows)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sort_cols = [F.col(c).asc_nulls_first() for c in [*group_cols, *order_cols]] + [F.col("__salt")]
+    ordered = (df.withColumn("__salt", F.rand(seed))
+               .repartitionByRange(parts, *sort_cols)
+               .sortWithinPartitions(*sort_cols)
+               .withColumn("__pid", F.spark_partition_id())
+               .withColumn("__mono", F.monotonically_increasing_id())
+               .drop("__salt"))
+    stored = write_table(ordered, output_dir(spark, "ranked"))
+    sizes = stored.groupBy("__pid").agg(F.count(F.lit(1)).alias("n"), F.min("__mono").alias("m"))
+    shift, total = [], 0
+    for r in sorted(sizes.collect(), key=lambda r: r["__pid"]):   # one row per partition
+        shift.append((int(r["__pid"]), total - int(r["m"])))
+        total += int(r["n"])
+    offsets = spark.createDataFrame(shift, "__pid int, __shift long")
+    return (stored.join(F.broadcast(offsets), "__pid")
+            .withColumn("__pos", F.col("__mono") + F.col("__shift")).drop("__pid", "__mono", "__shift"))
+
+
+def _with_groups(placed: DataFrame, group_cols: Sequence[str], *stats: Column) -> DataFrame:
+    """Join each row with its group's first position and further group aggregates.
+
+    Groups are aggregated with map-side combining; a hot group's rows are split by the
+    skew handling of the join.
+    """
+    names = [f"__g_{i}" for i in range(len(group_cols))]
+    groups = placed.groupBy(*[F.col(c).alias(n) for c, n in zip(group_cols, names)]).agg(
+        F.min("__pos").alias("__first"), *stats)
+    cond = F.lit(True)
+    for c, n in zip(group_cols, names):
+        cond = cond & F.col(c).eqNullSafe(F.col(n))
+    return placed.join(groups, cond).drop(*names)
 
 
 def rank_within_groups(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                       rank_col: str = "rank", hot_limit: int | None = None,
-                       seed: int = 42, detect_on: DataFrame | None = None) -> DataFrame:
-    """Add ``rank_col`` = row_number() within each group in ``order_cols`` order (1-based).
+                       rank_col: str = "rank", seed: int = 42) -> DataFrame:
+    """Add ``rank_col`` = row_number() within each group in ``order_cols`` order (1-based, long).
 
     Rows that tie on every order column get distinct, arbitrary numbers, exactly like
-    ``row_number``; callers that need a unique answer order by all columns.
-    ``detect_on`` (same group keys, same group sizes) lets the hot-group check scan a
-    cheaper table than ``df``, e.g. the base table of a 1:1 join.
+    ``row_number``; callers that need a unique answer order by all columns.  NULL keys
+    form one group; NULLs sort first.
     """
-    group_cols, order_cols = list(group_cols), list(order_cols)
-    limit = hot_group_rows(df, hot_limit)
-    probe = (detect_on if detect_on is not None else df).select(*group_cols)
-    hot, n_hot = _hot_keys(probe, group_cols, limit, exact=hot_limit is not None)
-    window = Window.partitionBy(*group_cols).orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-    if n_hot == 0:
-        return df.withColumn(rank_col, F.row_number().over(window))
-    cold = semi_join(df, hot, group_cols, "left_anti").withColumn(rank_col, F.row_number().over(window))
-    hot_rows = semi_join(df, hot, group_cols, "left_semi")
-    ranked_hot = _ranks_by_sort(hot_rows, group_cols, order_cols, rank_col, seed)
-    return cold.unionByName(ranked_hot)
-
-
-def _ranks_by_sort(df: DataFrame, group_cols: list[str], order_cols: list[str],
-                   rank_col: str, seed: int) -> DataFrame:
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort_cols = [F.col(c).asc_nulls_first() for c in group_cols + order_cols] + [F.col("__salt")]
-    ordered = (df.withColumn("__salt", F.rand(seed))
-               .repartitionByRange(parts, *sort_cols)
-               .sortWithinPartitions(*sort_cols))
-    out_schema = T.StructType(list(ordered.schema.fields) + [
-        T.StructField("__pid", T.IntegerType(), False),
-        T.StructField("__idx", T.LongType(), False),
-        T.StructField("__lrank", T.LongType(), False),
-        T.StructField("__first", T.BooleanType(), False),
-    ])
-    keys = list(group_cols)
-
-    def run_ranks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pid = TaskContext.get().partitionId()
-        prev_key = None          # group key of the last row already emitted
-        prev_rank = -1           # its rank within its run
-        runs_before = 0          # runs started in earlier batches of this partition
-        done = 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            change = np.zeros(n, dtype=bool)
-            for c in keys:
-                col = pdf[c]
-                prev = col.shift(1)
-                same = (col == prev) | (col.isna() & prev.isna())
-                change |= ~same.to_numpy(dtype=bool)
-            head = tuple(None if pd.isna(v) else v for v in pdf.iloc[0][keys])
-            change[0] = prev_key is None or head != prev_key
-            pos = np.arange(n)
-            start = np.maximum.accumulate(np.where(change, pos, -1))
-            lrank = np.where(start >= 0, pos - start, prev_rank + 1 + pos)
-            run_no = runs_before + np.cumsum(change)
-            out = pdf.copy()
-            out["__pid"] = np.int32(pid)
-            out["__idx"] = np.arange(done, done + n, dtype=np.int64)
-            out["__lrank"] = lrank.astype(np.int64)
-            out["__first"] = run_no == 1
-            prev_key = tuple(None if pd.isna(v) else v for v in pdf.iloc[-1][keys])
-            prev_rank = int(lrank[-1])
-            runs_before = int(run_no[-1])
-            done += n
-            yield out
-
-    local = ordered.mapInPandas(run_ranks, out_schema).checkpoint(eager=True)
-    key_struct = F.struct(*[F.col(c) for c in keys])
-    summary = (local.groupBy("__pid").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if("__first").alias("first_n"),
-        F.min_by(key_struct, "__idx").alias("first_key"),
-        F.max_by(key_struct, "__idx").alias("last_key"),
-        F.max_by("__lrank", "__idx").alias("last_rank"),
-    ))
-    # One row per partition: bounded by spark.sql.shuffle.partitions.
-    rows = sorted(summary.collect(), key=lambda r: r["__pid"])
-    offsets, carry_key, carry = [], None, 0
-    for r in rows:
-        first_key, last_key = tuple(r["first_key"]), tuple(r["last_key"])
-        off = carry if carry_key is not None and first_key == carry_key else 0
-        offsets.append((int(r["__pid"]), int(off)))
-        if r["first_n"] == r["n"]:           # the whole partition is one run
-            carry, carry_key = off + int(r["n"]), first_key
-        else:
-            carry, carry_key = int(r["last_rank"]) + 1, last_key
-    off_df = spark.createDataFrame(offsets, "__pid int, __off long")
-    return (local.join(F.broadcast(off_df), "__pid", "left")
-            .withColumn(rank_col, (F.col("__lrank") + F.when(F.col("__first"), F.col("__off"))
-                                   .otherwise(F.lit(0)) + 1).cast("int"))
-            .drop("__pid", "__idx", "__lrank", "__first", "__off", "__salt"))
+    placed = _positions(df, group_cols, order_cols, seed)
+    return (_with_groups(placed, list(group_cols))
+            .withColumn(rank_col, F.col("__pos") - F.col("__first") + 1).drop("__pos", "__first"))
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    probs: Sequence[float], names: Sequence[str],
-                    hot_limit: int | None = None) -> DataFrame:
+                    probs: Sequence[float], names: Sequence[str]) -> DataFrame:
     """Exact, linearly interpolated quantiles of ``value_col`` per group.
 
     Same definition as pandas ``quantile`` / SQL ``percentile`` / ``quantile_cont``;
     NULL and NaN values are ignored.  Groups with no value are absent.
     """
-    group_cols = list(group_cols)
-    keyed = group_cols or ["__all"]
-    base = df.select(*(group_cols or [F.lit(0).alias("__all")]),
-                     F.col(value_col).cast("double").alias("__v"))
+    keyed = list(group_cols) or ["__all"]
+    base = df.select(*(group_cols or [F.lit(0).alias("__all")]), F.col(value_col).cast("double").alias("__v"))
     base = base.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    limit = hot_group_rows(df, hot_limit)
-    hot, n_hot = _hot_keys(base, keyed, limit, exact=hot_limit is not None)
-    aggs = [F.percentile("__v", float(p)).alias(n) for p, n in zip(probs, names)]
-    if n_hot == 0:
-        result = base.groupBy(*keyed).agg(*aggs)
-    else:
-        cold = semi_join(base, hot, keyed, "left_anti").groupBy(*keyed).agg(*aggs)
-        hot_base = semi_join(base, hot, keyed, "left_semi")
-        ranked = _ranks_by_sort(hot_base, keyed, ["__v"], "__r", 7)
-        exact_sizes = hot_base.groupBy(*keyed).agg(F.count(F.lit(1)).alias("__n"))
-        sizes = exact_sizes.select(*[F.col(c).alias(f"__s_{c}") for c in keyed], "__n")
-        joined = ranked.join(F.broadcast(sizes), _null_safe_cond(ranked, sizes, keyed), "inner")
-        picks, exprs = [], []
-        for p, n in zip(probs, names):
-            h = (F.col("__n") - 1) * F.lit(float(p))
-            lo, hi = F.floor(h) + 1, F.ceil(h) + 1
-            joined = joined.withColumn(f"__lo_{n}", lo).withColumn(f"__hi_{n}", hi) \
-                .withColumn(f"__fr_{n}", h - F.floor(h))
-            picks += [F.col("__r") == F.col(f"__lo_{n}"), F.col("__r") == F.col(f"__hi_{n}")]
-        keep = picks[0]
-        for cond in picks[1:]:
-            keep = keep | cond
-        small = joined.where(keep)
-        for n in names:
-            lo_v = F.max(F.when(F.col("__r") == F.col(f"__lo_{n}"), F.col("__v")))
-            hi_v = F.max(F.when(F.col("__r") == F.col(f"__hi_{n}"), F.col("__v")))
-            fr = F.max(F.col(f"__fr_{n}"))
-            exprs.append((lo_v + (hi_v - lo_v) * fr).alias(n))
-        hot_result = small.groupBy(*keyed).agg(*exprs)
-        result = cold.unionByName(hot_result)
-    if not group_cols:
-        result = result.drop("__all")
-    return result
-
-
-def _null_safe_cond(ranked: DataFrame, sizes: DataFrame, keys: Sequence[str]) -> Column:
-    cond = None
-    for c in keys:
-        term = ranked[c].eqNullSafe(sizes[f"__s_{c}"])
-        cond = term if cond is None else cond & term
-    return cond
+    placed = _with_groups(_positions(base, keyed, ["__v"], 7), keyed, F.count(F.lit(1)).alias("__n"))
+    rank = F.col("__pos") - F.col("__first")
+    places = [(F.col("__n") - 1) * F.lit(float(p)) for p in probs]
+    near = F.lit(False)
+    for h in places:
+        near = near | (rank == F.floor(h)) | (rank == F.ceil(h))
+    aggs = []
+    for h, name in zip(places, names):
+        lo, hi = (F.max(F.when(rank == at, F.col("__v"))) for at in (F.floor(h), F.ceil(h)))
+        part = F.max(h - F.floor(h))
+        aggs.append(F.when(part == 0, lo).otherwise(lo * (1 - part) + hi * part).alias(name))
+    result = placed.where(near).groupBy(*keyed).agg(*aggs)
+    return result if group_cols else result.drop("__all")

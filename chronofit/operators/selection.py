@@ -21,12 +21,12 @@ from .contracts import checks_table, one_row
 
 
 def leaderboard(long: DataFrame, scope: Sequence[str] = (), meta: Sequence[str] = (
-        "model_family", "feature_set", "parameters", "best_iteration", "eligible")) -> DataFrame:
+        "model_family", "feature_set", "parameters", "best_iteration", "eligible"), label: str = "main") -> DataFrame:
     """One row per (scope, model): mae, rmse, r2, smape, rows + rank and selected flag."""
     scope = list(scope)
     meta = [m for m in meta if m in long.columns]
     board = long.groupBy(*scope, "model", *meta).agg(*regression_aggs("actual", "predicted", with_bias=False))
-    return select_lowest(board, scope)
+    return select_lowest(board, scope, label)
 
 
 def select_lowest(board: DataFrame, scope: Sequence[str] = (), label: str = "main") -> DataFrame:
@@ -145,22 +145,31 @@ def reconcile_summary(board: DataFrame, summary: DataFrame, expected: dict[str,
     b = board.select("model", "model_family", "feature_set", "mae", parse_boolean("eligible").alias("el"),
                      parse_boolean("selected").alias("se"))
     row = one_row(b.agg(
-        F.count_if(F.col("se") & (F.col("model") != sel.getField("model"))).alias("other_selected"),
-        F.count_if((F.col("model") == sel.getField("model")) & ((F.col("model_family") != sel.getField("family"))
-                   | (F.col("feature_set") != sel.getField("feature_set")))).alias("identity"),
-        F.count_if((F.col("model") == sel.getField("model"))
-                   & (F.abs(F.col("mae") - sel.getField("mae")) > tol)).alias("mae_text"),
+        F.count_if(F.col("se")).alias("n_selected"),
+        F.count_if(F.col("se") & ~F.col("model").eqNullSafe(sel.getField("model"))).alias("other_selected"),
+        F.count_if(F.col("model").eqNullSafe(sel.getField("model"))
+                   & ~(F.col("model_family").eqNullSafe(sel.getField("family"))
+                       & F.col("feature_set").eqNullSafe(sel.getField("feature_set")))).alias("identity"),
+        F.count_if(F.col("model").eqNullSafe(sel.getField("model"))
+                   & ~F.coalesce(F.abs(F.col("mae") - sel.getField("mae")) <= tol, F.lit(False))).alias("mae_text"),
+        F.count_if(F.col("se") & ~F.coalesce(F.col("el"), F.lit(False))).alias("not_eligible"),
+        (F.count(F.lit(1)) - F.count_distinct("model")).alias("repeated_names"),
         F.min(F.when(F.col("el"), F.col("mae"))).alias("min_el"),
-        F.count_if(F.col("model").isin(*baselines) & (F.col("el") | F.col("se"))).alias("baseline_flags")))
+        F.count_if(F.col("model").isin(*baselines) & (F.coalesce(F.col("el"), F.lit(True))
+                                                      | F.coalesce(F.col("se"), F.lit(True)))).alias("baseline_flags")))
     exp = spark.createDataFrame(sorted(expected.items()), "model string, model_family string").withColumn("__e", F.lit(1))
     got = b.where("el").select("model", "model_family").withColumn("__g", F.lit(1))
     pool = exp.join(got, ["model", "model_family"], "full_outer").agg(
         F.count_if(F.col("__e").isNull() | F.col("__g").isNull())).scalar()
     return checks_table(spark, {
+        "C20_not_one_selected": F.abs(row.getField("n_selected") - 1),
+        "C20_selected_not_eligible": row.getField("not_eligible"),
+        "C20_model_names_repeat": row.getField("repeated_names"),
         "C20_other_model_selected": row.getField("other_selected"),
         "C20_selection_identity_mismatch": row.getField("identity"),
         "C20_selected_mae_mismatch": row.getField("mae_text"),
-        "C20_selected_not_minimum": (F.abs(sel.getField("mae") - row.getField("min_el")) > tol).cast("int"),
+        "C20_selected_not_minimum": (~F.coalesce(F.abs(sel.getField("mae") - row.getField("min_el")) <= tol,
+                                                 F.lit(False))).cast("int"),
         "C20_baseline_eligible_or_selected": row.getField("baseline_flags"),
         "C20_pool_changed": pool,
     })

@@ -1,7 +1,6 @@
 """Model queries (spark.ml): not SQL-expressible, checked by row counts and invariants.
 
-All run the ``check`` profile (same structure as ``full``, fewer trees) so the
-catalog's check run stays short; ``chronofit.plans.workflow`` takes ``profile="full"``.
+All run the engine's candidate parameters (``operators.models.PARAMETERS``).
 """
 
 from __future__ import annotations
@@ -80,9 +79,9 @@ def q_streaming_scoring(spark, sf):
     state = fitted_state(spark, sf, "development")
     cols = K.COMMON_FEATURE_SETS["basic_plus_route"]
     train = FE.transform(state, c.development, cols, keep=["load_id", K.TARGET]).checkpoint(eager=True)
-    model = M.fit(train, cols, M.PROFILES["check"]["gbt_compact"], "stream_model", feature_set="basic_plus_route")
+    model = M.fit(train, cols, M.PARAMETERS["gbt_compact"], "stream_model", feature_set="basic_plus_route")
     src = output_dir(spark, "stream_source")
-    c.validation.repartition(4).write.parquet(src)
+    c.validation.write.parquet(src)
     streamed = run_available_now(spark, src, c.validation.schema, state, model)
     batch = score_stream(c.validation, state, model).withColumnRenamed(K.PREDICTION, "batch_predicted_rate")
     return round_doubles(streamed.join(batch, "load_id", "full_outer"))

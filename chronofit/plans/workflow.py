@@ -60,17 +60,17 @@ def _parallel(fn, items):
         return list(pool.map(fn, items))
 
 
-def workflow(spark: SparkSession, sf_dir: str, profile: str = "check") -> "Workflow":
-    key = (id(spark), sf_dir.rstrip("/"), profile)
+def workflow(spark: SparkSession, sf_dir: str) -> "Workflow":
+    key = (id(spark), sf_dir.rstrip("/"))
     if key not in _RUNS:
-        _RUNS[key] = Workflow(spark, sf_dir, profile)
+        _RUNS[key] = Workflow(spark, sf_dir)
     return _RUNS[key]
 
 
 class Workflow:
-    def __init__(self, spark: SparkSession, sf_dir: str, profile: str = "check"):
-        self.spark, self.sf, self.profile = spark, sf_dir, profile
-        self.params = M.PROFILES[profile]
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf = spark, sf_dir
+        self.params = M.PARAMETERS
         self.ctx = context(spark, sf_dir, FIXTURE_MIN_ROWS)
         ensure_checkpoint_dir(spark)
 
@@ -200,8 +200,7 @@ class Workflow:
                      F.lit(self.ctx.inner.horizon_days).alias("inner_horizon_days")).alias("split"),
             F.lit(self.selected_set).alias("selected_feature_set"),
             pick(self.main_board).alias("selection"), pick(self.scenario_board).alias("scenario_selection"),
-            base.alias("baseline_metrics"), pred.alias("validation_prediction_summary"),
-            F.lit(self.profile).alias("profile"))
+            base.alias("baseline_metrics"), pred.alias("validation_prediction_summary"))
 
     def reconcile(self) -> DataFrame:
         """C20: write the leaderboard and the run summary, re-read both, reconcile them."""
@@ -265,7 +264,7 @@ class Workflow:
         for name, m in self.scenario_candidates.items():
             p = M.predict(m, self.outer_holdout)
             parts.append(_long_rows(p, name, m.family, m.feature_set, m.parameters_text, None, True))
-        board = leaderboard(_union(parts))
+        board = leaderboard(_union(parts), label="scenario")
         counts = {fs: len(c) for fs, c in K.SCENARIO_FEATURE_SETS.items()}
         fc = self.spark.createDataFrame(sorted(counts.items()), "feature_set string, feature_count int")
         return board.join(F.broadcast(fc), "feature_set").cache()

@@ -23,9 +23,14 @@ NA_VALUES = ["", "NA", "N/A", "NULL", "null", "None", "nan", "NaN", "<NA>", "#N/
 
 
 def read_text_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """All columns as strings (header row required), NA spellings -> NULL."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    raw = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    """The named columns as strings, found by the names in the header row; NA spellings -> NULL.
+
+    A file without one of the columns is an error; their order in the file does not matter.
+    """
+    raw = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(path)
+    missing = [c for c in columns if c not in raw.columns]
+    if missing:
+        raise ValueError(f"CSV columns missing: {missing}")
     return raw.select(*[F.when(~F.trim(F.col(c)).isin(*NA_VALUES), F.col(c)).alias(c) for c in columns])
 
 

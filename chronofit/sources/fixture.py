@@ -45,7 +45,7 @@ def build_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     # join gives the same numbers; when the join shuffles on l_orderkey the window's
     # PARTITION BY (l_orderkey, ...) reuses that partitioning instead of a second shuffle.
     with_orders = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    numbered = rank_within_groups(with_orders, _LINE_KEYS, _LINE_ORDER, "dup_no", detect_on=li)
+    numbered = rank_within_groups(with_orders, _LINE_KEYS, _LINE_ORDER, "dup_no")
     keyed = (numbered
              .join(cust, F.col("o_custkey") == F.col("c_custkey"))
              .join(supp, F.col("l_suppkey") == F.col("s_suppkey"))

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
@@ -36,6 +37,19 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
 
 
 def write_document(doc: DataFrame, path: str) -> None:
-    """A one-row DataFrame written as one JSON document with sorted keys."""
-    cols = sorted(doc.columns)
-    doc.select(F.to_json(F.struct(*cols)).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    """A one-row DataFrame written as one JSON document; keys sorted at every level, NULLs kept."""
+    value = F.struct(*[_sorted_keys(F.col(f"`{f.name}`"), f.dataType).alias(f.name)
+                       for f in sorted(doc.schema.fields, key=lambda f: f.name)])
+    text = F.to_json(value, {"ignoreNullFields": "false"})
+    doc.select(text.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def _sorted_keys(value: Column, kind: T.DataType) -> Column:
+    """``value`` with the fields of its structs in name order, at every depth."""
+    if isinstance(kind, T.StructType):
+        fields = [_sorted_keys(value.getField(f.name), f.dataType).alias(f.name)
+                  for f in sorted(kind.fields, key=lambda f: f.name)]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _sorted_keys(x, kind.elementType))
+    return value

@@ -69,8 +69,8 @@ def test_stream_equals_batch(spark):
 def test_same_seed_same_model(spark, wf):
     from chronofit.operators import models as M
     cols = K.COMMON_FEATURE_SETS["basic_supplied"]
-    a = M.predict(M.fit(wf.outer_train, cols, M.PROFILES["check"]["forest"]), wf.outer_holdout)
-    b = M.predict(M.fit(wf.outer_train, cols, M.PROFILES["check"]["forest"]), wf.outer_holdout)
+    a = M.predict(M.fit(wf.outer_train, cols, M.PARAMETERS["forest"]), wf.outer_holdout)
+    b = M.predict(M.fit(wf.outer_train, cols, M.PARAMETERS["forest"]), wf.outer_holdout)
     j = a.select("load_id", F.col("predicted").alias("x")).join(b.select("load_id", F.col("predicted").alias("y")),
                                                                   "load_id")
     assert j.where(F.col("x") != F.col("y")).count() == 0

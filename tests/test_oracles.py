@@ -35,9 +35,8 @@ def test_entry_smoke(spark):
 
 
 @pytest.mark.parametrize("name", ["loads_fixture", "baseline_segment_errors"])
-def test_oracle_with_every_group_forced_hot(spark, con, name):
-    """The skew path (range-partitioned sort + offsets) end to end: limit 1 row per group,
-    exact detection, so every copy group and every median group takes the sorted path."""
+def test_oracle_on_freshly_built_loads(spark, con, name):
+    """Ranking and medians end to end on ``loads`` as built, without the written fixture."""
     from chronofit.functions.metrics import round_doubles
     from chronofit.operators.baselines import group_median_rpm
     from chronofit.operators.errors import holdout_errors, segment_errors
@@ -55,11 +54,5 @@ def test_oracle_with_every_group_forced_hot(spark, con, name):
         tr, ho = plan.training(dev), plan.holdout(dev)
         return round_doubles(segment_errors(holdout_errors(group_median_rpm(tr, ho), tr)))
 
-    spark.conf.set("chronofit.hot_group_rows", "1")
-    spark.conf.set("chronofit.hot_sample_fraction", "1.0")
-    try:
-        r = compare(spark, name, SF_SMALL, forced, ORACLES[name], con)
-    finally:
-        spark.conf.unset("chronofit.hot_group_rows")
-        spark.conf.unset("chronofit.hot_sample_fraction")
+    r = compare(spark, name, SF_SMALL, forced, ORACLES[name], con)
     assert r["columns_match"] and r["spark_rows"] == r["oracle_rows"] and r["values_match"], r
