@@ -29,6 +29,8 @@ DIMENSIONS = 1024
 GRAM = 3
 SEED = 41
 UNKNOWN = "und"
+#: Different n-grams that are turned into vectors at once.
+BLOCK = 8192
 _letters: dict[int, np.ndarray] = {}
 _alpha = np.full(0x110000, -1, np.int8)  # 1: letter, 0: not, -1: not looked up yet
 
@@ -42,8 +44,8 @@ def letter_vector(code: int) -> np.ndarray:
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Letters as code points with 0 for a word border, and the row of each."""
-    lowered = [t.lower() for t in texts]
+    """Letters as code points with 0 for a word border, and the row of each; a border at both ends."""
+    lowered = [f" {t.lower()} " for t in texts]
     codes = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
     rows = np.repeat(np.arange(len(texts)), [len(t) for t in lowered])
     if (_alpha[codes] < 0).any():
@@ -57,26 +59,33 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, rows
 
 
-def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of n-grams (texts x grams) and the vector of each gram (grams x dimensions)."""
+def gram_blocks(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Counts of n-grams (texts x grams) and the vector of each gram (grams x dimensions).
+
+    At most ``BLOCK`` different n-grams at a time, so memory does not grow with the alphabet.
+    """
     codes, rows = _codes(texts)
     alphabet, ids = np.unique(codes, return_inverse=True)
     size, n = len(alphabet), len(codes) - GRAM + 1
     if n <= 0 or not alphabet.any():
-        return np.zeros((len(texts), 0), np.float32), np.zeros((0, DIMENSIONS), np.float32)
+        return
     grams, some = np.zeros(n, np.int64), np.zeros(n, bool)
     for k in range(GRAM):
         grams = grams * size + ids[k:n + k]
         some |= codes[k:n + k] > 0
     inside = (rows[:n] == rows[GRAM - 1:]) & some
     kinds, at = np.unique(grams[inside], return_inverse=True)
-    counts = np.bincount(rows[:n][inside] * len(kinds) + at, minlength=len(texts) * len(kinds))
-    table = np.stack([letter_vector(int(c)) for c in alphabet])
-    vectors, rest = np.ones((len(kinds), DIMENSIONS), np.float32), kinds
-    for k in reversed(range(GRAM)):  # the letter at place k is rolled by the places after it
-        vectors *= np.roll(table, GRAM - 1 - k, axis=1)[rest % size]
-        rest = rest // size
-    return counts.reshape(len(texts), len(kinds)).astype(np.float32), vectors
+    row = rows[:n][inside]
+    for first in range(0, len(kinds), BLOCK):
+        block = kinds[first:first + BLOCK]
+        own = slice(None) if len(kinds) <= BLOCK else (at >= first) & (at < first + len(block))
+        counts = np.bincount(row[own] * len(block) + (at[own] - first), minlength=len(texts) * len(block))
+        letters, places = np.unique(np.stack([block // size ** (GRAM - 1 - k) % size for k in range(GRAM)]), return_inverse=True)
+        table = np.stack([letter_vector(int(alphabet[c])) for c in letters])
+        vectors = np.ones((len(block), DIMENSIONS), np.float32)
+        for k, place in enumerate(places.reshape(GRAM, -1)):  # the letter at place k is rolled by the places after it
+            vectors *= np.roll(table, GRAM - 1 - k, axis=1)[place]
+        yield counts.reshape(len(texts), len(block)).astype(np.float32), vectors
 
 
 def _text_chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
@@ -96,11 +105,11 @@ def _bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs = batch.column(0).to_pylist()
         for first, texts in _text_chunks(batch.column(1).to_pylist()):
-            counts, vectors = gram_counts(texts)
             own = np.array(langs[first:first + len(texts)], dtype=object)
-            for lang in set(own):
-                sums.setdefault(lang, np.zeros(DIMENSIONS))
-                sums[lang] += counts[own == lang].sum(axis=0, dtype=np.float64) @ vectors
+            for counts, vectors in gram_blocks(texts):
+                for lang in set(own):
+                    sums.setdefault(lang, np.zeros(DIMENSIONS))
+                    sums[lang] += counts[own == lang].sum(axis=0, dtype=np.float64) @ vectors
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()),
                                       pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))], ["lang", "vector"])
 
@@ -127,11 +136,13 @@ def identify(df: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "
         for batch in batches:
             langs, scores = [], []
             for _, texts in _text_chunks(batch.column("__text").to_pylist()):
-                counts, vectors = gram_counts(texts)
-                bundles = counts @ vectors
+                bundles, grams = np.zeros((len(texts), DIMENSIONS), np.float32), np.zeros(len(texts))
+                for counts, vectors in gram_blocks(texts):
+                    bundles += counts @ vectors
+                    grams += counts.sum(axis=1)
                 norms = np.linalg.norm(bundles, axis=1)
                 cosines = bundles @ table.T / np.maximum(norms, 1e-9)[:, None]
-                some = (counts.sum(axis=1) > 0) & (len(names) > 0)
+                some = (grams > 0) & (len(names) > 0)
                 best = cosines.argmax(axis=1) if names else np.zeros(len(texts), int)
                 langs += [names[b] if s else UNKNOWN for b, s in zip(best, some)]
                 scores += [float(min(1.0, max(0.0, cosines[i, b]))) if s else 0.0 for i, (b, s) in enumerate(zip(best, some))]

@@ -33,18 +33,29 @@ def test_labels_of_predicted_documents_do_not_matter(spark):
 
 
 def test_gram_vectors_are_bound_permuted_letters():
-    counts, vectors = language_id.gram_counts(["abc"])
-    a, b, c = (language_id.letter_vector(ord(x)) for x in "abc")
-    assert counts.shape == (1, 1) and (vectors[0] == np.roll(a, 2) * np.roll(b, 1) * c).all()
+    (counts, vectors), = language_id.gram_blocks(["abc"])
+    border, a, b, c = (language_id.letter_vector(x) for x in (0, *map(ord, "abc")))
+    expected = [np.roll(x, 2) * np.roll(y, 1) * z for x, y, z in ((border, a, b), (a, b, c), (b, c, border))]
+    assert counts.tolist() == [[1, 1, 1]] and all(any((v == e).all() for v in vectors) for e in expected)
     # rows of one chunk do not mix, letter case and kind of border do not matter
-    two, v2 = language_id.gram_counts(["Ab--c d", "ab C\td"])
-    assert (two[0] == two[1]).all() and len(v2) == two.shape[1]
+    (two, _), = language_id.gram_blocks(["Ab--c d", "ab C\td"])
+    assert (two[0] == two[1]).all()
+    assert list(language_id.gram_blocks(["", "12", " - "])) == []
+
+
+def test_blocks_of_grams_sum_to_the_whole(monkeypatch):
+    texts = ["the cat sat on the mat", "él niño", "", "日本語テキスト"]
+    (counts, vectors), = language_id.gram_blocks(texts)
+    monkeypatch.setattr(language_id, "BLOCK", 4)
+    parts = list(language_id.gram_blocks(texts))
+    assert len(parts) > 3 and np.allclose(sum(c @ v for c, v in parts), counts @ vectors)
 
 
 def test_language_edges(spark):
     out = [(r["id"], r["lang_pred"], r["score"]) for r in language_id.predict_languages(frame(spark), carry=("text", "n")).collect()]
     by_id = {i: (p, s) for i, p, s in out}
     assert len(out) == 15 and by_id[4] == by_id[5] == by_id[6] == by_id[13] == ("und", 0.0) and by_id[1][0] == "en"
+    assert by_id[7][0] != "und" and by_id[8][0] != "und"  # a letter is enough
     unlabelled = plain([(1, "abc def")])
     untrained = [(i, t, None, s, n) for i, t, _, s, n in unlabelled]
     assert [r["lang_pred"] for r in language_id.predict_languages(frame(spark, untrained)).collect()] == ["und"]
@@ -136,7 +147,7 @@ def test_encoding_by_words_is_the_tokenizers_own():
     from tokenizers import Tokenizer
     whole = Tokenizer.from_file(queries.tokenizer_path())
     whole.encode_special_tokens = True
-    texts = ["It's  we'LL\tO'Neil 12ab3.4!?\n\x0b don’t", "é e\u0301 ﬁ İI ΑΣ ς Ω\u00a0x\u2003y z\x85q", "a\x1cb \u200b \u0301x <\u0338 ", "<|endoftext|> 日本語テキスト 👩‍👩‍👧", "", " \n"]
+    texts = ["It's  we'LL\tO'Neil 12ab3.4!?\n\x0b don’t", "é e\u0301 ﬁ İI ΑΣ ς Ω\u00a0x\u2003y z\x85q", "a\x1cb \u200b \u0301x <\u0338 ", "a.. A!? é, €. …! x_. 5%% don't! 's. *** #a# (b). É;: \u0915\u094d. ²! a\u0301. x\u200b,", "<|endoftext|> 日本語テキスト 👩‍👩‍👧", "", " \n"]
     for text, ids in zip(texts, packing.encode(queries.tokenizer_path(), [t.encode() for t in texts])):
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
