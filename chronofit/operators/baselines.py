@@ -16,11 +16,8 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.clean import normalise_category, to_double
-from .ranking import broadcast_rows, exact_quantiles
-
-
-def _small(df: DataFrame, table: DataFrame, bound: int) -> DataFrame:
-    return F.broadcast(table) if bound <= broadcast_rows(df) else table
+from .lookup import counted_lookup
+from .ranking import exact_quantiles
 
 
 def global_median(training: DataFrame, holdout: DataFrame, target: str = K.TARGET,
@@ -28,13 +25,13 @@ def global_median(training: DataFrame, holdout: DataFrame, target: str = K.TARGE
     """Predict the training target median for every holdout row (per ``by`` group)."""
     med = exact_quantiles(training, list(by), target, [0.5], ["predicted"])
     if by:
-        return holdout.join(med, list(by), "left")      # one row per group; AQE sizes the join
+        return holdout.join(counted_lookup(med, "group_medians"), list(by), "left")
     return holdout.select("*", med.select("predicted").scalar().alias("predicted"))
 
 
 def group_median_rpm(training: DataFrame, holdout: DataFrame, group: str = "equipment",
                      target: str = K.TARGET, distance: str = "distance",
-                     by: Sequence[str] = (), max_groups: int | None = None) -> DataFrame:
+                     by: Sequence[str] = ()) -> DataFrame:
     """Rate-per-mile median of the holdout row's group x distance; global rpm median fallback.
 
     Group keys use the one category normaliser (documented deviation: the original only
@@ -46,12 +43,9 @@ def group_median_rpm(training: DataFrame, holdout: DataFrame, group: str = "equi
     per_group = exact_quantiles(tr, by + ["__g"], "__rpm", [0.5], ["__m"])
     fallback = exact_quantiles(tr, by, "__rpm", [0.5], ["__f"])
     hold = holdout.withColumn("__g", normalise_category(group))
-    # Broadcast only with a caller-proven bound on the groups; otherwise AQE picks the
-    # join at run time from the measured size of the (aggregated) medians table.
-    lookup = _small(hold, per_group, max_groups) if max_groups is not None else per_group
-    hold = hold.join(lookup, by + ["__g"], "left")
+    hold = hold.join(counted_lookup(per_group, "group_medians"), by + ["__g"], "left")
     if by:
-        hold = hold.join(fallback, by, "left")
+        hold = hold.join(counted_lookup(fallback, "fallback_medians"), by, "left")
     else:
         hold = hold.select("*", fallback.select("__f").scalar().alias("__f"))
     return (hold.withColumn("predicted", F.coalesce(F.col("__m"), F.col("__f")) * to_double(distance))

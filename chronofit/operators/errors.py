@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.features import distance_band
 from ..functions.metrics import error_terms, regression_aggs
+from .lookup import counted_lookup
 from .ranking import exact_quantiles
 
 SEGMENT_DIMENSIONS = ["month", "distance_band", "equipment", "target_band", "route_status", "city_status"]
@@ -43,8 +44,9 @@ def holdout_errors(predicted: DataFrame, training: DataFrame, actual: str = K.TA
         .withColumn("__sd", F.lit(1))
     edges = exact_quantiles(rows, [], "actual", K.TARGET_BAND_QUANTILES, ["__q1", "__q3"])
     q1, q3 = edges.select("__q1").scalar(), edges.select("__q3").scalar()
-    tagged = (rows.join(train_routes, "__route", "left").join(pickups, "__p", "left")
-              .join(deliveries, "__d", "left"))
+    tagged = (rows.join(counted_lookup(train_routes, "route_counts"), "__route", "left")
+              .join(counted_lookup(pickups, "pickup_cities"), "__p", "left")
+              .join(counted_lookup(deliveries, "delivery_cities"), "__d", "left"))
     rc = F.coalesce(F.col("__rc"), F.lit(0))
     t = error_terms("actual", "predicted")
     return tagged.select(

@@ -114,10 +114,13 @@ def test_state_is_leakage_safe(spark):
     from chronofit.plans.context import context
     c = context(spark, SF_SMALL)
     a = fit(c.training, checkpoint=False)
-    # dropping every holdout row from the input changes nothing: the state sees training rows only
-    b = fit(c.development.where(F.col("date") < F.lit(c.outer.cutoff)), checkpoint=False)
+    # other holdout rows change neither the training part nor its state
+    cut = F.col("date") >= F.lit(c.outer.cutoff)
+    odd = c.development.withColumn("weight", F.when(cut, F.lit(1e9)).otherwise(F.col("weight"))).withColumn(
+        "equipment", F.when(cut, F.lit("Other")).otherwise(F.col("equipment")))
+    b = fit(c.outer.training(odd), checkpoint=False)
     assert a.reference_date == b.reference_date and a.rows == b.rows and a.medians == b.medians
-    assert a.counts.exceptAll(b.counts).count() == 0
+    assert a.counts.exceptAll(b.counts).count() == 0 and fit(odd, checkpoint=False).medians != a.medians
 
 
 def test_missing_predictions_never_win(spark):
