@@ -1,7 +1,7 @@
 """Data audit (A1-A17, A25, P18, P25, P26): one-pass aggregates over raw tables.
 
-Per-column statistics are computed by unpivoting (``explode`` of an array of structs)
-and grouping once, instead of one pass per statistic and column.  Quantiles are
+Per-column statistics are one wide aggregate per table whose single row is unpivoted;
+rows are exploded only where values have to be sorted.  Quantiles are
 exact and skew-aware (``exact_quantiles``).  Raw values are used as in the original
 audit: weight statistics use |weight|, coordinates are checked as given.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,20 @@ def _long(df: DataFrame, dataset: str, cols: Sequence[str], value) -> DataFrame:
     ])).alias("kv")).select("kv.*")
 
 
+def _wide(df: DataFrame, dataset: str, cols: Sequence[str], stats) -> DataFrame:
+    """(dataset, column, statistics...): all columns in one aggregate, whose single row is unpivoted."""
+    one = df.agg(*[F.struct(F.lit(dataset).alias("dataset"), F.lit(c).alias("column"), *stats(c)).alias(f"__{i}")
+                   for i, c in enumerate(cols)])
+    return one.select(F.explode(F.array(*[F.col(f"__{i}") for i in range(len(cols))])).alias("kv")).select("kv.*")
+
+
+def _stacked(parts: Sequence[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def missing_values(tables: dict[str, DataFrame]) -> DataFrame:
     """A1: (dataset, column, missing_count, missing_percent) for every column of every table."""
     parts = []
@@ -38,43 +52,41 @@ def missing_values(tables: dict[str, DataFrame]) -> DataFrame:
             col = F.col(c)
             dt = df.schema[c].dataType
             miss = col.isNull() | F.isnan(col) if isinstance(dt, (T.DoubleType, T.FloatType)) else col.isNull()
-            return [miss.cast("int").alias("m")]
-        long = _long(df, name, df.columns, missing)
-        parts.append(long.groupBy("dataset", "column").agg(F.sum("m").cast("long").alias("missing_count"),
-                                                          F.count(F.lit(1)).alias("__n")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("dataset", "column", "missing_count",
-                      (F.lit(100.0) * F.col("missing_count") / F.col("__n")).alias("missing_percent"))
+            return [F.count_if(miss).alias("missing_count"), F.count(F.lit(1)).alias("__n")]
+        parts.append(_wide(df, name, df.columns, missing))
+    return _stacked(parts).select("dataset", "column", "missing_count",
+                                  F.try_divide(F.lit(100.0) * F.col("missing_count"), F.col("__n")).alias("missing_percent"))
 
 
 def numeric_summary(tables: dict[str, DataFrame], cols: Sequence[str] = AUDIT_NUMERICS) -> DataFrame:
     """A2/P25: count, mean, std, min, median, p95, max (|weight| for weight), missing, non_positive."""
-    parts = []
+    bases, longs = [], []
     for name, df in tables.items():
-        def vals(c, df=df):
+        def value(c, df=df):
             raw = to_double(c, df.schema[c].dataType)
-            stat = F.abs(raw) if c == "weight" else raw
-            return [stat.alias("v"), raw.alias("raw")]
-        parts.append(_long(df, name, cols, vals))
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
-    return numeric_summary_long(long)
+            return (F.abs(raw) if c == "weight" else raw), raw
+        bases.append(_wide(df, name, cols, lambda c, value=value: _summary_stats(*value(c))))
+        longs.append(_long(df, name, cols, lambda c, value=value: [value(c)[0].alias("v")]))
+    return _with_quantiles(_stacked(bases), _stacked(longs))
 
 
-def numeric_summary_long(long: DataFrame) -> DataFrame:
-    """A2 over a long table (dataset, column, v = summarised value, raw = value as given)."""
-    base = long.groupBy("dataset", "column").agg(
-        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"),
-        F.count_if(F.col("raw").isNull()).alias("missing"), F.count_if(F.col("raw") <= 0).alias("non_positive"))
+def _summary_stats(v: Column, raw: Column) -> list[Column]:
+    return [F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
+            F.max(v).alias("max"), F.count_if(raw.isNull()).alias("missing"), F.count_if(raw <= 0).alias("non_positive")]
+
+
+def _with_quantiles(base: DataFrame, long: DataFrame) -> DataFrame:
     q = exact_quantiles(long, ["dataset", "column"], "v", [0.5, 0.95], ["median", "p95"])
     return base.join(q, ["dataset", "column"], "left").select(
         "dataset", "column", "count", "mean", "std", "min", "median", "p95", "max", "missing", "non_positive")
 
 
+def numeric_summary_long(long: DataFrame) -> DataFrame:
+    """A2 over a long table (dataset, column, v = summarised value, raw = value as given)."""
+    base = long.groupBy("dataset", "column").agg(*_summary_stats(F.col("v"), F.col("raw")))
+    return _with_quantiles(base, long)
+
+
 def category_shift(development: DataFrame, validation: DataFrame,
                    cols: Sequence[str] = AUDIT_CATEGORIES) -> DataFrame:
     """Uniques on both sides, unseen validation categories (sorted, ' | '-joined)
@@ -98,16 +110,15 @@ def category_shift(development: DataFrame, validation: DataFrame,
 def distribution_shift(development: DataFrame, validation: DataFrame,
                        cols: Sequence[str] = AUDIT_NUMERICS, flag: float = K.SHIFT_FLAG_SMD) -> DataFrame:
     """Means, standardised mean difference (pooled sample variance; 0 if pooled <= 0)."""
-    def vals(df):
-        return lambda c: [(F.abs(to_double(c, df.schema[c].dataType)) if c == "weight"
-                           else to_double(c, df.schema[c].dataType)).alias("v")]
-    long = _long(development, "development", cols, vals(development)).unionByName(
-        _long(validation, "validation", cols, vals(validation)))
-    dev, val = F.col("dataset") == "development", F.col("dataset") == "validation"
-    agg = long.groupBy("column").agg(
-        F.avg(F.when(dev, F.col("v"))).alias("development_mean"),
-        F.avg(F.when(val, F.col("v"))).alias("validation_mean"),
-        F.var_samp(F.when(dev, F.col("v"))).alias("__vd"), F.var_samp(F.when(val, F.col("v"))).alias("__vv"))
+    def stats(df, side, var):
+        def of(c):
+            v = to_double(c, df.schema[c].dataType)
+            v = F.abs(v) if c == "weight" else v
+            return [F.avg(v).alias(side), F.var_samp(v).alias(var)]
+        return of
+    dev = _wide(development, "development", cols, stats(development, "development_mean", "__vd")).drop("dataset")
+    val = _wide(validation, "validation", cols, stats(validation, "validation_mean", "__vv")).drop("dataset")
+    agg = dev.join(val, "column")
     pooled = F.sqrt((F.col("__vd") + F.col("__vv")) / 2)
     smd = F.when(pooled > 0, (F.col("validation_mean") - F.col("development_mean")) / pooled).otherwise(F.lit(0.0))
     return agg.select(F.col("column").alias("feature"), "development_mean", "validation_mean",
