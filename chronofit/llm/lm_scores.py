@@ -3,10 +3,11 @@
 score(w | v) = c(v w) / c(v) if c(v w) >= ``MIN_COUNT``, else ``BACKOFF`` * c(w) / N; the first
 word of a text is scored by c(w) / N.  Counts cover all texts.
 
-* One pass explodes the texts, chunk by chunk, into the chunk's distinct n-grams with
-  their counts there, dealt to buckets by hash: a chunk holds an n-gram once, however
-  often or in however many copies it occurs, so no n-gram is hot.  Sorted hashes are
-  packed as compressed differences: a shuffled n-gram takes a few bytes.
+* The texts are written once as compressed chunks of a few megabytes.
+* A chunk is exploded into its distinct n-grams with their counts there, dealt to buckets
+  by hash: a chunk holds an n-gram once, however often or in however many copies it
+  occurs, so no n-gram is hot.  Sorted hashes are packed as compressed differences: a
+  shuffled n-gram takes a few bytes.
 * A bucket's task adds up the counts, which is its part of the count table, and joins
   them back to the chunks that asked.
 * A chunk's task joins the counts to its texts' words and sums the logarithms per text.
@@ -23,17 +24,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
-from .textarrays import chunks, mix64, word_hashes
+from .textarrays import chunks, mix64, releasing, releasing_groups, word_hashes
 
 BACKOFF = 0.4
 MIN_COUNT = 2
 #: UTF-8 bytes of text whose n-grams are taken together.
-CHUNK_TEXT = 16 << 20
+CHUNK_TEXT = 4 << 20
 #: Bits of a hash that are kept beside the bucket number.
 KEPT_BITS = 48
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
@@ -72,42 +74,49 @@ def _unplanes(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zlib.decompress(blob), np.uint8).reshape(8, -1).T).view("<u8").reshape(-1)
 
 
-_MAP = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary()), ("text", pa.string())])
+def _chunk_texts(row: dict) -> pa.Array:
+    """The texts of a stored chunk."""
+    data = zstandard.ZstdDecompressor().decompress(row["texts"], max_output_size=max(1, sum(row["sizes"])))
+    offsets = np.concatenate([[0], np.cumsum(row["sizes"])]).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(row["sizes"]), pa.py_buffer(offsets), pa.py_buffer(data))
+
+
+def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, text) to one row per chunk: its number, ids, sizes in bytes and compressed texts."""
+    def flush() -> pa.RecordBatch:
+        packed = zstandard.ZstdCompressor(level=6).compress(b"".join(texts))
+        return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([ids], pa.list_(id_type)), pa.array([sizes], pa.list_(pa.int64())),
+                                           pa.array([packed], pa.binary())], ["chunk", "ids", "sizes", "texts"])
+    number, ids, sizes, texts, held, id_type = TaskContext.get().partitionId() << 24, [], [], [], 0, pa.int64()
+    for batch in batches:
+        id_type = batch.schema.field(0).type
+        keys = batch.column(0).to_pylist()
+        for first, end, data, offsets in chunks(batch.column(1)):
+            ids += keys[first:end]
+            sizes += np.diff(offsets).tolist()
+            texts.append(data.tobytes())
+            held += len(data)
+            if held >= CHUNK_TEXT:
+                yield flush()
+                number, ids, sizes, texts, held = number + 1, [], [], [], 0
+    if ids:
+        yield flush()
 
 
 def _explode(buckets: int):
-    def flush(chunk: int, parts: list[pa.RecordBatch], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-        ids = pa.chunked_array([p.column(0) for p in parts], id_type).combine_chunks()
-        texts = pa.chunked_array([p.column(1) for p in parts]).combine_chunks()
-        n = len(texts)
-        names = ["id", *_MAP.names]
-        for first in range(0, n, 1000):  # the texts themselves, tagged with their chunk
-            m = min(1000, n - first)
-            yield pa.RecordBatch.from_arrays([ids.slice(first, m), pa.array(np.full(m, chunk)), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()),
-                                              pa.nulls(m, pa.binary()), texts.slice(first, m).cast(pa.string())], names)
-        _, word, pair, starts = ngrams(texts)
-        distinct, counts, _, _ = keyed(word, pair, starts, buckets)
-        bucket = (distinct >> np.uint64(KEPT_BITS)).astype(np.int32)
-        kept = distinct & np.uint64((1 << KEPT_BITS) - 1)
-        used, begin = np.unique(bucket, return_index=True)
-        blobs = [(_planes(np.diff(h, prepend=np.uint64(0))), _planes(c))
-                 for h, c in zip(np.split(kept, begin[1:]), np.split(counts, begin[1:]))] if len(used) else []
-        m = len(used)
-        yield pa.RecordBatch.from_arrays([pa.nulls(m, id_type), pa.array(np.full(m, chunk)), pa.array(used), pa.array([b[0] for b in blobs], pa.binary()),
-                                          pa.array([b[1] for b in blobs], pa.binary()), pa.nulls(m, pa.string())], names)
-
+    """Stored chunks to one row per chunk and bucket: the n-grams' hashes and counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, parts, held, id_type = TaskContext.get().partitionId() << 24, [], 0, None
         for batch in batches:
-            id_type = batch.schema.field(0).type
-            for first, end, data, _ in chunks(batch.column(1)):
-                parts.append(batch.slice(first, end - first))
-                held += len(data)
-                if held >= CHUNK_TEXT:
-                    yield from flush(number, parts, id_type)
-                    number, parts, held = number + 1, [], 0
-        if parts:
-            yield from flush(number, parts, id_type)
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                _, word, pair, starts = ngrams(_chunk_texts(row))
+                distinct, counts, _, _ = keyed(word, pair, starts, buckets)
+                kept = distinct & np.uint64((1 << KEPT_BITS) - 1)
+                used, begin = np.unique((distinct >> np.uint64(KEPT_BITS)).astype(np.int32), return_index=True)
+                parts = zip(np.split(kept, begin[1:]), np.split(counts, begin[1:])) if len(used) else ()
+                blobs = [(_planes(np.diff(h, prepend=np.uint64(0))), _planes(c)) for h, c in parts]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(used), row["chunk"])), pa.array(used), pa.array([b[0] for b in blobs], pa.binary()),
+                                                  pa.array([b[1] for b in blobs], pa.binary())], ["chunk", "bucket", "hashes", "counts"])
     return run
 
 
@@ -123,12 +132,11 @@ def _count(table: pa.Table) -> pa.Table:
 
 
 def _score(buckets: int, words: int, backoff: float, min_count: int):
-    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        n = texts.num_rows
-        if not n:
-            return pa.table({"id": texts.column("id"), "n_words": pa.array([], pa.int64()), "n_backoffs": pa.array([], pa.int64()),
-                             "log_score": pa.array([], pa.float64())})
-        row, word, pair, starts = ngrams(texts.column("text").combine_chunks())
+    def run(stored: pa.Table, answers: pa.Table) -> pa.Table:
+        record = stored.to_pylist()[0]
+        texts, ids = _chunk_texts(record), pa.array(record["ids"], stored.schema.field("ids").type.value_type)
+        n = len(texts)
+        row, word, pair, starts = ngrams(texts)
         _, _, word_at, pair_at = keyed(word, pair, starts, buckets)
         parts = sorted(zip(answers.column("bucket").to_pylist(), answers.column("totals").to_pylist()))
         totals = np.concatenate([_unplanes(b) for _, b in parts]).astype(np.float64) if parts else np.zeros(0)
@@ -141,8 +149,7 @@ def _score(buckets: int, words: int, backoff: float, min_count: int):
         size = np.bincount(row, minlength=n)
         sums = np.bincount(row, logs, minlength=n).astype(np.float64)
         back = np.bincount(row, ~seen & ~starts, minlength=n).astype(np.int64)
-        return pa.table({"id": texts.column("id"), "n_words": pa.array(size), "n_backoffs": pa.array(back),
-                         "log_score": pa.array(sums, mask=size == 0)})
+        return pa.table({"id": ids, "n_words": pa.array(size), "n_backoffs": pa.array(back), "log_score": pa.array(sums, mask=size == 0)})
     return run
 
 
@@ -153,14 +160,13 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     src = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = src.schema["id"].dataType.simpleString()
-    rows = materialise(src.mapInArrow(
-        _explode(buckets), f"id {kind}, chunk bigint, bucket int, hashes binary, counts binary, text string"), "lm-chunks")
-    texts = rows.filter(F.col("bucket").isNull()).select("id", "chunk", "text")
-    asked = rows.filter(F.col("bucket").isNotNull()).select("chunk", "bucket", "hashes", "counts")
-    answers = asked.groupBy("bucket").applyInArrow(_count, "chunk bigint, bucket int, totals binary")
+    stored = materialise(src.mapInArrow(releasing(_store), f"chunk bigint, ids array<{kind}>, sizes array<bigint>, texts binary"), "lm-chunks")
+    asked = stored.select("chunk", "sizes", "texts").mapInArrow(releasing(_explode(buckets)), "chunk bigint, bucket int, hashes binary, counts binary")
+    answers = asked.groupBy("bucket").applyInArrow(releasing_groups(_count), "chunk bigint, bucket int, totals binary")
     words = src.agg(F.sum(F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+"))).alias("n")).first()["n"] or 0
-    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        _score(buckets, int(words), backoff, min_count), f"id {kind}, n_words bigint, n_backoffs bigint, log_score double")
+    answers = answers.toDF("of_chunk", "bucket", "totals")
+    return stored.groupBy("chunk").cogroup(answers.groupBy("of_chunk")).applyInArrow(
+        releasing_groups(_score(buckets, int(words), backoff, min_count)), f"id {kind}, n_words bigint, n_backoffs bigint, log_score double")
 
 
 def oracle_sql(backoff: float = BACKOFF, min_count: int = MIN_COUNT) -> str:

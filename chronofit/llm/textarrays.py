@@ -8,12 +8,15 @@ every executor.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import inspect
+import time
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _TABLE = np.random.default_rng(71).integers(1, 1 << 64, 256, dtype=np.uint64)
@@ -26,6 +29,55 @@ _PLACES = np.random.default_rng(72).integers(1, 1 << 63, 64, dtype=np.uint64) *
 _powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
+_trimmed = [0.0]
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system, at most once a second.
+
+    A Python worker serves many tasks; what one of them has freed would otherwise stay
+    with the process and add up with its neighbours' on the executor.
+    """
+    now = time.monotonic()
+    if now - _trimmed[0] >= 1.0:
+        _trimmed[0] = now
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
+def releasing(run: Callable) -> Callable:
+    """An Arrow map function that releases memory after each batch."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch
+            del batch
+            release_memory()
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(each(batches))
+        _trimmed[0] = 0.0
+        release_memory()
+    return wrapped
+
+
+def releasing_groups(run: Callable) -> Callable:
+    """A grouped or cogrouped Arrow function that releases memory after each group."""
+    if len(inspect.signature(run).parameters) == 1:
+        def one(table: pa.Table) -> pa.Table:
+            out = run(table)
+            release_memory()
+            return out
+        return one
+
+    def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = run(left, right)
+        release_memory()
+        return out
+    return two
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective mixing of 64-bit values."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
