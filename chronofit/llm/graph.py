@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
+from .textarrays import releasing
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,7 +50,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     component ever has to fit in one task.
     """
     links = links.select("a", "b").filter(F.col("a") != F.col("b"))
-    forest = links.mapInArrow(_forest, links.schema).distinct()
+    forest = links.mapInArrow(releasing(_forest), links.schema).distinct()
     current, seen = materialise(forest, name), None
     while True:
         state = current.agg(F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40))).alias("h")).first()

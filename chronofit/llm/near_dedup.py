@@ -8,9 +8,9 @@
 3. Similarity is verified on the full sets; links give components.
 4. A bucket whose classes are still in several components holds unverified pairs.  A
    class that cannot reach the threshold there is proved so by its own shingles: those
-   no other open class has cannot be shared.  Only the rest is compared pairwise, across
-   components.  So every candidate pair is verified, implied by a component, or proved
-   below the threshold.
+   no other open class has cannot be shared.  The rest outside a cluster's largest
+   component is compared with the whole cluster in blocks, which return links only.  So
+   every candidate pair is verified, implied by a component, or proved below.
 
 With 20 bands of 4 rows a pair at the threshold 0.85 shares no band with probability
 4e-7; signatures restrict which pairs are looked at and never decide a link.
@@ -31,10 +31,12 @@ from pyspark.sql import functions as F
 
 from .common import WORD, broadcast_if_small, materialise
 from .graph import components
-from .textarrays import chunks, mix64, shingle_sets
+from .textarrays import chunks, mix64, releasing, releasing_groups, shingle_sets
 
 BANDS, ROWS = 20, 4
 SLOTS = BANDS * ROWS
+#: Classes on the two sides of a compared block.
+FEW, BLOCK = 32, 512
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _STEPS = np.arange(1, 1 << 12, dtype=np.uint64) * _GOLD
 _BAND = np.random.default_rng(73).integers(1, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -135,12 +137,83 @@ def _can_reach(inter: Column, a: Column, b: Column, percent: int) -> Column:
     return 100 * inter >= percent * (a + b - inter)
 
 
+def _able(members: DataFrame, percent: int) -> DataFrame:
+    """The members (key, set_id, n, common) that could be linked with the smallest class of their bucket."""
+    least = members.groupBy("key").agg(F.min("n").alias("least_n"))
+    partner = F.greatest(F.col("least_n"), F.col("common"))
+    return members.join(least, "key").filter(_can_reach(F.col("common"), F.col("n"), partner, percent)).select("key", "set_id", "n", "common")
+
+
 def links(pairs: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of set ids whose full sets reach the similarity."""
     a = shingles.select(F.col("set_id").alias("a"), F.col("shingles").alias("sa"))
     b = shingles.select(F.col("set_id").alias("b"), F.col("shingles").alias("sb"))
     return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(
-        _verify(percent), "a binary, b binary")
+        releasing(_verify(percent)), "a binary, b binary")
+
+
+def _open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members (key, set_id, ...) with their root, of the buckets that lie in several components."""
+    placed = members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
+    return placed.join(several, "key")
+
+
+def _compare_blocks(percent: int):
+    """A block of apart classes against a block of their cluster: links by counting common shingles."""
+    def run(few: pa.Table, many: pa.Table) -> pa.Table:
+        out_a, out_b = [], []
+        if few.num_rows and many.num_rows:
+            x, y = ([np.frombuffer(v.as_buffer(), np.uint64) for v in t.column(c).combine_chunks()]
+                    for t, c in ((few, "shingles"), (many, "shingles_m")))
+            nx, ny = np.array([len(s) for s in x]), np.array([len(s) for s in y])
+            tokens, owner = np.concatenate(x), np.repeat(np.arange(len(x)), nx)
+            order = np.argsort(tokens, kind="stable")
+            tokens, owner = tokens[order], owner[order]
+            ids = [few.column("set_id").to_pylist(), many.column("set_id_m").to_pylist()]
+            for j, s in enumerate(y):
+                lo, hi = np.searchsorted(tokens, s, "left"), np.searchsorted(tokens, s, "right")
+                found = np.repeat(lo, hi - lo) + np.arange((hi - lo).sum()) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)
+                common = np.bincount(owner[found], minlength=len(x))
+                for i in np.flatnonzero(100 * common >= percent * (nx + ny[j] - common)):
+                    if ids[0][i] != ids[1][j]:
+                        out_a.append(min(ids[0][i], ids[1][j]))
+                        out_b.append(max(ids[0][i], ids[1][j]))
+        return pa.table({"a": pa.array(out_a, pa.binary()), "b": pa.array(out_b, pa.binary())})
+    return run
+
+
+def _across(apart: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
+    """Links between classes of different components that share a bucket.
+
+    Buckets that share a class form a cluster.  The classes outside a cluster's largest
+    component are compared with all of the cluster, block by block; only links come out.
+    """
+    first = apart.groupBy("key").agg(F.min("set_id").alias("b"))
+    cluster = components(apart.join(first, "key").select(F.col("set_id").alias("a"), "b").distinct(), "near-clusters")
+    placed = materialise(apart.select("set_id", "root").distinct().join(cluster.withColumnRenamed("node", "set_id").withColumnRenamed(
+        "root", "cluster"), "set_id"), "near-clustered")
+    main = placed.groupBy("cluster", "root").agg(F.count("*").alias("size")).groupBy("cluster").agg(
+        F.max(F.struct("size", "root")).alias("m"), F.sum("size").alias("total"))
+    main = main.select("cluster", F.col("m.root").alias("main"), F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks"),
+                       F.greatest(F.lit(1), F.ceil((F.col("total") - F.col("m.size")) / FEW)).cast("int").alias("fews"))
+    ready = placed.join(main, "cluster").join(shingles, "set_id")
+    at = F.xxhash64("set_id")
+    few = ready.filter(F.col("root") != F.col("main")).select(
+        "cluster", "set_id", "shingles", F.pmod(at, F.col("fews")).cast("int").alias("few"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    many = ready.select("cluster", "set_id", "shingles", F.explode(F.sequence(F.lit(0), F.col("fews") - 1)).alias("few"),
+                        F.pmod(at, F.col("blocks")).cast("int").alias("block"))
+    many = many.toDF("cluster_m", "set_id_m", "shingles_m", "few_m", "block_m")
+    return few.groupBy("cluster", "few", "block").cogroup(many.groupBy("cluster_m", "few_m", "block_m")).applyInArrow(releasing_groups(_compare_blocks(percent)), "a binary, b binary").distinct()
+
+
+def _with_links(roots: DataFrame, more: DataFrame, name: str) -> DataFrame:
+    """The components after further links (a, b)."""
+    more = materialise(more, name)
+    if more.isEmpty():
+        return roots
+    return materialise(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)), f"{name}-roots")
 
 
 def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
@@ -177,7 +250,7 @@ def _grouped(df: DataFrame, id_col: str, text_col: str, k: int, percent: int, lo
     rows = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), text.alias("t"))
     id_type = rows.schema["id"].dataType.simpleString()
     signed = materialise(rows.mapInArrow(
-        _signatures(k, lower), f"id {id_type}, text_key bigint, n bigint, set_id binary, bands array<bigint>"), "near-signatures")
+        releasing(_signatures(k, lower)), f"id {id_type}, text_key bigint, n bigint, set_id binary, bands array<bigint>"), "near-signatures")
 
     # one class per distinct set
     classes = signed.filter("n > 0").groupBy("set_id").agg(
@@ -196,39 +269,25 @@ def _grouped(df: DataFrame, id_col: str, text_col: str, k: int, percent: int, lo
     wanted = members.groupBy("set_id").agg(F.first("text_key").alias("text_key")).select("text_key")
     chosen = rows.select("text_key", "t").join(broadcast_if_small(wanted), "text_key", "left_semi")
     one_each = chosen.groupBy("text_key").agg(F.min("t").alias("t")).select("t")
-    shingles = materialise(one_each.mapInArrow(_sets(k, lower), "set_id binary, shingles binary"), "near-sets")
+    shingles = materialise(one_each.mapInArrow(releasing(_sets(k, lower)), "set_id binary, shingles binary"), "near-sets")
 
     found = materialise(links(star, shingles, percent), "near-links")
     roots = materialise(components(found), "near-roots")
 
     # buckets that are still in several components and hold unverified pairs
-    placed = members.filter("members > 2").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
-        "root", F.coalesce("root", "set_id"))
-    open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
-    open_ = materialise(placed.join(open_keys, "key").select("key", "set_id", "root", "n"), "near-open")
-    if open_.isEmpty():
-        all_roots = roots
-    else:
+    open_ = materialise(_open_members(members.filter("members > 2").select("key", "set_id", "n"), roots), "near-open")
+    if not open_.isEmpty():
         tokens = shingles.join(open_.select("set_id").distinct(), "set_id", "left_semi").mapInArrow(
-            _tokens, "set_id binary, token bigint")
+            releasing(_tokens), "set_id binary, token bigint")
         own = tokens.groupBy("token").agg(F.count("*").alias("c"), F.min("set_id").alias("set_id")).filter("c = 1")
         own = own.groupBy("set_id").agg(F.count("*").alias("own"))
-        able = (open_.join(own, "set_id", "left").withColumn("common", F.col("n") - F.coalesce("own", F.lit(0)))
-                .filter(_can_reach(F.col("common"), F.col("n"), F.col("common"), percent)))
-        able = materialise(able.select("key", "set_id", "root", "n", "common"), "near-able")
-        x, y = able.alias("x"), able.alias("y")
-        pairs = (x.join(y, F.col("x.key") == F.col("y.key")).filter(
-            (F.col("x.set_id") < F.col("y.set_id")) & (F.col("x.root") != F.col("y.root"))
-            & _can_reach(F.least("x.common", "y.common"), F.col("x.n"), F.col("y.n"), percent))
-            .select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct())
-        pairs = pairs.join(star, ["a", "b"], "left_anti")
-        more = materialise(links(pairs, shingles, percent), "near-more-links")
-        all_roots = roots if more.isEmpty() else materialise(
-            components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more.select("a", "b"))), "near-all-roots")
+        able = _able(open_.join(own, "set_id", "left").withColumn("common", F.col("n") - F.coalesce("own", F.lit(0))), percent)
+        apart = materialise(_open_members(able, roots), "near-apart")
+        roots = _with_links(roots, _across(apart, shingles, percent), "near-more-links")
 
     # the smallest id of each component
     of_set = signed.filter("n > 0").groupBy("set_id").agg(F.min("id").alias("id"))
-    tops = (of_set.join(all_roots.withColumnRenamed("node", "set_id"), "set_id", "left")
+    tops = (of_set.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
             .withColumn("root", F.coalesce("root", "set_id")))
     least = tops.groupBy("root").agg(F.min("id").alias("component_id"))
     labels = tops.select("set_id", "root").join(least, "root")
