@@ -23,14 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textarrays import CHUNK_BYTES
+from .textarrays import CHUNK_BYTES, releasing
 
 DIMENSIONS = 1024
 GRAM = 3
 SEED = 41
 UNKNOWN = "und"
 #: Different n-grams that are turned into vectors at once.
-BLOCK = 8192
+BLOCK = 2048
 _letters: dict[int, np.ndarray] = {}
 _alpha = np.full(0x110000, -1, np.int8)  # 1: letter, 0: not, -1: not looked up yet
 
@@ -118,7 +118,7 @@ def learn_prototypes(train: DataFrame, lang_col: str = "lang", text_col: str = "
     """Unit prototype per language.  The sums are whole numbers, so their order does not matter."""
     rows = train.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull())
-    parts = rows.mapInArrow(_bundle, "lang string, vector array<double>")
+    parts = rows.mapInArrow(releasing(_bundle), "lang string, vector array<double>")
     sums = (parts.select("lang", F.posexplode("vector").alias("i", "v")).groupBy("lang", "i").agg(F.sum("v").alias("v"))
             .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("x")).select("lang", "x.v"))
     out = {r["lang"]: np.array(r["v"], np.float64) for r in sums.collect()}
@@ -149,7 +149,7 @@ def identify(df: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "
             columns = [batch.column(c) for c in kept] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "lang_pred", "score"])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name != "__text")
-    return src.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return src.mapInArrow(releasing(run), f"{schema}, lang_pred string, score double")
 
 
 def held_out(id_column: Column) -> Column:

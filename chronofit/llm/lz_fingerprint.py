@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
-from .textarrays import mix64, _power
+from .textarrays import mix64, releasing, _power
 
 SLOTS = 128
 EMPTY = bytes(SLOTS)
@@ -157,14 +157,14 @@ def fingerprint_documents(df: DataFrame, id_col: str = "doc_id", text_col: str =
         F.spark_partition_id().alias("part"), "id", "text")
     id_type = src.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, {_OUT}"
-    rows = materialise(placed.mapInArrow(_scan, schema), "lz-rows")
+    rows = materialise(placed.mapInArrow(releasing(_scan), schema), "lz-rows")
     # the partition after each one; as many numbers as partitions
     used = sorted(r["part"] for r in rows.filter(F.col("place") == FIRST).select("part").collect())
     after = spark.createDataFrame([(p, used[(i + 1) % len(used)]) for i, p in enumerate(used)], "part int, next_part int")
     heads = rows.filter(F.col("place") == FIRST).select(
         F.col("part").alias("next_part"), F.col("text").alias("following"), F.col("fingerprint").alias("next_own"))
     last = rows.filter(F.col("place") == LAST).join(after, "part").join(heads, "next_part").select(
-        "id", "text", "fingerprint", "following", "next_own").mapInArrow(_close, schema)
+        "id", "text", "fingerprint", "following", "next_own").mapInArrow(releasing(_close), schema)
     done = rows.filter(F.col("place") == MIDDLE).unionByName(last)
     return done.select("id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"),
                        F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
