@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,16 +32,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
-from .textarrays import chunks
+from .textarrays import chunks, releasing, releasing_groups
 
 CAPACITY = 2048
 END_ID = 0
 GROUP_PIECES = 8192
 #: Bin completion gives up and keeps its incumbent after this many nodes per piece.
-NODES_PER_PIECE = 4
+NODES_PER_PIECE = 0.25
 #: Fillings tried at a node, and largest partners scanned to find them.
 WIDTH, SCAN = 4, 96
-CACHE_WORDS = 600_000
+CACHE_WORDS = 700_000
+#: Marks that end many words, none of them part of a contraction.
+_MARKS = b".,;:!?*$%&#"
 _caches: dict[str, tuple] = {}
 
 
@@ -53,19 +57,34 @@ def _tokenizer(path: str) -> tuple:
     return _caches[path]
 
 
+def _stem(word: bytes) -> bytes:
+    """The lower-case word without marks at its end that the tokenizer always splits off.
+
+    They are split off behind a letter or digit; anything else keeps them.
+    """
+    stem = word.rstrip(_MARKS)
+    if not stem or not (stem[-1] < 128 and stem[-1:].isalnum() or stem[-1] >= 128 and stem.decode("utf-8")[-1].isalpha()):
+        stem = word
+    return stem.lower()  # ASCII letters only; the tokenizer lower-cases too
+
+
 def encode(path: str, texts: list[bytes]) -> Iterator[bytes]:
     """Ids of each UTF-8 text, as little-endian 32-bit numbers, without special tokens."""
     tokenizer, cache = _tokenizer(path)
     split = [t.split() for t in texts]  # bytes split at ASCII white space only
-    fresh = {w for words in split for w in words if w not in cache}
-    if len(cache) + len(fresh) > CACHE_WORDS:
+    fresh = set(chain.from_iterable(split)).difference(cache)
+    if len(cache) + 2 * len(fresh) > CACHE_WORDS:
         cache.clear()
-        fresh = {w for words in split for w in words}
-    new = list(fresh)
+        fresh = set(chain.from_iterable(split))
+    parts = {w: (stem := _stem(w), w[len(stem):]) for w in fresh}
+    new = list({x for pair in parts.values() for x in pair if x}.difference(cache))
     for w, e in zip(new, tokenizer.encode_batch([w.decode("utf-8") for w in new], add_special_tokens=False)):
-        cache[w] = np.array(e.ids, "<u4").tobytes()
+        cache[w] = array("I", e.ids).tobytes()
+    for w, (stem, marks) in parts.items():
+        if w not in cache:
+            cache[w] = cache[stem] + (cache[marks] if marks else b"")
     for words in split:
-        yield b"".join([cache[w] for w in words])
+        yield b"".join(map(cache.__getitem__, words))
 
 
 def _pieces(path: str, capacity: int, with_ids: bool):
@@ -167,7 +186,7 @@ def bin_completion(lengths: list[int], capacity: int) -> list[list[int]]:
     for x in lengths:
         counts[x] = counts.get(x, 0) + 1
     sizes = sorted(counts)
-    total, nodes = sum(lengths), NODES_PER_PIECE * len(lengths) + 64
+    total, nodes = sum(lengths), int(NODES_PER_PIECE * len(lengths)) + 256
 
     def take(x: int) -> None:
         counts[x] -= 1
@@ -236,7 +255,7 @@ def tokenize_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     """One row per piece: id, piece, start, length, ids_crc32, ids (null unless asked for)."""
     src = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(_pieces(tokenizer_path, capacity, with_ids),
+    return src.mapInArrow(releasing(_pieces(tokenizer_path, capacity, with_ids)),
                           f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, ids array<bigint>")
 
 
@@ -251,6 +270,6 @@ def pack_documents(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     rest = rest.withColumn("grp", F.pmod(F.xxhash64("row"), F.lit(groups)))
     names = [f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema if f.name not in ("grp", "row")]
     packed = rest.drop("row").groupBy("grp").applyInArrow(
-        _pack_group(capacity), ", ".join([*names, "sequence_id bigint", "offset bigint"]))
+        releasing_groups(_pack_group(capacity)), ", ".join([*names, "sequence_id bigint", "offset bigint"]))
     alone = full.withColumn("sequence_id", -F.col("row") - 1).withColumn("offset", F.lit(0).cast("long")).drop("row")
     return packed.unionByName(alone)
