@@ -40,14 +40,14 @@ from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, materialise
 from .suffix_anchors import PLACE_BITS, anchors
-from .textarrays import chunks, mix64, prefix_hash, span_hash
+from .textarrays import chunks, mix64, prefix_hash, releasing, releasing_groups, span_hash
 
 LENGTH = 100
 BATCHES = 3
 #: Edges of one suffix start that one task may hold; beyond, they are split by string.
 HOT_EDGES = 20_000
 #: Entries that a map task sorts at once.
-RUN_ENTRIES = 1_000_000
+RUN_ENTRIES = 400_000
 _REACH = np.uint64((1 << 14) - 1)  # low bits of the first hash hold how far the anchor's strings reach
 _PLACE = (1 << PLACE_BITS) - 1
 
@@ -263,11 +263,11 @@ class SuffixIndex:
         grown = 0
         while grown in self.levels:
             grown += 1
-        mapped = materialise(batch.mapInArrow(_map_runs(self.length, self.buckets), _SCHEMA), "suffix-runs")
+        mapped = materialise(batch.mapInArrow(releasing(_map_runs(self.length, self.buckets)), _SCHEMA), "suffix-runs")
         inputs = mapped.filter(F.col("kind") == RUN).select("bucket", "blob", F.lit(True).alias("is_new"), F.lit(True).alias("merges"))
         for i, level in self.levels.items():
             inputs = inputs.union(level.select("bucket", "blob", F.lit(False), F.lit(i < grown)))
-        scanned = materialise(inputs.groupBy("bucket").applyInArrow(_scan, _SCHEMA), "suffix-scan")
+        scanned = materialise(inputs.groupBy("bucket").applyInArrow(releasing_groups(_scan), _SCHEMA), "suffix-scan")
         self.levels = {i: level for i, level in self.levels.items() if i > grown}
         self.levels[grown] = scanned.filter(F.col("kind") == RUN)
         self.added += 1
@@ -329,17 +329,17 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     per_document = materialise(edges.groupBy("rank").agg(F.collect_list(F.struct("first_hash", "at", "reach")).alias("edges")), "suffix-edges")
     held = texts(long_enough.join(broadcast_if_small(per_document.select("rank")), "rank", "left_semi")).dropDuplicates(["rank"])
     contexts = materialise(held.join(per_document, "rank").select("rank", "text", "edges").mapInArrow(
-        _contexts(length), "first_hash bigint, place bigint, before int, bytes binary"), "suffix-contexts")
+        releasing(_contexts(length)), "first_hash bigint, place bigint, before int, bytes binary"), "suffix-contexts")
     sizes = contexts.groupBy("first_hash").agg(F.count("*").alias("n")).filter(F.col("n") > hot_edges).select("first_hash")
     hot = materialise(sizes, "suffix-hot")
     n_hot = hot.count()
     usual = contexts if not n_hot else contexts.join(broadcast_if_small(hot, n_hot), "first_hash", "left_anti")
     settled = usual.withColumn("grp", F.pmod(F.xxhash64("first_hash"), F.lit(16 * parts))).groupBy("grp").applyInArrow(
-        _settle(length), "rank bigint, lo int, hi int")
+        releasing_groups(_settle(length)), "rank bigint, lo int, hi int")
     ranges = repeated.unionByName(settled)
     if n_hot:
         strings = contexts.join(broadcast_if_small(hot, n_hot), "first_hash", "left_semi").mapInArrow(
-            _strings(length), "string bigint, place bigint")
+            releasing(_strings(length)), "string bigint, place bigint")
         strings = materialise(strings, "suffix-strings")
         least = strings.groupBy("string").agg(F.min("place").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
         later = strings.join(least, "string").filter(F.col("place") != F.col("least"))
@@ -348,7 +348,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     per_rank = materialise(ranges.groupBy("rank").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges")), "suffix-ranges")
     touched = texts(long_enough.join(broadcast_if_small(per_rank.select("rank")), "rank", "left_semi")).dropDuplicates(["rank"])
     cut = touched.join(per_rank, "rank").select("text_key", "text", "ranges").mapInArrow(
-        _cut, "text_key bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string")
+        releasing(_cut), "text_key bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string")
     cut = materialise(cut if with_text else cut.drop("kept_text"), "suffix-cut")
 
     plan = firsts.select("text_key", F.col("id").alias("first_id")).join(cut, "text_key", "left")
