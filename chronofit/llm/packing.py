@@ -37,8 +37,9 @@ from .textarrays import chunks, releasing, releasing_groups
 CAPACITY = 2048
 END_ID = 0
 GROUP_PIECES = 8192
-#: Bin completion gives up and keeps its incumbent after this many nodes per piece.
-NODES_PER_PIECE = 0.25
+#: Bin completion gives up and keeps its incumbent after this many nodes per sequence of the
+#: incumbent; a descent to a whole packing takes one node per sequence.
+NODES_PER_BIN = 4
 #: Fillings tried at a node, and largest partners scanned to find them.
 WIDTH, SCAN = 4, 96
 CACHE_WORDS = 700_000
@@ -144,7 +145,10 @@ def lower_bound(lengths: list[int], capacity: int) -> int:
 
 
 def fillings(sizes: list[int], counts: dict[int, int], room: int) -> list[tuple[int, ...]]:
-    """Undominated sets of up to three pieces that fit in ``room``, fullest first (at most ``WIDTH``)."""
+    """Undominated sets of pieces that fit in ``room``, fullest first (at most ``WIDTH``).
+
+    Two pieces are scanned for; what they leave is filled with the largest that fit.
+    """
     i = bisect_right(sizes, room)
     if not i:
         return [()]
@@ -152,7 +156,6 @@ def fillings(sizes: list[int], counts: dict[int, int], room: int) -> list[tuple[
     found = [(single,)]
     if single == room:
         return found
-    best = single
     for a in reversed(sizes[max(0, i - SCAN):i]):
         j = bisect_right(sizes, min(a, room - a))
         if j and sizes[j - 1] == a and counts[a] < 2:
@@ -160,18 +163,16 @@ def fillings(sizes: list[int], counts: dict[int, int], room: int) -> list[tuple[
         if not j:
             continue
         b = sizes[j - 1]
-        if a + b > single:  # else the single piece dominates
-            found.append((a, b))
-            best = max(best, a + b)
-        if best < room:
-            left = room - a - b
-            k = bisect_right(sizes, min(b, left))
-            while k and counts[sizes[k - 1]] <= (sizes[k - 1] == a) + (sizes[k - 1] == b):
-                k -= 1
-            if k:
-                found.append((a, b, sizes[k - 1]))
-                best = max(best, a + b + sizes[k - 1])
-        if best == room:
+        filling, left, used = (a, b), room - a - b, 1 + (a == b)
+        while left and (j := bisect_right(sizes, left, 0, j)):
+            x = sizes[j - 1]
+            n = min(counts[x] - (used if x == b else 0), left // x)
+            filling += (x,) * n
+            left -= n * x
+            j -= 1
+        if room - left > single:  # else the single piece dominates
+            found.append(filling)
+        if not left:
             break
     return sorted(set(found), key=lambda f: (-sum(f), len(f)))[:WIDTH]
 
@@ -186,7 +187,7 @@ def bin_completion(lengths: list[int], capacity: int) -> list[list[int]]:
     for x in lengths:
         counts[x] = counts.get(x, 0) + 1
     sizes = sorted(counts)
-    total, nodes = sum(lengths), int(NODES_PER_PIECE * len(lengths)) + 256
+    total, nodes = sum(lengths), NODES_PER_BIN * len(best) + 256
 
     def take(x: int) -> None:
         counts[x] -= 1

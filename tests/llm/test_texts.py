@@ -215,3 +215,18 @@ def test_bin_completion_is_valid_and_tight():
     assert extra <= 1
     # best-fit decreasing takes three bins here, two are enough
     assert len(packing.best_fit_decreasing([45, 35, 35, 30, 30, 25], 100)) == 3 and len(packing.bin_completion([45, 35, 35, 30, 30, 25], 100)) == 2
+
+
+def test_search_reaches_a_whole_packing_of_a_full_group(spark):
+    docs = [(r["text"] or "").encode() for r in read(spark, "/root/testdata/sf0.1", "documents", "doc_id", "text").orderBy("doc_id").collect()]
+    lengths = [n for ids in packing.encode(queries.tokenizer_path(), docs) if (n := (len(ids) // 4 + 1) % 2048)]
+    real = random.Random(0).sample(lengths, 8192)
+    rng = random.Random(1)
+    for group in (real, [rng.randint(20, 200) for _ in range(8192)]):
+        bins, bound = packing.bin_completion(group, 2048), packing.lower_bound(group, 2048)
+        assert sorted(itertools.chain(*bins)) == sorted(group) and all(sum(b) <= 2048 for b in bins)
+        # best-fit decreasing is not enough for these groups
+        assert len(bins) == bound < len(packing.best_fit_decreasing(group, 2048))
+    # far above the bound: a search that ends unfinished still has whole packings to choose from
+    group = [rng.randint(150, 400) for _ in range(8192)]
+    assert len(packing.bin_completion(group, 2048)) < len(packing.best_fit_decreasing(group, 2048))
