@@ -4,8 +4,8 @@ Every document draws an exponential key scaled by its quality weight
 (``-ln(u) / weight``); the documents of a source in key order are a weighted random
 order without replacement.  A source takes complete epochs first and then the prefix
 of that order that fits the rest of its word target.  What the prefix leaves is filled
-with later documents that fit, the largest first, from a fixed number of candidates (the
-first in key order of each size class).
+in the same order: each later document is taken if it fits what is then left, until no
+document of the source fits.
 
 Targets: sources in code-point order (null last) weigh 1, 2, 3, 1, ...; they share the
 budget (all words) by weight, and no source gets more than ``max_epochs`` times its
@@ -14,7 +14,10 @@ words; the excess goes to the others by weight (water filling on the per-source
 Scale: the prefix cut needs no sort of a source.  Keys map to 1,024 coarse and 1,024
 fine buckets per source; bucket sums (map-side combined) give the bucket that holds
 the cut, and only the rows of that fine bucket, a millionth of a source, are ordered.
-The per-document table holds keys and sizes; it is written once and read three times.
+Filling is the same cut again over the rows behind the last one that fit the gap; each
+round's gap is below the size of the row that crossed, so it shrinks fast, and the rounds
+end when no row is left that could cross.  The per-document table holds keys and sizes;
+it is written once and read three times in each round.
 
 Defined cases: null or empty text has size 0 and takes 0; an empty table gives an empty
 result; null sources form one source; null ids are kept; of repeated rows each counts.
@@ -22,6 +25,8 @@ result; null sources form one source; null ids are kept; of repeated rows each c
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +34,6 @@ from .common import broadcast_if_small, materialise, n_words, uniform
 
 MAX_EPOCHS = 3
 BUCKETS = 1024
-#: Size classes per doubling of the size; a source has at most about a hundred fill candidates.
-SIZE_CLASSES = 4
 SEED = 20240607
 
 
@@ -111,39 +114,39 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
         side = broadcast_if_small(per_source.withColumnRenamed("source", "s_source"), n_sources)
         return frame.join(side, F.col("source").eqNullSafe(F.col("s_source")), how).drop("s_source")
 
-    coarse = materialise(_cut_bucket(draw, targets.select("source", "need"), "b1").coalesce(1), "mix-coarse")
-    in_coarse = at(draw, coarse.select("source", "at_b1")).filter(F.col("b1") == F.col("at_b1"))
-    fine = _cut_bucket(in_coarse, coarse.select("source", "need"), "b2")
-    fine = materialise(at(fine, coarse.select("source", "at_b1")).coalesce(1), "mix-fine")
-    edge = at(draw, fine).filter((F.col("b1") == F.col("at_b1")) & (F.col("b2") == F.col("at_b2")))
-    order = Window.partitionBy("source").orderBy("key", "rid").rowsBetween(Window.unboundedPreceding, 0)
-    edge = edge.withColumn("upto", F.sum("size").over(order))
-    cut = edge.groupBy("source").agg(
-        F.max(F.when(F.col("upto") <= F.col("need"), F.struct("key", "rid", "upto"))).alias("m"),
-        F.first("need").alias("need"), F.first("at_b1").alias("at_b1"), F.first("at_b2").alias("at_b2"))
-    cut = materialise(cut.select("source", "at_b1", "at_b2", F.col("m.key").alias("cut_key"), F.col("m.rid").alias("cut_rid"),
-                                 (F.col("need") - F.coalesce(F.col("m.upto"), F.lit(0))).alias("gap")).coalesce(1), "mix-cut")
-    # true where the row lies before the cut of its source; sources without a cut take no part of an epoch
-    before = ((F.col("b1") < F.col("at_b1")) | ((F.col("b1") == F.col("at_b1")) & (
-        (F.col("b2") < F.col("at_b2")) | ((F.col("b2") == F.col("at_b2")) & (
-            F.struct("key", "rid") <= F.struct(F.col("cut_key"), F.col("cut_rid")))))))
-    before = F.coalesce(before, F.lit(False))
-    left = at(draw, cut).filter(~before & (F.col("size") > 0) & (F.col("size") <= F.col("gap")))
-    firsts = left.groupBy("source", F.floor(SIZE_CLASSES * F.log2("size")).alias("class")).agg(
-        F.min(F.struct("key", "rid", "size")).alias("m"), F.first("gap").alias("gap"))
-    fill = firsts.groupBy("source").agg(
-        F.first("gap").alias("gap"), F.sort_array(F.collect_list(F.struct("m.size", "m.rid")), asc=False).alias("c"))
-    nothing = F.struct(F.col("gap").alias("gap"), F.array().cast("array<bigint>").alias("rids"))
-    fill = fill.select("source", F.aggregate("c", nothing, lambda a, x: F.when(
-        x["size"] <= a["gap"], F.struct((a["gap"] - x["size"]).alias("gap"), F.array_append(a["rids"], x["rid"]).alias("rids"))
-    ).otherwise(a))["rids"].alias("fill"))
-    plan = targets.alias("t").join(
-        cut.select(F.col("source").alias("c_source"), "at_b1", "at_b2", "cut_key", "cut_rid"),
-        F.col("t.source").eqNullSafe(F.col("c_source")), "left").drop("c_source").join(
-        fill.withColumnRenamed("source", "f_source"), F.col("t.source").eqNullSafe(F.col("f_source")), "left").drop("f_source")
+    place = F.struct("b1", "b2", "key", "rid")
+
+    def next_cut(left: DataFrame, need: DataFrame) -> DataFrame:
+        """Per source whose ``left`` rows exceed ``need``: the last place that fits, and the gap behind it."""
+        coarse = materialise(_cut_bucket(left, need, "b1").coalesce(1), "mix-coarse")
+        in_coarse = at(left, coarse.select("source", "at_b1")).filter(F.col("b1") == F.col("at_b1"))
+        fine = _cut_bucket(in_coarse, coarse.select("source", "need"), "b2")
+        fine = materialise(at(fine, coarse.select("source", "at_b1")).coalesce(1), "mix-fine")
+        edge = at(left, fine).filter((F.col("b1") == F.col("at_b1")) & (F.col("b2") == F.col("at_b2")))
+        order = Window.partitionBy("source").orderBy("key", "rid").rowsBetween(Window.unboundedPreceding, 0)
+        edge = edge.withColumn("upto", F.sum("size").over(order))
+        cut = edge.groupBy("source").agg(
+            F.max(F.when(F.col("upto") <= F.col("need"), F.struct("key", "rid", "upto"))).alias("m"),
+            F.first("need").alias("need"), F.first("at_b1").alias("at_b1"), F.first("at_b2").alias("at_b2"))
+        # without a row of the fine bucket that fits, key and rid are null, which sorts before its rows
+        return materialise(cut.select(
+            "source", F.struct(F.col("at_b1").alias("b1"), F.col("at_b2").alias("b2"), F.col("m.key").alias("key"),
+                               F.col("m.rid").alias("rid")).alias("place"),
+            F.floor(F.col("need") - F.coalesce(F.col("m.upto"), F.lit(0))).alias("gap")).coalesce(1), "mix-cut")
+
+    cuts = [next_cut(draw, targets.select("source", "need"))]
+    while not cuts[-1].isEmpty():
+        left = at(draw, cuts[-1].withColumnRenamed("gap", "room")).filter(
+            (place > F.col("place")) & (F.col("size") > 0) & (F.col("size") <= F.col("room"))).drop("place", "room")
+        cuts.append(next_cut(left, cuts[-1].select("source", F.col("gap").alias("need"))))
+    per_source = reduce(DataFrame.unionByName, cuts).groupBy("source").agg(
+        F.collect_list(F.struct("place", "gap")).alias("cuts")).withColumnRenamed("source", "c_source")
+    plan = targets.alias("t").join(per_source, F.col("t.source").eqNullSafe(F.col("c_source")), "left").drop("c_source")
     plan = materialise(plan.coalesce(1), "mix-plan")
     out = at(rows.withColumn("b1", _bucket(1)).withColumn("b2", _bucket(2)), plan.drop("need"))
-    copies = F.col("epochs") + (before | F.coalesce(F.array_contains("fill", F.col("rid")), F.lit(False))).cast("long")
+    # a row is in the part of an epoch if it fits the gap of every cut it lies behind; sources without a cut take no part
+    part = F.forall("cuts", lambda c: (place <= c["place"]) | ((F.col("size") > 0) & (F.col("size") <= c["gap"])))
+    copies = F.col("epochs") + F.coalesce(part, F.lit(False)).cast("long")
     return out.withColumn("copies", copies).select(
         "id", "size", "source_size", "target", "epochs", "copies", (F.col("copies") * F.col("size")).alias("taken"),
         *[F.col(f"carry_{c}") for c in carry])

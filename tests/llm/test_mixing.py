@@ -2,8 +2,10 @@ from collections import defaultdict
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from chronofit.llm import mixing
-from chronofit.llm.common import read
+from chronofit.llm.common import read, uniform
 
 from llm_helpers import SF_SMALL, SCHEMA, frame, plain, words
 
@@ -88,3 +90,24 @@ def test_weights_prefer_better_documents(spark):
 def test_empty_table(spark):
     assert collected(spark.createDataFrame([], SCHEMA)) == []
     assert mixing.mixed_documents(spark.createDataFrame(plain([(1, None)]), SCHEMA)).count() <= 1
+
+
+def test_gap_behind_a_long_document_is_filled(spark):
+    """Every source's part of an epoch is the greedy walk over its documents in key order."""
+    rows = [(i, "w " * (20_000 if i == 0 else 100), "en", "a", 0) for i in range(1500)]
+    rows += [(10_000 + i, "w " * (i * i % 301 + 5), "en", "b", 0) for i in range(1500)] + [(20_000, "w " * 150_000, "en", "c", 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for seed in (1, 2, 3):
+        out = [r.asDict() for r in mixing.mix(df, seed=seed, carry=("source",)).collect()]
+        text = F.col("text")
+        keys = {r["doc_id"]: r["key"] for r in df.select("doc_id", (-F.log(uniform(F.xxhash64(
+            F.lit(seed), F.col("doc_id"), F.xxhash64(text)))) / mixing.quality_weight(text)).alias("key")).collect()}
+        for source in "abc":
+            part = sorted((r for r in out if r["carry_source"] == source), key=lambda r: keys[r["id"]])
+            left = part[0]["target"] - part[0]["epochs"] * part[0]["source_size"]
+            for r in part:
+                fits = r["size"] <= left
+                left -= r["size"] * fits
+                assert r["copies"] == r["epochs"] + fits
+            if source == "a" and part[0]["epochs"] == 0:
+                assert left < 100  # the short documents alone hold more than the target
