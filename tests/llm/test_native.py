@@ -146,3 +146,21 @@ def test_propagation_matches_plain_pagerank(spark):
     t, d = brute_rank(trust, edges), brute_rank(distrust, {(b, a): w for (a, b), w in edges.items()})
     for r in got.collect():
         assert abs(r["trust"] - t.get(r["host"], 0)) < 1e-9 and abs(r["distrust"] - d.get(r["host"], 0)) < 1e-9
+
+
+def test_propagation_converges_on_deep_graphs(spark, monkeypatch):
+    chain = [("http://h0.net/es/1", "")] + [(f"http://h{i}.org/", f'<a href="http://h{i - 1}.{"net" if i == 1 else "org"}/">') for i in range(1, 12)]
+    assert {r["verdict"] for r in url_filter.judge_urls(pages(spark, chain)).collect()} == {"block"}
+    edges = {(f"h{i}", f"h{i - 1}"): 1.0 for i in range(1, 12)} | {("h11", "h3"): 2.0, ("h2", "h5"): 3.0, ("h0", "h9"): 1.0}
+    trust, distrust = {"h11": 0.75, "h4": 0.25}, {"h0": 1.0}
+    seeds = [(h, k, s) for k, group in (("trust", trust), ("distrust", distrust)) for h, s in group.items()]
+    for damping, limit in ((0.85, url_filter.LOCAL_EDGES), (0.3, 0)):  # in the driver, and by joins
+        monkeypatch.setattr(url_filter, "LOCAL_EDGES", limit)
+        rows = url_filter.propagate(spark.createDataFrame(seeds, "host string, kind string, seed double"),
+                                    spark.createDataFrame([(a, b, w) for (a, b), w in edges.items()], "src string, dst string, w double"),
+                                    steps=None, damping=damping).collect()
+        t = brute_rank(trust, edges, 400, damping)
+        d = brute_rank(distrust, {(b, a): w for (a, b), w in edges.items()}, 400, damping)
+        assert {r["host"] for r in rows} == set(t) | set(d)
+        for r in rows:
+            assert abs(r["trust"] - t.get(r["host"], 0)) < 1e-11 and abs(r["distrust"] - d.get(r["host"], 0)) < 1e-11
