@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, license_scan, lm_scores, lz_fingerprint, mixing, near_dedup, packing, quality_rules, suffix_dedup, url_filter
+from . import language_id, license_scan, lm_scores, lz_fingerprint, mixing, near_dedup, packing, quality_rules, suffix_dedup, token_alignment, url_filter
 from .common import read
 
 
@@ -74,6 +74,14 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "size", "source_size", "target", "epochs", "copies", "taken")
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of ``documents`` under two tokenizers aligned, their pairs counted over all of them."""
+    import public_tokenizers
+    return token_alignment.align_tokenizers(
+        read(spark, sf_dir, "documents", "doc_id", "text"), str(public_tokenizers.path("byte_bpe_50k.json")),
+        str(public_tokenizers.path("piece_bpe_32k.model"))).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
@@ -85,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_source_mix": op10_source_mix,
+    "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
 }
 
 ORACLES: dict[str, str] = {
