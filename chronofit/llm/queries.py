@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, license_scan, lm_scores, lz_fingerprint, mixing, near_dedup, packing, quality_rules, suffix_dedup, token_alignment, url_filter
+from . import language_id, license_scan, lm_scores, lz_fingerprint, mixing, near_dedup, packing, phrase_mining, quality_rules, suffix_dedup, token_alignment, url_filter
 from .common import read
 
 
@@ -74,6 +74,11 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "size", "source_size", "target", "epochs", "copies", "taken")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest collocations of each language of ``documents``."""
+    return phrase_mining.mine_phrases(read(spark, sf_dir, "documents", "lang", "text"))
+
+
 def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of ``documents`` under two tokenizers aligned, their pairs counted over all of them."""
     import public_tokenizers
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_source_mix": op10_source_mix,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
 }
 
