@@ -1,18 +1,19 @@
 """Alignment of two tokenizers over a corpus, its token pairs counted by external spill counting.
 
-* Texts are encoded in units, cut before each space behind a character that is no white
-  space: there both tokenizers always start a new token, so the units' tokens in a row are
-  the text's, and groups and links never cross a unit.  Each task keeps a bounded cache of
-  units it has aligned.
+* Texts are encoded in units, cut before each space or line end behind a character that is no
+  white space, and before ASCII marks behind a letter: there both tokenizers always start a
+  new token (the vocabulary of the second is searched for pieces that would not), so the
+  units' tokens in a row are the text's, and groups and links never cross a unit.  Each task
+  keeps a bounded cache of units it has aligned, of which it forgets the least used.
 * A task collects (pair, document, links) records and spills them as runs: sorted by pair,
   first-side major, one zstd blob per radix of the first id, with the pairs' document
   counts in a header.  Runs are stored in the shared folder.
-* Radixes are dealt to parts by their bytes; one that is too large for a part, such as that
-  of a very frequent id, is cut into several by run.  In each part the headers meet in a
-  k-way merge that counts every pair; the parts of one radix are merged on in a tree.  The
-  order is first-side major, so each id's largest count is known as its pairs go by.
-* The counts meet the runs of each part again, whose contributions stream back to their
-  documents, summed per part before they are shuffled.
+* A radix with too many bytes for one part, such as that of a very frequent id, is cut into
+  several by run.  In each part the headers meet in a k-way merge that counts every pair; the
+  parts of one radix are merged on in a tree.  The order is first-side major, so each id's
+  largest count is known as its pairs go by.
+* The counts meet the runs of each part again, whose contributions stream back to the
+  documents of each run, summed per part and sent as one blob.
 
 No task holds more than a part's compressed runs and the counts of its radixes, whose number
 the two vocabularies bound.
@@ -42,11 +43,11 @@ from .common import materialise
 from .textarrays import chunks, releasing, releasing_groups
 
 #: Radixes of the first id; a run has a blob for each that occurs.
-RADIX = 256
+RADIX = 32
 #: Records in a run.
 RUN_RECORDS = 1 << 20
 #: Compressed bytes of runs that a part may hold, merged partial counts at a node of the tree.
-PART_BYTES, FAN_IN = 12 << 20, 64
+PART_BYTES, FAN_IN = 24 << 20, 16
 #: Longer texts are taken in sections of about so many bytes.
 SECTION_BYTES = 1 << 21
 #: Units that a task remembers; longer ones are aligned each time.
@@ -54,12 +55,16 @@ CACHE_UNITS, CACHE_UNIT_BYTES, CACHE_BYTES = 250_000, 48, 64 << 20
 #: Keys that a run offers the merge at once.
 BLOCK = 1 << 14
 _SPACE_MARK = "▁"
+_MARKS = "!\"#$%&()*,-./:;<=>?@[]^_`{|}~'"
+#: ASCII letters, and the letters of two bytes that start with C3.
+_LETTERS = {chr(c) for c in [*range(65, 91), *range(97, 123), *range(0xC0, 0x100)]} - {chr(0xD7), chr(0xF7)}
+_LETTER = np.array([chr(b) in _LETTERS and b < 128 for b in range(256)])
 
 
 def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Pairs as numbers whose order is (radix, first id, second id)."""
     a = a.astype(np.int64)
-    return (a & (RADIX - 1)) << 48 | (a >> 8) << 32 | b.astype(np.int64)
+    return (a & (RADIX - 1)) << 56 | a << 32 | b.astype(np.int64)
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -87,50 +92,78 @@ class Aligner:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE_MARK, " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
         self.lone_space = [self.b.piece_to_id(_SPACE_MARK)]
-        self.clear()
-
-    def clear(self) -> None:
+        pieces = [p for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size()))) if not self.b.is_byte(i)]
+        if any(_SPACE_MARK in p.lstrip(_SPACE_MARK) for p in pieces):
+            raise ValueError("a piece of the second tokenizer goes on behind a space")
+        self.starts = np.zeros(256, np.uint8)  # 1: starts a unit behind no white space, 2: behind a letter
+        self.starts[32] = 1
+        if not any("\n" in p for p in pieces):  # a line end in front then keeps the space away that is put before a text
+            joined = {y for p in pieces for x, y in zip(p, p[1:]) if x in _LETTERS}
+            self.starts[10] = 1
+            self.starts[[ord(c) for c in _MARKS if c not in joined]] = 2
+        self.part_a, self.part_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
+        self.name_a, self.name_b = ([str(i) for i in range(len(x))] for x in (self.bytes_a, self.bytes_b))
         self.number: dict[bytes, int] = {}
         self.groups: list[bytes] = []
         self.held = 0
+        self.used = np.zeros(1024, np.int64)
         self.stats = np.zeros((1024, 5), np.int64)  # tokens a, tokens b, groups, links, 1 if bytes differ
         self.ends = np.zeros(1025, np.int64)
         self.pairs = np.zeros(4096, np.int64)
 
+    def forget(self) -> None:
+        """Keep the most used units, half of those that the cache may hold at most; all numbers change."""
+        used = self.used[:len(self.groups)]
+        keep = np.zeros(len(used), bool)
+        keep[list(self.number.values())] = True
+        keep &= used > (np.partition(used, -CACHE_UNITS // 2)[-CACHE_UNITS // 2] if len(used) > CACHE_UNITS // 2 else 0)
+        kept = np.flatnonzero(keep) if self.held <= CACHE_BYTES else keep[:0]
+        new = dict(zip(kept.tolist(), range(len(kept))))
+        self.number = {u: new[i] for u, i in self.number.items() if i in new}
+        groups = self.groups
+        self.groups = [groups[i] for i in kept.tolist()]
+        self.held = sum(map(len, self.number)) + sum(map(len, self.groups))
+        begin, size = self.ends[kept], self.ends[kept + 1] - self.ends[kept]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + size, size)
+        self.used, self.stats, self.pairs = used[kept] // 2, self.stats[kept], self.pairs[at]
+        self.ends = np.concatenate([[0], ends])
+
     def _align(self, unit: bytes, a: list[int], b: list[int]) -> tuple[bytes, tuple, list[int]]:
-        parts_a, parts_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(parts_a) != unit or b"".join(parts_b) != unit:
+        if b"".join(map(self.bytes_a.__getitem__, a)) != unit or b"".join(map(self.bytes_b.__getitem__, b)) != unit:
             return b"", (0, 0, 0, 0, 1), []
-        groups, links, i, j, from_a, from_b = [], [], 0, 0, 0, 0
-        end_a, end_b = len(parts_a[0]), len(parts_b[0])
+        name_a, name_b, part_a, part_b = self.name_a, self.name_b, self.part_a, self.part_b
+        x, y, n_groups, gap = a[0], b[0], 0, 0  # gap: bytes that the second side is ahead
+        own_a, own_b, out, links = name_a[x], name_b[y], "", []
+        i, j, gap = 1, 1, part_b[y] - part_a[x]
         while True:
-            x = a[i]
-            links.append((x & (RADIX - 1)) << 48 | (x >> 8) << 32 | b[j])
-            if end_a == end_b:
-                i, j = i + 1, j + 1
-                groups.append(f"{','.join(map(str, a[from_a:i]))}|{','.join(map(str, b[from_b:j]))}")
-                from_a, from_b = i, j
+            links.append((x & (RADIX - 1)) << 56 | x << 32 | y)
+            if not gap:
+                n_groups += 1
                 if i == len(a):
-                    break
-                end_a, end_b = end_a + len(parts_a[i]), end_b + len(parts_b[j])
-            elif end_a < end_b:
-                i += 1
-                end_a += len(parts_a[i])
+                    out += own_a + "|" + own_b
+                    return out.encode(), (i, j, n_groups, len(links), 0), links
+                out += own_a + "|" + own_b + ";"
+                x, y = a[i], b[j]
+                i, j, own_a, own_b, gap = i + 1, j + 1, name_a[x], name_b[y], part_b[y] - part_a[x]
+            elif gap > 0:
+                x = a[i]
+                i, own_a, gap = i + 1, own_a + "," + name_a[x], gap - part_a[x]
             else:
-                j += 1
-                end_b += len(parts_b[j])
-        return ";".join(groups).encode(), (len(a), len(b), len(groups), len(links), 0), links
+                y = b[j]
+                j, own_b, gap = j + 1, own_b + "," + name_b[y], gap + part_b[y]
 
     def numbers(self, units: list[bytes]) -> np.ndarray:
         """Unit numbers; units not met before are encoded and aligned."""
         if len(self.groups) > CACHE_UNITS or self.held > CACHE_BYTES:
-            self.clear()
+            self.forget()
         fresh = list(set(units).difference(self.number))
         if fresh:
             texts = [u.decode("utf-8") for u in fresh]
             ids_a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
-            ids_b = self.b.encode([t[1:] for t in texts], num_threads=1)
-            aligned = [self._align(u, a, b or self.lone_space) for u, a, b in zip(fresh, ids_a, ids_b)]
+            ids_b = self.b.encode([t[1:] if t[0] == " " else "\n" + t for t in texts], num_threads=1)
+            ids_b = [(b or self.lone_space) if t[0] == " " else b[2:] for t, b in zip(texts, ids_b)]
+            aligned = list(map(self._align, fresh, ids_a, ids_b))
             n = len(self.groups)
             self.number.update(zip(fresh, range(n, n + len(fresh))))
             self.groups.extend(x[0] for x in aligned)
@@ -140,6 +173,8 @@ class Aligner:
             self.ends = _grown(self.ends, n + 1, self.ends[n] + counts)
             self.pairs = _grown(self.pairs, int(self.ends[n]), np.fromiter(chain.from_iterable(x[2] for x in aligned), np.int64, int(counts[-1])))
         out = np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
+        self.used = _grown(self.used, len(self.used), np.zeros(max(0, len(self.groups) - len(self.used)), np.int64))
+        self.used[:len(self.groups)] += np.bincount(out, minlength=len(self.groups))
         for u in fresh:
             if len(u) > CACHE_UNIT_BYTES:  # its number stays valid, a later one is aligned anew
                 del self.number[u]
@@ -176,21 +211,23 @@ def _summed(doc: np.ndarray, pair: np.ndarray, links: np.ndarray) -> tuple[np.nd
     return doc[begin], pair[begin], np.add.reduceat(links[order], begin) if len(begin) else links[:0]
 
 
-def cut_points(data: np.ndarray) -> np.ndarray:
-    """Spaces at which a unit starts: behind printable ASCII or a two-byte character that is no white space."""
-    at = np.flatnonzero(data == 32)
+def cut_points(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where units start: see ``Aligner.starts``; behind ASCII and some two-byte characters only."""
+    at = np.flatnonzero(starts[data])
     at = at[at > 1]
     last, lead = data[at - 1], data[at - 2]
-    return at[((last > 32) & (last < 127)) | ((last >= 128) & (lead >= 0xC3) & (lead <= 0xDF))]
+    two = (last >= 128) & (lead >= 0xC3) & (lead <= 0xDF)
+    letter = _LETTER[last] | two & (lead == 0xC3) & (last != 0x97) & (last != 0xB7)
+    return at[np.where(starts[data[at]] == 1, ((last > 32) & (last < 127)) | two, letter)]
 
 
-def sections(text: bytes, size: int) -> Iterator[bytes]:
+def sections(text: bytes, size: int, starts: np.ndarray) -> Iterator[bytes]:
     """A text (with its space in front) in pieces of about ``size`` bytes that start where units do."""
     begin = 0
     while len(text) - begin > size:
         reach = size
         while True:
-            cuts = cut_points(np.frombuffer(text, np.uint8, min(reach, len(text) - begin), begin))
+            cuts = cut_points(np.frombuffer(text, np.uint8, min(reach, len(text) - begin), begin), starts)
             if len(cuts) or begin + reach >= len(text):
                 break
             reach *= 2
@@ -275,11 +312,11 @@ def _aligner(path_a: str, path_b: str) -> Aligner:
     return _workers[path_a, path_b]
 
 
-def _units_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+def _units_of(texts: list[bytes], unit_starts: np.ndarray) -> tuple[list[bytes], np.ndarray]:
     """Units of several texts (each with its space in front) and the text of each."""
     raw = b"".join(texts)
     starts = np.cumsum([0, *map(len, texts)])
-    cuts = np.union1d(cut_points(np.frombuffer(raw, np.uint8)), starts)
+    cuts = np.union1d(cut_points(np.frombuffer(raw, np.uint8), unit_starts), starts)
     at = cuts.tolist()
     return [raw[x:y] for x, y in zip(at, at[1:])], np.searchsorted(starts, cuts[:-1], "right") - 1
 
@@ -290,7 +327,7 @@ def align_texts(aligner: Aligner, texts: list[bytes]) -> tuple[np.ndarray, list[
     stats, digests = np.zeros((len(texts), 5), np.int64), [""] * len(texts)
     found = []
     if short:
-        units, owner = _units_of([b" " + texts[i] for i in short])
+        units, owner = _units_of([b" " + texts[i] for i in short], aligner.starts)
         number = aligner.numbers(units)
         sums = np.add.reduceat(aligner.stats[number], np.searchsorted(owner, np.arange(len(short))), axis=0)
         stats[short] = sums
@@ -302,8 +339,8 @@ def align_texts(aligner: Aligner, texts: list[bytes]) -> tuple[np.ndarray, list[
         found.append(aligner.records(np.array(short)[owner[good]], number[good]))
     for i in (i for i, t in enumerate(texts) if len(t) > SECTION_BYTES):
         digest, held, first = hashlib.sha256(), (np.zeros(0, np.int64),) * 3, True
-        for section in sections(b" " + texts[i], SECTION_BYTES):
-            units, _ = _units_of([section])
+        for section in sections(b" " + texts[i], SECTION_BYTES, aligner.starts):
+            units, _ = _units_of([section], aligner.starts)
             number = aligner.numbers(units)
             stats[i] += aligner.stats[number].sum(axis=0)
             digest.update((b"" if first else b";") + b";".join(map(aligner.groups.__getitem__, number.tolist())))
@@ -333,7 +370,7 @@ def _spill(path_a: str, path_b: str, id_type: pa.DataType, schema: pa.Schema):
         doc, pair, links = doc[order], pair[order], links[order]
         begin = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])) if len(pair) else np.zeros(0, np.int64)
         keys, counts = pair[begin], np.diff(np.append(begin, len(pair)))
-        radix = keys >> 48
+        radix = keys >> 56
         used, first = np.unique(radix, return_index=True)
         buckets, heads, bodies, n_keys, n_records = [], [], [], [], []
         for r, x, y in zip(used.tolist(), first.tolist(), [*first[1:].tolist(), len(keys)]):
@@ -378,12 +415,12 @@ def _merge(table: pa.Table) -> pa.Table:
     """Runs' headers or partial counts of one node to one row of counts."""
     runs = [unpack_counts(blob, n) for blob, n in zip(table.column("head").to_pylist(), table.column("n_keys").to_pylist())]
     keys, counts = merge_counts(runs)
-    return pa.table({"family": table.column("family").slice(0, 1), "node": table.column("node").slice(0, 1),
+    return pa.table({"radix": table.column("radix").slice(0, 1), "node": table.column("node").slice(0, 1),
                      "n_keys": pa.array([len(keys)], pa.int64()), "head": pa.array([pack_counts(keys, counts)], pa.binary())})
 
 
 def _contribute(runs: pa.Table, counts: pa.Table) -> pa.Table:
-    """One part: what its records add to their documents, per run and document."""
+    """One part: what its records add to their documents, a blob for each run."""
     out: dict[int, list] = {}
     if len(runs):
         keys, count = unpack_counts(counts.column("head")[0].as_py(), counts.column("n_keys")[0].as_py())
@@ -393,30 +430,38 @@ def _contribute(runs: pa.Table, counts: pa.Table) -> pa.Table:
             step, links = unsqueeze(body, size, size)
             doc = np.cumsum(step.astype(np.uint32), dtype=np.uint32).astype(np.int64)
             at = np.repeat(np.searchsorted(keys, own), times)
-            out.setdefault(run, []).append((doc, links * count[at], np.where(best[at], links, 0)))
-    columns: list[list] = [[], [], [], []]
+            out.setdefault(run, []).append((doc, np.where(best[at], links, 0), links * count[at]))
+    names, blobs, sizes = [], [], []
     for run, parts in out.items():
-        doc, total, best = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(doc, kind="stable")
-        doc, total, best = doc[order], total[order], best[order]
-        begin = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-        for column, x in zip(columns, (np.full(len(begin), run), doc[begin], np.add.reduceat(best, begin), np.add.reduceat(total, begin))):
-            column.append(x)
-    run, doc, best, total = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in columns)
-    return pa.table({"run": run, "doc": doc.astype(np.int32), "n_best": best, "count_sum": total})
-
-
-def _parts(runs: DataFrame) -> tuple[list[tuple[int, int, int]], int]:
-    """``(radix, first part, parts)`` and the most parts of a radix; small radixes share a part."""
+        doc, best, total = _totals(*(np.concatenate(x) for x in zip(*parts)))
+        names.append(run)
+        sizes.append(len(doc))
+        blobs.append(squeeze(np.diff(doc, prepend=0), best, total & 0xFFFFFFFF, total >> 32))
+    return pa.table([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary())], names=["run", "n", "added"])
+
+
+def _totals(doc: np.ndarray, best: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of the two figures per document."""
+    order = np.argsort(doc, kind="stable")
+    doc = doc[order]
+    begin = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
+    return doc[begin], *(np.add.reduceat(x[order], begin) if len(begin) else x for x in (best, total))
+
+
+def _gather(table: pa.Table) -> pa.Table:
+    """What all parts add to the documents of one run."""
+    parts = []
+    for n, blob in zip(table.column("n").to_pylist(), table.column("added").to_pylist()):
+        step, best, low, high = unsqueeze(blob, n, n, n, n)
+        parts.append((np.cumsum(step), best, high << 32 | low))
+    doc, best, total = _totals(*(np.concatenate(x) for x in zip(*parts)))
+    return pa.table({"run": np.full(len(doc), table.column("run")[0].as_py()), "doc": doc.astype(np.int32), "n_best": best, "count_sum": total})
+
+
+def _parts(runs: DataFrame) -> list[tuple[int, int]]:
+    """``(radix, parts)``: how many parts the bytes of each radix need."""
     sizes = runs.groupBy("radix").agg(F.sum(F.length("head") + F.length("body")).alias("n")).collect()  # RADIX rows at most
-    out, part, room = [], -1, 0
-    for radix, n in sorted((r["radix"], r["n"]) for r in sizes):
-        parts = -(-n // PART_BYTES)
-        if parts > 1 or n > room:
-            part, room = part + 1, PART_BYTES
-        out.append((radix, part, parts))
-        part, room = part + parts - 1, room - n if parts == 1 else 0
-    return out, max((x[2] for x in out), default=1)
+    return sorted((r["radix"], -(-r["n"] // PART_BYTES)) for r in sizes)
 
 
 def align_tokenizers(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -434,20 +479,20 @@ def align_tokenizers(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc
     docs = spilled.filter("kind = 0").select("id", "run", "doc", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
     runs = spilled.filter("kind = 1").select("run", "radix", "head", "body", "n_keys", "n_records")
 
-    dealt, most = _parts(runs)
-    deal = F.broadcast(spark.createDataFrame(dealt, "radix int, family int, parts int"))  # RADIX rows at most
+    dealt = _parts(runs)
+    deal = F.broadcast(spark.createDataFrame(dealt, "radix int, parts int"))  # RADIX rows at most
+    most = max((n for _, n in dealt), default=1)
     runs = runs.join(deal, "radix").withColumn("node", F.pmod(F.xxhash64("run"), F.col("parts")).cast("int"))
-    shape = "family int, node int, n_keys bigint, head binary"
-    counts = runs.select("family", "node", "n_keys", "head").groupBy("family", "node").applyInArrow(releasing_groups(_merge), shape)
+    shape = "radix int, node int, n_keys bigint, head binary"
+    counts = runs.select("radix", "node", "n_keys", "head").groupBy("radix", "node").applyInArrow(releasing_groups(_merge), shape)
     while most > 1:
-        counts = counts.withColumn("node", F.floor(F.col("node") / FAN_IN).cast("int")).groupBy("family", "node").applyInArrow(releasing_groups(_merge), shape)
+        counts = counts.withColumn("node", F.floor(F.col("node") / FAN_IN).cast("int")).groupBy("radix", "node").applyInArrow(releasing_groups(_merge), shape)
         most = -(-most // FAN_IN)
     counts = materialise(counts, "align-counts")
-    families = F.broadcast(deal.groupBy("family").agg(F.max("parts").alias("parts")))
-    spread = counts.join(families, "family").select("family", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("node"), "n_keys", "head")
-    added = runs.groupBy("family", "node").cogroup(spread.groupBy("family", "node")).applyInArrow(
-        releasing_groups(_contribute), "run bigint, doc int, n_best bigint, count_sum bigint")
-    added = added.groupBy("run", "doc").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
+    spread = counts.join(deal, "radix").select("radix", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("node"), "n_keys", "head")
+    added = runs.groupBy("radix", "node").cogroup(spread.groupBy("radix", "node")).applyInArrow(
+        releasing_groups(_contribute), "run bigint, n bigint, added binary")
+    added = added.groupBy("run").applyInArrow(releasing_groups(_gather), "run bigint, doc int, n_best bigint, count_sum bigint")
     return docs.join(added, ["run", "doc"], "left").select(
         "id", "n_a", "n_b", "n_groups", "n_links", F.coalesce("n_best", F.lit(0)).cast("long").alias("n_best"),
         F.coalesce("count_sum", F.lit(0)).cast("long").alias("count_sum"), "groups_sha256")
