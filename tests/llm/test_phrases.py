@@ -83,12 +83,33 @@ def test_shards_and_sections_of_any_size(spark, monkeypatch):
                 words[r["lang"], r["word"]] += r["n"]
             else:
                 shards.add(r["shard"])
-                assert len(P.unsqueeze(r["blob"])[0]) == r["n"]
+                assert len(P.unsqueeze(r["blob"], 2)[0]) == r["n"]
     plain = collections.Counter(("und" if r[2] is None else r[2], w) for r in rows
                                 for p in BREAK.split(r[1].translate(LOWER)) for w in WORD.findall(p))
     assert words == plain and len(shards) > 10
 
 
+def test_many_ranges_and_a_heavy_state(spark, monkeypatch):
+    rows = [(i, " ".join(f"the w{i * j % 23} a" for j in range(1, 40)), "en", "s", 0) for i in range(60)]
+    want = brute([(r[2], r[1]) for r in rows], 6)
+    monkeypatch.setattr(P, "RANGE_WORDS", 7)
+    monkeypatch.setattr(P, "RANGE_WEIGHT", 90)
+    df = frame(spark, rows).repartition(4)
+    assert result(P.mine_phrases(df, least=6)) == want
+    step = P._extend([(3, 4000)], 10)
+    import numpy as np
+    import pyarrow as pa
+    places = np.arange(4000)
+    arcs = np.where(places % 2, 1 + places // 2, 0)  # the first word before many others
+    shard = pa.table({"shard": [5], "blob": [P.squeeze(np.diff(places, prepend=0), arcs)]})
+    n = 2001
+    f = np.where(np.arange(n) == 0, 2000, 1)
+    target = (3 << P._RANGE_BITS) + 1 + np.arange(n)
+    alive = pa.table({"of": [5], "blob": [P.squeeze(np.diff(np.arange(n), prepend=0), target, target, np.cumsum(f) - f, f)]})
+    got = [r for r in step(shard, alive).to_pylist() if r["kind"] == 1]
+    assert len(got) == 10 and max(r["n"] for r in got) < 3 * min(r["n"] for r in got)
+
+
 def test_edge_rows_and_empty_table(spark):
     rows = edge_rows() * 3
     assert result(P.mine_phrases(frame(spark, rows), least=3)) == brute([(r[2], r[1]) for r in rows], 3)
