@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, license_scan, lm_scores, lz_fingerprint, mixing, near_dedup, packing, phrase_mining, quality_rules, suffix_dedup, token_alignment, url_filter
+from . import language_id, learned_partitions, license_scan, lm_scores, lz_fingerprint, mixing, near_dedup, packing, phrase_mining, quality_rules, suffix_dedup, token_alignment, url_filter
 from .common import read
 
 
@@ -87,6 +87,11 @@ def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
         str(public_tokenizers.path("piece_bpe_32k.model"))).withColumnRenamed("id", "doc_id")
 
 
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of ``embeddings`` for every row whose id is divisible by 20."""
+    return learned_partitions.search(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_source_mix": op10_source_mix,
     "op11_phrase_collocations": op11_phrase_collocations,
     "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 ORACLES: dict[str, str] = {
