@@ -18,7 +18,7 @@ from .. import constants as K
 from ..functions.clean import to_date, to_double
 from ..functions.features import at_least, haversine
 from .contracts import one_row
-from .ranking import exact_quantiles
+from .quantiles import exact_quantiles
 
 AUDIT_NUMERICS = ["distance", "weight", "market_index", "quote_signal"]
 AUDIT_CATEGORIES = ["pickup", "delivery", "equipment"]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.clean import normalise_category, to_double
 from .lookup import counted_lookup
-from .ranking import exact_quantiles
+from .quantiles import exact_quantiles
 
 
 def global_median(training: DataFrame, holdout: DataFrame, target: str = K.TARGET,

@@ -14,7 +14,7 @@ from .. import constants as K
 from ..functions.features import distance_band
 from ..functions.metrics import error_terms, regression_aggs
 from .lookup import counted_lookup
-from .ranking import exact_quantiles
+from .quantiles import exact_quantiles
 
 SEGMENT_DIMENSIONS = ["month", "distance_band", "equipment", "target_band", "route_status", "city_status"]
 ROUTE_UNSEEN, ROUTE_RARE, ROUTE_COMMON = "Unseen", "Rare (<10)", "Common (>=10)"

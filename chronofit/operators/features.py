@@ -28,7 +28,8 @@ from ..functions.clean import base_clean
 from ..functions.features import (composite_keys, date_features, geographic_features,
                                   interaction_features)
 from ..session import ensure_checkpoint_dir
-from .ranking import broadcast_rows, exact_quantiles
+from .lookup import broadcast_rows
+from .quantiles import exact_quantiles
 
 
 @dataclass

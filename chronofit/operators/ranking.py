@@ -1,8 +1,7 @@
-"""Skew-aware ranking within groups and exact group quantiles: one path for all sizes.
+"""Skew-aware ranking within groups: one path for all sizes.
 
 A plain ``row_number() OVER (PARTITION BY g ORDER BY o)`` sorts every group inside one
-task, and the exact ``percentile`` aggregate merges every distinct value of a group
-inside one task.  A single hot group (a third of all rows) would land on one executor.
+task, so a single hot group (a third of all rows) would land on one executor.
 Here all rows are range-partitioned and sorted by (group, order, salt); the random salt
 lets the range partitioner split even a group of identical copies.  The sorted rows are
 written once to the shared checkpoint folder with ``monotonically_increasing_id``, which
@@ -15,18 +14,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.sinks import output_dir, write_table
 
-BROADCAST_ROWS_KEY = "chronofit.broadcast_rows"
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_rows(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(BROADCAST_ROWS_KEY, str(DEFAULT_BROADCAST_ROWS)))
-
 
 def _positions(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], seed: int) -> DataFrame:
     """``df`` with ``__pos``: the 0-based place of each row in (group, order) order over the whole table."""
@@ -50,15 +42,15 @@ def _positions(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[st
             .withColumn("__pos", F.col("__mono") + F.col("__shift")).drop("__pid", "__mono", "__shift"))
 
 
-def _with_groups(placed: DataFrame, group_cols: Sequence[str], *stats: Column) -> DataFrame:
-    """Join each row with its group's first position and further group aggregates.
+def _with_groups(placed: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """Join each row with its group's first position.
 
     Groups are aggregated with map-side combining; a hot group's rows are split by the
     skew handling of the join.
     """
     names = [f"__g_{i}" for i in range(len(group_cols))]
     groups = placed.groupBy(*[F.col(c).alias(n) for c, n in zip(group_cols, names)]).agg(
-        F.min("__pos").alias("__first"), *stats)
+        F.min("__pos").alias("__first"))
     cond = F.lit(True)
     for c, n in zip(group_cols, names):
         cond = cond & F.col(c).eqNullSafe(F.col(n))
@@ -76,28 +68,3 @@ def rank_within_groups(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
     placed = _positions(df, group_cols, order_cols, seed)
     return (_with_groups(placed, list(group_cols))
             .withColumn(rank_col, F.col("__pos") - F.col("__first") + 1).drop("__pos", "__first"))
-
-
-def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    probs: Sequence[float], names: Sequence[str]) -> DataFrame:
-    """Exact, linearly interpolated quantiles of ``value_col`` per group.
-
-    Same definition as pandas ``quantile`` / SQL ``percentile`` / ``quantile_cont``;
-    NULL and NaN values are ignored.  Groups with no value are absent.
-    """
-    keyed = list(group_cols) or ["__all"]
-    base = df.select(*(group_cols or [F.lit(0).alias("__all")]), F.col(value_col).cast("double").alias("__v"))
-    base = base.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    placed = _with_groups(_positions(base, keyed, ["__v"], 7), keyed, F.count(F.lit(1)).alias("__n"))
-    rank = F.col("__pos") - F.col("__first")
-    places = [(F.col("__n") - 1) * F.lit(float(p)) for p in probs]
-    near = F.lit(False)
-    for h in places:
-        near = near | (rank == F.floor(h)) | (rank == F.ceil(h))
-    aggs = []
-    for h, name in zip(places, names):
-        lo, hi = (F.max(F.when(rank == at, F.col("__v"))) for at in (F.floor(h), F.ceil(h)))
-        part = F.max(h - F.floor(h))
-        aggs.append(F.when(part == 0, lo).otherwise(lo * (1 - part) + hi * part).alias(name))
-    result = placed.where(near).groupBy(*keyed).agg(*aggs)
-    return result if group_cols else result.drop("__all")

@@ -20,7 +20,8 @@ import uuid
 
 from .. import constants as K
 from ..session import ensure_checkpoint_dir
-from ..operators.ranking import exact_quantiles, rank_within_groups
+from ..operators.quantiles import exact_quantiles
+from ..operators.ranking import rank_within_groups
 from .tables import read_table
 
 # Fixture parameters (FIXTURES.md §3).

@@ -9,7 +9,7 @@ from chronofit import constants as K
 from chronofit.functions.clean import base_clean, normalise_category, parse_boolean, to_date, to_double
 from chronofit.functions.features import date_features, distance_band, haversine
 from chronofit.functions.metrics import regression_aggs
-from chronofit.operators.ranking import exact_quantiles
+from chronofit.operators.quantiles import exact_quantiles
 
 
 def test_title_case_matches_python(spark):

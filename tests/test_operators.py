@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from chronofit import constants as K
 from chronofit.operators.contracts import scenario_contract
 from chronofit.operators.errors import holdout_errors
-from chronofit.operators.ranking import exact_quantiles, rank_within_groups
+from chronofit.operators.quantiles import exact_quantiles
+from chronofit.operators.ranking import rank_within_groups
 from chronofit.operators.selection import leaderboard, selection_contract
 from conftest import SF_SMALL
 
