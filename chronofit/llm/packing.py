@@ -1,8 +1,8 @@
 """Best-fit packing of tokenised documents by bin completion.
 
 Documents are tokenised in Arrow batches.  The tokenizer never joins characters across
-ASCII white space, so a text's ids are the ids of its words in a row; each task keeps a
-bounded cache of words it has encoded.  A document over ``capacity`` tokens is cut into
+ASCII white space, nor a letter and a mark, so a text's ids are those of its units in a
+row; each task keeps a bounded cache of units it has encoded.  A document over ``capacity`` tokens is cut into
 full pieces and a rest; full pieces are sequences of their own.
 
 The other pieces are dealt at random to groups of about ``GROUP_PIECES``, and each group
@@ -20,11 +20,11 @@ null ids are kept; an empty table gives no rows.
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -37,75 +37,141 @@ from .textarrays import chunks, releasing, releasing_groups
 CAPACITY = 2048
 END_ID = 0
 GROUP_PIECES = 8192
-#: Bin completion gives up and keeps its incumbent after this many nodes per sequence of the
-#: incumbent; a descent to a whole packing takes one node per sequence.
-NODES_PER_BIN = 4
-#: Fillings tried at a node, and largest partners scanned to find them.
-WIDTH, SCAN = 4, 96
-CACHE_WORDS = 700_000
-#: Marks that end many words, none of them part of a contraction.
+#: Bin completion gives up and keeps its incumbent after so many steps (a step takes or leaves
+#: one size), and so many more per sequence of the incumbent.
+STEPS, STEPS_PER_BIN = 400_000, 100
+#: With up to so many sizes left, a branch is also ended by the sum of the smaller pieces.
+_SUMMED = 128
+#: Units that a task remembers, and how many bytes of them.
+CACHE_UNITS, CACHE_BYTES = 400_000, 48 << 20
+#: Marks that start a unit behind a letter or digit (none of them part of a contraction).
 _MARKS = b".,;:!?*$%&#"
-_caches: dict[str, tuple] = {}
+#: Units of these letters alone are one pre-token each, whose last id ends a word.
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+_JOINED = 512
+_SPACE, _MARK, _ALNUM = (np.array([c in kind for c in range(256)]) for kind in (b" \t\n\x0b\x0c\r", _MARKS, b"0123456789abcdefghijklmnopqrstuvwxyz"))
 
 
-def _tokenizer(path: str) -> tuple:
-    if path not in _caches:
+class WordIds:
+    """Ids of the units of texts: words at ASCII white space, and what follows a letter or digit from a mark on.
+
+    The tokenizer always splits there, so a text's ids are those of its units in a row.
+    Number 0 is the end of a document.
+    """
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        _caches[path] = (tokenizer, {})
-    return _caches[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(1 + max(vocabulary.values()), bool)
+        self.ends_word[[i for entry, i in vocabulary.items() if entry.endswith("</w>")]] = True
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.held = 0
+        self.ids = np.array([END_ID], np.uint32)
+        self.ends = np.array([0, 1], np.int64)
+
+    def _learn(self, units: list[bytes]) -> None:
+        texts = {u: u.decode("utf-8") for u in units}
+        plain = [u for u, t in texts.items() if _PLAIN.fullmatch(t.lower())]
+        order, ids, ends, single = [], [], [], list(texts.keys() - plain)
+        at = int(self.ends[-1])
+        for lo in range(0, len(plain), _JOINED):
+            own = plain[lo:lo + _JOINED]
+            part = np.array(self.tokenizer.encode(" ".join(map(texts.__getitem__, own)), add_special_tokens=False).ids, np.uint32)
+            cuts = np.flatnonzero(self.ends_word[part]) + 1
+            if len(cuts) != len(own):  # a word that is not one pre-token after all
+                single += own
+                continue
+            order += own
+            ids.append(part)
+            ends.append(at + cuts)
+            at += len(part)
+        for u, e in zip(single, self.tokenizer.encode_batch([texts[u] for u in single], add_special_tokens=False)):
+            order.append(u)
+            ids.append(np.array(e.ids, np.uint32))
+            at += len(e.ids)
+            ends.append(np.array([at]))
+        n = len(self.ends) - 1
+        self.number.update(zip(order, range(n, n + len(order))))
+        self.held += sum(map(len, order))
+        self.ids = np.concatenate([self.ids, *ids])
+        self.ends = np.concatenate([self.ends, *ends])
+
+    def of(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the rows of a chunk, each with the end's behind it, and where the rows start."""
+        data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+        n_rows = len(offsets) - 1
+        if len(data):
+            space = _SPACE[data]
+            new = ~space
+            new[1:] &= space[:-1] | (_MARK[data[1:]] & _ALNUM[data[:-1]])
+            edge = offsets[:-1][offsets[:-1] < len(data)]
+            new[edge] |= ~space[edge]
+            starts = np.flatnonzero(new)
+            stops = np.append(np.flatnonzero(space), len(data))
+            limits = np.append(starts[1:], len(data)) if len(starts) else starts
+            ends = np.minimum(np.minimum(limits, stops[np.searchsorted(stops, starts)]), offsets[np.searchsorted(offsets, starts, "right")])
+            raw = data.tobytes()
+            units = [raw[x:y] for x, y in zip(starts.tolist(), ends.tolist())]
+            row = np.searchsorted(offsets, starts, "right") - 1
+        else:
+            units, row = [], np.zeros(0, np.int64)
+        fresh = set(units).difference(self.number)
+        if fresh:
+            if len(self.number) + len(fresh) > CACHE_UNITS or self.held > CACHE_BYTES:
+                self.clear()
+                fresh = set(units)
+            self._learn(list(fresh))
+        number = np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
+        counts = np.bincount(row, minlength=n_rows)
+        number = np.insert(number, np.cumsum(counts), 0)
+        begin = self.ends[number]
+        size = self.ends[number + 1] - begin
+        total = np.cumsum(size)
+        ids = self.ids[np.arange(total[-1] if len(total) else 0) + np.repeat(begin - total + size, size)]
+        return ids, np.concatenate([[0], total[np.cumsum(counts + 1) - 1]]) if n_rows else np.zeros(1, np.int64)
 
 
-def _stem(word: bytes) -> bytes:
-    """The lower-case word without marks at its end that the tokenizer always splits off.
+_workers: dict[str, WordIds] = {}
 
-    They are split off behind a letter or digit; anything else keeps them.
-    """
-    stem = word.rstrip(_MARKS)
-    if not stem or not (stem[-1] < 128 and stem[-1:].isalnum() or stem[-1] >= 128 and stem.decode("utf-8")[-1].isalpha()):
-        stem = word
-    return stem.lower()  # ASCII letters only; the tokenizer lower-cases too
+
+def word_ids(path: str) -> WordIds:
+    if path not in _workers:
+        _workers[path] = WordIds(path)
+    return _workers[path]
 
 
 def encode(path: str, texts: list[bytes]) -> Iterator[bytes]:
     """Ids of each UTF-8 text, as little-endian 32-bit numbers, without special tokens."""
-    tokenizer, cache = _tokenizer(path)
-    split = [t.split() for t in texts]  # bytes split at ASCII white space only
-    fresh = set(chain.from_iterable(split)).difference(cache)
-    if len(cache) + 2 * len(fresh) > CACHE_WORDS:
-        cache.clear()
-        fresh = set(chain.from_iterable(split))
-    parts = {w: (stem := _stem(w), w[len(stem):]) for w in fresh}
-    new = list({x for pair in parts.values() for x in pair if x}.difference(cache))
-    for w, e in zip(new, tokenizer.encode_batch([w.decode("utf-8") for w in new], add_special_tokens=False)):
-        cache[w] = array("I", e.ids).tobytes()
-    for w, (stem, marks) in parts.items():
-        if w not in cache:
-            cache[w] = cache[stem] + (cache[marks] if marks else b"")
-    for words in split:
-        yield b"".join(map(cache.__getitem__, words))
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    ids, at = word_ids(path).of(data, np.cumsum([0, *map(len, texts)]))
+    for x, y in zip(at.tolist(), at.tolist()[1:]):
+        yield ids[x:y - 1].astype("<u4").tobytes()
 
 
 def _pieces(path: str, capacity: int, with_ids: bool):
-    end = np.array([END_ID], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, stop, data, offsets in chunks(batch.column("text")):
-                raw, at = data.tobytes(), offsets.tolist()
-                owner, out = [], []
-                for k, ids in enumerate(encode(path, [raw[a:b] for a, b in zip(at, at[1:])])):
-                    ids += end
-                    for number, start in enumerate(range(0, len(ids), 4 * capacity)):
-                        piece = ids[start:start + 4 * capacity]
-                        owner.append(first + k)
-                        out.append((number, start // 4, len(piece) // 4, zlib.crc32(piece),
-                                    np.frombuffer(piece, "<u4").astype(np.int64).tolist() if with_ids else None))
-                columns = [pa.array(list(c), t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())))]
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(owner)), *columns],
-                                                 ["id", "piece", "start", "length", "ids_crc32", "ids"])
+                ids, at = word_ids(path).of(data, offsets)
+                raw, ids = ids.astype("<u4").tobytes(), ids if with_ids else None
+                sizes = np.diff(at)
+                pieces = -(-sizes // capacity)
+                owner = np.repeat(np.arange(len(sizes)), pieces)
+                number = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = number * capacity
+                length = np.minimum(sizes[owner] - start, capacity)
+                low = ((at[owner] + start) * 4).tolist()
+                crc = [zlib.crc32(raw[x:x + 4 * n]) for x, n in zip(low, length.tolist())]
+                lists = [ids[x // 4:x // 4 + n].astype(np.int64).tolist() for x, n in zip(low, length.tolist())] if with_ids else [None] * len(owner)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").take(pa.array(first + owner)), pa.array(number, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
+                     pa.array(crc, pa.int64()), pa.array(lists, pa.list_(pa.int64()))], ["id", "piece", "start", "length", "ids_crc32", "ids"])
     return run
 
 
@@ -144,37 +210,69 @@ def lower_bound(lengths: list[int], capacity: int) -> int:
     return best
 
 
-def fillings(sizes: list[int], counts: dict[int, int], room: int) -> list[tuple[int, ...]]:
-    """Undominated sets of pieces that fit in ``room``, fullest first (at most ``WIDTH``).
-
-    Two pieces are scanned for; what they leave is filled with the largest that fit.
-    """
-    i = bisect_right(sizes, room)
-    if not i:
-        return [()]
-    single = sizes[i - 1]
-    found = [(single,)]
-    if single == room:
-        return found
-    for a in reversed(sizes[max(0, i - SCAN):i]):
-        j = bisect_right(sizes, min(a, room - a))
-        if j and sizes[j - 1] == a and counts[a] < 2:
-            j -= 1
-        if not j:
-            continue
-        b = sizes[j - 1]
-        filling, left, used = (a, b), room - a - b, 1 + (a == b)
-        while left and (j := bisect_right(sizes, left, 0, j)):
-            x = sizes[j - 1]
-            n = min(counts[x] - (used if x == b else 0), left // x)
-            filling += (x,) * n
-            left -= n * x
-            j -= 1
-        if room - left > single:  # else the single piece dominates
-            found.append(filling)
-        if not left:
-            break
-    return sorted(set(found), key=lambda f: (-sum(f), len(f)))[:WIDTH]
+class Search:
+    """The pieces left of a group, by size, and the steps that a search may still take."""
+
+    def __init__(self, lengths: list[int], steps: int):
+        self.counts: dict[int, int] = {}
+        for x in lengths:
+            self.counts[x] = self.counts.get(x, 0) + 1
+        self.sizes = sorted(self.counts)
+        self.steps = steps
+
+    def take(self, x: int) -> None:
+        self.counts[x] -= 1
+        if not self.counts[x]:
+            self.sizes.pop(bisect_left(self.sizes, x))
+
+    def put(self, x: int) -> None:
+        if not self.counts[x]:
+            insort(self.sizes, x)
+        self.counts[x] += 1
+
+    def fillings(self, room: int, waste: int) -> Iterator[tuple[int, ...]]:
+        """Every undominated set of pieces that leaves at most ``waste`` of ``room``, fullest first, lazily.
+
+        Sets are found by taking or leaving the largest size that fits, depth first, in bands of
+        growing slack; a branch ends where the smaller pieces cannot fill enough.  Each
+        decision is a step; without steps left the enumeration ends early.  The pieces must be
+        as they were whenever the next set is asked for.
+        """
+        sizes, counts = self.sizes[:bisect_right(self.sizes, room)], self.counts
+        smaller = [0, *accumulate(x * counts[x] for x in sizes)] if len(sizes) <= _SUMMED else None
+        low, high = 0, 0
+        while True:
+            high = min(high, waste)
+            stack: list[tuple[int, int, tuple[int, ...]]] = [(len(sizes) - 1, room, ())]
+            while stack and self.steps > 0:
+                i, left, chosen = stack.pop()
+                self.steps -= 1
+                i = min(i, bisect_right(sizes, left) - 1)
+                if i < 0:
+                    if low <= left <= high and self._undominated(sizes, chosen, left):
+                        yield chosen
+                    continue
+                if smaller is not None and left - smaller[i + 1] > high:
+                    continue
+                x = sizes[i]
+                stack.append((i - 1, left, chosen))
+                if counts[x] > (chosen.count(x) if chosen and chosen[-1] == x else 0):
+                    stack.append((i, left - x, (*chosen, x)))
+            if high >= waste or self.steps <= 0:
+                return
+            low, high = high + 1, 2 * high + 1
+
+    def _undominated(self, sizes: list[int], chosen: tuple[int, ...], left: int) -> bool:
+        """Whether no unused piece could be added, or take the place of a smaller one.
+
+        Such a set with the larger piece is never worse: the piece it sets free fits wherever
+        the larger one would have gone.
+        """
+        for x in {0, *chosen} if left else ():
+            for j in range(bisect_right(sizes, x), bisect_right(sizes, x + left)):
+                if self.counts[sizes[j]] > chosen.count(sizes[j]):
+                    return False
+        return True
 
 
 def bin_completion(lengths: list[int], capacity: int) -> list[list[int]]:
@@ -183,25 +281,11 @@ def bin_completion(lengths: list[int], capacity: int) -> list[list[int]]:
     bound = lower_bound(lengths, capacity)
     if len(best) <= bound:
         return best
-    counts: dict[int, int] = {}
-    for x in lengths:
-        counts[x] = counts.get(x, 0) + 1
-    sizes = sorted(counts)
-    total, nodes = sum(lengths), NODES_PER_BIN * len(best) + 256
-
-    def take(x: int) -> None:
-        counts[x] -= 1
-        if not counts[x]:
-            sizes.pop(bisect_left(sizes, x))
-
-    def put(x: int) -> None:
-        if not counts[x]:
-            insort(sizes, x)
-        counts[x] += 1
-
+    search = Search(lengths, STEPS + STEPS_PER_BIN * len(best))
+    sizes, take, put, total = search.sizes, search.take, search.put, sum(lengths)
     stack: list[list] = []  # per open bin: its largest piece, fillings left to try, filling in use, waste above it
     waste, done, down = 0, False, True
-    while nodes > 0 and not done:
+    while search.steps > 0 and not done:
         if down:
             if not sizes:
                 best = [[s[0], *s[2]] for s in stack]
@@ -209,7 +293,8 @@ def bin_completion(lengths: list[int], capacity: int) -> list[list[int]]:
                 continue
             top = sizes[-1]
             take(top)
-            stack.append([top, list(reversed(fillings(sizes, counts, capacity - top))), None, waste])
+            spare = (len(best) - 1) * capacity - total - waste  # what a better packing may still waste
+            stack.append([top, search.fillings(capacity - top, spare) if spare >= 0 else iter(()), None, waste])
         frame = stack[-1] if stack else None
         if frame is None:
             break
@@ -218,11 +303,9 @@ def bin_completion(lengths: list[int], capacity: int) -> list[list[int]]:
                 put(x)
             frame[2] = None
         down = False
-        while frame[1]:
-            filling = frame[1].pop()
+        for filling in frame[1]:
             spent = frame[3] + capacity - frame[0] - sum(filling)
-            if spent <= (len(best) - 1) * capacity - total:  # waste that a better packing may have
-                nodes -= 1
+            if spent <= (len(best) - 1) * capacity - total:
                 for x in filling:
                     take(x)
                 frame[2], waste, down = filling, spent, True

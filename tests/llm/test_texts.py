@@ -212,11 +212,48 @@ def test_bin_completion_is_valid_and_tight():
         assert sorted(itertools.chain(*bins)) == sorted(lengths) and all(sum(b) <= 100 for b in bins)
         assert packing.lower_bound(lengths, 100) <= exact <= len(bins) <= len(packing.best_fit_decreasing(lengths, 100))
         extra += len(bins) - exact
-    assert extra <= 1
+    assert extra == 0
     # best-fit decreasing takes three bins here, two are enough
     assert len(packing.best_fit_decreasing([45, 35, 35, 30, 30, 25], 100)) == 3 and len(packing.bin_completion([45, 35, 35, 30, 30, 25], 100)) == 2
 
 
+def all_undominated(pieces, room):
+    """Sets (as sorted sizes) that fit and in which no larger unused piece fits instead of a chosen one or of nothing."""
+    found = set()
+    for n in range(len(pieces) + 1):
+        for own in itertools.combinations(range(len(pieces)), n):
+            chosen, left = [pieces[i] for i in own], room - sum(pieces[i] for i in own)
+            rest = [pieces[i] for i in range(len(pieces)) if i not in own]
+            if left >= 0 and not any(x < y <= x + left for x in [0, *chosen] for y in rest):
+                found.add(tuple(sorted(chosen, reverse=True)))
+    return found
+
+
+def test_all_undominated_fillings_are_enumerated():
+    assert list(packing.Search([60, 35, 30, 10], 10 ** 6).fillings(100, 100)) == [(60, 30, 10), (60, 35)]
+    rng = random.Random(8)
+    for _ in range(150):
+        pieces = [rng.randint(1, 40) for _ in range(rng.randint(0, 9))]
+        room = rng.randint(1, 90)
+        got = list(packing.Search(pieces, 10 ** 6).fillings(room, room))
+        assert len(got) == len(set(got)) and set(got) == all_undominated(pieces, room)
+        for waste in (0, 3):
+            assert set(packing.Search(pieces, 10 ** 6).fillings(room, waste)) == {f for f in set(got) if room - sum(f) <= waste}
+
+
+@pytest.mark.parametrize("bins, each, capacity", [(6, 3, 100), (10, 3, 1000), (10, 3, 100), (8, 5, 500), (20, 6, 1000)])
+def test_perfect_packings_are_found(bins, each, capacity):
+    rng = random.Random(7)
+    for _ in range(100):
+        lengths = []
+        for _ in range(bins):
+            cuts = sorted(rng.sample(range(1, capacity), each - 1))
+            lengths += [b - a for a, b in zip([0, *cuts], [*cuts, capacity])]
+        rng.shuffle(lengths)
+        found = packing.bin_completion(lengths, capacity)
+        assert sorted(itertools.chain(*found)) == sorted(lengths) and len(found) == bins
+
+
 def test_search_reaches_a_whole_packing_of_a_full_group(spark):
     docs = [(r["text"] or "").encode() for r in read(spark, "/root/testdata/sf0.1", "documents", "doc_id", "text").orderBy("doc_id").collect()]
     lengths = [n for ids in packing.encode(queries.tokenizer_path(), docs) if (n := (len(ids) // 4 + 1) % 2048)]
