@@ -39,9 +39,13 @@ END_ID = 0
 GROUP_PIECES = 8192
 #: Bin completion gives up and keeps its incumbent after so many steps (a step takes or leaves
 #: one size), and so many more per sequence of the incumbent.
-STEPS, STEPS_PER_BIN = 400_000, 100
+STEPS, STEPS_PER_BIN = 1_000_000, 500
 #: With up to so many sizes left, a branch is also ended by the sum of the smaller pieces.
 _SUMMED = 128
+#: Numbers of pieces that are enumerated together, fewest first.
+_PIECES = ((0, 2), (3, 4), (5, 1 << 30))
+#: Steps of a band's first turn.
+_TURN = 4096
 #: Units that a task remembers, and how many bytes of them.
 CACHE_UNITS, CACHE_BYTES = 400_000, 48 << 20
 #: Marks that start a unit behind a letter or digit (none of them part of a contraction).
@@ -230,37 +234,46 @@ class Search:
             insort(self.sizes, x)
         self.counts[x] += 1
 
-    def fillings(self, room: int, waste: int) -> Iterator[tuple[int, ...]]:
-        """Every undominated set of pieces that leaves at most ``waste`` of ``room``, fullest first, lazily.
+    def fillings(self, room: int, waste: int, fair: int = 0) -> Iterator[tuple[int, ...]]:
+        """Every undominated set of pieces that leaves at most ``waste`` of ``room``, lazily.
 
         Sets are found by taking or leaving the largest size that fits, depth first, in bands of
-        growing slack; a branch ends where the smaller pieces cannot fill enough.  Each
-        decision is a step; without steps left the enumeration ends early.  The pieces must be
-        as they were whenever the next set is asked for.
+        growing slack, and by their number of pieces, so the fullest with few pieces come first (the first band reaches to ``fair``, what every
+        sequence may waste); a branch ends where the smaller pieces cannot fill enough.  A band that finds nothing for a while waits until the wider ones have
+        had as long, with twice the time from turn to turn.  Each decision is a step; without
+        steps left the enumeration ends early.  The pieces must be as they were whenever the
+        next set is asked for.
         """
         sizes, counts = self.sizes[:bisect_right(self.sizes, room)], self.counts
         smaller = [0, *accumulate(x * counts[x] for x in sizes)] if len(sizes) <= _SUMMED else None
-        low, high = 0, 0
-        while True:
-            high = min(high, waste)
-            stack: list[tuple[int, int, tuple[int, ...]]] = [(len(sizes) - 1, room, ())]
-            while stack and self.steps > 0:
-                i, left, chosen = stack.pop()
-                self.steps -= 1
-                i = min(i, bisect_right(sizes, left) - 1)
-                if i < 0:
-                    if low <= left <= high and self._undominated(sizes, chosen, left):
-                        yield chosen
-                    continue
-                if smaller is not None and left - smaller[i + 1] > high:
-                    continue
-                x = sizes[i]
-                stack.append((i - 1, left, chosen))
-                if counts[x] > (chosen.count(x) if chosen and chosen[-1] == x else 0):
-                    stack.append((i, left - x, (*chosen, x)))
-            if high >= waste or self.steps <= 0:
-                return
-            low, high = high + 1, 2 * high + 1
+        bands, low, high = [], 0, fair
+        while low <= waste:
+            bands += [(low, min(high, waste), least, most, [(len(sizes) - 1, room, ())]) for least, most in _PIECES]
+            low, high = high + 1, 2 * high + 2
+        turn = _TURN
+        while bands and self.steps > 0:
+            for low, high, least, most, stack in bands:
+                idle = 0
+                while stack and self.steps > 0 and idle < turn:
+                    i, left, chosen = stack.pop()
+                    self.steps -= 1
+                    idle += 1
+                    i = min(i, bisect_right(sizes, left) - 1)
+                    if i < 0 or len(chosen) == most:
+                        if low <= left <= high and len(chosen) >= least and self._undominated(sizes, chosen, left):
+                            idle = 0
+                            yield chosen
+                        continue
+                    if smaller is not None and left - smaller[i + 1] > high:
+                        continue
+                    x = sizes[i]
+                    if left - (most - len(chosen)) * x > high:
+                        continue
+                    stack.append((i - 1, left, chosen))
+                    if counts[x] > (chosen.count(x) if chosen and chosen[-1] == x else 0):
+                        stack.append((i, left - x, (*chosen, x)))
+            bands = [band for band in bands if band[-1]]
+            turn *= 2
 
     def _undominated(self, sizes: list[int], chosen: tuple[int, ...], left: int) -> bool:
         """Whether no unused piece could be added, or take the place of a smaller one.
@@ -294,7 +307,8 @@ def bin_completion(lengths: list[int], capacity: int) -> list[list[int]]:
             top = sizes[-1]
             take(top)
             spare = (len(best) - 1) * capacity - total - waste  # what a better packing may still waste
-            stack.append([top, search.fillings(capacity - top, spare) if spare >= 0 else iter(()), None, waste])
+            fair = max(0, spare) // (len(best) - len(stack))
+            stack.append([top, search.fillings(capacity - top, spare, fair) if spare >= 0 else iter(()), None, waste])
         frame = stack[-1] if stack else None
         if frame is None:
             break
