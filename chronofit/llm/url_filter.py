@@ -1,4 +1,4 @@
-"""URL filters: rules first, then link-graph propagation over hosts (DataFrame operations; small graphs in the driver).
+"""URL filters: rules first, then link-graph propagation over hosts (DataFrame operations only).
 
 Rules are ``host/path`` prefixes with an allow or block verdict; a rule fits its host
 and all subdomains if the url's path starts with the rule's path, and the longest wins.
@@ -12,8 +12,8 @@ host is blocked if its distrust is above ``ratio`` times its trust.
 
 Scale: seeds and edges are counted with map-side combining, so a hot host costs one row
 per task; each step joins the host table with the edge table, and the scores are written
-every ``ROUND_STEPS`` steps; the damping ends it after about 180 steps on any graph, sooner
-the more hosts share the seed.  Only hosts to be blocked
+every ``ROUND_STEPS`` steps; the damping ends it after about 180 steps on any graph and at
+any size, sooner the more hosts share the seed.  Only hosts to be blocked
 are joined back to the pages (broadcast if counted small, else a skew-split join).
 
 Defined cases: a null url or one without ``://`` has an empty host and path, fits no
@@ -25,7 +25,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,13 +45,11 @@ class Rule:
 RULES = (Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("allow", "www.example.com", "/en/"),
          Rule("block", "net", "/es/"), Rule("block", "net", "/fr/"))
 DAMPING = 0.85
-#: Steps of the SQL form, which unrolls them, and of ``propagate`` unless it is asked to converge.
-STEPS = 6
-#: Largest change of a score over ``ROUND_STEPS`` steps at which propagation has converged.
+#: Propagation has converged when no score changes by so much over ``ROUND_STEPS`` steps.
 TOLERANCE = 1e-12
-ROUND_STEPS = 8
-#: Up to this many edges (both kinds) the driver propagates them in memory, without a job per step.
-LOCAL_EDGES = 200_000
+ROUND_STEPS = 16
+#: Steps of the SQL form: what damping leaves of a score's change after them is below the tolerance.
+SQL_STEPS = 176
 RATIO = 1.0
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -87,57 +84,31 @@ def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
     return links.union(both.withColumn("w", F.lit(1.0))).groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
-def _converged_here(seeds: DataFrame, along: DataFrame, damping: float) -> DataFrame:
-    """Converged scores of a counted small edge table; a host without edges keeps its share of the seed."""
-    nodes = along.select("kind", F.col("src").alias("host")).union(along.select("kind", "dst")).distinct()
-    known = nodes.join(seeds, ["kind", "host"], "left").select("kind", "host", F.coalesce("seed", F.lit(0.0))).collect()
-    at = {(k, h): i for i, (k, h, _) in enumerate(known)}
-    moves = [(at[k, a], at[k, b], p) for k, a, b, p in along.select("kind", "src", "dst", "p").collect()]
-    src, dst, p = (np.array(c, t) for c, t in zip(zip(*moves) if moves else ((), (), ()), (np.int64, np.int64, float)))
-    seed = np.array([x[2] for x in known], float)
-    rank, change = seed, 1.0
-    while len(known) and change >= TOLERANCE * (1 - damping):
-        last, rank = rank, seed * (1 - damping) + damping * np.bincount(dst, rank[src] * p, len(known))
-        change = float(np.abs(rank - last).max())
-    here = seeds.sparkSession.createDataFrame([(k, h, float(r)) for (k, h, _), r in zip(known, rank)],
-                                              "kind string, host string, r double").filter(F.col("r") > 0)
-    alone = seeds.join(nodes, ["kind", "host"], "left_anti")
-    return here.union(alone.select("kind", "host", (F.col("seed") * (1 - damping)).alias("r")))
-
-
-def propagate(seeds: DataFrame, edges: DataFrame, steps: int | None = STEPS, damping: float = DAMPING) -> DataFrame:
-    """Trust along the edges and distrust against them: ``(host, trust, distrust)``.
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING) -> DataFrame:
+    """Trust along the edges and distrust against them, converged: ``(host, trust, distrust)``.
 
     ``seeds``: ``(host, kind, seed)`` with kinds ``trust`` and ``distrust``, each summing to 1.
-    ``steps``: so many steps, or None for as many as it takes to converge.
     """
     along = edges.select(F.lit("trust").alias("kind"), "src", "dst", "w").union(
         edges.select(F.lit("distrust"), F.col("dst"), F.col("src"), F.col("w")))
     out = along.groupBy("kind", "src").agg(F.sum("w").alias("out_w"))
     along = materialise(along.join(out, ["kind", "src"]).select(
         "kind", "src", "dst", (F.col("w") / F.col("out_w")).alias("p")), "url-edges")
-    n_edges = along.count()
-    side = broadcast_if_small(along, n_edges)
+    side, seeds = broadcast_if_small(along), materialise(seeds, "url-seeds")
 
-    def walk(rank: DataFrame, n: int) -> DataFrame:
-        for _ in range(n):
+    def walk(rank: DataFrame) -> DataFrame:
+        for _ in range(ROUND_STEPS):
             moved = (rank.withColumnRenamed("host", "src").join(side, ["kind", "src"])
                      .select("kind", F.col("dst").alias("host"), (F.col("r") * F.col("p") * damping).alias("r")))
             start = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("r"))
             rank = moved.union(start).groupBy("kind", "host").agg(F.sum("r").alias("r"))
         return rank
 
-    rank = seeds.select("kind", "host", F.col("seed").alias("r"))
-    if steps is not None:
-        rank = walk(rank, steps)
-    elif n_edges <= LOCAL_EDGES:
-        rank = _converged_here(seeds, along, damping)
-    else:
-        seeds, change = materialise(seeds, "url-seeds"), 1.0
-        while change >= TOLERANCE:
-            last, rank = rank, materialise(walk(rank, ROUND_STEPS), "url-rank")
-            moves = rank.union(last.select("kind", "host", -F.col("r"))).groupBy("kind", "host").agg(F.abs(F.sum("r")).alias("c"))
-            change = moves.agg(F.max("c")).first()[0] or 0.0
+    rank, change = seeds.select("kind", "host", F.col("seed").alias("r")), 1.0
+    while change >= TOLERANCE:
+        last, rank = rank, materialise(walk(rank), "url-rank")
+        moves = rank.union(last.select("kind", "host", -F.col("r"))).groupBy("kind", "host").agg(F.abs(F.sum("r")).alias("c"))
+        change = moves.agg(F.max("c")).first()[0] or 0.0  # one number
     return rank.groupBy("host").agg(
         F.round(F.sum(F.when(F.col("kind") == "trust", F.col("r")).otherwise(0.0)), 12).alias("trust"),
         F.round(F.sum(F.when(F.col("kind") == "distrust", F.col("r")).otherwise(0.0)), 12).alias("distrust"))
@@ -159,15 +130,18 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     total = per_host.agg(F.sum("allowed").alias("a"), F.sum("blocked").alias("b")).first()
     seeds = per_host.select("host", F.lit("trust").alias("kind"), (F.col("allowed") / F.lit(float(total.a or 1))).alias("seed")).union(
         per_host.select("host", F.lit("distrust"), F.col("blocked") / F.lit(float(total.b or 1)))).filter(F.col("seed") > 0)
-    scores = propagate(seeds, host_edges(src, per_host.select("host")), steps=None)
+    scores = propagate(seeds, host_edges(src, per_host.select("host")))
     bad = materialise(scores.filter(F.col("distrust") > ratio * F.col("trust")).select("host", F.lit("block").alias("by_host")),
                       "url-bad")
     return (ruled.join(broadcast_if_small(bad), "host", "left")
             .select("id", "host", "path", "rule", F.coalesce("by_rule", "by_host", F.lit("allow")).alias("verdict")))
 
 
-def oracle_sql(steps: int = STEPS, damping: float = DAMPING, ratio: float = RATIO) -> str:
-    """The same judgement in DuckDB SQL, the steps unrolled."""
+def oracle_sql(steps: int = SQL_STEPS, damping: float = DAMPING, ratio: float = RATIO) -> str:
+    """The same judgement in DuckDB SQL.
+
+    A score is the sum over all steps of the seed's share (1 - damping) that has moved so far.
+    """
     order = sorted(range(len(RULES)), key=lambda i: (-len(RULES[i].text), i))
 
     def pick(field: str) -> str:
@@ -176,7 +150,7 @@ def oracle_sql(steps: int = STEPS, damping: float = DAMPING, ratio: float = RATI
             for i in order) + " END"
     host = "regexp_extract(coalesce(%s, ''), '^(?s:.*?)://([^/?#]*)', 1)"
     lower = f"translate({host}, '{UPPER}', '{LOWER}')"
-    out = f"""WITH p AS (SELECT page_id, html, {lower % 'url'} AS host,
+    return f"""WITH RECURSIVE p AS (SELECT page_id, html, {lower % 'url'} AS host,
       regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path FROM pages),
     ruled AS (SELECT page_id, host, path, {pick('text')} AS rule, {pick('verdict')} AS by_rule FROM p),
     hosts AS (SELECT host, count(*) FILTER (by_rule = 'allow') AS a, count(*) FILTER (by_rule = 'block') AS b
@@ -192,15 +166,12 @@ def oracle_sql(steps: int = STEPS, damping: float = DAMPING, ratio: float = RATI
       UNION ALL SELECT src, dst, 1.0::DOUBLE FROM child UNION ALL SELECT dst, src, 1.0::DOUBLE FROM child) GROUP BY src, dst),
     both_ways AS (SELECT 'trust' AS kind, src, dst, w FROM edges UNION ALL SELECT 'distrust', dst, src, w FROM edges),
     along AS (SELECT kind, src, dst, w / sum(w) OVER (PARTITION BY kind, src) AS p FROM both_ways),
-    r0 AS (SELECT kind, host, seed AS r FROM seeds)"""
-    for k in range(steps):
-        out += f""",
-    r{k + 1} AS (SELECT kind, host, sum(r) AS r FROM (
-      SELECT a.kind, a.dst AS host, x.r * a.p * {damping} AS r FROM r{k} x JOIN along a ON x.host = a.src AND x.kind = a.kind
-      UNION ALL SELECT kind, host, seed * (1 - {damping}::DOUBLE) FROM seeds) GROUP BY kind, host)"""
-    return out + f""",
+    moved AS (SELECT 0 AS step, kind, host, seed AS r FROM seeds
+      UNION ALL SELECT step + 1, a.kind, a.dst, sum(x.r * a.p * {damping}::DOUBLE) FROM moved x JOIN along a ON x.host = a.src AND x.kind = a.kind
+      WHERE step < {steps} GROUP BY step, a.kind, a.dst),
+    r AS (SELECT kind, host, sum(CASE WHEN step = {steps} THEN r ELSE r * (1 - {damping}::DOUBLE) END) AS r FROM moved GROUP BY kind, host),
     scores AS (SELECT host, round(sum(CASE WHEN kind = 'trust' THEN r ELSE 0 END), 12) AS trust,
-      round(sum(CASE WHEN kind = 'distrust' THEN r ELSE 0 END), 12) AS distrust FROM r{steps} GROUP BY host)
+      round(sum(CASE WHEN kind = 'distrust' THEN r ELSE 0 END), 12) AS distrust FROM r GROUP BY host)
     SELECT page_id, ruled.host, path, rule,
       coalesce(by_rule, CASE WHEN distrust > {ratio} * trust THEN 'block' END, 'allow') AS verdict
     FROM ruled LEFT JOIN scores ON ruled.host = scores.host"""
