@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
-from .textarrays import chunks, releasing, releasing_groups
+from .textarrays import chunks, distinct_spans, releasing, releasing_groups
 
 CAPACITY = 2048
 END_ID = 0
@@ -120,18 +120,20 @@ class WordIds:
             stops = np.append(np.flatnonzero(space), len(data))
             limits = np.append(starts[1:], len(data)) if len(starts) else starts
             ends = np.minimum(np.minimum(limits, stops[np.searchsorted(stops, starts)]), offsets[np.searchsorted(offsets, starts, "right")])
+            one, kind = distinct_spans(data, starts, ends)
             raw = data.tobytes()
-            units = [raw[x:y] for x, y in zip(starts.tolist(), ends.tolist())]
+            units = [raw[x:y] for x, y in zip(starts[one].tolist(), ends[one].tolist())]
             row = np.searchsorted(offsets, starts, "right") - 1
         else:
             units, row = [], np.zeros(0, np.int64)
-        fresh = set(units).difference(self.number)
+            kind = row
+        fresh = [u for u in units if u not in self.number]
         if fresh:
             if len(self.number) + len(fresh) > CACHE_UNITS or self.held > CACHE_BYTES:
                 self.clear()
-                fresh = set(units)
-            self._learn(list(fresh))
-        number = np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
+                fresh = units
+            self._learn(fresh)
+        number = np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))[kind]
         counts = np.bincount(row, minlength=n_rows)
         number = np.insert(number, np.cumsum(counts), 0)
         begin = self.ends[number]

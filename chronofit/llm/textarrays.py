@@ -141,6 +141,31 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One span of each kind, and the kind of every span; spans are of one kind if their bytes are equal.
+
+    Up to 15 bytes and the length fit in two numbers; longer spans are numbered by a table.
+    """
+    size = ends - starts
+    raw = data.tobytes()
+    eight = np.ndarray((len(raw) + 9,), "<u8", raw + bytes(16), strides=(1,))
+    short = np.minimum(size, 15)
+    first = eight[starts] & _LOW_BYTES[np.minimum(short, 8)]
+    second = eight[np.minimum(starts + 8, len(raw))] & _LOW_BYTES[np.maximum(short, 8) - 8] | short.astype(np.uint64) << np.uint64(56)
+    number: dict[bytes, int] = {}
+    long = np.flatnonzero(size > 15)
+    if len(long):
+        first[long] = [number.setdefault(raw[x:y], len(number)) for x, y in zip(starts[long].tolist(), ends[long].tolist())]
+        second[long] = np.uint64(255) << np.uint64(56)
+    _, one, kind = np.unique(mix64(mix64(first) ^ second * _BASE), return_index=True, return_inverse=True)
+    if (first[one][kind] != first).any() or (second[one][kind] != second).any():  # two kinds share a hash
+        _, one, kind = np.unique(np.stack([first, second]), axis=1, return_index=True, return_inverse=True)
+    return one, kind.ravel()
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     """Hash and row of every word of a chunk (A-Z lower-cased first if asked)."""
     starts, ends, rows = word_spans(data, offsets)

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
-from .textarrays import chunks, releasing, releasing_groups
+from .textarrays import chunks, distinct_spans, releasing, releasing_groups
 
 #: Radixes of the first id; a run has a blob for each that occurs.
 RADIX = 32
@@ -54,6 +54,8 @@ SECTION_BYTES = 1 << 21
 CACHE_UNITS, CACHE_UNIT_BYTES, CACHE_BYTES = 250_000, 48, 64 << 20
 #: Keys that a run offers the merge at once.
 BLOCK = 1 << 14
+#: Units that are encoded in one text.
+_JOINED = 512
 _SPACE_MARK = "▁"
 _MARKS = "!\"#$%&()*,-./:;<=>?@[]^_`{|}~'"
 #: ASCII letters, and the letters of two bytes that start with C3.
@@ -101,6 +103,7 @@ class Aligner:
             joined = {y for p in pieces for x, y in zip(p, p[1:]) if x in _LETTERS}
             self.starts[10] = 1
             self.starts[[ord(c) for c in _MARKS if c not in joined]] = 2
+        self.size_a, self.size_b = (np.array(list(map(len, x))) for x in (self.bytes_a, self.bytes_b))
         self.part_a, self.part_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
         self.name_a, self.name_b = ([str(i) for i in range(len(x))] for x in (self.bytes_a, self.bytes_b))
         self.number: dict[bytes, int] = {}
@@ -153,17 +156,43 @@ class Aligner:
                 y = b[j]
                 j, own_b, gap = j + 1, own_b + "," + name_b[y], gap + part_b[y]
 
-    def numbers(self, units: list[bytes]) -> np.ndarray:
-        """Unit numbers; units not met before are encoded and aligned."""
+    def _aligned(self, units: list[bytes]) -> tuple[list[bytes], list[tuple]]:
+        """The units in another order, and each aligned.
+
+        Units that may follow each other are encoded in one text, whose tokens must end where they do.
+        """
+        order, aligned, single = [], [], []
+        joined = [u for u in units if u[0] == 32 and (32 < u[-1] < 127 or u[-1] >= 128 and 0xC3 <= u[-2] <= 0xDF)]
+        for lo in range(0, len(joined), _JOINED):
+            own = joined[lo:lo + _JOINED]
+            text = b"".join(own).decode("utf-8")
+            sides, ends = [], np.cumsum(list(map(len, own)))
+            for ids, sizes in ((self.a.encode(text, add_special_tokens=False).ids, self.size_a), (self.b.encode(text[1:]), self.size_b)):
+                at = np.cumsum(sizes[ids])
+                cut = np.searchsorted(at, ends)
+                if cut[-1] != len(ids) - 1 or (at[cut] != ends).any():
+                    break
+                cut = (cut + 1).tolist()
+                sides.append([ids[x:y] for x, y in zip([0, *cut], cut)])
+            if len(sides) == 2:
+                order += own
+                aligned += map(self._align, own, *sides)
+        single = list(set(units).difference(order)) if len(order) < len(units) else []
+        texts = [u.decode("utf-8") for u in single]
+        ids_a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
+        ids_b = self.b.encode([t[1:] if t[0] == " " else "\n" + t for t in texts], num_threads=1)
+        ids_b = [(b or self.lone_space) if t[0] == " " else b[2:] for t, b in zip(texts, ids_b)]
+        return order + single, aligned + list(map(self._align, single, ids_a, ids_b))
+
+    def numbers(self, raw: bytes, cuts: np.ndarray) -> np.ndarray:
+        """Numbers of the units between the cuts; units not met before are encoded and aligned."""
+        one, kind = distinct_spans(np.frombuffer(raw, np.uint8), cuts[:-1], cuts[1:])
+        units = [raw[x:y] for x, y in zip(cuts[one].tolist(), cuts[one + 1].tolist())]
         if len(self.groups) > CACHE_UNITS or self.held > CACHE_BYTES:
             self.forget()
-        fresh = list(set(units).difference(self.number))
+        fresh = [u for u in units if u not in self.number]
         if fresh:
-            texts = [u.decode("utf-8") for u in fresh]
-            ids_a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
-            ids_b = self.b.encode([t[1:] if t[0] == " " else "\n" + t for t in texts], num_threads=1)
-            ids_b = [(b or self.lone_space) if t[0] == " " else b[2:] for t, b in zip(texts, ids_b)]
-            aligned = list(map(self._align, fresh, ids_a, ids_b))
+            fresh, aligned = self._aligned(fresh)
             n = len(self.groups)
             self.number.update(zip(fresh, range(n, n + len(fresh))))
             self.groups.extend(x[0] for x in aligned)
@@ -172,7 +201,7 @@ class Aligner:
             counts = np.cumsum([len(x[2]) for x in aligned])
             self.ends = _grown(self.ends, n + 1, self.ends[n] + counts)
             self.pairs = _grown(self.pairs, int(self.ends[n]), np.fromiter(chain.from_iterable(x[2] for x in aligned), np.int64, int(counts[-1])))
-        out = np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
+        out = np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))[kind]
         self.used = _grown(self.used, len(self.used), np.zeros(max(0, len(self.groups) - len(self.used)), np.int64))
         self.used[:len(self.groups)] += np.bincount(out, minlength=len(self.groups))
         for u in fresh:
@@ -312,13 +341,12 @@ def _aligner(path_a: str, path_b: str) -> Aligner:
     return _workers[path_a, path_b]
 
 
-def _units_of(texts: list[bytes], unit_starts: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """Units of several texts (each with its space in front) and the text of each."""
+def _units_of(texts: list[bytes], unit_starts: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """Several texts (each with its space in front) in a row, where their units are cut, and the text of each unit."""
     raw = b"".join(texts)
-    starts = np.cumsum([0, *map(len, texts)])
-    cuts = np.union1d(cut_points(np.frombuffer(raw, np.uint8), unit_starts), starts)
-    at = cuts.tolist()
-    return [raw[x:y] for x, y in zip(at, at[1:])], np.searchsorted(starts, cuts[:-1], "right") - 1
+    edges = np.cumsum([0, *map(len, texts)])
+    cuts = np.union1d(cut_points(np.frombuffer(raw, np.uint8), unit_starts), edges)
+    return raw, cuts, np.searchsorted(edges, cuts[:-1], "right") - 1
 
 
 def align_texts(aligner: Aligner, texts: list[bytes]) -> tuple[np.ndarray, list[str], tuple]:
@@ -327,8 +355,8 @@ def align_texts(aligner: Aligner, texts: list[bytes]) -> tuple[np.ndarray, list[
     stats, digests = np.zeros((len(texts), 5), np.int64), [""] * len(texts)
     found = []
     if short:
-        units, owner = _units_of([b" " + texts[i] for i in short], aligner.starts)
-        number = aligner.numbers(units)
+        raw, cuts, owner = _units_of([b" " + texts[i] for i in short], aligner.starts)
+        number = aligner.numbers(raw, cuts)
         sums = np.add.reduceat(aligner.stats[number], np.searchsorted(owner, np.arange(len(short))), axis=0)
         stats[short] = sums
         ends = np.searchsorted(owner, np.arange(len(short)), "right").tolist()
@@ -340,8 +368,8 @@ def align_texts(aligner: Aligner, texts: list[bytes]) -> tuple[np.ndarray, list[
     for i in (i for i, t in enumerate(texts) if len(t) > SECTION_BYTES):
         digest, held, first = hashlib.sha256(), (np.zeros(0, np.int64),) * 3, True
         for section in sections(b" " + texts[i], SECTION_BYTES, aligner.starts):
-            units, _ = _units_of([section], aligner.starts)
-            number = aligner.numbers(units)
+            raw, cuts, _ = _units_of([section], aligner.starts)
+            number = aligner.numbers(raw, cuts)
             stats[i] += aligner.stats[number].sum(axis=0)
             digest.update((b"" if first else b";") + b";".join(map(aligner.groups.__getitem__, number.tolist())))
             more = aligner.records(np.full(len(number), i), number)
