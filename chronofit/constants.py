@@ -235,8 +235,8 @@ TARGET = "posted_rate"
 ID = "load_id"
 PREDICTION = "predicted_rate"
 
-MODEL_FAMILY_A = "GBTRegressor"
-MODEL_FAMILY_B = "RandomForestRegressor"
+MODEL_FAMILY_A = "AbsoluteBoost"
+MODEL_FAMILY_B = "QuantileForest"
 BASELINE_FAMILY = "Baseline"
 
 # Boolean spellings accepted by the leaderboard readers.

@@ -1,17 +1,16 @@
-"""Rate-per-mile tree models on spark.ml.
-
-A candidate is a ``Pipeline``: StringIndexer per categorical feature (alphabetical
-order, unknown/NULL -> an extra index, M1) -> Imputer (training medians, because
-spark.ml trees reject NaN; the missing flags stay features) -> VectorAssembler ->
-a tree regressor fitted on rate per mile = target / distance (P15).  Predictions are
-``max(rpm x distance, 1.0)``, NULL when distance is missing (P16).  Training runs
-distributed; the driver only holds the fitted trees.
-
-Families: A = ``GBTRegressor`` with squared loss (the boosted-tree candidates), B =
-``RandomForestRegressor`` (an independent tree family).  ``learn_iterations`` (M4)
-fits a GBT on the inner training window and picks the iteration count with the lowest
-distance-weighted rpm error on the inner validation window (proportional to dollar
-MAE), with patience, then freezes it.
+"""Rate-per-mile tree models.
+
+A candidate is an ``Encoder`` (ordinal codes of categorical features with unknown -> -1, M1;
+exact training medians for missing numerics, because spark.ml trees reject NaN - the missing
+flags stay features) and a learner fitted on rate per mile = target / distance (P15).
+Predictions are ``max(rpm x distance, 1.0)``, NULL when distance is missing (P16).  Training
+runs distributed; the driver only holds the fitted trees and their leaves.
+
+Families: A = boosted trees for absolute error (``AbsoluteBoost``), B = a quantile forest whose
+prediction is a median (``QuantileForest``).  ``learn_iterations`` (M4) grows A once on the inner
+training window and reads the whole error curve off one staged scoring pass over the inner
+validation window: the count with the lowest distance-weighted rpm error (proportional to
+dollar MAE), with patience, is frozen.
 """
 
 from __future__ import annotations
@@ -20,32 +19,30 @@ import json
 from dataclasses import dataclass, field
 from typing import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from .encoding import Encoder
+from .ensembles import LEARNERS
 from .features import categorical_columns
 
 # Candidate parameters, the engine's only ones: 15 leaves ~ depth 4, min samples per leaf ->
 # minInstancesPerNode.  A boosting round is a full pass of Spark jobs over the rows, so few
-# rounds with larger steps replace hundreds with small ones: step size times rounds is kept
-# near 4 to 8, where the holdout error has levelled off (README, Deviations).
-# The boosted family uses squared loss on rate per mile: spark.ml's absolute loss takes
-# fixed sign steps without re-estimating leaf medians, which barely converges on the
-# rpm scale.  Iteration learning (M4) and selection still use absolute (dollar) error.
+# rounds with larger steps replace hundreds with small ones (README, Deviations).
 PARAMETERS: dict[str, dict] = {
-    "gbt_compact": {"family": K.MODEL_FAMILY_A, "lossType": "squared", "maxIter": 20, "stepSize": 0.2,
+    "gbt_compact": {"family": K.MODEL_FAMILY_A, "loss": "absolute", "maxIter": 20, "stepSize": 0.3,
                     "maxDepth": 4, "minInstancesPerNode": 30},
-    "gbt_smoother": {"family": K.MODEL_FAMILY_A, "lossType": "squared", "maxIter": 25, "stepSize": 0.15,
+    "gbt_smoother": {"family": K.MODEL_FAMILY_A, "loss": "absolute", "maxIter": 25, "stepSize": 0.2,
                      "maxDepth": 4, "minInstancesPerNode": 45},
-    "gbt_learned": {"family": K.MODEL_FAMILY_A, "lossType": "squared", "maxIter": 40, "stepSize": 0.2,
+    "gbt_learned": {"family": K.MODEL_FAMILY_A, "loss": "absolute", "maxIter": 40, "stepSize": 0.3,
                     "maxDepth": 5, "minInstancesPerNode": 1, "patience": 8},
-    "forest": {"family": K.MODEL_FAMILY_B, "numTrees": 16, "maxDepth": 8, "minInstancesPerNode": 30},
+    "forest": {"family": K.MODEL_FAMILY_B, "loss": "quantile_forest", "numTrees": 16, "maxDepth": 8, "minInstancesPerNode": 30},
 }
 LABEL = "__rpm"
+#: Numeric features that are never missing, so need no fill.
+_WHOLE = {*K.DATE_FEATURES, "weight_missing", "weight_sign_corrected", "market_index_missing",
+          *[c for c in K.ROUTE_FEATURES if c.endswith("_frequency") or c.startswith(("rare_", "unseen_"))]}
 
 
 @dataclass
@@ -54,7 +51,8 @@ class RateModel:
     family: str
     params: dict
     features: list[str]
-    pipeline: PipelineModel
+    encoder: Encoder
+    learner: object
     feature_set: str = ""
     best_iteration: int | None = None
     extra: dict = field(default_factory=dict)
@@ -64,60 +62,36 @@ class RateModel:
         return json.dumps({k: v for k, v in self.params.items() if k != "family"}, sort_keys=True)
 
     def save(self, path: str, spark=None) -> None:
-        """The fitted pipeline plus a one-row metadata table."""
+        """The learner, the encoder's state tables and a one-row metadata table."""
         from pyspark.sql import SparkSession
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
         spark = spark or SparkSession.getActiveSession()
+        self.learner.save(f"{path}/learner", spark)
+        if self.encoder.codes is not None:
+            self.encoder.codes.write.mode("overwrite").parquet(f"{path}/codes")
         meta = [(self.name, self.family, self.parameters_text, json.dumps(self.features), self.feature_set,
-                 self.best_iteration)]
-        spark.createDataFrame(meta, "name string, family string, parameters string, features string, "
-                                    "feature_set string, best_iteration int").write.mode("overwrite") \
-            .parquet(f"{path}/meta")
+                 self.best_iteration, json.dumps(self.encoder.fills))]
+        spark.createDataFrame(meta, "name string, family string, parameters string, features string, feature_set string, "
+                                    "best_iteration int, fills string").write.mode("overwrite").parquet(f"{path}/meta")
 
     @classmethod
     def load(cls, spark, path: str) -> "RateModel":
         r = spark.read.parquet(f"{path}/meta").first()
-        params = json.loads(r["parameters"])
+        params, features = json.loads(r["parameters"]), json.loads(r["features"])
         params["family"] = r["family"]
-        return cls(name=r["name"], family=r["family"], params=params, features=json.loads(r["features"]),
-                   pipeline=PipelineModel.load(f"{path}/pipeline"), feature_set=r["feature_set"],
+        codes = spark.read.parquet(f"{path}/codes") if categorical_columns(features) else None
+        encoder = Encoder(codes, 0 if codes is None else codes.count(), json.loads(r["fills"]))
+        return cls(name=r["name"], family=r["family"], params=params, features=features, encoder=encoder,
+                   learner=LEARNERS[params["loss"]].load(f"{path}/learner", spark), feature_set=r["feature_set"],
                    best_iteration=r["best_iteration"])
 
     def predict(self, feats: DataFrame, out: str = "predicted") -> DataFrame:
         return predict(self, feats, out)
 
 
-def _regressor(params: dict, seed: int):
-    p = {k: v for k, v in params.items() if k not in ("family", "patience")}
-    if params["family"] == K.MODEL_FAMILY_A:
-        return GBTRegressor(featuresCol="__x", labelCol=LABEL, seed=seed, predictionCol="__rpm_hat", **p)
-    if params["family"] == K.MODEL_FAMILY_B:
-        return RandomForestRegressor(featuresCol="__x", labelCol=LABEL, seed=seed,
-                                     predictionCol="__rpm_hat", **p)
-    raise ValueError(f"Unsupported model family: {params['family']!r}")
-
-
-def _prep(features: Sequence[str]) -> Pipeline:
-    """Index all categoricals in one pass, impute numerics (training medians), assemble."""
+def fit_encoder(train_feats: DataFrame, features: Sequence[str]) -> Encoder:
+    """Codes and fills of ``features``; one serves all candidates on subsets of them."""
     cats = categorical_columns(features)
-    nums = [c for c in features if c not in cats]
-    stages = []
-    if cats:
-        stages.append(StringIndexer(inputCols=cats, outputCols=[f"__ix_{c}" for c in cats],
-                                    stringOrderType="alphabetAsc", handleInvalid="keep"))
-    imputed = [f"__im_{c}" for c in nums]
-    if nums:
-        stages.append(Imputer(inputCols=nums, outputCols=imputed, strategy="median"))
-    stages.append(VectorAssembler(inputCols=imputed + [f"__ix_{c}" for c in cats], outputCol="__x",
-                                  handleInvalid="keep"))
-    return Pipeline(stages=stages)
-
-
-def _numeric_frame(feats: DataFrame, features: Sequence[str]) -> DataFrame:
-    cats = set(categorical_columns(features))
-    cols = [F.col(c).cast("double").alias(c) if c not in cats else F.col(c) for c in features]
-    passthrough = [c for c in feats.columns if c not in features]
-    return feats.select(*passthrough, *cols)
+    return Encoder.fit(train_feats, cats, [c for c in features if c not in cats and c not in _WHOLE])
 
 
 def _check_leakage(features: Sequence[str], target: str) -> None:
@@ -129,57 +103,58 @@ def _check_leakage(features: Sequence[str], target: str) -> None:
         raise ValueError("distance is required: the model predicts rate per mile")
 
 
+def _labelled(feats: DataFrame, target: str) -> DataFrame:
+    rpm = F.try_divide(F.col(target).cast("double"), F.col("distance").cast("double"))
+    return feats.withColumn(LABEL, rpm).where(F.col(LABEL).isNotNull())
+
+
 def fit(train_feats: DataFrame, features: Sequence[str], params: dict, name: str = "model",
-        target: str = K.TARGET, feature_set: str = "", seed: int = K.RANDOM_SEED) -> RateModel:
-    """M5/M6: fit the pipeline on rate per mile of the training rows."""
+        target: str = K.TARGET, feature_set: str = "", seed: int = K.RANDOM_SEED, encoder: Encoder | None = None) -> RateModel:
+    """M5/M6: fit a candidate on rate per mile of the training rows."""
     features = list(features)
     _check_leakage(features, target)
-    data = _numeric_frame(train_feats, features).withColumn(
-        LABEL, F.try_divide(F.col(target).cast("double"), F.col("distance")))
-    data = data.where(F.col(LABEL).isNotNull())
-    prep = _prep(features).fit(data)
-    # Categorical arity (indexed labels + the unknown slot) bounds maxBins.
-    arity = 0
-    for st in prep.stages:
-        if isinstance(st, StringIndexerModel):
-            arity = max([len(lab) + 1 for lab in st.labelsArray] + [arity])
-    reg = _regressor(params, seed).setMaxBins(max(32, arity + 1))
-    model = reg.fit(prep.transform(data).select("__x", LABEL))
-    return RateModel(name=name, family=params["family"], params=dict(params), features=features,
-                     pipeline=PipelineModel(stages=list(prep.stages) + [model]), feature_set=feature_set)
+    if params["family"] not in (K.MODEL_FAMILY_A, K.MODEL_FAMILY_B):
+        raise ValueError(f"Unsupported model family: {params['family']!r}")
+    encoder = encoder or fit_encoder(train_feats, features)
+    data = encoder.vectors(_labelled(train_feats, target), features, categorical_columns(features)).select("__x", LABEL)
+    learner = LEARNERS[params["loss"]].fit(data, LABEL, params, seed)
+    return RateModel(name=name, family=params["family"], params=dict(params), features=features, encoder=encoder,
+                     learner=learner, feature_set=feature_set)
 
 
 def predict(model: RateModel, feats: DataFrame, out: str = "predicted") -> DataFrame:
     """max(rpm_hat x distance, 1.0); NULL distance -> NULL prediction."""
-    scored = model.pipeline.transform(_numeric_frame(feats, model.features))
+    scored = model.learner.score(model.encoder.vectors(feats, model.features, categorical_columns(model.features)), "__rpm_hat")
     rate = F.col("__rpm_hat") * F.col("distance")
-    keep = [c for c in feats.columns]
-    return scored.select(*keep, F.when(rate.isNotNull(), F.greatest(rate, F.lit(1.0))).alias(out))
+    return scored.select(*feats.columns, F.when(rate.isNotNull(), F.greatest(rate, F.lit(1.0))).alias(out))
+
+
+def staged_errors(model: RateModel, valid_feats: DataFrame, target: str = K.TARGET) -> DataFrame:
+    """``(iteration, error)``: distance-weighted absolute rpm error after each round, from one scoring pass."""
+    rows = model.encoder.vectors(_labelled(valid_feats, target), model.features, categorical_columns(model.features))
+    staged = model.learner.staged(rows, "__all").select(LABEL, F.col("distance").cast("double").alias("w"), F.posexplode("__all").alias("at", "hat"))
+    error = F.sum(F.abs(F.col("hat") - F.col(LABEL)) * F.col("w")) / F.sum("w")
+    return staged.groupBy((F.col("at") + 1).alias("iteration")).agg(error.alias("error"))
+
+
+def best_of_curve(curve: Sequence[float], patience: int) -> int:
+    """Iterations (from 1) with the least error before ``patience`` rounds went by without a lower one."""
+    best, best_i = float("inf"), 0
+    for i, err in enumerate(curve):
+        if err < best:
+            best, best_i = err, i
+        elif i - best_i >= patience:
+            break
+    return best_i + 1
 
 
 def learn_iterations(train_feats: DataFrame, valid_feats: DataFrame, features: Sequence[str], params: dict,
-                     target: str = K.TARGET, seed: int = K.RANDOM_SEED) -> tuple[int, list[float]]:
-    """M4: best GBT iteration count on the inner window (distance-weighted rpm error, patience)."""
+                     target: str = K.TARGET, seed: int = K.RANDOM_SEED, encoder: Encoder | None = None) -> tuple[int, list[float]]:
+    """M4: best iteration count of the boosted family on the inner window, and the error curve."""
     if params["family"] != K.MODEL_FAMILY_A:
         raise ValueError("iteration learning needs the boosted family")
     if train_feats.dtypes != valid_feats.dtypes:                       # C25: names, order and types
         raise ValueError("iteration-learning train and validation schemas differ")
-    m = fit(train_feats, features, params, "iterations", target, seed=seed)
-    gbt = m.pipeline.stages[-1]
-    prep = PipelineModel(stages=m.pipeline.stages[:-1])
-    valid = prep.transform(_numeric_frame(valid_feats, features)).withColumn(
-        LABEL, F.try_divide(F.col(target).cast("double"), F.col("distance"))).where(F.col(LABEL).isNotNull())
-    # Distance-weighted rpm error is proportional to the dollar MAE the candidates are ranked by.
-    gbt._set(weightCol="distance")
-    gbt._transfer_params_to_java()
-    curve = gbt.evaluateEachIteration(valid, "absolute")
-    patience = int(params.get("patience", 60))
-    best, best_i, since = float("inf"), 0, 0
-    for i, err in enumerate(curve):
-        if err < best:
-            best, best_i, since = err, i, 0
-        else:
-            since += 1
-            if since >= patience:
-                break
-    return best_i + 1, list(curve)
+    m = fit(train_feats, features, params, "iterations", target, seed=seed, encoder=encoder)
+    curve = [r["error"] for r in sorted(staged_errors(m, valid_feats, target).collect(), key=lambda r: r["iteration"])]  # a row a round
+    return best_of_curve(curve, int(params.get("patience", 60))), curve

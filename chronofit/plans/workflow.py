@@ -8,8 +8,9 @@ Order (leakage-safe, like the original run):
   (M11) -> refits on all labeled rows (M6) -> scoring of the future table (M12, J8)
   and of the scenario grid (M13).
 
-Feature supersets are built once per split and checkpointed to the shared checkpoint
-folder (lineage cut, survives executor loss); each fit selects its columns from them.
+Feature supersets are built once per split and written as Parquet to the shared checkpoint
+folder (lineage cut, survives executor loss); each fit reads its columns of them.  One encoder
+per split serves all its candidates.
 The driver loops over candidates only - every fit and every score is a Spark job.
 """
 
@@ -30,7 +31,7 @@ from ..operators.errors import holdout_errors, segment_errors
 from ..operators.importance import permutation_importance
 from ..operators.contracts import checks_table, union_checks
 from ..operators.selection import (leaderboard, reconcile_summary, screening_contract, screening_table,
-                                   selection_contract)
+                                   selection_contract, stated_selection)
 from ..sources.sinks import output_dir, write_document, write_table
 from ..operators.split import monthly_folds
 from ..session import ensure_checkpoint_dir
@@ -41,6 +42,7 @@ SUPERSET = list(dict.fromkeys(sum(K.COMMON_FEATURE_SETS.values(), []) + sum(K.SC
 KEEP = ["load_id", "date", K.TARGET]
 MAIN_POOL = ["gbt_compact", "gbt_smoother", "gbt_learned", "forest"]
 BASELINES = ["global_median", "equipment_median_rpm"]
+PATIENCE = 8
 SCREEN_FAMILIES = {"gbt_compact": K.MODEL_FAMILY_A, "forest": K.MODEL_FAMILY_B}
 
 # Independent fits run concurrently from the driver (like CrossValidator's parallelism):
@@ -77,7 +79,7 @@ class Workflow:
     # -- feature supersets ------------------------------------------------
     def _feats(self, state_on: str, rows: DataFrame) -> DataFrame:
         st = fitted_state(self.spark, self.sf, state_on)
-        return FE.transform(st, rows, SUPERSET, keep=KEEP).checkpoint(eager=True)
+        return write_table(FE.transform(st, rows, SUPERSET, keep=KEEP), output_dir(self.spark, "features"))
 
     @cached_property
     def inner_train(self):
@@ -95,25 +97,38 @@ class Workflow:
     def outer_holdout(self):
         return self._feats("training", self.ctx.holdout)
 
+    @cached_property
+    def inner_encoder(self):
+        return M.fit_encoder(self.inner_train, SUPERSET)
+
+    @cached_property
+    def outer_encoder(self):
+        return M.fit_encoder(self.outer_train, SUPERSET)
+
     # -- M7 screening -----------------------------------------------------
     @cached_property
     def screening_long(self) -> DataFrame:
         jobs = [(fs, name, fam) for fs in sorted(K.COMMON_FEATURE_SETS) for name, fam in SCREEN_FAMILIES.items()]
+        encoder = self.inner_encoder
 
         def one(job):
             fs, name, fam = job
             m = M.fit(self.inner_train, K.COMMON_FEATURE_SETS[fs], self.params[name], f"{name}__{fs}",
-                      feature_set=fs)
+                      feature_set=fs, encoder=encoder)
+            if fam == K.MODEL_FAMILY_A:  # the learned count is a prefix of the rounds, so nothing is fitted again
+                curve = [r["error"] for r in sorted(M.staged_errors(m, self.inner_valid).collect(), key=lambda r: r["iteration"])]
+                m.best_iteration = M.best_of_curve(curve, PATIENCE)
+                m.learner = m.learner.first(m.best_iteration)
             p = M.predict(m, self.inner_valid)
-            return p.select(F.lit(fs).alias("feature_set"), F.lit(fam).alias("model_family"),
-                            F.lit(m.name).alias("model"), F.col(K.TARGET).alias("actual"), "predicted")
-        return _union(_parallel(one, jobs)).checkpoint(eager=True)
+            return p.select(F.lit(fs).alias("feature_set"), F.lit(fam).alias("model_family"), F.lit(m.name).alias("model"),
+                            F.lit(m.best_iteration).cast("int").alias("best_iteration"), F.col(K.TARGET).alias("actual"), "predicted")
+        return write_table(_union(_parallel(one, jobs)), output_dir(self.spark, "screening"))
 
     @cached_property
     def screening(self) -> DataFrame:
-        board = self.screening_long.groupBy("feature_set", "model_family").agg(
+        board = self.screening_long.groupBy("feature_set", "model_family", "best_iteration").agg(
             *regression_aggs("actual", "predicted", with_bias=False))
-        table = screening_table(board)
+        table = screening_table(board, families=sorted(SCREEN_FAMILIES.values()))
         counts = {fs: len(c) for fs, c in K.COMMON_FEATURE_SETS.items()}
         fc = self.spark.createDataFrame(sorted(counts.items()), "feature_set string, feature_count int")
         return table.join(F.broadcast(fc), "feature_set").withColumn(
@@ -124,14 +139,16 @@ class Workflow:
         return self.screening.where("selected_for_outer_comparison").select("feature_set").first()[0]
 
     # -- M4 learned iterations --------------------------------------------
-    def learned(self, features) -> int:
-        n, _ = M.learn_iterations(self.inner_train, self.inner_valid, features, self.params["gbt_learned"])
+    def learned(self, features, name: str = "gbt_learned") -> int:
+        n, _ = M.learn_iterations(self.inner_train, self.inner_valid, features, {"patience": PATIENCE} | self.params[name],
+                                  encoder=self.inner_encoder)
         return n
 
     # -- M10 main comparison ----------------------------------------------
     @cached_property
     def candidates(self) -> dict[str, M.RateModel]:
         cols = K.COMMON_FEATURE_SETS[self.selected_set]
+        encoder = self.outer_encoder
 
         def one(name):
             params = dict(self.params[name])
@@ -140,7 +157,7 @@ class Workflow:
                 best = self.learned(cols)
                 params["maxIter"] = best
                 params.pop("patience", None)
-            m = M.fit(self.outer_train, cols, params, name, feature_set=self.selected_set)
+            m = M.fit(self.outer_train, cols, params, name, feature_set=self.selected_set, encoder=encoder)
             m.best_iteration = best
             return m
         return dict(zip(MAIN_POOL, _parallel(one, MAIN_POOL)))
@@ -157,7 +174,7 @@ class Workflow:
         parts.append(_long_rows(g, "global_median", K.BASELINE_FAMILY, "target_only", "{}", None, False))
         parts.append(_long_rows(e, "equipment_median_rpm", K.BASELINE_FAMILY, "distance + equipment", "{}", None,
                                 False))
-        return _union(parts).checkpoint(eager=True)
+        return write_table(_union(parts), output_dir(self.spark, "predictions"))
 
     @cached_property
     def main_board(self) -> DataFrame:
@@ -177,17 +194,26 @@ class Workflow:
         unpredicted = per_model.agg(F.coalesce(F.sum(F.abs(F.col("n") - n_hold) + F.col("miss")), F.lit(0))).scalar()
         return union_checks([
             checks_table(self.spark, {"C16_holdout_rows_not_predicted": unpredicted}),
-            selection_contract(self.main_board, expected=expected, baselines=BASELINES),
+            selection_contract(self.main_board, expected=expected, baselines=BASELINES, stated=stated_selection(self.main_board)),
             screening_contract(self.screening, sorted(K.COMMON_FEATURE_SETS), sorted(SCREEN_FAMILIES.values())),
         ])
 
+    def scenario_contract(self) -> DataFrame:
+        """C18/C19 on the scenario leaderboard: pool, families, rows, truthful selection."""
+        expected = {n: m.family for n, m in self.scenario_candidates.items()}
+        checks = selection_contract(self.scenario_board, expected=expected, stated=stated_selection(self.scenario_board))
+        n = self.scenario_board.agg(F.abs(F.count(F.lit(1)) - len(expected))).scalar()
+        return union_checks([checks_table(self.spark, {"C18_row_count": n}), checks])
+
     # -- S8 run summary, C20 reconciliation ------------------------------------
     def run_summary(self) -> DataFrame:
         """One nested row - split, selections, baseline metrics, prediction summary."""
         def pick(board):
             return board.where("selected").select(F.struct(
                 "model", F.col("model_family").alias("family"), "feature_set", "mae",
-                F.col("mae").cast("string").alias("mae_text"), "signature").alias("s")).scalar()
+                F.col("mae").cast("string").alias("mae_text"), "signature",
+                board.where("eligible").agg(F.min("mae")).scalar().alias("minimum_eligible_mae"),
+                board.where("eligible").agg(F.array_sort(F.collect_set("model"))).scalar().alias("eligible_models")).alias("s")).scalar()
         b = self.main_board
         base = b.where(F.col("model").isin(*BASELINES)).agg(F.map_from_entries(F.collect_list(F.struct(
             "model", F.struct("mae", "rmse", "r2", "smape")))).alias("m")).scalar()
@@ -203,13 +229,15 @@ class Workflow:
             base.alias("baseline_metrics"), pred.alias("validation_prediction_summary"))
 
     def reconcile(self) -> DataFrame:
-        """C20: write the leaderboard and the run summary, re-read both, reconcile them."""
+        """C20: write both leaderboards and the run summary, re-read them, reconcile them."""
         folder = output_dir(self.spark, "run")
-        board = write_table(self.main_board, f"{folder}/model_comparison")
+        main = write_table(self.main_board, f"{folder}/model_comparison")
+        scenario = write_table(self.scenario_board, f"{folder}/scenario_model_comparison")
         write_document(self.run_summary(), f"{folder}/run_summary")
         summary = self.spark.read.json(f"{folder}/run_summary")
-        expected = {n: m.family for n, m in self.candidates.items()}
-        return reconcile_summary(board, summary, expected, BASELINES)
+        a = reconcile_summary(main, summary, {n: m.family for n, m in self.candidates.items()}, BASELINES)
+        b = reconcile_summary(scenario, summary, {n: m.family for n, m in self.scenario_candidates.items()}, [], field="scenario_selection")
+        return union_checks([a.select(F.lit("main").alias("board"), "check", "violations"), b.select(F.lit("scenario").alias("board"), "check", "violations")])
 
     # -- diagnostics --------------------------------------------------------
     def importance(self) -> DataFrame:
@@ -254,17 +282,25 @@ class Workflow:
     def scenario_candidates(self) -> dict[str, M.RateModel]:
         jobs = [(f"scenario_{'gbt' if fam == K.MODEL_FAMILY_A else 'forest'}__{fs}", fs, base)
                 for fs in sorted(K.SCENARIO_FEATURE_SETS) for base, fam in SCREEN_FAMILIES.items()]
-        fitted = _parallel(lambda j: M.fit(self.outer_train, K.SCENARIO_FEATURE_SETS[j[1]], self.params[j[2]],
-                                           j[0], feature_set=j[1]), jobs)
-        return {j[0]: m for j, m in zip(jobs, fitted)}
+        encoder = self.outer_encoder
+
+        def one(job):
+            name, fs, base = job
+            params, best = dict(self.params[base]), None
+            if params["family"] == K.MODEL_FAMILY_A:
+                params["maxIter"] = best = self.learned(K.SCENARIO_FEATURE_SETS[fs], base)
+            m = M.fit(self.outer_train, K.SCENARIO_FEATURE_SETS[fs], params, name, feature_set=fs, encoder=encoder)
+            m.best_iteration = best
+            return m
+        return dict(zip([j[0] for j in jobs], _parallel(one, jobs)))
 
     @cached_property
     def scenario_board(self) -> DataFrame:
         parts = []
         for name, m in self.scenario_candidates.items():
             p = M.predict(m, self.outer_holdout)
-            parts.append(_long_rows(p, name, m.family, m.feature_set, m.parameters_text, None, True))
-        board = leaderboard(_union(parts), label="scenario")
+            parts.append(_long_rows(p, name, m.family, m.feature_set, m.parameters_text, m.best_iteration, True))
+        board = leaderboard(write_table(_union(parts), output_dir(self.spark, "scenario_predictions")), label="scenario")
         counts = {fs: len(c) for fs, c in K.SCENARIO_FEATURE_SETS.items()}
         fc = self.spark.createDataFrame(sorted(counts.items()), "feature_set string, feature_count int")
         return board.join(F.broadcast(fc), "feature_set").cache()
