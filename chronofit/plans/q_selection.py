@@ -24,9 +24,9 @@ POOL = {"flat_a": "Flat", "flat_b": "Flat", "signal": "Signal", "partial": "Sign
 BASELINES = ["reference"]
 _META = [("flat_a", "Flat", "distance", True), ("flat_b", "Flat", "distance", True), ("signal", "Signal", "distance + signal", True),
          ("partial", "Signal", "distance + weight", True), ("reference", K.BASELINE_FAMILY, "distance", False)]
-# Prices with many digits, so that rounded averages do not stand halfway between two numbers.
-_PRICE = {"flat_a": "310371829E-8 * distance", "flat_b": "310371829E-8 * distance", "signal": "distance * (20137193E-7 + 6031877E-7 * quote_signal)",
-          "partial": "CASE WHEN weight > 0 THEN 31531371E-7 * distance END", "reference": "30519713E-7 * distance + 25E0"}
+# Roots, so that averages never stand halfway between two rounded numbers.
+_PRICE = {"flat_a": "sqrt(963E-2) * distance", "flat_b": "sqrt(963E-2) * distance", "signal": "distance * (sqrt(403E-2) + 6E-1 * quote_signal)",
+          "partial": "CASE WHEN weight > 0 THEN sqrt(993E-2) * distance END", "reference": "sqrt(931E-2) * distance + 25E0"}
 
 
 def scoped_predictions(spark, sf):
