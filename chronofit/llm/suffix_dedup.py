@@ -18,13 +18,18 @@ or earlier in the same document).  Matches never cross documents.
   hashed, and a string that occurs earlier marks its bytes.  A suffix start shared by
   very many edges is split by string instead of being held by one task.
 
-Exact copies of a text are classed by their text's hash first and never enter an array.
+Exact copies of a text are classed by a 128-bit digest first and never enter an array.  A
+span is known by 64 bits of its own and 50 bits of its first bytes' hash, a string by 64
+bits within the strings that share a suffix start.
+
+A text longer than ``SECTION_BYTES`` enters as sections that overlap by ``length - 1`` bytes, so
+that every string lies in exactly one; sections follow each other in rank, and their
+removed ranges are joined per text.
 
 Defined cases: null and empty texts have nothing to remove; texts under ``length`` bytes
 are kept whole; of equal ids the order is by text hash, and rows equal in
 id and text count as one document (they get the same result); null ids come last; later copies
-of a text of at least ``length`` bytes lose all of it; an empty table gives no rows.  A
-document may have up to 2^28 bytes.
+of a text of at least ``length`` bytes lose all of it; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -44,6 +49,10 @@ from .textarrays import chunks, mix64, prefix_hash, releasing, releasing_groups,
 
 LENGTH = 100
 BATCHES = 3
+#: Bytes of a text that enter an array as one (each takes some 150 bytes of memory for a moment).
+SECTION_BYTES = 1 << 20
+#: Bytes of texts whose entries share a bucket, and edges that one task settles at once.
+BUCKET_BYTES, GROUP_EDGES = 4 << 20, 5000
 #: Edges of one suffix start that one task may hold; beyond, they are split by string.
 HOT_EDGES = 20_000
 #: Entries that a map task sorts at once.
@@ -113,8 +122,6 @@ def _map_runs(length: int, buckets: int):
         for batch in batches:
             ranks = batch.column(0).to_numpy().astype(np.uint64)
             for first, _, data, offsets in chunks(batch.column(1)):
-                if int(np.diff(offsets).max()) > _PLACE:
-                    raise ValueError("a document of over 2^28 bytes")
                 a = anchors(data, offsets, length)
                 reach = ((a["at"] - a["lo"]) << 7 | (a["at"] - a["hi"])).astype(np.uint64)
                 place = ranks[first + a["row"]] << np.uint64(PLACE_BITS) | a["at"].astype(np.uint64)
@@ -274,13 +281,16 @@ class SuffixIndex:
         return mapped.unionByName(scanned).filter(F.col("kind") != RUN).drop("bucket", "blob")
 
 
-def _ranked(rows: DataFrame) -> tuple[DataFrame, int]:
-    """First row of each distinct text, ``(text_key, id, n_bytes, rank)``; ranks are dense in id order."""
+def _ranked(rows: DataFrame, length: int) -> DataFrame:
+    """Sections of the first row of each distinct text, ``(text_key, id, n_bytes, section, rank)``; ranks are dense in order of id and section."""
     firsts = rows.groupBy("text_key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("m"), F.first("n_bytes").alias("n_bytes"))
-    order = [F.col("none"), F.col("id"), F.col("text_key")]
+    step = SECTION_BYTES - (length - 1)
+    last = F.greatest(F.lit(0), F.ceil((F.col("n_bytes") - (length - 1)) / step) - 1).cast("int")
+    firsts = firsts.select("text_key", "m.none", "m.id", "n_bytes", F.explode(F.sequence(F.lit(0), last)).alias("section"))
+    order = [F.col("none"), F.col("id"), F.col("text_key"), F.col("section")]
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = firsts.select("text_key", "m.none", "m.id", "n_bytes").repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    ordered = materialise(ordered.select("text_key", "id", "n_bytes", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("mono")),
+    ordered = firsts.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ordered = materialise(ordered.select("text_key", "id", "n_bytes", "section", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("mono")),
                           "suffix-firsts")
     counts = sorted((r["part"], r["n"], r["m"]) for r in ordered.groupBy("part").agg(F.count("*").alias("n"), F.min("mono").alias("m")).collect())
     shift, total = [], 0
@@ -288,7 +298,7 @@ def _ranked(rows: DataFrame) -> tuple[DataFrame, int]:
         shift.append((part, total - least))
         total += n
     offsets = rows.sparkSession.createDataFrame(shift, "part int, shift bigint")
-    return ordered.join(F.broadcast(offsets), "part").select("text_key", "id", "n_bytes", (F.col("mono") + F.col("shift")).alias("rank")), total
+    return ordered.join(F.broadcast(offsets), "part").select("text_key", "id", "n_bytes", "section", (F.col("mono") + F.col("shift")).alias("rank"))
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, batches: int = BATCHES,
@@ -299,20 +309,22 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = df.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = df.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_key"),
+    rows = df.select(F.col(id_col).alias("id"), text.alias("text"), F.unhex(F.md5(text)).alias("text_key"),
                      F.octet_length(text).cast("long").alias("n_bytes"), *[F.col(c).alias(f"carry_{c}") for c in carry])
-    firsts, total = _ranked(rows.select("id", "text_key", "n_bytes"))
-    firsts = materialise(firsts, "suffix-ranks")
+    firsts = materialise(_ranked(rows.select("id", "text_key", "n_bytes"), length), "suffix-ranks")
     long_enough = firsts.filter(F.col("n_bytes") >= length)
+    size = firsts.agg(F.count("*").alias("n"), F.sum(F.least("n_bytes", F.lit(SECTION_BYTES))).alias("bytes"), F.max("section").alias("sections")).first()
+    total, step = size["n"], SECTION_BYTES - (length - 1)
 
     def texts(wanted: DataFrame, n: int | None = None) -> DataFrame:
-        """(rank, text_key, text) of the first rows in ``wanted`` (with text_key, id, rank)."""
-        side = broadcast_if_small(wanted.select("text_key", "rank", F.col("id").alias("first_id")), n)
-        found = rows.select("id", "text_key", "text").join(side, "text_key")
-        return found.filter(F.col("id").eqNullSafe(F.col("first_id"))).select("rank", "text_key", "text")
-
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    index, found = SuffixIndex(4 * parts, length), []
+        """(rank, text_key, text) of the sections in ``wanted`` (with text_key, id, section, rank), as bytes."""
+        side = broadcast_if_small(wanted.select("text_key", "rank", "section", F.col("id").alias("first_id")), n)
+        found = rows.select("id", "text_key", "text").join(side, "text_key").filter(F.col("id").eqNullSafe(F.col("first_id")))
+        data = F.col("text").cast("binary")
+        part = F.when(F.octet_length("text") <= SECTION_BYTES, data).otherwise(F.substring(data, F.col("section") * step + 1, F.lit(SECTION_BYTES)))
+        return found.select("rank", "text_key", part.alias("text"))
+
+    index, found = SuffixIndex(-(-(size["bytes"] or 0) // BUCKET_BYTES) or 1, length), []
     for b in range(batches):
         lo, hi = total * b // batches, total * (b + 1) // batches
         if hi > lo:
@@ -334,7 +346,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     hot = materialise(sizes, "suffix-hot")
     n_hot = hot.count()
     usual = contexts if not n_hot else contexts.join(broadcast_if_small(hot, n_hot), "first_hash", "left_anti")
-    settled = usual.withColumn("grp", F.pmod(F.xxhash64("first_hash"), F.lit(16 * parts))).groupBy("grp").applyInArrow(
+    groups = -(-contexts.count() // GROUP_EDGES) or 1
+    settled = usual.withColumn("grp", F.pmod(F.xxhash64("first_hash"), F.lit(groups))).groupBy("grp").applyInArrow(
         releasing_groups(_settle(length)), "rank bigint, lo int, hi int")
     ranges = repeated.unionByName(settled)
     if n_hot:
@@ -346,12 +359,19 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         at = F.col("place").bitwiseAND(_PLACE).cast("int")
         ranges = ranges.unionByName(later.select(F.shiftright("place", PLACE_BITS).alias("rank"), at.alias("lo"), (at + length).alias("hi")))
     per_rank = materialise(ranges.groupBy("rank").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges")), "suffix-ranges")
-    touched = texts(long_enough.join(broadcast_if_small(per_rank.select("rank")), "rank", "left_semi")).dropDuplicates(["rank"])
-    cut = touched.join(per_rank, "rank").select("text_key", "text", "ranges").mapInArrow(
-        releasing(_cut), "text_key bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string")
+    at = F.col("section") * step
+    whole = long_enough.select("rank", "text_key", F.col("id").alias("first_id"), "section").join(per_rank, "rank").select(
+        "text_key", "first_id", F.transform("ranges", lambda r: F.struct((r["lo"] + at).alias("lo"), (r["hi"] + at).alias("hi"))).alias("ranges"))
+    if size["sections"]:  # the sections of a text are its own, so a row holds no more than one text
+        whole = whole.groupBy("text_key", "first_id").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    whole = materialise(whole, "suffix-removed")
+    touched = rows.select("id", "text_key", "text").join(broadcast_if_small(whole.select("text_key", "first_id")), "text_key")
+    touched = touched.filter(F.col("id").eqNullSafe(F.col("first_id"))).dropDuplicates(["text_key"]).select("text_key", "text")
+    cut = touched.join(whole.drop("first_id"), "text_key").select("text_key", "text", "ranges").mapInArrow(
+        releasing(_cut), "text_key binary, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string")
     cut = materialise(cut if with_text else cut.drop("kept_text"), "suffix-cut")
 
-    plan = firsts.select("text_key", F.col("id").alias("first_id")).join(cut, "text_key", "left")
+    plan = firsts.filter("section = 0").select("text_key", F.col("id").alias("first_id")).join(cut, "text_key", "left")
     if not with_text:
         plan = broadcast_if_small(plan, total)
     out = rows.join(plan, "text_key")

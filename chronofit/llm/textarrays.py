@@ -96,8 +96,9 @@ def _power(kind: str, n: int) -> np.ndarray:
 
 
 def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """``(first row, end row, bytes, offsets)`` per chunk of a string column; null counts as empty."""
-    values = column.cast(pa.large_string()).fill_null("")
+    """``(first row, end row, bytes, offsets)`` per chunk of a string or binary column; null counts as empty."""
+    binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+    values = column.cast(pa.large_binary()).fill_null(b"") if binary else column.cast(pa.large_string()).fill_null("")
     n = len(values)
     if not n:
         return

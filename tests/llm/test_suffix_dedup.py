@@ -58,6 +58,22 @@ def test_other_lengths_and_flushes(spark, monkeypatch):
     assert result(frame(spark, plain(rows), False), length=60) == expected(rows, 60)
 
 
+@pytest.mark.parametrize("size", [128, 333])
+def test_texts_over_many_sections(spark, monkeypatch, size):
+    monkeypatch.setattr(suffix_dedup, "SECTION_BYTES", size)
+    rows = shared()
+    assert result(frame(spark, plain(rows), False)) == expected(rows, 100)
+    assert result(frame(spark, plain(rows), False), batches=5, hot_edges=3) == expected(rows, 100)
+    assert any(r["section"] > 3 for r in suffix_dedup._ranked(spark.createDataFrame([(1, b"k", 5000)], "id bigint, text_key binary, n_bytes bigint"), 100).collect())
+
+
+def test_many_buckets_and_groups(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 500)
+    monkeypatch.setattr(suffix_dedup, "GROUP_EDGES", 4)
+    rows = shared()
+    assert result(frame(spark, plain(rows), False)) == expected(rows, 100)
+
+
 def test_kept_text_and_carried_columns(spark):
     rows = shared()
     out = suffix_dedup.remove_repeats(frame(spark, plain(rows)), carry=("source", "rank"), with_text=True).collect()
