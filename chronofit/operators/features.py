@@ -6,7 +6,7 @@ Fitted state (E1, E2, E6-E8):
   * ``counts``      - long table (key_column, key, count, frequency) for the seven
     frequency keys, computed in ONE unpivot + group-by pass.
   * ``coordinates`` - (city, lat, lon) exact medians over stacked pickup/delivery rows.
-  Key tables are checkpointed to the shared checkpoint folder and their row counts kept,
+  Key tables are written to the shared checkpoint folder and their row counts kept,
   so each lookup join is a broadcast only when the table is proven small, otherwise a
   shuffle join (AQE handles skewed keys).
 
@@ -27,9 +27,9 @@ from .. import constants as K
 from ..functions.clean import base_clean
 from ..functions.features import (composite_keys, date_features, geographic_features,
                                   interaction_features)
-from ..session import ensure_checkpoint_dir
-from .lookup import broadcast_rows
+from .lookup import broadcast_rows, stored_table
 from .quantiles import exact_quantiles
+from .split import Scope, time_part, training_windows
 
 
 @dataclass
@@ -83,8 +83,7 @@ def fit(df: DataFrame, rare_threshold: int = K.RARE_THRESHOLD, impute_numeric: b
     base = base_clean(df)
     if checkpoint:
         # Every statistic below reads the cleaned rows: clean (regex title case) once.
-        ensure_checkpoint_dir(df.sparkSession)
-        base = base.checkpoint(eager=True)
+        base, _ = stored_table(base, "clean_rows")
     head = base.agg(F.min("date").alias("d"), F.count(F.lit(1)).alias("n"),
                     F.count_if(F.col("date").isNull()).alias("bad")).first()
     if head["bad"]:
@@ -97,33 +96,83 @@ def fit(df: DataFrame, rare_threshold: int = K.RARE_THRESHOLD, impute_numeric: b
     med_rows = exact_quantiles(long, ["column"], "value", [0.5], ["median"]).collect()  # <= 8 rows
     medians = {r["column"]: float(r["median"]) for r in med_rows}
     # City coordinates = median lat/lon over stacked pickup and delivery rows with no NULL.
-    stacked = (base.select(F.col("pickup").alias("city"), F.col("pickup_lat").alias("lat"),
-                           F.col("pickup_lon").alias("lon"))
-               .unionByName(base.select(F.col("delivery").alias("city"), F.col("delivery_lat").alias("lat"),
-                                        F.col("delivery_lon").alias("lon")))
+    coordinates = _wide_coordinates(exact_quantiles(_stacked_coordinates(base), ["city", "axis"], "v", [0.5], ["m"]))
+    if impute_numeric:
+        base = _impute(base, medians)
+    counts = _key_counts(base).withColumn("frequency", F.col("count") / F.lit(float(max(rows, 1))))   # E2
+    counts, n_counts = stored_table(counts, "key_counts")
+    coordinates, n_coordinates = stored_table(coordinates, "coordinates")
+    return FeatureState(reference_date=head["d"], rows=rows, medians=medians, counts=counts, coordinates=coordinates,
+                        counts_rows=n_counts, coordinates_rows=n_coordinates, rare_threshold=rare_threshold,
+                        impute_numeric=impute_numeric)
+
+
+def fit_transform(df: DataFrame, features: Sequence[str] | None = None, **options) -> tuple[FeatureState, DataFrame]:
+    """E9 as one call: the state fitted on ``df`` and its own features."""
+    state = fit(df, **options)
+    return state, transform(state, df, features)
+
+
+def fit_scopes(df: DataFrame, scopes: Sequence[Scope], rare_threshold: int = K.RARE_THRESHOLD) -> dict[str, FeatureState]:
+    """The states of many training windows from one pass over the rows: partial counts, dates and
+    radix histograms are kept per part of the time line and added up per window.
+
+    Equal to :func:`fit` on each window's rows; no row is copied per window.
+    """
+    spark = df.sparkSession
+    windows = training_windows(spark, scopes)
+    base = base_clean(df)
+    base, _ = stored_table(base.withColumn("__part", time_part(scopes).cast("int")), "clean_rows")
+    inside = base.where(F.col("__part") < len({s.before for s in scopes}))
+    heads = inside.groupBy("__part").agg(F.min("date").alias("d"), F.count(F.lit(1)).alias("n")).collect()   # a row a part
+    if base.where(F.col("date").isNull()).limit(1).count():
+        raise ValueError("Invalid dates found in training data")
+    member = {}
+    for r in windows.collect():
+        member.setdefault(r["window"], set()).add(r["part"])
+    long = inside.select("__part", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in K.RAW_NUMERIC])).alias("kv")).select("__part", "kv.*")
+    medians: dict[str, dict[str, float]] = {s.name: {} for s in scopes}
+    for r in exact_quantiles(long, ["column"], "value", [0.5], ["median"], windows, "__part").collect():   # scopes x columns
+        medians[r["window"]][r["column"]] = float(r["median"])
+    coord_q = exact_quantiles(_stacked_coordinates(inside, "__part"), ["city", "axis"], "v", [0.5], ["m"], windows, "__part")
+    coordinates, _ = stored_table(_wide_coordinates(coord_q, "window"), "scope_coordinates")
+    partial = _key_counts(inside, "__part")
+    rows = {name: sum(r["n"] for r in heads if r["__part"] in parts) for name, parts in member.items()}
+    sizes = spark.createDataFrame([(k, float(max(n, 1))) for k, n in rows.items()], "window string, n double")
+    counts = partial.join(F.broadcast(windows.withColumnRenamed("part", "__part")), "__part").groupBy("window", "key_column", "key").agg(
+        F.sum("count").alias("count")).join(F.broadcast(sizes), "window").withColumn("frequency", F.col("count") / F.col("n")).drop("n")
+    counts, _ = stored_table(counts, "scope_counts")
+    n_counts = {r["window"]: r["count"] for r in counts.groupBy("window").count().collect()}
+    n_coords = {r["window"]: r["count"] for r in coordinates.groupBy("window").count().collect()}
+    return {name: FeatureState(
+        reference_date=min((r["d"] for r in heads if r["__part"] in parts), default=None), rows=rows[name], medians=medians[name],
+        counts=counts.where(F.col("window") == name).drop("window"), coordinates=coordinates.where(F.col("window") == name).drop("window"),
+        counts_rows=n_counts.get(name, 0), coordinates_rows=n_coords.get(name, 0), rare_threshold=rare_threshold)
+        for name, parts in member.items()}
+
+
+def _stacked_coordinates(base: DataFrame, *keep: str) -> DataFrame:
+    """``(keep..., city, axis, v)`` of pickup and delivery rows with no NULL."""
+    stacked = (base.select(*keep, F.col("pickup").alias("city"), F.col("pickup_lat").alias("lat"), F.col("pickup_lon").alias("lon"))
+               .unionByName(base.select(*keep, F.col("delivery").alias("city"), F.col("delivery_lat").alias("lat"), F.col("delivery_lon").alias("lon")))
                .dropna())
-    coord_long = stacked.select("city", F.explode(F.array(
+    return stacked.select(*keep, "city", F.explode(F.array(
         F.struct(F.lit("lat").alias("axis"), F.col("lat").alias("v")),
-        F.struct(F.lit("lon").alias("axis"), F.col("lon").alias("v")))).alias("kv")).select("city", "kv.*")
-    coord_q = exact_quantiles(coord_long, ["city", "axis"], "v", [0.5], ["m"])
-    coordinates = coord_q.groupBy("city").agg(F.max(F.when(F.col("axis") == "lat", F.col("m"))).alias("lat"),
+        F.struct(F.lit("lon").alias("axis"), F.col("lon").alias("v")))).alias("kv")).select(*keep, "city", "kv.*")
+
+
+def _wide_coordinates(medians: DataFrame, *keep: str) -> DataFrame:
+    return medians.groupBy(*keep, "city").agg(F.max(F.when(F.col("axis") == "lat", F.col("m"))).alias("lat"),
                                               F.max(F.when(F.col("axis") == "lon", F.col("m"))).alias("lon"))
-    if impute_numeric:
-        base = _impute(base, medians)
-    # Counts of all seven keys (NULL-free after normalisation) in one pass.
-    keyed = base.select(*[v.alias(k) for k, v in composite_keys().items()], "pickup", "delivery", "equipment")
-    counts = (keyed.select(F.explode(F.array(*[
+
+
+def _key_counts(base: DataFrame, *keep: str) -> DataFrame:
+    """Counts of all seven keys (NULL-free after normalisation) in one pass."""
+    keyed = base.select(*keep, *[v.alias(k) for k, v in composite_keys().items()], "pickup", "delivery", "equipment")
+    return (keyed.select(*keep, F.explode(F.array(*[
         F.struct(F.lit(k).alias("key_column"), F.col(k).alias("key")) for k in K.FREQUENCY_KEYS])).alias("kv"))
-        .select("kv.*").groupBy("key_column", "key").agg(F.count(F.lit(1)).alias("count"))
-        .withColumn("frequency", F.col("count") / F.lit(float(max(rows, 1)))))
-    if checkpoint:
-        ensure_checkpoint_dir(df.sparkSession)
-        counts = counts.checkpoint(eager=True)
-        coordinates = coordinates.checkpoint(eager=True)
-    return FeatureState(reference_date=head["d"], rows=rows, medians=medians, counts=counts,
-                        coordinates=coordinates, counts_rows=counts.count(),
-                        coordinates_rows=coordinates.count(), rare_threshold=rare_threshold,
-                        impute_numeric=impute_numeric)
+        .select(*keep, "kv.*").groupBy(*keep, "key_column", "key").agg(F.count(F.lit(1)).alias("count")))
 
 
 def _impute(base: DataFrame, medians: dict[str, float]) -> DataFrame:

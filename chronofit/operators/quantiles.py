@@ -7,7 +7,10 @@ largest values are equal ends the search early, which on most tables is after tw
 four rounds.  So a round moves a few buckets per group and task, whatever the number of
 rows, and a group holding a third of the table costs what any other does.
 
-All columns and groups of a call share its passes.  What a round keeps (a row per group and
+Windows that share rows (expanding folds, splits) share the counts as well: rows are counted
+once per part of the time line, and a window's counts are the sums of its parts'.
+
+All columns, groups and windows of a call share its passes.  What a round keeps (a row per group and
 wanted rank) is written to the shared folder and counted before it is broadcast to the rows.
 """
 
@@ -51,32 +54,46 @@ def _same(left: Sequence[str], right: Sequence[str]) -> Column:
     return cond
 
 
-def _counted(rows: DataFrame, keys: Sequence[str], step: int) -> DataFrame:
-    """Rows and least and largest value per (keys, bucket of this round), and the rows before it."""
+def _counted(rows: DataFrame, keys: Sequence[str], step: int, windows: DataFrame | None) -> DataFrame:
+    """Rows and least and largest value per (keys, bucket of this round), and the rows before it; per window if given."""
     bucket = F.shiftright("__key", 64 - ROUND_BITS * (step + 1)).alias("__bucket")
-    cells = rows.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    stats = [F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")]
+    if windows is None:
+        cells = rows.groupBy(*keys, bucket).agg(*stats)
+    else:
+        parts = rows.groupBy(*keys, "__part", bucket).agg(*stats)
+        keys = ["__window", *keys]
+        cells = parts.join(F.broadcast(windows), "__part").groupBy(*keys, "__bucket").agg(
+            F.sum("__c").alias("__c"), F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"))
     order = Window.partitionBy(*keys).orderBy("__bucket")  # 2 ** ROUND_BITS buckets at most
     return cells.withColumn("__before", F.sum("__c").over(order) - F.col("__c"))
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+                    probs: Sequence[float], names: Sequence[str], windows: DataFrame | None = None, part_col: str = "part") -> DataFrame:
     """Exact, linearly interpolated quantiles of ``value_col`` per group.
 
+    ``windows``: a small table ``(window, part)`` of which parts (values of ``part_col``) make up
+    each window; the result then has a column ``window`` in front.
+
     Same definition as pandas ``quantile`` / SQL ``percentile`` / ``quantile_cont``;
     NULL and NaN values are ignored.  Groups with no value are absent; NULL keys are a group.
     """
     groups = [f"__g{i}" for i in range(len(group_cols))]
     v = F.col(value_col).cast("double")
-    rows = df.select(*[F.col(c).alias(g) for c, g in zip(group_cols, groups)], v.alias("__v"))
+    extra, own = [], groups
+    if windows is not None:
+        windows = windows.select(F.col("window").alias("__window"), F.col("part").alias("__part"))
+        extra, own = [F.col(part_col).alias("__part")], ["__window", *groups]
+    rows = df.select(*[F.col(c).alias(g) for c, g in zip(group_cols, groups)], v.alias("__v"), *extra)
     rows = rows.where(F.col("__v").isNotNull() & ~F.isnan("__v")).withColumn("__key", order_key(F.col("__v")))
 
-    cells = _counted(rows, groups, 0)
-    whole = Window.partitionBy(*groups)
+    cells = _counted(rows, groups, 0, windows)
+    whole = Window.partitionBy(*own)
     place = [(F.col("__n") - 1) * F.lit(float(p)) for p in probs]
     ranks = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), fn(h).cast("bigint").alias("rank"))
                                 for i, h in enumerate(place) for side, fn in (("lo", F.floor), ("hi", F.ceil))]))
-    state = [*groups, "__n", "__i", "__side", "__rank", "__bucket", "__lo", "__hi"]
+    state = [*own, "__n", "__i", "__side", "__rank", "__bucket", "__lo", "__hi"]
     inside = (F.col("__rank") >= F.col("__before")) & (F.col("__rank") < F.col("__before") + F.col("__c"))
     wanted = (cells.withColumn("__n", F.sum("__c").over(whole)).select("*", ranks.alias("__w"))
               .select("*", F.col("__w.i").alias("__i"), F.col("__w.side").alias("__side"), F.col("__w.rank").alias("__rank")).where(inside)
@@ -92,11 +109,11 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         hint = F.broadcast(again) if n <= broadcast_rows(df) else again
         prefix = F.shiftright("__key", 64 - ROUND_BITS * step)
         near = rows.join(hint, _same(groups, [f"{g}_" for g in groups]) & (prefix == F.col("__prefix")), "left_semi")
-        cells = _counted(near.withColumn("__prefix", prefix), [*groups, "__prefix"], step)
-        cells = cells.select(*[F.col(g).alias(f"{g}_") for g in groups], "__prefix", "__before", "__c", F.col("__bucket").alias("__next"),
+        cells = _counted(near.withColumn("__prefix", prefix), [*groups, "__prefix"], step, windows)
+        cells = cells.select(*[F.col(g).alias(f"{g}_") for g in own], "__prefix", "__before", "__c", F.col("__bucket").alias("__next"),
                              F.col("__lo").alias("__low"), F.col("__hi").alias("__high"))
-        deeper = open_.join(cells, _same(groups, [f"{g}_" for g in groups]) & (F.col("__bucket") == F.col("__prefix"))).where(inside)
-        wanted, _ = stored_table(deeper.select(*groups, "__n", "__i", "__side", (F.col("__rank") - F.col("__before")).alias("__rank"),
+        deeper = open_.join(cells, _same(own, [f"{g}_" for g in own]) & (F.col("__bucket") == F.col("__prefix"))).where(inside)
+        wanted, _ = stored_table(deeper.select(*own, "__n", "__i", "__side", (F.col("__rank") - F.col("__before")).alias("__rank"),
                                                F.col("__next").alias("__bucket"), F.col("__low").alias("__lo"), F.col("__high").alias("__hi")), "quantile_ranks")
         found.append(wanted.where(F.col("__lo") == F.col("__hi")))
     values = found[0]
@@ -108,5 +125,6 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         h = (F.max("__n") - 1) * F.lit(float(p))
         part = h - F.floor(h)
         aggs.append(F.when(part == 0, lo).otherwise(lo * (1 - part) + hi * part).alias(name))
-    keyed = values.groupBy(*groups).agg(*aggs) if groups else values.groupBy(F.lit(0).alias("__all")).agg(*aggs).drop("__all")
-    return keyed.select(*[F.col(g).alias(c) for g, c in zip(groups, group_cols)], *names)
+    keyed = values.groupBy(*own).agg(*aggs) if own else values.groupBy(F.lit(0).alias("__all")).agg(*aggs).drop("__all")
+    lead = [F.col("__window").alias("window")] if windows is not None else []
+    return keyed.select(*lead, *[F.col(g).alias(c) for g, c in zip(groups, group_cols)], *names)

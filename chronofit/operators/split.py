@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass
+from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -87,17 +88,49 @@ def monthly_folds(development: DataFrame, n_folds: int = K.STABILITY_FOLDS,
                 F.last_day("month_start").alias("month_end"))
 
 
-def fold_assignments(development: DataFrame, folds: DataFrame, date_col: str = "date") -> DataFrame:
-    """Rows tagged with every fold they belong to, as (fold_month, role, row...).
+@dataclass(frozen=True)
+class Scope:
+    """A training window (all days before ``before``) and the holdout days it is judged on."""
 
-    Each row is emitted once per fold for which it is training or holdout.  The fold
-    table is tiny (``n_folds`` rows), so it is broadcast into a range (non-equi) join on
-    dates rather than crossing tables.
-    """
-    d = F.col(date_col)
-    f = F.broadcast(folds)
-    return (development.join(f, d <= F.col("month_end"), "inner")
-            .withColumn("role", F.when(d < F.col("month_start"), F.lit("training")).otherwise(F.lit("holdout"))))
+    name: str
+    before: _dt.date
+    start: _dt.date | None = None
+    end: _dt.date | None = None
+
+
+def fold_scopes(folds: DataFrame) -> list[Scope]:
+    """The monthly folds as scopes (a few rows)."""
+    return [Scope(r["fold_month"], r["month_start"], r["month_start"], r["month_end"]) for r in folds.orderBy("month_start").collect()]
+
+
+def time_part(scopes: Sequence[Scope], date_col: str = "date") -> Column:
+    """The part of the time line a row stands in, from 0: how many of the scopes' bounds its date has reached."""
+    part = F.lit(0)
+    for b in sorted({s.before for s in scopes}):
+        part = part + F.when(F.col(date_col) >= F.lit(b), 1).otherwise(0)
+    return part
+
+
+def training_windows(spark: SparkSession, scopes: Sequence[Scope]) -> DataFrame:
+    """``(window, part)``: the parts that each scope's training rows are made of."""
+    bounds = sorted({s.before for s in scopes})
+    rows = [(s.name, p) for s in scopes for p in range(bounds.index(s.before) + 1)]
+    return spark.createDataFrame(rows, "window string, part int")
+
+
+def holdout_rows(df: DataFrame, scopes: Sequence[Scope], date_col: str = "date") -> DataFrame:
+    """``scope`` and the rows of each scope's holdout; a row repeats only in holdouts that overlap."""
+    day = F.col(date_col)
+    inside = F.array(*[F.when(day.between(F.lit(s.start), F.lit(s.end)), F.lit(s.name)) for s in scopes])
+    return df.select(F.explode(F.filter(inside, lambda x: x.isNotNull())).alias("scope"), *df.columns)
+
+
+def scope_sizes(df: DataFrame, scopes: Sequence[Scope], date_col: str = "date") -> DataFrame:
+    """``(scope, training_rows, holdout_rows)`` from one conditional aggregate."""
+    day = F.col(date_col)
+    counts = df.agg(*[F.struct(F.lit(s.name).alias("scope"), F.count_if(day < F.lit(s.before)).alias("training_rows"),
+                               F.count_if(day.between(F.lit(s.start), F.lit(s.end))).alias("holdout_rows")).alias(f"s{i}") for i, s in enumerate(scopes)])
+    return counts.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(scopes))])).alias("s")).select("s.*")
 
 
 def split_report(development: DataFrame, plan: SplitPlan, date_col: str = "date") -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.split import SplitPlan, inner_split, outer_split
+from ..operators.split import Scope, SplitPlan, fold_scopes, inner_split, monthly_folds, outer_split
 from ..sources import fixture
 
 # The sf0.001 fixture has 994 holdout / 125 inner-validation rows, so the minimum split
@@ -38,6 +40,26 @@ class Context:
         return self.inner.holdout(self.training)
 
 
+    @cached_property
+    def folds(self) -> list[Scope]:
+        return fold_scopes(monthly_folds(self.development))
+
+    @property
+    def last_day(self) -> _dt.date:
+        return self.outer.cutoff + _dt.timedelta(days=self.outer.horizon_days - 1)
+
+    @property
+    def baseline_scopes(self) -> list[Scope]:
+        """The outer split and the stability folds."""
+        return [Scope("outer_holdout", self.outer.cutoff, self.outer.cutoff, self.last_day), *self.folds]
+
+    @property
+    def state_scopes(self) -> list[Scope]:
+        """Every training window that a feature state is fitted on."""
+        return [Scope("inner_training", self.inner.cutoff), Scope("training", self.outer.cutoff),
+                Scope("development", self.last_day + _dt.timedelta(days=1)), *self.folds]
+
+
 _MEMO: dict[tuple, Context] = {}
 
 
@@ -56,10 +78,10 @@ _STATES: dict[tuple, object] = {}
 
 
 def fitted_state(spark: SparkSession, sf_dir: str, on: str = "training"):
-    """Feature state fitted on ``training`` (outer), ``inner_training`` or ``development``."""
+    """Feature state of ``training`` (outer), ``inner_training``, ``development`` or a fold month; all come from one pass."""
     from ..operators import features as FE
-    key = (id(spark), sf_dir.rstrip("/"), on)
+    key = (id(spark), sf_dir.rstrip("/"))
     if key not in _STATES:
         c = context(spark, sf_dir)
-        _STATES[key] = FE.fit(getattr(c, on))
-    return _STATES[key]
+        _STATES[key] = FE.fit_scopes(c.development, c.state_scopes)
+    return _STATES[key][on]

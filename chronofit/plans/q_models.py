@@ -7,6 +7,7 @@ from __future__ import annotations
 
 
 from ..functions.metrics import round_doubles
+from ..operators.selection import CHECKS, STATED
 from .catalog import register
 from .workflow import workflow
 
@@ -23,7 +24,20 @@ def q_model_comparison(spark, sf):
     return round_doubles(workflow(spark, sf).main_board)
 
 
-@register("selection_contracts")
+def _clean(checks, label: str | None = None) -> str:
+    """SQL of contract rows without violations."""
+    head = f"'{label}' AS board, " if label else ""
+    return " UNION ALL ".join(f"SELECT {head}'{c}' AS \"check\", CAST(0 AS BIGINT) AS violations" for c in checks)
+
+
+_C21 = ["C21_duplicate_sets", "C21_set_mismatch", "C21_metrics_not_finite", "C21_score_not_family_mean", "C21_not_one_selected"]
+_C20 = ["C20_pool_changed", "C20_bad_flags", "C20_metrics_not_finite", "C20_model_names_repeat", "C20_not_one_selected", "C20_selected_not_eligible",
+        "C20_selected_not_minimum", "C20_other_model_selected", "C20_selection_identity_mismatch", "C20_feature_set_mismatch",
+        "C20_selected_mae_mismatch", "C20_minimum_eligible_mae", "C20_eligible_models", "C20_mae_text"]
+_C20_BASE = ["C20_baseline_eligible_or_selected", "C20_baseline_missing"]
+
+
+@register("selection_contracts", _clean(["C16_holdout_rows_not_predicted", *CHECKS, *STATED, *_C21]))
 def q_selection_contracts(spark, sf):
     """Candidate pool, truthful selection, baselines ineligible."""
     return workflow(spark, sf).main_contract()
@@ -72,13 +86,14 @@ def q_streaming_scoring(spark, sf):
     from .. import constants as K
     from ..operators import features as FE
     from ..operators import models as M
-    from ..sources.sinks import output_dir
+    from ..sources.sinks import output_dir, write_table
     from ..streaming.scoring import run_available_now, score_stream
     from .context import context, fitted_state
     c = context(spark, sf)
     state = fitted_state(spark, sf, "development")
     cols = K.COMMON_FEATURE_SETS["basic_plus_route"]
-    train = FE.transform(state, c.development, cols, keep=["load_id", K.TARGET]).checkpoint(eager=True)
+    train = FE.transform(state, c.development, cols, keep=["load_id", K.TARGET])
+    train = write_table(train, output_dir(spark, "features"))
     model = M.fit(train, cols, M.PARAMETERS["gbt_compact"], "stream_model", feature_set="basic_plus_route")
     src = output_dir(spark, "stream_source")
     c.validation.write.parquet(src)
@@ -93,7 +108,22 @@ def q_run_summary(spark, sf):
     return workflow(spark, sf).run_summary()
 
 
-@register("summary_reconciliation")
+@register("scenario_contracts", _clean(["C18_row_count", *[c for c in CHECKS if not c.startswith("C23")], *STATED]))
+def q_scenario_contracts(spark, sf):
+    """C18/C19 on the scenario leaderboard: pool, families, row count, truthful selection as stated."""
+    return workflow(spark, sf).scenario_contract()
+
+
+@register("scoring_contracts", _clean([
+    "C11_columns", "C11_row_difference", "C11_id_null_or_duplicate", "C11_template_order_changed", "C13_id_set_mismatch", "C12_prediction_not_finite_positive",
+    "C10_columns", "C10_fixed_inputs_changed", "C14_missing_days", "C14_extra_or_duplicate_days", "C10_prediction_not_finite_positive",
+    "S6_bundle_differs", "S6_bundle_rows", "M12_stream_differs", "M12_stream_rows", "P17_residual_wrong", "P16_below_floor", "C16_holdout_rows"]))
+def q_scoring_contracts(spark, sf):
+    """C10-C14 on the models' own output, and parity of the reloaded bundle and of the stream with batch scoring."""
+    return workflow(spark, sf).scoring_contract(q_streaming_scoring(spark, sf))
+
+
+@register("summary_reconciliation", _clean([*_C20, *_C20_BASE], "main") + " UNION ALL " + _clean(_C20, "scenario"))
 def q_summary_reconciliation(spark, sf):
     """Stored leaderboard and stored JSON run summary agree (after re-reading both)."""
     return workflow(spark, sf).reconcile()

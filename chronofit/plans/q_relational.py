@@ -319,6 +319,30 @@ def q_feature_state_counts(spark, sf):
     return round_doubles(fitted_state(spark, sf).counts)
 
 
+_CODE_COLUMNS = ["pickup", "delivery", "equipment", "route"]
+_CODES_SQL = f"""names AS (SELECT raw, {S.norm('raw')} AS v FROM (
+    SELECT pickup AS raw FROM development UNION SELECT delivery FROM development UNION SELECT equipment FROM development)),
+named AS (SELECT d.load_id, d.date, p.v AS pickup, q.v AS delivery, e.v AS equipment, p.v || ' > ' || q.v AS route
+  FROM development d LEFT JOIN names p ON p.raw IS NOT DISTINCT FROM d.pickup LEFT JOIN names q ON q.raw IS NOT DISTINCT FROM d.delivery
+  LEFT JOIN names e ON e.raw IS NOT DISTINCT FROM d.equipment),
+""" + ", ".join(f"code_{c} AS (SELECT {c} AS v, CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS BIGINT) AS code FROM"
+                f" (SELECT DISTINCT {c} FROM named WHERE date < (SELECT cutoff FROM cut)))" for c in _CODE_COLUMNS)
+
+
+@register("ordinal_codes", S.with_fixture(S.SPLIT_SQL, _CODES_SQL) + "\nSELECT load_id, " + ", ".join(
+    f"coalesce(code_{c}.code, -1) AS {c}_code" for c in _CODE_COLUMNS) + " FROM named n " + " ".join(
+    f"LEFT JOIN code_{c} ON code_{c}.v = n.{c}" for c in _CODE_COLUMNS) + " WHERE n.date >= (SELECT cutoff FROM cut)")
+def q_ordinal_codes(spark, sf):
+    """M1: ordinal codes of the holdout's categories, from the distributed dictionary of the training rows."""
+    from ..operators.encoding import encode, fit_codes
+    from ..operators.lookup import stored_table
+    c = context(spark, sf)
+    state = fitted_state(spark, sf)
+    features = [FE.transform(state, rows, _CODE_COLUMNS, keep=["load_id"]) for rows in (c.training, c.holdout)]
+    codes, n = stored_table(fit_codes(features[0], _CODE_COLUMNS), "ordinal_codes")
+    return encode(features[1], codes, _CODE_COLUMNS, n).select("load_id", *[F.col(f"__ix_{k}").cast("long").alias(f"{k}_code") for k in _CODE_COLUMNS])
+
+
 @register("feature_state_coordinates", S.with_fixture(S.SPLIT_SQL, SF.state_ctes()) + "\n" + S.rounded(
     "SELECT * FROM fs_coords", ["lat", "lon"], ["city"]))
 def q_feature_state_coordinates(spark, sf):
@@ -332,14 +356,13 @@ def q_feature_state_coordinates(spark, sf):
                        for c in K.RAW_NUMERIC), ["median"], ['"column"', "reference_date", "training_rows"]))
 def q_feature_state_medians(spark, sf):
     """Reference date and exact medians of the cleaned raw numerics (training rows only)."""
-    st = fitted_state(spark, sf)
-    rows = [(k, float(v)) for k, v in st.medians.items()]
-    med = spark.createDataFrame(rows, "column string, median double")
-    # The state scalars come from the training rows; tie them back to a table scan so the
-    # query still reads (and scales with) the given tables.
-    n = context(spark, sf).training.agg(F.count(F.lit(1))).scalar()
-    return round_doubles(med.select("column", "median", F.lit(st.reference_date).alias("reference_date"),
-                                    n.alias("training_rows")))
+    from ..functions.clean import base_clean
+    from ..operators.quantiles import exact_quantiles
+    base = base_clean(context(spark, sf).training)
+    long = base.select(F.explode(F.array(*[F.struct(F.lit(k).alias("column"), F.col(k).alias("value")) for k in K.RAW_NUMERIC])).alias("kv")).select("kv.*")
+    head = C.one_row(base.agg(F.min("date").alias("d"), F.count(F.lit(1)).alias("n")))
+    return round_doubles(exact_quantiles(long, ["column"], "value", [0.5], ["median"]).select(
+        "column", "median", head.getField("d").alias("reference_date"), head.getField("n").alias("training_rows")))
 
 
 @register("holdout_features", S.with_fixture(S.SPLIT_SQL, SF.state_ctes(), SF.transform_ctes("holdout", True))
@@ -367,8 +390,10 @@ def q_validation_features(spark, sf):
 # Splits, folds, contracts
 # ---------------------------------------------------------------------------
 from ..operators import contracts as C  # noqa: E402
-from ..operators.baselines import global_median  # noqa: E402
-from ..operators.split import fold_assignments, monthly_folds, split_report  # noqa: E402
+from ..operators.baselines import scoped_baselines  # noqa: E402
+from ..operators.split import fold_scopes, monthly_folds, scope_sizes, split_report  # noqa: E402
+from ..functions.clean import base_clean  # noqa: E402
+from ..sources.csv_io import read_text_csv, typed_loads  # noqa: E402
 from ..sources.sinks import output_dir, write_table  # noqa: E402
 
 _SPLIT_REPORT_SQL = """SELECT '{label}' AS split, (SELECT cutoff FROM {cut}) AS cutoff, {horizon} AS horizon_days,
@@ -414,13 +439,8 @@ def q_stability_folds(spark, sf):
     """expanding monthly folds over the last three labeled months and their sizes."""
     c = context(spark, sf)
     folds = monthly_folds(c.development)
-    a = fold_assignments(c.development, folds)
-    sizes = a.groupBy("fold_month").agg(F.count_if(F.col("role") == "training").alias("training_rows"),
-                                        F.count_if(F.col("role") == "holdout").alias("holdout_rows"))
-    return folds.join(F.broadcast(sizes), "fold_month", "left").select(
-        "fold_month", "month_start", "month_end",
-        F.coalesce("training_rows", F.lit(0)).alias("training_rows"),
-        F.coalesce("holdout_rows", F.lit(0)).alias("holdout_rows"))
+    sizes = scope_sizes(c.development, fold_scopes(folds)).withColumnRenamed("scope", "fold_month")
+    return folds.join(F.broadcast(sizes), "fold_month").select("fold_month", "month_start", "month_end", "training_rows", "holdout_rows")
 
 
 _TEMPLATE_SQL = "template AS (SELECT load_id, row_number() OVER (ORDER BY date, load_id) AS ordinal FROM validation)"
@@ -484,21 +504,12 @@ board AS (SELECT scope, model, model_family, feature_set, '{{}}' AS parameters,
 def baseline_board(spark, sf):
     from ..operators.selection import leaderboard
     c = context(spark, sf)
-    folds = monthly_folds(c.development)
-    a = fold_assignments(c.development, folds)
-    cols = c.development.columns
-    tr = c.training.select(F.lit("outer_holdout").alias("scope"), *cols).unionByName(
-        a.where(F.col("role") == "training").select(F.col("fold_month").alias("scope"), *cols))
-    ho = c.holdout.select(F.lit("outer_holdout").alias("scope"), *cols).unionByName(
-        a.where(F.col("role") == "holdout").select(F.col("fold_month").alias("scope"), *cols))
-    meta = [F.lit("{}").alias("parameters"), F.lit(False).alias("eligible"), F.col(K.TARGET).alias("actual"), "predicted"]
-    g = global_median(tr, ho, by=["scope"]).select(
-        "scope", F.lit("global_median").alias("model"), F.lit(K.BASELINE_FAMILY).alias("model_family"),
-        F.lit("target_only").alias("feature_set"), *meta)
-    e = group_median_rpm(tr, ho, by=["scope"]).select(
-        "scope", F.lit("equipment_median_rpm").alias("model"), F.lit(K.BASELINE_FAMILY).alias("model_family"),
-        F.lit("distance + equipment").alias("feature_set"), *meta)
-    return leaderboard(g.unionByName(e), ["scope"])
+    rows = scoped_baselines(c.development, c.baseline_scopes)
+    models = F.array(*[F.struct(F.lit(m).alias("model"), F.lit(fs).alias("feature_set"), F.col(p).alias("predicted")) for m, fs, p in [
+        ("global_median", "target_only", "global_median"), ("equipment_median_rpm", "distance + equipment", "group_median")]])
+    long = rows.select("scope", F.col(K.TARGET).alias("actual"), F.explode(models).alias("m")).select(
+        "scope", "actual", "m.*", F.lit(K.BASELINE_FAMILY).alias("model_family"), F.lit("{}").alias("parameters"), F.lit(False).alias("eligible"))
+    return leaderboard(long, ["scope"])
 
 
 @register("baseline_leaderboard", S.with_fixture(S.SPLIT_SQL, _FOLDS_SQL, _BOARD_SQL) + "\n" + S.rounded(
@@ -570,14 +581,16 @@ UNION ALL SELECT 'C10_prediction_not_finite_positive', (SELECT count_if(predicte
    OR isinf(predicted_rate) OR predicted_rate <= 0) FROM spred)
 UNION ALL SELECT 'C10_dates_out_of_order', 0""")
 def q_scenario_contract(spark, sf):
-    """C10/C14/M13(baseline): score the scenario grid, check fixed inputs, day grid, order and predictions."""
+    """C10/C14/S2/M13(baseline): the grid written and read as a 6-column CSV, scored and checked against the labeled data."""
     c = context(spark, sf)
-    grid = fixture.scenario(spark, sf)
-    spec = grid.orderBy("date").first()        # the grid's fixed values: one bounded row
-    expected = {k: spec[k] for k in ["pickup", "delivery", "equipment", "distance", "weight"]}
-    expected["month"] = str(spec["date"].replace(day=1))
+    path = output_dir(spark, "scenario_csv")
+    fixture.scenario(spark, sf).orderBy("date").write.option("header", True).csv(path)
+    grid = typed_loads(read_text_csv(spark, path, K.SCENARIO_COLUMNS), numeric=["distance", "weight"])
+    expected = fixture.scenario_inputs(spark, sf).first().asDict()   # the documented inputs: one row
+    expected["month"] = str(expected["month"])
     scored = group_median_rpm(c.development, grid).withColumnRenamed("predicted", K.PREDICTION)
-    scored = scored.withColumn("ordinal", F.datediff("date", F.lit(expected["month"]).cast("date")) + 1)
+    first = scored.agg(F.min("date")).scalar()
+    scored = scored.withColumn("ordinal", F.datediff("date", first) + 1)
     return C.scenario_contract(scored.select(*K.SCENARIO_COLUMNS, K.PREDICTION, "ordinal"), expected, ordered=True)
 
 
@@ -623,9 +636,6 @@ def q_table_fingerprint(spark, sf):
 # ---------------------------------------------------------------------------
 # CSV sources and prediction summary (S1, S3, P2-P10 on text input, A23)
 # ---------------------------------------------------------------------------
-from ..functions.clean import base_clean  # noqa: E402
-from ..sources.csv_io import read_text_csv, typed_loads  # noqa: E402
-
 _CLEAN_DOUBLES = ["distance", "weight", "market_index", "quote_signal", "pickup_lat", "delivery_lat",
                   "pickup_lon", "delivery_lon"]
 

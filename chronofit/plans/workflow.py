@@ -29,11 +29,10 @@ from ..operators import models as M
 from ..operators.baselines import global_median, group_median_rpm
 from ..operators.errors import holdout_errors, segment_errors
 from ..operators.importance import permutation_importance
-from ..operators.contracts import checks_table, union_checks
+from ..operators.contracts import checks_table, one_row, prediction_contract, scenario_contract, union_checks
 from ..operators.selection import (leaderboard, reconcile_summary, screening_contract, screening_table,
                                    selection_contract, stated_selection)
 from ..sources.sinks import output_dir, write_document, write_table
-from ..operators.split import monthly_folds
 from ..session import ensure_checkpoint_dir
 from ..sources import fixture
 from .context import FIXTURE_MIN_ROWS, context, fitted_state
@@ -205,6 +204,30 @@ class Workflow:
         n = self.scenario_board.agg(F.abs(F.count(F.lit(1)) - len(expected))).scalar()
         return union_checks([checks_table(self.spark, {"C18_row_count": n}), checks])
 
+    def scoring_contract(self, streamed: DataFrame) -> DataFrame:
+        """C10-C14 on the models' output; parity of the saved bundle and of the stream with batch; P16, P17 on the holdout."""
+        out = write_table(self.validation_predictions(), output_dir(self.spark, "validation_predictions"))
+        expected = fixture.scenario_inputs(self.spark, self.sf).first().asDict()   # one row
+        expected["month"] = str(expected["month"])
+
+        def parity(df, a, b):
+            return one_row(df.agg(F.count_if(~F.col(a).eqNullSafe(F.col(b))).alias("differs"), F.count(F.lit(1)).alias("rows")))
+        n = self.ctx.validation.agg(F.count(F.lit(1))).scalar()
+        bundle = parity(write_table(self.bundle_roundtrip(), output_dir(self.spark, "bundle_scores")), K.PREDICTION, "in_memory_predicted_rate")
+        stream = parity(streamed, K.PREDICTION, f"batch_{K.PREDICTION}")
+        hold = one_row(write_table(self.holdout_predictions(), output_dir(self.spark, "holdout_predictions")).agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("predicted") < 1).alias("low"),
+            F.count_if(~F.coalesce(F.col("residual") == F.col("predicted") - F.col("actual"), F.lit(False))).alias("wrong")))
+        n_hold = self.ctx.holdout.agg(F.count(F.lit(1))).scalar()
+        return union_checks([
+            prediction_contract(out, fixture.template(self.spark, self.sf), self.ctx.validation),
+            scenario_contract(self.scenario_predictions(), expected),
+            checks_table(self.spark, {
+                "S6_bundle_differs": bundle.getField("differs"), "S6_bundle_rows": F.abs(bundle.getField("rows") - n),
+                "M12_stream_differs": stream.getField("differs"), "M12_stream_rows": F.abs(stream.getField("rows") - n),
+                "P17_residual_wrong": hold.getField("wrong"), "P16_below_floor": hold.getField("low"),
+                "C16_holdout_rows": F.abs(hold.getField("rows") - n_hold)})])
+
     # -- S8 run summary, C20 reconciliation ------------------------------------
     def run_summary(self) -> DataFrame:
         """One nested row - split, selections, baseline metrics, prediction summary."""
@@ -258,18 +281,15 @@ class Workflow:
         params = dict(sel.params)
         def one(f):
             dev = self.ctx.development
-            tr = dev.where(F.col("date") < F.lit(f["month_start"]))
-            ho = dev.where(F.col("date").between(F.lit(f["month_start"]), F.lit(f["month_end"])))
-            st = FE.fit(tr)
-            # Fitting scans its input several times (indexer, imputer, trees): cut the lineage once.
-            trf = FE.transform(st, tr, sel.features, keep=KEEP).checkpoint(eager=True)
-            hof = FE.transform(st, ho, sel.features, keep=KEEP)
+            st = fitted_state(self.spark, self.sf, f.name)
+            # Fitting scans its input several times: cut the lineage once.
+            trf = write_table(FE.transform(st, dev.where(F.col("date") < F.lit(f.before)), sel.features, keep=KEEP), output_dir(self.spark, "features"))
+            hof = FE.transform(st, dev.where(F.col("date").between(F.lit(f.start), F.lit(f.end))), sel.features, keep=KEEP)
             m = M.fit(trf, sel.features, params, sel.name, feature_set=sel.feature_set)
             p = M.predict(m, hof)
-            return p.select(F.lit(f["fold_month"]).alias("holdout_month"), F.col(K.TARGET).alias("actual"),
+            return p.select(F.lit(f.name).alias("holdout_month"), F.col(K.TARGET).alias("actual"),
                             "predicted").withColumn("training_rows", trf.agg(F.count(F.lit(1))).scalar())
-        folds = monthly_folds(self.ctx.development).collect()     # n_folds rows (3)
-        allp = _union(_parallel(one, folds))
+        allp = _union(_parallel(one, self.ctx.folds))
         return allp.groupBy("holdout_month", "training_rows").agg(
             *regression_aggs("actual", "predicted", with_bias=False)).select(
             "holdout_month", F.lit("post_selection_temporal_diagnostic").alias("evaluation_role"),
@@ -308,7 +328,7 @@ class Workflow:
     # -- M6 refits + M12 / M13 scoring ------------------------------------------
     def _refit(self, sel: M.RateModel) -> tuple[M.RateModel, object]:
         st = fitted_state(self.spark, self.sf, "development")
-        trf = FE.transform(st, self.ctx.development, sel.features, keep=KEEP).checkpoint(eager=True)
+        trf = write_table(FE.transform(st, self.ctx.development, sel.features, keep=KEEP), output_dir(self.spark, "features"))
         return M.fit(trf, sel.features, dict(sel.params), sel.name, feature_set=sel.feature_set), st
 
     @cached_property

@@ -137,8 +137,8 @@ def template(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("double").alias(K.PREDICTION))
 
 
-def scenario(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One route over every day of the last validation month (the scenario grid).
+def scenario_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixed inputs of the scenario and its month, one row derived from the labeled data.
 
     Route = the busiest labeled route (ties by name); equipment = its most frequent
     equipment; distance and weight = medians on that route.  Names are normalised.
@@ -160,5 +160,10 @@ def scenario(spark: SparkSession, sf_dir: str) -> DataFrame:
                        dist.alias("distance"), weight.alias("weight"))
     month = validation(spark, sf_dir).agg(F.trunc(F.max("date"), "month")).scalar()
     # One-row aggregates enter as scalar subqueries: no join, no cross product.
-    return stats.select("pickup", "delivery", "distance", eq.scalar().alias("equipment"), "weight",
-                        F.explode(F.sequence(month, F.last_day(month), F.expr("INTERVAL 1 DAY"))).alias("date"))
+    return stats.select("pickup", "delivery", "distance", eq.scalar().alias("equipment"), "weight", month.alias("month"))
+
+
+def scenario(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scenario grid: its fixed inputs over every day of the last validation month."""
+    days = F.explode(F.sequence(F.col("month"), F.last_day("month"), F.expr("INTERVAL 1 DAY")))
+    return scenario_inputs(spark, sf_dir).select("pickup", "delivery", "distance", "equipment", "weight", days.alias("date"))
