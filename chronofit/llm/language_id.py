@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textarrays import CHUNK_BYTES, releasing
+from .textarrays import CHUNK_BYTES, CHUNK_ROWS, releasing
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -88,7 +88,14 @@ def gram_blocks(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield counts.reshape(len(texts), len(block)).astype(np.float32), vectors
 
 
-def _text_chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+def _text_chunks(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Texts of a column in runs of bounded size, and the row each run starts at."""
+    for lo in range(0, len(column), CHUNK_ROWS):
+        for first, texts in _runs(column.slice(lo, CHUNK_ROWS).to_pylist()):
+            yield lo + first, texts
+
+
+def _runs(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
     first, size = 0, 0
     for i, t in enumerate(texts):
         if size and size + len(t) > CHUNK_BYTES // 2:
@@ -104,7 +111,7 @@ def _bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
         langs = batch.column(0).to_pylist()
-        for first, texts in _text_chunks(batch.column(1).to_pylist()):
+        for first, texts in _text_chunks(batch.column(1)):
             own = np.array(langs[first:first + len(texts)], dtype=object)
             for counts, vectors in gram_blocks(texts):
                 for lang in set(own):
@@ -135,7 +142,7 @@ def identify(df: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = [], []
-            for _, texts in _text_chunks(batch.column("__text").to_pylist()):
+            for _, texts in _text_chunks(batch.column("__text")):
                 bundles, grams = np.zeros((len(texts), DIMENSIONS), np.float32), np.zeros(len(texts))
                 for counts, vectors in gram_blocks(texts):
                     bundles += counts @ vectors

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, materialise
 from .suffix_anchors import PLACE_BITS, anchors
-from .textarrays import chunks, mix64, prefix_hash, releasing, releasing_groups, span_hash
+from .textarrays import CHUNK_ROWS, chunks, mix64, prefix_hash, releasing, releasing_groups, span_hash
 
 LENGTH = 100
 BATCHES = 3
@@ -56,7 +56,7 @@ BUCKET_BYTES, GROUP_EDGES = 4 << 20, 5000
 #: Edges of one suffix start that one task may hold; beyond, they are split by string.
 HOT_EDGES = 20_000
 #: Entries that a map task sorts at once.
-RUN_ENTRIES = 400_000
+RUN_ENTRIES = 250_000
 _REACH = np.uint64((1 << 14) - 1)  # low bits of the first hash hold how far the anchor's strings reach
 _PLACE = (1 << PLACE_BITS) - 1
 
@@ -164,7 +164,7 @@ def _scan(table: pa.Table) -> pa.Table:
 def _contexts(length: int):
     """Rows (rank, text, edges) to one row per edge with the bytes of its strings."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(lo, CHUNK_ROWS) for b in batches for lo in range(0, len(b), CHUNK_ROWS)):
             hashes, places, befores, texts = [], [], [], []
             for rank, text, edges in zip(batch.column("rank").to_pylist(), batch.column("text"), batch.column("edges").to_pylist()):
                 data = text.as_buffer().to_pybytes()
@@ -234,7 +234,7 @@ def _strings(length: int):
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (text_key, text, ranges) without the bytes of their ranges."""
-    for batch in batches:
+    for batch in (b.slice(lo, CHUNK_ROWS) for b in batches for lo in range(0, len(b), CHUNK_ROWS)):
         removed, spans, digests, texts = [], [], [], []
         for text, ranges in zip(batch.column("text"), batch.column("ranges").to_pylist()):
             data, out, at, gone, count = text.as_buffer().to_pybytes(), [], 0, 0, 0

@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 19
+CHUNK_BYTES, CHUNK_ROWS = 1 << 19, 512
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _TABLE = np.random.default_rng(71).integers(1, 1 << 64, 256, dtype=np.uint64)
@@ -97,11 +97,15 @@ def _power(kind: str, n: int) -> np.ndarray:
 
 def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, offsets)`` per chunk of a string or binary column; null counts as empty."""
+    for lo in range(0, len(column), CHUNK_ROWS):  # a batch's texts are not copied as a whole
+        for first, end, data, offsets in _chunks(column.slice(lo, CHUNK_ROWS)):
+            yield lo + first, lo + end, data, offsets
+
+
+def _chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
     values = column.cast(pa.large_binary()).fill_null(b"") if binary else column.cast(pa.large_string()).fill_null("")
     n = len(values)
-    if not n:
-        return
     _, offsets, data = values.buffers()
     offsets = np.frombuffer(offsets, np.int64)[values.offset: values.offset + n + 1]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
