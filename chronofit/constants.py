@@ -140,16 +140,6 @@ INTERACTION_FEATURES = [
     "equipment_distance_band",
 ]
 
-FEATURE_SETS: dict[str, list[str]] = {
-    "basic_supplied": BASIC_FEATURES,
-    "basic_plus_date": BASIC_FEATURES + DATE_FEATURES,
-    "basic_plus_route": BASIC_FEATURES + ROUTE_FEATURES,
-    "basic_plus_geographic": BASIC_FEATURES + GEOGRAPHIC_FEATURES,
-    "basic_plus_interactions": BASIC_FEATURES + INTERACTION_FEATURES,
-    "best_combined": BASIC_FEATURES + DATE_FEATURES + ROUTE_FEATURES
-    + GEOGRAPHIC_FEATURES + INTERACTION_FEATURES,
-}
-
 COMMON_FEATURE_SETS: dict[str, list[str]] = {
     "basic_supplied": BASIC_FEATURES,
     "basic_plus_date": BASIC_FEATURES + DATE_FEATURES,

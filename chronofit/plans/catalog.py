@@ -56,4 +56,5 @@ def _load_all() -> None:
     # Importing the modules registers their queries.
     from . import q_relational  # noqa: F401
     from . import q_selection  # noqa: F401
+    from . import q_files  # noqa: F401
     from . import q_models  # noqa: F401

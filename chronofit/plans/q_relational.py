@@ -394,7 +394,7 @@ from ..operators.baselines import scoped_baselines  # noqa: E402
 from ..operators.split import fold_scopes, monthly_folds, scope_sizes, split_report  # noqa: E402
 from ..functions.clean import base_clean  # noqa: E402
 from ..sources.csv_io import read_text_csv, typed_loads  # noqa: E402
-from ..sources.sinks import output_dir, write_table  # noqa: E402
+from ..sources.sinks import fingerprint, output_dir, write_table  # noqa: E402
 
 _SPLIT_REPORT_SQL = """SELECT '{label}' AS split, (SELECT cutoff FROM {cut}) AS cutoff, {horizon} AS horizon_days,
   (SELECT min(date) FROM {tr}) AS training_date_start, (SELECT max(date) FROM {tr}) AS training_date_end,
@@ -594,25 +594,6 @@ def q_scenario_contract(spark, sf):
     return C.scenario_contract(scored.select(*K.SCENARIO_COLUMNS, K.PREDICTION, "ordinal"), expected, ordered=True)
 
 
-def _fp_text(df, cols, types):
-    parts = []
-    for c in cols:
-        if types[c] in ("double", "float"):
-            parts.append(F.coalesce(F.expr(f"try_cast(round({c} * 1000000D) AS BIGINT)").cast("string"), F.lit("~N")))
-        else:
-            parts.append(F.coalesce(F.col(c).cast("string"), F.lit("~N")))
-    return F.concat_ws("|", *parts)
-
-
-def fingerprint(df, name: str):
-    """Order-insensitive table fingerprint: rows, sum of 32-bit row hashes mod 1000003, xor of hashes."""
-    types = dict(df.dtypes)
-    h = F.conv(F.substring(F.md5(_fp_text(df, df.columns, types)), 1, 8), 16, 10).cast("long")
-    return df.select(h.alias("h")).agg(
-        F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows"),
-        F.sum(F.col("h") % 1000003).alias("hash_sum"), F.bit_xor("h").alias("hash_xor"))
-
-
 def _fp_sql(table: str, cols: list[str]) -> str:
     parts = []
     for c in cols:

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions.clean import to_date, to_double
+from .sinks import output_dir, write_table
 
 # Text read as missing, like the usual CSV readers' NA list.
 NA_VALUES = ["", "NA", "N/A", "NULL", "null", "None", "nan", "NaN", "<NA>", "#N/A", "n/a", "-NaN", "-nan"]
@@ -34,6 +35,21 @@ def read_text_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> Dat
     return raw.select(*[F.when(~F.trim(F.col(c)).isin(*NA_VALUES), F.col(c)).alias(c) for c in columns])
 
 
+def read_csv_records(spark: SparkSession, path: str, columns: Sequence[str], header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``(records, rejects)``: the columns as strings (NA spellings -> NULL), and the text of malformed lines.
+
+    A line is malformed if it has more or fewer fields than the file has columns.  The file is
+    parsed once, into a written table; ``columns`` are the file's, in order.
+    """
+    bad = "__malformed"
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns] + [T.StructField(bad, T.StringType())])
+    parsed = (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").option("enforceSchema", not header)
+           .option("columnNameOfCorruptRecord", bad).csv(path))
+    raw = write_table(parsed, output_dir(spark, "csv_records"))
+    good = raw.select(*[F.when(~F.trim(F.col(c)).isin(*NA_VALUES), F.col(c)).alias(c) for c in columns], bad)
+    return good.where(F.col(bad).isNull()).drop(bad), good.where(F.col(bad).isNotNull()).select(F.col(bad).alias("line"))
+
+
 def typed_loads(raw: DataFrame, id_col: str = K.ID, numeric: Sequence[str] = tuple(K.RAW_NUMERIC + [K.TARGET]),
                 date_col: str = "date") -> DataFrame:
     """Typed load records: id kept as text, numerics parsed, date parsed (ISO only)."""

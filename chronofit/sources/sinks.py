@@ -21,21 +21,66 @@ def output_dir(spark: SparkSession, name: str) -> str:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
-    """Write ``df`` (overwrite) and return the re-read table (S7 validates what was written)."""
+    """Write ``df`` (overwrite) and return the re-read table (S7 validates what was written).
+
+    In CSV a NULL is NA, so that an empty text stays one.
+    """
     writer = df.write.mode("overwrite")
     spark = df.sparkSession
     if fmt == "parquet":
         writer.parquet(path)
         return spark.read.parquet(path)
     if fmt == "csv":
-        writer.option("header", True).csv(path)
-        return spark.read.schema(df.schema).option("header", True).csv(path)
+        as_is = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"', "nullValue": "NA"}
+        writer.options(**as_is).csv(path)
+        return spark.read.schema(df.schema).options(**as_is).csv(path)
     if fmt == "json":
         writer.json(path)
         return spark.read.schema(df.schema).json(path)
     raise ValueError(f"unknown format {fmt!r}")
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A 32-bit hash of a row's values; doubles count to six decimals."""
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            c = F.expr(f"try_cast(round(`{f.name}` * 1000000D) AS BIGINT)")
+        parts.append(F.coalesce(c.cast("string"), F.lit("~N")))
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8), 16, 10).cast("long")
+
+
+def fingerprint(df: DataFrame, name: str) -> DataFrame:
+    """Order-insensitive table fingerprint: rows, sum of 32-bit row hashes mod 1000003, xor of hashes."""
+    return df.select(row_hash(df).alias("h")).agg(
+        F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows"),
+        F.sum(F.col("h") % 1000003).alias("hash_sum"), F.bit_xor("h").alias("hash_xor"))
+
+
+def write_results(tables: dict[str, DataFrame], folder: str, fmt: str = "csv") -> DataFrame:
+    """Write every result table, re-read each, and keep a manifest of fingerprints beside them.
+
+    Returns ``(table, rows, differs)``: whether what was read back differs from what was written.
+    """
+    given, back = [], []
+    for name, df in tables.items():
+        first = write_table(df, f"{folder}/.staged/{name}")     # computed once, for the file and its fingerprint
+        again = write_table(first, f"{folder}/{name}", fmt)
+        given.append(fingerprint(first, name))
+        back.append(fingerprint(again, name))
+
+    def all_of(parts):
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+    manifest = write_table(all_of(given), f"{folder}/manifest")
+    read = all_of(back).select("table", *[F.col(c).alias(f"_{c}") for c in ("rows", "hash_sum", "hash_xor")])
+    same = F.col("rows").eqNullSafe(F.col("_rows")) & F.col("hash_sum").eqNullSafe(F.col("_hash_sum")) & F.col("hash_xor").eqNullSafe(F.col("_hash_xor"))
+    return manifest.join(read, "table", "left").select("table", "rows", (~same).alias("differs"))
+
+
 def write_document(doc: DataFrame, path: str) -> None:
     """A one-row DataFrame written as one JSON document; keys sorted at every level, NULLs kept."""
     value = F.struct(*[_sorted_keys(F.col(f"`{f.name}`"), f.dataType).alias(f.name)
