@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from .license_texts import LICENSES, NOTICES, SPELLINGS
 
-#: A line that starts with a copyright mark, with its line break.
-COPYRIGHT_LINE = "(^|\\n)[ \\t]*(copyright|©|\\(c\\))[^\\n]*"
+#: A line that starts with a copyright mark, maybe behind a comment mark, with its line break.
+COPYRIGHT_LINE = "(^|\\n)[ \\t]*((#|//|/\\*|\\*|;|--)+[ \\t]*)?(copyright|©|\\(c\\))[^\\n]*"
 NOT_ALNUM = "[^\\p{L}\\p{N}]+"
 
 
@@ -75,7 +75,7 @@ def oracle_sql() -> str:
         return "'" + x.replace("'", "''") + "'"
 
     def body(x: str) -> str:
-        return f"regexp_replace(lower(coalesce({x}, '')), '(^|\\n)[ \\t]*(copyright|©|\\(c\\))[^\\n]*', chr(10), 'g')"
+        return f"regexp_replace(lower(coalesce({x}, '')), '{COPYRIGHT_LINE}', chr(10), 'g')"
 
     def canon(x: str) -> str:
         out = f"(' ' || regexp_replace({x}, '{NOT_ALNUM}', ' ', 'g') || ' ')"

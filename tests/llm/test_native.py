@@ -87,6 +87,15 @@ def test_license_texts_in_other_spellings(spark):
     assert license_scan.scan_licenses(frame(spark, [])).count() == 0
 
 
+def test_licences_in_comments(spark):
+    bsd = LICENSES["BSD-3-Clause"]
+    assert "Neither the name" in bsd and bsd != LICENSES["BSD-2-Clause"]
+    forms = [(mark + " Copyright (c) 2020, A. Person\n" + mark + "\n" + "\n".join(mark + " " + line for line in bsd.split("\n"))) for mark in ("#", "//", " *", ";;", "--")]
+    rows = plain([*enumerate(forms), (10, "- (c) choose wisely\n" + bsd)])
+    out = {r["id"]: r["license_id"] for r in license_scan.scan_licenses(frame(spark, rows)).collect()}
+    assert out == dict.fromkeys(range(5), "BSD-3-Clause") | {10: None}
+
+
 def test_every_notice_is_found(spark):
     df = frame(spark, plain([(i, f"{long_text(i, 12)}\n{n}\n{n.upper()}") for i, n in enumerate(NOTICES)]))
     out = {r["id"]: (r["notices"], r["n_notices"]) for r in license_scan.scan_licenses(df).collect()}
