@@ -7,9 +7,9 @@ driver's parquet views; the driver runs them next to the Spark queries.
 from __future__ import annotations
 
 from .. import constants as K
-from ..sources.fixture import LABELED_CITY_LIMIT, VALIDATION_START
+from ..sources.fixture import RENAMED, RENAMED_CITIES, VALIDATION_START
 
-LOADS_SQL = """loads AS (
+LOADS_SQL = f"""loads AS (
   WITH numbered AS (
     SELECT l.*, row_number() OVER (
         PARTITION BY l_orderkey, l_linenumber, l_partkey, l_suppkey
@@ -17,14 +17,14 @@ LOADS_SQL = """loads AS (
     FROM lineitem l),
   keyed AS (
     SELECT n.*, p_size, s_nationkey*4 + s_suppkey % 4 AS pk, c_nationkey*4 + c_custkey % 4 AS dk,
-           s_nationkey, s_suppkey % 4 AS s4, c_nationkey, c_custkey % 4 AS c4
+           s_nationkey, s_suppkey % 4 AS s4, c_nationkey, c_custkey % 4 AS c4, CAST(l_shipdate AS DATE) >= DATE '{VALIDATION_START}' AS renamed
     FROM numbered n JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
          JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey)
   SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR),
                    CAST(l_suppkey AS VARCHAR), CAST(dup_no AS VARCHAR)) AS load_id,
     CAST(pk AS INT) AS pickup_key, CAST(dk AS INT) AS delivery_key,
-    concat('NATION_', CAST(s_nationkey AS VARCHAR), '  ', CAST(s4 AS VARCHAR)) AS pickup,
-    concat(' nation_', CAST(c_nationkey AS VARCHAR), ' ', CAST(c4 AS VARCHAR)) AS delivery,
+    concat('NATION_', CAST(s_nationkey AS VARCHAR), '  ', CAST(s4 AS VARCHAR), CASE WHEN renamed AND pk >= {RENAMED_CITIES} THEN '{RENAMED}' ELSE '' END) AS pickup,
+    concat(' nation_', CAST(c_nationkey AS VARCHAR), ' ', CAST(c4 AS VARCHAR), CASE WHEN renamed AND dk >= {RENAMED_CITIES} THEN '{RENAMED}' ELSE '' END) AS delivery,
     25E0 + (pk*7 % 25) AS pickup_lat, -120E0 + (pk*11 % 50) AS pickup_lon,
     25E0 + (dk*7 % 25) AS delivery_lat, -120E0 + (dk*11 % 50) AS delivery_lon,
     50E0 + 40E0*l_quantity AS distance,
@@ -41,7 +41,7 @@ _COLS = ", ".join(K.LOAD_COLUMNS)
 
 DEV_SQL = f"""development AS (
   SELECT {_COLS}, posted_rate FROM loads
-  WHERE date < DATE '{VALIDATION_START}' AND pickup_key < {LABELED_CITY_LIMIT} AND delivery_key < {LABELED_CITY_LIMIT})"""
+  WHERE date < DATE '{VALIDATION_START}')"""
 VAL_SQL = f"""validation AS (SELECT {_COLS} FROM loads WHERE date >= DATE '{VALIDATION_START}')"""
 
 # Outer split: cutoff = last labeled day - (validation span in days).
