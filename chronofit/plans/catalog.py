@@ -57,4 +57,5 @@ def _load_all() -> None:
     from . import q_relational  # noqa: F401
     from . import q_selection  # noqa: F401
     from . import q_files  # noqa: F401
+    from . import q_dirty  # noqa: F401
     from . import q_models  # noqa: F401
