@@ -56,7 +56,7 @@ BUCKET_BYTES, GROUP_EDGES = 4 << 20, 5000
 #: Edges of one suffix start that one task may hold; beyond, they are split by string.
 HOT_EDGES = 20_000
 #: Entries that a map task sorts at once.
-RUN_ENTRIES = 250_000
+RUN_ENTRIES = 400_000
 _REACH = np.uint64((1 << 14) - 1)  # low bits of the first hash hold how far the anchor's strings reach
 _PLACE = (1 << PLACE_BITS) - 1
 
@@ -358,7 +358,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         later = strings.join(least, "string").filter(F.col("place") != F.col("least"))
         at = F.col("place").bitwiseAND(_PLACE).cast("int")
         ranges = ranges.unionByName(later.select(F.shiftright("place", PLACE_BITS).alias("rank"), at.alias("lo"), (at + length).alias("hi")))
-    per_rank = materialise(ranges.groupBy("rank").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges")), "suffix-ranges")
+    per_rank = ranges.groupBy("rank").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
     at = F.col("section") * step
     whole = long_enough.select("rank", "text_key", F.col("id").alias("first_id"), "section").join(per_rank, "rank").select(
         "text_key", "first_id", F.transform("ranges", lambda r: F.struct((r["lo"] + at).alias("lo"), (r["hi"] + at).alias("hi"))).alias("ranges"))
