@@ -23,6 +23,18 @@ SPACE = "[\\x20\\x09-\\x0D]+"
 BROADCAST_ROWS = 500_000
 
 
+#: Bytes of an Arrow batch between the JVM and Python; Spark's default of 64 MB is held several times over.
+BATCH_BYTES = 4 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``BATCH_BYTES`` if they may be larger."""
+    now = int(spark.conf.get(_BATCH_KEY, "-1").rstrip("b"))
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
@@ -30,6 +42,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     costs its running tasks only.
     """
     spark = df.sparkSession
+    bound_batches(spark)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import bound_batches
 from .textarrays import CHUNK_BYTES, CHUNK_ROWS, releasing
 
 DIMENSIONS = 1024
@@ -123,6 +124,7 @@ def _bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn_prototypes(train: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict[str, np.ndarray]:
     """Unit prototype per language.  The sums are whole numbers, so their order does not matter."""
+    bound_batches(train.sparkSession)
     rows = train.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull())
     parts = rows.mapInArrow(releasing(_bundle), "lang string, vector array<double>")
@@ -134,6 +136,7 @@ def learn_prototypes(train: DataFrame, lang_col: str = "lang", text_col: str = "
 
 def identify(df: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text") -> DataFrame:
     """``df`` without its text column, with ``lang_pred`` and ``score``; these names must be free."""
+    bound_batches(df.sparkSession)
     names = list(prototypes)
     table = np.stack([prototypes[k] for k in names]) if names else np.zeros((0, DIMENSIONS), np.float32)
     kept = [c for c in df.columns if c != text_col]

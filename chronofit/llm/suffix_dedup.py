@@ -51,6 +51,8 @@ LENGTH = 100
 BATCHES = 3
 #: Bytes of a text that enter an array as one (each takes some 150 bytes of memory for a moment).
 SECTION_BYTES = 1 << 20
+#: Bytes whose anchors are taken at once.
+ANCHOR_BYTES = 1 << 17
 #: Bytes of texts whose entries share a bucket, and edges that one task settles at once.
 BUCKET_BYTES, GROUP_EDGES = 4 << 20, 5000
 #: Edges of one suffix start that one task may hold; beyond, they are split by string.
@@ -121,7 +123,7 @@ def _map_runs(length: int, buckets: int):
         parts, held = [], 0
         for batch in batches:
             ranks = batch.column(0).to_numpy().astype(np.uint64)
-            for first, _, data, offsets in chunks(batch.column(1)):
+            for first, _, data, offsets in chunks(batch.column(1), ANCHOR_BYTES):
                 a = anchors(data, offsets, length)
                 reach = ((a["at"] - a["lo"]) << 7 | (a["at"] - a["hi"])).astype(np.uint64)
                 place = ranks[first + a["row"]] << np.uint64(PLACE_BITS) | a["at"].astype(np.uint64)

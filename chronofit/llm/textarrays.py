@@ -95,14 +95,14 @@ def _power(kind: str, n: int) -> np.ndarray:
     return have[:n]
 
 
-def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, offsets)`` per chunk of a string or binary column; null counts as empty."""
     for lo in range(0, len(column), CHUNK_ROWS):  # a batch's texts are not copied as a whole
-        for first, end, data, offsets in _chunks(column.slice(lo, CHUNK_ROWS)):
+        for first, end, data, offsets in _chunks(column.slice(lo, CHUNK_ROWS), size):
             yield lo + first, lo + end, data, offsets
 
 
-def _chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _chunks(column: pa.Array, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
     values = column.cast(pa.large_binary()).fill_null(b"") if binary else column.cast(pa.large_string()).fill_null("")
     n = len(values)
@@ -111,7 +111,7 @@ def _chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < n:
-        end = max(first + 1, int(np.searchsorted(offsets, offsets[first] + CHUNK_BYTES, "right")) - 1)
+        end = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
         yield first, end, data[offsets[first]:offsets[end]], offsets[first:end + 1] - offsets[first]
         first = end
 
