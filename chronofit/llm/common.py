@@ -30,8 +30,8 @@ _BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 def bound_batches(spark: SparkSession) -> None:
     """Lower the session's Arrow batches to ``BATCH_BYTES`` if they may be larger."""
-    now = int(spark.conf.get(_BATCH_KEY, "-1").rstrip("b"))
-    if not 0 < now <= BATCH_BYTES:
+    now = str(spark.conf.get(_BATCH_KEY)).rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
         spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
 
 
