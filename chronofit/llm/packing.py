@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
-from .textarrays import chunks, distinct_spans, releasing, releasing_groups
+from .textarrays import chunks, distinct_spans, kept_between_tasks, releasing, releasing_groups
 
 CAPACITY = 2048
 END_ID = 0
@@ -143,7 +143,7 @@ class WordIds:
         return ids, np.concatenate([[0], total[np.cumsum(counts + 1) - 1]]) if n_rows else np.zeros(1, np.int64)
 
 
-_workers: dict[str, WordIds] = {}
+_workers: dict[str, WordIds] = kept_between_tasks(__name__)
 
 
 def word_ids(path: str) -> WordIds:

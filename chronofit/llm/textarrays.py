@@ -47,8 +47,26 @@ def release_memory() -> None:
             trim(0)
 
 
+#: What modules keep in a worker between tasks, by module: cleared when another module's work begins.
+_kept: dict[str, dict] = {}
+
+
+def kept_between_tasks(module: str) -> dict:
+    """A cache of a module in this worker, emptied as soon as another operator's task runs here."""
+    return _kept.setdefault(module, {})
+
+
+def _only(module: str) -> None:
+    stale = [cache for name, cache in _kept.items() if name != module and cache]
+    for cache in stale:
+        cache.clear()
+    if stale:
+        _trimmed[0] = 0.0
+        release_memory()
+
+
 def releasing(run: Callable) -> Callable:
-    """An Arrow map function that releases memory after each batch."""
+    """An Arrow map function that releases memory after each batch, and before it what other operators kept."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch
@@ -56,6 +74,7 @@ def releasing(run: Callable) -> Callable:
             release_memory()
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _only(run.__module__)
         yield from run(each(batches))
         _trimmed[0] = 0.0
         release_memory()
@@ -66,12 +85,14 @@ def releasing_groups(run: Callable) -> Callable:
     """A grouped or cogrouped Arrow function that releases memory after each group."""
     if len(inspect.signature(run).parameters) == 1:
         def one(table: pa.Table) -> pa.Table:
+            _only(run.__module__)
             out = run(table)
             release_memory()
             return out
         return one
 
     def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        _only(run.__module__)
         out = run(left, right)
         release_memory()
         return out

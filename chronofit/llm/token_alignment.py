@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
-from .textarrays import chunks, distinct_spans, releasing, releasing_groups
+from .textarrays import chunks, distinct_spans, kept_between_tasks, releasing, releasing_groups
 
 #: Radixes of the first id; a run has a blob for each that occurs.
 RADIX = 32
@@ -332,7 +332,7 @@ def best_of_first(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return counts == np.repeat(most, np.diff(np.append(begin, len(keys))))
 
 
-_workers: dict[tuple[str, str], Aligner] = {}
+_workers: dict[tuple[str, str], Aligner] = kept_between_tasks(__name__)
 
 
 def _aligner(path_a: str, path_b: str) -> Aligner:

@@ -60,3 +60,13 @@ def test_run_and_registration(spark):
     queries = entry.queries()
     assert all(any(n.startswith(f"op{k}_") for n in queries) for k in range(1, 11)) and "pipeline" in queries
     assert set(queries["pipeline"](spark, SF_SMALL).columns) >= {"doc_id", "piece", "length", "sequence_id", "offset"}
+
+
+def test_other_operators_caches_are_dropped():
+    from chronofit.llm import packing, textarrays
+    from chronofit.llm.queries import tokenizer_path
+    packing.word_ids(tokenizer_path())
+    own = textarrays.releasing(packing._pieces(tokenizer_path(), 64, False))
+    assert list(own(iter([]))) == [] and packing._workers
+    from chronofit.llm import language_id
+    assert len(list(textarrays.releasing(language_id._bundle)(iter([])))) == 1 and not packing._workers
