@@ -9,7 +9,7 @@ from __future__ import annotations
 from .. import constants as K
 from ..sources.fixture import RENAMED, RENAMED_CITIES, VALIDATION_START
 
-LOADS_SQL = f"""loads AS (
+LOADS_SQL = f"""loads AS MATERIALIZED (
   WITH numbered AS (
     SELECT l.*, row_number() OVER (
         PARTITION BY l_orderkey, l_linenumber, l_partkey, l_suppkey

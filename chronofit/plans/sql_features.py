@@ -41,12 +41,12 @@ def state_ctes(train: str = "training", prefix: str = "fs") -> str:
         f"SELECT '{k}' AS key_column, {k} AS key, count(*) AS count,"
         f" count(*) / CAST((SELECT count(*) FROM {train}) AS DOUBLE) AS frequency FROM {p}_keys GROUP BY {k}"
         for k in K.FREQUENCY_KEYS)
-    return f"""{p}_clean AS ({clean_select(train)}),
+    return f"""{p}_clean AS MATERIALIZED ({clean_select(train)}),
 {p}_keys AS ({composites(p + '_clean')}),
-{p}_counts AS ({counts}),
+{p}_counts AS MATERIALIZED ({counts}),
 {p}_stack AS (SELECT pickup AS city, pickup_lat AS lat, pickup_lon AS lon FROM {p}_clean
               UNION ALL SELECT delivery, delivery_lat, delivery_lon FROM {p}_clean),
-{p}_coords AS (SELECT city, quantile_cont(lat, 0.5) AS lat, quantile_cont(lon, 0.5) AS lon FROM {p}_stack
+{p}_coords AS MATERIALIZED (SELECT city, quantile_cont(lat, 0.5) AS lat, quantile_cont(lon, 0.5) AS lon FROM {p}_stack
                WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY city),
 {p}_ref AS (SELECT min(date) AS d FROM {p}_clean)"""
 
