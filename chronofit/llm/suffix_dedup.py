@@ -54,7 +54,7 @@ SECTION_BYTES = 1 << 20
 #: Bytes whose anchors are taken at once.
 ANCHOR_BYTES = 1 << 17
 #: Bytes of texts whose entries share a bucket, and edges that one task settles at once.
-BUCKET_BYTES, GROUP_EDGES = 4 << 20, 5000
+BUCKET_BYTES, GROUP_EDGES = 4 << 20, 600
 #: Edges of one suffix start that one task may hold; beyond, they are split by string.
 HOT_EDGES = 20_000
 #: Entries that a map task sorts at once.
