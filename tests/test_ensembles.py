@@ -125,3 +125,16 @@ def test_best_of_curve():
     assert M.best_of_curve([5, 4, 3, 3.5, 3.2, 1], 2) == 3
     assert M.best_of_curve([5, 4, 3, 3.5, 3.2, 1], 3) == 6
     assert M.best_of_curve([1.0], 3) == 1
+
+
+def test_first_tree_is_that_of_spark_ml_and_nothing_stays_held(spark, rows):
+    from pyspark.ml.regression import DecisionTreeRegressor
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    model = E.AbsoluteBoost.fit(rows, "y", PARAMS, 42)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+    signs = rows.withColumn("s", F.signum(F.col("y") - model.base))
+    tree = DecisionTreeRegressor(featuresCol="__x", labelCol="s", predictionCol="m", leafCol="l", maxDepth=2, minInstancesPerNode=5).fit(signs)
+    pairs = model.first(1)._leaves(tree.transform(signs)).select("l", "__leaf0").distinct().collect()
+    assert len(pairs) == len({r.l for r in pairs}) == len({r["__leaf0"] for r in pairs}) > 2
+    nodes = [(j, c) for j, c in zip(model.trees[0].feature, model.trees[0].cut) if j >= 0]
+    assert len(nodes) == len(pairs) - 1 and all(f"feature {j} <= {c}" in tree.toDebugString for j, c in nodes)
