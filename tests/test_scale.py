@@ -75,3 +75,13 @@ def test_a_short_window_of_dates_is_many_files(spark, tmp_path, monkeypatch):
     assert sum(r.n for r in per_file) == 301 and len(per_file) >= 14 and max(r.n for r in per_file) <= 60
     assert len([r for r in per_file if r.a <= dt.date(1999, 5, 2) <= r.b]) >= 4
     assert out.exceptAll(fixture.build_loads(spark, str(tmp_path / "in"))).count() == 0
+
+
+def test_names_are_normalised_once_per_distinct_value(spark):
+    from chronofit.operators.baselines import _with_group, group_median_rpm
+    rows = spark.createDataFrame([(" dry  van", 10.0, 30.0), ("Dry Van", 10.0, 10.0), (None, 10.0, 50.0), ("unknown", 10.0, 70.0)],
+                                 "equipment string, distance double, posted_rate double")
+    assert sorted(r["__g"] for r in _with_group(rows, "equipment").collect()) == ["Dry Van", "Dry Van", "Unknown", "Unknown"]
+    out = group_median_rpm(rows, rows)
+    assert sorted(r.predicted for r in out.collect()) == [20.0, 20.0, 60.0, 60.0]
+    assert "regexp_replace" not in out._jdf.queryExecution().optimizedPlan().toString()
