@@ -85,3 +85,10 @@ def test_names_are_normalised_once_per_distinct_value(spark):
     out = group_median_rpm(rows, rows)
     assert sorted(r.predicted for r in out.collect()) == [20.0, 20.0, 60.0, 60.0]
     assert "regexp_replace" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scenario_rows_are_met_by_their_raw_names(spark):
+    from chronofit.sources import fixture
+    from conftest import SF_SMALL
+    plan = fixture.scenario_inputs(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan
