@@ -138,3 +138,39 @@ def test_first_tree_is_that_of_spark_ml_and_nothing_stays_held(spark, rows):
     assert len(pairs) == len({r.l for r in pairs}) == len({r["__leaf0"] for r in pairs}) > 2
     nodes = [(j, c) for j, c in zip(model.trees[0].feature, model.trees[0].cut) if j >= 0]
     assert len(nodes) == len(pairs) - 1 and all(f"feature {j} <= {c}" in tree.toDebugString for j, c in nodes)
+
+
+def test_models_grown_side_by_side_are_those_grown_alone_in_the_passes_of_one(spark, rows):
+    from pyspark.ml.feature import VectorSlicer
+    sc, asked = spark.sparkContext, [([0, 1], PARAMS), ([1], PARAMS | {"maxIter": 3, "maxDepth": 1}), ([1, 0], PARAMS | {"stepSize": 0.3})]
+
+    def jobs(name, fn):
+        sc.setJobGroup(name, name)
+        found = fn()
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        return found, len(sc.statusTracker().getJobIdsForGroup(name))
+    blocks = E.Blocks.of(rows, "y", 42)
+    together, many = jobs("together", lambda: E.AbsoluteBoost.fit_many(blocks, asked))
+    _, one = jobs("one", lambda: E.AbsoluteBoost.fit_many(blocks, asked[:1]))
+    assert many < 1.5 * one
+    for model, (places, params) in zip(together, asked):
+        data = VectorSlicer(inputCol="__x", outputCol="s", indices=places).transform(rows).select(F.col("s").alias("__x"), "y")
+        alone = E.AbsoluteBoost.fit(data, "y", params, 42)
+        assert (model.base, model.step, model.trees, model.values) == (alone.base, alone.step, alone.trees, alone.values)
+
+
+def test_candidates_on_prepared_rows_are_those_fitted_alone(spark):
+    dice = np.random.default_rng(5)
+    table = [(float(d), None if d < 2 else float(w), str(e), float(d * (2 + w / 10 + (e == "b")))) for d, w, e in zip(
+        dice.uniform(1, 9, 300), dice.uniform(0, 10, 300), dice.choice(["a", "b", "c"], 300))] + [(None, 1.0, "a", 5.0), (3.0, 1.0, "a", None)]
+    feats = spark.createDataFrame(table, "distance double, weight double, equipment string, posted_rate double").repartition(2).checkpoint()
+    wide, small = ["distance", "weight", "equipment"], ["equipment", "distance"]
+    boost, forest = M.PARAMETERS["gbt_compact"] | {"maxIter": 3}, M.PARAMETERS["forest"] | {"numTrees": 2}
+    got = M.fit_prepared(M.prepare(feats, wide), [("a", "s", wide, boost), ("b", "s", small, forest), ("c", "t", small, boost)])
+    assert [(m.name, m.feature_set, m.features) for m in got] == [("a", "s", wide), ("b", "s", small), ("c", "t", small)]
+    for m in got:
+        alone = M.fit(feats, m.features, m.params)
+        both = M.predict(alone, M.predict(m, feats, "p"), "q").select("p", "q").collect()
+        assert len(both) == 302 and all(r.p == r.q for r in both)
+    with pytest.raises(ValueError):
+        M.fit_prepared(M.prepare(feats, wide), [("a", "s", ["weight"], boost)])
