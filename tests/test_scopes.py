@@ -77,3 +77,14 @@ def test_guards_and_fit_transform(spark, ctx):
         FE.fit(bad)
     with pytest.raises(ValueError):
         FE.fit_scopes(bad, [Scope("x", dt.date(2030, 1, 1))])
+
+
+def test_names_are_normalised_per_distinct_text(spark):
+    from chronofit.functions.clean import base_clean
+    rows = [(" new  york", "o'hare", "dry van"), ("New York ", None, ""), (None, " ", "REEFER"), ("", "st.louis", None), (" new  york", "o'hare", "dry van")]
+    df = spark.createDataFrame([(*r, "2024-01-01", float(i)) for i, r in enumerate(rows)], "pickup string, delivery string, equipment string, date string, distance double")
+    for part in (df, df.select("pickup", "date", "distance"), df.select("date", "distance")):
+        got, want = FE._clean(part), base_clean(part)
+        assert got.dtypes == want.dtypes and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = FE._clean(df)._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_replace" not in plan
