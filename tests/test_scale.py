@@ -92,3 +92,23 @@ def test_scenario_rows_are_met_by_their_raw_names(spark):
     from conftest import SF_SMALL
     plan = fixture.scenario_inputs(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_replace" not in plan
+
+
+def test_the_files_of_the_fixture_are_dealt_before_its_columns_are_made(spark, tmp_path, monkeypatch):
+    _tables(spark, str(tmp_path / "in"), [(i, 1 + i % 2, 1, i % 3) for i in range(30)], [(i, 1 + i % 2) for i in range(30)])
+    seen, real = [], fixture._loads_of
+    monkeypatch.setattr(fixture, "_loads_of", lambda rows: (seen.append(rows), real(rows))[1])
+    out = fixture.materialize_loads(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert len(seen) == 1 and "RepartitionByExpression" in plan and "concat" not in plan
+    assert out.count() == 30 and out.exceptAll(fixture.build_loads(spark, str(tmp_path / "in"))).count() == 0
+
+
+def test_the_numeric_summary_makes_no_scenario(spark, monkeypatch):
+    from chronofit.plans import q_relational
+    from conftest import SF_SMALL
+
+    def none(*_):
+        raise AssertionError("the scenario is no part of the summary")
+    monkeypatch.setattr(fixture, "scenario_inputs", none)
+    assert q_relational.q_numeric_summary(spark, SF_SMALL).count() == 8
