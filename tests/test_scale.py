@@ -112,3 +112,17 @@ def test_the_numeric_summary_makes_no_scenario(spark, monkeypatch):
         raise AssertionError("the scenario is no part of the summary")
     monkeypatch.setattr(fixture, "scenario_inputs", none)
     assert q_relational.q_numeric_summary(spark, SF_SMALL).count() == 8
+
+
+def test_rows_of_no_holdout_are_left_out_before_their_scopes_are_listed(spark, tmp_path):
+    from chronofit.operators.baselines import scoped_baselines
+    from chronofit.operators.split import Scope
+    d = dt.date
+    scopes = [Scope("a", d(2000, 1, 3), d(2000, 1, 3), d(2000, 1, 4)), Scope("b", d(2000, 1, 4), d(2000, 1, 4), d(2000, 1, 5))]
+    rows = [(i, None if i == 0 else d(2000, 1, i), " dry  van" if i % 2 else None, 10.0, 10.0 * i if i else None) for i in range(8)]
+    spark.createDataFrame(rows, "id int, date date, equipment string, distance double, posted_rate double").write.parquet(str(tmp_path / "in"))
+    out = scoped_baselines(spark.read.parquet(str(tmp_path / "in")), scopes)
+    got = sorted((r.scope, r.id, r.global_median, r.group_median) for r in out.collect())
+    assert got == [("a", 3, 15.0, 10.0), ("a", 4, 15.0, 20.0), ("b", 4, 20.0, 20.0), ("b", 5, 20.0, 20.0)]
+    scan = next(line for line in _plan(out).splitlines() if "FileScan parquet" in line and "date" in line)
+    assert "PushedFilters: [Or(" in scan
